@@ -59,16 +59,16 @@ def split_multivalue(c) -> Column:
 
 
 def gen3_record(df: DataFrame, node: str, submitter_id: Column | str, properties: Sequence[str],
-                links: Mapping[str, Column | str] | None = None) -> DataFrame:
+                links: Mapping[str, Column | str] | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """Submission-shaped record ``{type, submitter_id, <props>, <link>:
-    {submitter_id}}`` as a struct column ``record``."""
+    {submitter_id}}`` as a struct column ``record`` (plus ``keep`` columns)."""
     sid = F.col(submitter_id) if isinstance(submitter_id, str) else submitter_id
     fields = [F.lit(node).alias("type"), sid.alias("submitter_id")]
     fields += [F.col(p).alias(p) for p in properties]
     for name, target in (links or {}).items():
         t = F.col(target) if isinstance(target, str) else target
         fields.append(F.struct(t.alias("submitter_id")).alias(name))
-    return df.select(F.struct(*fields).alias("record"))
+    return df.select(*keep, F.struct(*fields).alias("record"))
 
 
 def link_check(child: DataFrame, parent: DataFrame, child_fk: str, parent_key: str) -> DataFrame:
