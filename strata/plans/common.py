@@ -100,6 +100,9 @@ TESTDATA_DICTIONARY = {
         "required": ["submitter_id"],
         "properties": {"k": {"type": "integer"}},
     },
+    "purchase": {"required": ["submitter_id"], "properties": {"k": {"type": "integer"}}},
+    "click": {"required": ["submitter_id"], "properties": {"k": {"type": "integer"}}},
+    "view": {"required": ["submitter_id"], "properties": {"k": {"type": "integer"}}},
     "region": {"required": ["submitter_id"], "properties": {}},
     "nation": {"required": ["submitter_id"], "properties": {},
                "links": [{"name": "regions", "target_type": "region", "required": True}]},
@@ -162,6 +165,14 @@ def conversation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit("synthetic_dialogs").alias("study_id"), "conv_id", "turn", "role", "text")
 
 
+def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as records whose node is their ``event_type``."""
+    e = table(spark, sf_dir, "events")
+    return e.select(F.concat(F.lit("event_"), F.col("event_id")).alias("submitter_id"),
+                    F.lit("events").alias("study_id"), F.col("event_type").alias("node"), "event_id", "event_type",
+                    F.get_json_object("props", "$.k").alias("k"), "props")
+
+
 def node_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(node, submitter_id) of every TPC-H-like node record."""
     def ids(name: str, node: str, *key: str) -> DataFrame:
