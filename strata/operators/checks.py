@@ -74,8 +74,8 @@ def _finding(cond: Column, rule: Rule, message: Column, value_text: str | None)
     ))
 
 
-def _rule_expr(df: DataFrame, rule: Rule) -> Column | None:
-    present = rule.property in df.columns
+def _rule_expr(columns: set[str], rule: Rule) -> Column | None:
+    present = rule.property in columns
     c = F.col(f"`{rule.property}`") if present else F.lit(None).cast("string")
     v = rule.validator
     if v == "required":
@@ -131,7 +131,8 @@ def findings_for_node(df: DataFrame, node: str, rules: Iterable[Rule], *,
                       validation_id: str, schema_version: str,
                       key: str = "submitter_id", study: str = "study_id") -> DataFrame:
     """One pass over a node's records: every violated rule is one FAIL row."""
-    exprs = [e for e in (_rule_expr(df, r) for r in rules if r.node == node) if e is not None]
+    columns = set(df.columns)
+    exprs = [e for e in (_rule_expr(columns, r) for r in rules if r.node == node) if e is not None]
     if not exprs:
         return empty_results(df.sparkSession)
     found = (df.select(F.col(key).cast("string").alias("submitter_id"), F.col(study).alias("study_id"),

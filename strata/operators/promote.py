@@ -79,6 +79,16 @@ def link_check(child: DataFrame, parent: DataFrame, child_fk: str, parent_key: s
         .join(p, F.col(child_fk) == F.col("__pk"), "left_anti")
 
 
+def link_counts(child: DataFrame, parent: DataFrame, child_fk: str, parent_key: str) -> DataFrame:
+    """J2 summary in one pass: children and children whose parent is missing
+    (left join against the distinct parent keys, then one aggregate)."""
+    p = parent.select(F.col(parent_key).alias("__pk")).distinct()
+    j = child.join(p, F.col(child_fk) == F.col("__pk"), "left")
+    missing = F.col(child_fk).isNotNull() & F.col("__pk").isNull()
+    return j.agg(F.count(F.lit(1)).alias("n_children"),
+                 F.count(F.when(missing, 1)).alias("n_missing"))
+
+
 def attach_object_id(files: DataFrame, registry: DataFrame, file_key: str, registry_key: str,
                      registered_at: str, object_id: str, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Left-join the *deduplicated* registry (W2) to file records."""

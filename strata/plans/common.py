@@ -31,8 +31,18 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+_TABLES: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A testdata table. The DataFrame (a plan, not data) is reused within a
+    session so the parquet footer is read once per table."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        _TABLES[key] = df
+    return df
 
 
 # Run parameters of the catalogue (literals, never a clock).

@@ -18,18 +18,26 @@ from strata.plans.common import (BATCH_A, BATCH_B, INGESTED_A, INGESTED_B, PROVE
                                  TESTDATA_DICTIONARY, VALIDATION_NEW, VALIDATION_OLD, conversation_records,
                                  customer_records, document_records, event_records, nation_studies, order_records,
                                  query, table)
-from strata.sources.dictionary import dictionary_from_obj
+from strata.sources.dictionary import Dictionary, dictionary_from_obj
 
 CHECKED_NODES = ("customer", "orders", "documents", "conversations")
-_RULE_CACHE: dict[tuple[str, str], list[checks.Rule]] = {}
+_RULE_CACHE: dict[str, list[checks.Rule]] = {}
+_DICT_CACHE: dict[str, Dictionary] = {}
+
+
+def testdata_dictionary(spark: SparkSession) -> Dictionary:
+    """The testdata dictionary parsed by Spark (plans reused per session)."""
+    key = spark.sparkContext.applicationId
+    if key not in _DICT_CACHE:
+        _DICT_CACHE[key] = dictionary_from_obj(spark, TESTDATA_DICTIONARY, "testdata-dictionary.json")
+    return _DICT_CACHE[key]
 
 
 def testdata_rules(spark: SparkSession) -> list[checks.Rule]:
-    """The testdata dictionary's rules, parsed by Spark once per session."""
-    key = (spark.sparkContext.applicationId, json.dumps(TESTDATA_DICTIONARY, sort_keys=True))
+    """The testdata dictionary's rules, collected once per session (metadata)."""
+    key = spark.sparkContext.applicationId
     if key not in _RULE_CACHE:
-        d = dictionary_from_obj(spark, TESTDATA_DICTIONARY, "testdata-dictionary.json")
-        _RULE_CACHE[key] = checks.collect_rules(d.rules)
+        _RULE_CACHE[key] = checks.collect_rules(testdata_dictionary(spark).rules)
     return _RULE_CACHE[key]
 
 
@@ -219,7 +227,7 @@ def unknown_node(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = dictionary_from_obj(spark, TESTDATA_DICTIONARY, "testdata-dictionary.json")
+    d = testdata_dictionary(spark)
     return checks.unknown_nodes(event_records(spark, sf_dir), d.nodes, validation_id=VALIDATION_NEW,
                                 schema_version=SCHEMA_VERSION)
 
