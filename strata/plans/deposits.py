@@ -1,0 +1,99 @@
+"""Workbook deposits built from testdata tables, for the landing queries and
+tests. A minimal ``.xlsx`` writer (stdlib ``zipfile``) lays out the pipeline's
+workbook: a ``_g3mt`` sheet with provenance and the node -> sheet map, and a
+node sheet with headers on row 1, hints on row 2, data from row 3, and
+provisioned blank rows at the end.
+"""
+
+from __future__ import annotations
+
+import io
+import zipfile
+from collections.abc import Sequence
+from xml.sax.saxutils import escape
+
+_CT = """<?xml version="1.0" encoding="UTF-8" standalone="yes"?>
+<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types">
+<Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>
+<Default Extension="xml" ContentType="application/xml"/>
+<Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>
+<Override PartName="/xl/styles.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.styles+xml"/>
+{sheets}</Types>"""
+_ROOT_RELS = """<?xml version="1.0" encoding="UTF-8" standalone="yes"?>
+<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">
+<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/officeDocument" Target="xl/workbook.xml"/>
+</Relationships>"""
+# Style 0 general, style 1 a date format (built-in id 14), style 2 custom date-time.
+_STYLES = """<?xml version="1.0" encoding="UTF-8" standalone="yes"?>
+<styleSheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main">
+<numFmts count="1"><numFmt numFmtId="164" formatCode="yyyy\\-mm\\-dd\\ hh:mm:ss"/></numFmts>
+<cellXfs count="3"><xf numFmtId="0"/><xf numFmtId="14"/><xf numFmtId="164"/></cellXfs>
+</styleSheet>"""
+
+
+def _col(n: int) -> str:
+    s = ""
+    while n:
+        n, r = divmod(n - 1, 26)
+        s = chr(65 + r) + s
+    return s
+
+
+def _cell(ref: str, value) -> str:
+    if value is None:
+        return f'<c r="{ref}" s="0"/>'
+    if isinstance(value, bool):
+        return f'<c r="{ref}" t="b"><v>{int(value)}</v></c>'
+    if isinstance(value, (int, float)):
+        return f'<c r="{ref}"><v>{value!r}</v></c>'
+    if isinstance(value, tuple) and value[0] == "date":
+        return f'<c r="{ref}" s="1"><v>{value[1]}</v></c>'
+    return f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{escape(str(value))}</t></is></c>'
+
+
+def sheet_xml(rows: Sequence[Sequence]) -> str:
+    out = ['<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+           '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>']
+    for r, row in enumerate(rows, start=1):
+        out.append(f'<row r="{r}">' + "".join(_cell(f"{_col(c)}{r}", v) for c, v in enumerate(row, start=1))
+                   + "</row>")
+    out.append("</sheetData></worksheet>")
+    return "".join(out)
+
+
+def build_workbook(sheets: dict[str, Sequence[Sequence]]) -> bytes:
+    """``sheets`` maps a sheet name to its rows (lists of cell values; None is
+    an empty styled cell, ``("date", serial)`` a date-formatted number)."""
+    buf = io.BytesIO()
+    names = list(sheets)
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("[Content_Types].xml", _CT.format(sheets="".join(
+            f'<Override PartName="/xl/worksheets/sheet{i}.xml" '
+            f'ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>\n'
+            for i in range(1, len(names) + 1))))
+        z.writestr("_rels/.rels", _ROOT_RELS)
+        z.writestr("xl/workbook.xml",
+                   '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+                   '<workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" '
+                   'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets>'
+                   + "".join(f'<sheet name="{escape(n)}" sheetId="{i}" r:id="rId{i}"/>'
+                             for i, n in enumerate(names, start=1)) + "</sheets></workbook>")
+        z.writestr("xl/_rels/workbook.xml.rels",
+                   '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+                   '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+                   + "".join(f'<Relationship Id="rId{i}" Type="http://schemas.openxmlformats.org/officeDocument/'
+                             f'2006/relationships/worksheet" Target="worksheets/sheet{i}.xml"/>'
+                             for i in range(1, len(names) + 1))
+                   + '<Relationship Id="rIdS" Type="http://schemas.openxmlformats.org/officeDocument/2006/'
+                     'relationships/styles" Target="styles.xml"/></Relationships>')
+        z.writestr("xl/styles.xml", _STYLES)
+        for i, n in enumerate(names, start=1):
+            z.writestr(f"xl/worksheets/sheet{i}.xml", sheet_xml(sheets[n]))
+    return buf.getvalue()
+
+
+def meta_rows(provenance: dict[str, str], mapping: dict[str, str]) -> list[list]:
+    rows = [[k, v] for k, v in provenance.items()]
+    rows.append(["node", "sheet"])
+    rows += [[n, s] for n, s in mapping.items()]
+    return rows
