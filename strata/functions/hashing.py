@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from strata.functions.text import text_or_empty
+from strata.functions.text import qcol, text_or_empty
 
 # Source coordinates appended to the hashed payload, in order.
 HASH_COORDINATES = ("_src_file", "_src_sheet", "_src_row")
@@ -19,7 +19,7 @@ BASEID_NAMESPACE_HEX = "6ba7b8119dad11d180b400c04fd430c8"
 
 def row_payload(columns: Sequence[str]) -> Column:
     """``c1=v1|c2=v2|...`` over the given columns in order; null -> ""."""
-    return F.concat_ws("|", *[F.concat(F.lit(f"{c}="), text_or_empty(F.col(c))) for c in columns])
+    return F.concat_ws("|", *[F.concat(F.lit(f"{c}="), text_or_empty(qcol(c))) for c in columns])
 
 
 def row_hash(data_columns: Sequence[str], coordinates: Sequence[str] = HASH_COORDINATES) -> Column:
@@ -35,7 +35,7 @@ def row_hash_from_map(headers, cells, coordinates: Sequence[str] = HASH_COORDINA
     h = F.col(headers) if isinstance(headers, str) else headers
     m = F.col(cells) if isinstance(cells, str) else cells
     data = F.transform(h, lambda x: F.concat(x, F.lit("="), F.coalesce(F.element_at(m, x), F.lit(""))))
-    coords = F.array(*[F.concat(F.lit(f"{c}="), text_or_empty(F.col(c))) for c in coordinates])
+    coords = F.array(*[F.concat(F.lit(f"{c}="), text_or_empty(qcol(c))) for c in coordinates])
     return F.sha2(F.array_join(F.concat(data, coords), "|"), 256)
 
 

@@ -19,6 +19,11 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def qcol(name: str) -> Column:
+    """A column by its exact name, even with dots, spaces or backticks."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def py_strip(c) -> Column:
     """Strip leading/trailing Unicode whitespace the way ``str.strip`` does.
     Plain SQL ``trim`` removes spaces only."""

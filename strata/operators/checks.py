@@ -20,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.text import qcol
+
 # The results table layout, in order. ``submitter_id`` is added
 # as the stable record key (a DataFrame has no row position; ``index`` stays
 # null unless a caller has a total order).
@@ -76,7 +78,7 @@ def _finding(cond: Column, rule: Rule, message: Column, value_text: str | None)
 
 def _rule_expr(columns: set[str], rule: Rule) -> Column | None:
     present = rule.property in columns
-    c = F.col(f"`{rule.property}`") if present else F.lit(None).cast("string")
+    c = qcol(rule.property) if present else F.lit(None).cast("string")
     v = rule.validator
     if v == "required":
         return _finding(c.isNull(), rule, F.lit(f"'{rule.property}' is a required property"), rule.property)
@@ -153,7 +155,7 @@ def enum_violations(df: DataFrame, rule: Rule, allowed: DataFrame, *, validation
                     schema_version: str, key: str = "submitter_id", study: str = "study_id") -> DataFrame:
     """V3 for long enums: anti-join against the allowed values (a one-column
     DataFrame ``value``); AQE broadcasts it when it is small."""
-    c = F.col(f"`{rule.property}`").cast("string")
+    c = qcol(rule.property).cast("string")
     bad = df.filter(c.isNotNull()).join(allowed.select(F.col("value").alias("__v")), c == F.col("__v"), "left_anti")
     return bad.select(
         F.lit(validation_id).alias("validation_id"), F.lit(None).cast("bigint").alias("index"),

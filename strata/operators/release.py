@@ -122,18 +122,18 @@ def import_order(spark: SparkSession, links: DataFrame, nodes: DataFrame | None
         )
         SELECT node, max(depth) AS level FROM walk GROUP BY node
     """)
-    # A back edge: parent reachable, child already on a path to the parent.
+    # A node is on a cycle when a walk from it comes back to it. The walk
+    # may step onto its own start (closing the cycle) but never continues
+    # past it, and never revisits any other node, so it terminates.
     back = spark.sql("""
         WITH RECURSIVE reach(src, node, path) AS (
           SELECT e.parent, e.child, array(e.parent, e.child) FROM __io_edges e
           UNION ALL
           SELECT r.src, e.child, concat(r.path, array(e.child))
           FROM reach r JOIN __io_edges e ON e.parent = r.node
-          WHERE NOT array_contains(r.path, e.child)
+          WHERE r.node <> r.src AND (NOT array_contains(r.path, e.child) OR e.child = r.src)
         )
         SELECT DISTINCT src AS node FROM reach WHERE src = node
-        UNION
-        SELECT DISTINCT e.child FROM __io_edges e WHERE e.child = e.parent
     """)
     cyc = back.withColumn("cycle", F.lit(True))
     levels = all_nodes.join(walked, "node", "left").join(cyc, "node", "left") \

@@ -63,40 +63,37 @@ def _parse_file(path: str, study: str, content: bytes, all_sheets: bool) -> Iter
             provenance, mapping = {}, {name: name for name in wb.sheets}
         else:
             provenance, mapping = xlsx.read_meta(wb)
-        parsed = []
+        # Headers of every mapped sheet are checked before any row is emitted,
+        # so a failing workbook contributes a failure row and nothing else.
+        sheets, warnings = [], []
         for node, sheet in mapping.items():
             if not wb.has_sheet(sheet):
-                parsed.append([fail(f"'{xlsx.META_SHEET}' maps node '{node}' to missing sheet '{sheet}'",
-                                    sheet, node, "warn")])
+                warnings.append(fail(f"'{xlsx.META_SHEET}' maps node '{node}' to missing sheet '{sheet}'",
+                                     sheet, node, "warn"))
                 continue
             names, rows = xlsx.read_sheet(wb, sheet)
-            parsed.append(({"file": path, "study_id": study, "node": node, "sheet": sheet, "row": r,
-                            "headers": names, "cells": cells, "provenance": provenance, "error": None,
-                            "severity": None} for r, cells in rows))
-        for rows in parsed:
-            yield from rows
+            sheets.append((node, sheet, names, rows))
+        yield from warnings
+        for node, sheet, names, rows in sheets:
+            for r, cells in rows:
+                yield {"file": path, "study_id": study, "node": node, "sheet": sheet, "row": r,
+                       "headers": names, "cells": cells, "provenance": provenance, "error": None,
+                       "severity": None}
     except Exception as exc:  # noqa: BLE001 - a bad workbook is a failure row, the others load
         yield fail(f"{type(exc).__name__}: {exc}")
 
 
 def _parser(all_sheets: bool):
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        buf: list[dict] = []
         for pdf in batches:
             for path, study, content in zip(pdf["path"], pdf["study_id"], pdf["content"]):
-                try:
-                    for rec in _parse_file(path, study, bytes(content), all_sheets):
-                        buf.append(rec)
-                        if len(buf) >= BATCH_ROWS:
-                            yield pd.DataFrame(buf)
-                            buf = []
-                except xlsx.WorkbookError as exc:  # duplicate headers found mid-stream
-                    buf = [b for b in buf if b["file"] != path]
-                    buf.append({"file": path, "study_id": study, "node": None, "sheet": None, "row": None,
-                                "headers": None, "cells": None, "provenance": None,
-                                "error": f"WorkbookError: {exc}", "severity": "error"})
-        if buf:
-            yield pd.DataFrame(buf)
+                # A workbook lands whole or not at all: rows are held per file
+                # and replaced by its failure row if parsing fails part-way.
+                recs = list(_parse_file(path, study, bytes(content), all_sheets))
+                if any(r["severity"] == "error" for r in recs):
+                    recs = [r for r in recs if r["severity"] is not None]
+                for i in range(0, len(recs), BATCH_ROWS):
+                    yield pd.DataFrame(recs[i:i + BATCH_ROWS])
     return parse
 
 
