@@ -28,19 +28,18 @@ def safe_name(c) -> Column:
     return F.regexp_replace(F.lower(_col(c)), UNSAFE_NAME_CHARS, "_")
 
 
-def safe_names(headers) -> Column:
+def safe_names(headers, reserved: tuple[str, ...] = ()) -> Column:
     """Engine-safe names for an ordered header array.
 
-    A left fold over the headers carries the names already taken; each header
-    gets its safe form, or the first free ``<safe>_2``, ``<safe>_3`` ... . A
-    natural ``a_2`` taken earlier is skipped over, so ``a, A, a_2`` becomes
-    ``a, a_2, a_2_2``. Per-name ``row_number`` cannot express that.
+    A left fold over the headers carries the names already taken (starting
+    with ``reserved``); each header gets its safe form, or the first free
+    ``<safe>_2``, ``<safe>_3`` ... . A natural ``a_2`` taken earlier is
+    skipped over, so ``a, A, a_2`` becomes ``a, a_2, a_2_2``. Per-name
+    ``row_number`` cannot express that. Only the new names are returned.
     """
-    return F.aggregate(
-        _col(headers),
-        F.array().cast("array<string>"),
-        lambda taken, h: F.concat(taken, F.array(_first_free(taken, h))),
-    )
+    init = F.array(*[F.lit(r) for r in reserved]) if reserved else F.array().cast("array<string>")
+    folded = F.aggregate(_col(headers), init, lambda taken, h: F.concat(taken, F.array(_first_free(taken, h))))
+    return F.slice(folded, len(reserved) + 1, 1 << 20) if reserved else folded
 
 
 def _first_free(taken: Column, header: Column) -> Column:
@@ -49,9 +48,10 @@ def _first_free(taken: Column, header: Column) -> Column:
     def candidate(n):
         return F.when(n == 1, base).otherwise(F.concat(base, F.lit("_"), n.cast("string")))
 
-    free = F.filter(F.sequence(F.lit(1), F.size(taken) + 1),
+    free = F.filter(F.sequence(F.lit(2), F.size(taken) + 1),
                     lambda n: ~F.array_contains(taken, candidate(n)))
-    return candidate(F.element_at(free, 1))
+    # Fast path: an unused safe name needs no search.
+    return F.when(~F.array_contains(taken, base), base).otherwise(candidate(F.element_at(free, 1)))
 
 
 def study_from_table(c) -> Column:

@@ -13,6 +13,10 @@ PY_WHITESPACE_CLASS = (
     r"\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 )
 PY_STRIP_PATTERN = rf"\A[{PY_WHITESPACE_CLASS}]+|[{PY_WHITESPACE_CLASS}]+\z"
+# The same set as characters, for a set-trim (no regex engine per value).
+PY_WHITESPACE_CHARS = "".join(
+    chr(c) for c in [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                     0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
 
 
 def _col(c) -> Column:
@@ -27,7 +31,7 @@ def qcol(name: str) -> Column:
 def py_strip(c) -> Column:
     """Strip leading/trailing Unicode whitespace the way ``str.strip`` does.
     Plain SQL ``trim`` removes spaces only."""
-    return F.regexp_replace(_col(c), PY_STRIP_PATTERN, "")
+    return F.btrim(_col(c), F.lit(PY_WHITESPACE_CHARS))
 
 
 def py_strip_sql(expr: str) -> str:

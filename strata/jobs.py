@@ -70,7 +70,7 @@ def validate(spark: SparkSession, records: Mapping[str, DataFrame], dictionary:
     if typed_records is not None:
         parts.append(checks.unknown_nodes(typed_records, dictionary.nodes, validation_id=vid,
                                           schema_version=version))
-    found = checks.assemble_results(parts)
+    found = checks.assemble_results(parts).checkpoint(eager=True)  # used by results and PASS markers
     marks = checks.pass_markers(studies, found, validation_id=vid, schema_version=version)
     results = checks.assemble_results([found, marks])
     writers.append_results(results, results_path)

@@ -48,10 +48,20 @@ class GatePolicy:
         return spark.createDataFrame(rows, "validation_id string, setting string, value string")
 
 
+def keep_greatest(df: DataFrame, column: str) -> DataFrame:
+    """Rows whose ``column`` equals its maximum (A4's scalar subquery).
+
+    Written as an equi-join with the one-row max aggregate (broadcast: one
+    row by construction). A scalar-subquery filter would be pushed into every
+    branch of a union below it, each with its own copy of the subquery; the
+    join keeps one aggregate, whose input shuffle is reused."""
+    top = df.agg(F.max(column).alias("__max"))
+    return df.join(F.broadcast(top), F.col(column) == F.col("__max"), "inner").drop("__max")
+
+
 def latest_run(results: DataFrame) -> DataFrame:
-    """A4: rows of the greatest ``validation_id`` (a scalar subquery)."""
-    latest = results.select(F.max("validation_id")).scalar()
-    return results.filter(F.col("validation_id") == latest)
+    """A4: rows of the greatest ``validation_id``."""
+    return keep_greatest(results, "validation_id")
 
 
 def _like_any(c: Column, patterns: Sequence[str]) -> Column:
@@ -61,11 +71,10 @@ def _like_any(c: Column, patterns: Sequence[str]) -> Column:
     return cond
 
 
-def real_failures(results: DataFrame, policy: GatePolicy = GatePolicy()) -> DataFrame:
-    """F8: latest run, not PASS, error not matching an ignored pattern, study
-    not synthetic, node not exempt. ``coalesce`` keeps null errors and null
-    studies in play (three-valued logic would drop them)."""
-    run = latest_run(results)
+def _real(policy: GatePolicy) -> Column:
+    """F8 row predicate: not PASS, error not matching an ignored pattern,
+    study not synthetic, node not exempt. ``coalesce`` keeps null errors and
+    null studies in play (three-valued logic would drop them)."""
     cond = (F.col("validation_result") != "PASS") \
         & ~_like_any(F.coalesce(F.col("validation_error"), F.lit("")), policy.patterns) \
         & ~F.coalesce(F.col("study_id"), F.lit("")).like(policy.synthetic_pattern)
@@ -73,19 +82,40 @@ def real_failures(results: DataFrame, policy: GatePolicy = GatePolicy()) -> Data
         cond = cond & ~F.coalesce(F.col("node"), F.lit("")).isin(*policy.exempt_nodes)
     if policy.errors_only:
         cond = cond & (F.col("validation_result") == "ERROR")
-    return run.filter(cond)
+    return cond
+
+
+def real_failures(results: DataFrame, policy: GatePolicy = GatePolicy()) -> DataFrame:
+    """F8: the latest run's rows that count against the gate."""
+    return latest_run(results).filter(_real(policy))
+
+
+def _latest_of(per_run: DataFrame) -> DataFrame:
+    """Keep the rows of the greatest validation id in an already aggregated
+    per-run frame; the max reads the same aggregate, so its shuffle is
+    computed once and reused."""
+    return keep_greatest(per_run, "validation_id").drop("validation_id")
 
 
 def gate_signatures(results: DataFrame, policy: GatePolicy = GatePolicy()) -> DataFrame:
-    """A2: distinct failure signatures with their counts; empty = pass."""
-    return real_failures(results, policy).groupBy(*SIGNATURE_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
+    """A2: distinct failure signatures of the latest run with their counts;
+    empty = pass.
+
+    Rows are first aggregated per (run, signature) with a count of the rows
+    that count against the gate, so every run - including one made only of
+    PASS markers - is present, and the map-side combine shrinks a hot study
+    before the shuffle. The latest run is then picked from that aggregate."""
+    per_run = results.groupBy("validation_id", *SIGNATURE_COLUMNS) \
+        .agg(F.count(F.when(_real(policy), 1)).alias("n"))
+    return _latest_of(per_run).filter(F.col("n") > 0)
 
 
 def error_summary(results: DataFrame) -> DataFrame:
     """Count by node and error for the latest run, non-null errors,
     most frequent first."""
-    return (latest_run(results).filter(F.col("validation_error").isNotNull())
-            .groupBy("node", "validation_error").agg(F.count(F.lit(1)).alias("n"))
+    per_run = results.groupBy("validation_id", "node", "validation_error") \
+        .agg(F.count(F.when(F.col("validation_error").isNotNull(), 1)).alias("n"))
+    return (_latest_of(per_run).filter(F.col("validation_error").isNotNull())
             .orderBy(F.desc("n"), "node", "validation_error"))
 
 

@@ -78,9 +78,9 @@ def read_at(table: DataFrame, pin: int | Column, snapshot_col: str = "snapshot_i
 
 
 def read_latest(table: DataFrame, snapshot_col: str = "snapshot_id") -> DataFrame:
-    """Latest snapshot, then the table at it (scalar subquery)."""
-    latest = table.select(F.max(snapshot_col)).scalar()
-    return table.filter(F.col(snapshot_col) == latest)
+    """Latest snapshot, then the table at it."""
+    from strata.operators.gate import keep_greatest
+    return keep_greatest(table, snapshot_col)
 
 
 def read_pinned(table: DataFrame, pins: DataFrame, keys: tuple[str, ...] = (),
@@ -110,32 +110,28 @@ def import_order(spark: SparkSession, links: DataFrame, nodes: DataFrame | None
     all_nodes = all_nodes.distinct()
     edges.createOrReplaceTempView("__io_edges")
     all_nodes.createOrReplaceTempView("__io_nodes")
-    walked = spark.sql("""
-        WITH RECURSIVE walk(node, depth, path) AS (
-          SELECT n.node, 0, array(n.node)
+    # One walk from the roots carrying its path. A step onto a node already
+    # on the path closes a cycle: that row is kept (flagged) and not extended,
+    # so the walk terminates; the cycle's members are the path from the
+    # repeated node on.
+    walk = spark.sql("""
+        WITH RECURSIVE walk(node, depth, path, closed) AS (
+          SELECT n.node, 0, array(n.node), false
           FROM __io_nodes n
           WHERE NOT EXISTS (SELECT 1 FROM __io_edges e WHERE e.child = n.node AND e.parent <> n.node)
           UNION ALL
-          SELECT e.child, w.depth + 1, concat(w.path, array(e.child))
+          SELECT e.child, w.depth + 1, concat(w.path, array(e.child)), array_contains(w.path, e.child)
           FROM walk w JOIN __io_edges e ON e.parent = w.node
-          WHERE NOT array_contains(w.path, e.child)
+          WHERE NOT w.closed
         )
-        SELECT node, max(depth) AS level FROM walk GROUP BY node
+        SELECT node, depth, path, closed FROM walk
     """)
-    # A node is on a cycle when a walk from it comes back to it. The walk
-    # may step onto its own start (closing the cycle) but never continues
-    # past it, and never revisits any other node, so it terminates.
-    back = spark.sql("""
-        WITH RECURSIVE reach(src, node, path) AS (
-          SELECT e.parent, e.child, array(e.parent, e.child) FROM __io_edges e
-          UNION ALL
-          SELECT r.src, e.child, concat(r.path, array(e.child))
-          FROM reach r JOIN __io_edges e ON e.parent = r.node
-          WHERE r.node <> r.src AND (NOT array_contains(r.path, e.child) OR e.child = r.src)
-        )
-        SELECT DISTINCT src AS node FROM reach WHERE src = node
-    """)
-    cyc = back.withColumn("cycle", F.lit(True))
+    walked = walk.filter(~F.col("closed")).groupBy("node").agg(F.max("depth").alias("level"))
+    on_cycle = walk.filter("closed").select(F.explode(F.slice(
+        "path", F.array_position("path", F.col("node")).cast("int"),
+        (F.size("path") - F.array_position("path", F.col("node"))).cast("int"))).alias("node"))
+    self_loops = edges.filter(F.col("child") == F.col("parent")).select(F.col("child").alias("node"))
+    cyc = on_cycle.union(self_loops).distinct().withColumn("cycle", F.lit(True))
     levels = all_nodes.join(walked, "node", "left").join(cyc, "node", "left") \
         .withColumn("cycle", F.coalesce("cycle", F.lit(False)) | F.col("level").isNull()) \
         .withColumn("level", F.when(F.col("cycle"), F.lit(None)).otherwise(F.col("level")))

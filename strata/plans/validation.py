@@ -292,7 +292,10 @@ FROM ({_STUDIES_SQL}) s WHERE s.study_id NOT IN (SELECT study_id FROM f WHERE st
 
 
 def validation_results_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = _all_findings(spark, sf_dir)
+    # Findings feed both the results and the PASS markers' anti-join; a
+    # reliable checkpoint (shared checkpoint folder) computes them once and
+    # cuts the lineage the gate would otherwise re-plan.
+    f = _all_findings(spark, sf_dir).checkpoint(eager=True)
     marks = checks.pass_markers(_studies(spark, sf_dir), f, validation_id=VALIDATION_NEW,
                                 schema_version=SCHEMA_VERSION)
     return checks.assemble_results([f, marks])

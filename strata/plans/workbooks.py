@@ -44,7 +44,11 @@ def _workbook_group(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def customer_workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment", "c_nationkey")
-    return c.groupBy("c_nationkey", F.floor(F.col("c_custkey") / CHUNK).alias("chunk")) \
+    c = c.withColumn("chunk", F.floor(F.col("c_custkey") / CHUNK))
+    # Building workbooks is CPU work on small input: an explicit partition
+    # count keeps AQE from coalescing the groups into one task.
+    c = c.repartition(spark.sparkContext.defaultParallelism, "c_nationkey", "chunk")
+    return c.groupBy("c_nationkey", "chunk") \
         .applyInPandas(lambda pdf: _workbook_group(pdf.drop(columns=["chunk"], errors="ignore")),
                        "path string, study_id string, content binary")
 

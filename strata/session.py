@@ -47,9 +47,32 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``strata`` importable in Python workers (pandas stages unpickle
+    functions from it): zip the package once per context and ``addPyFile``
+    it, the same as ``--py-files`` would on a cluster."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="strata-pyfiles-"), "strata.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    spark.sparkContext.addPyFile(out)
+    _SHIPPED.add(app)
+
+
 def ensure_defaults(spark: SparkSession) -> SparkSession:
-    """Apply library defaults where the session has no value, and make sure a
-    checkpoint directory exists."""
+    """Apply library defaults where the session has no value, make sure a
+    checkpoint directory exists, and ship the package to Python workers."""
     for key, value in DEFAULT_CONF.items():
         try:
             if spark.conf.get(key, None) is None:
@@ -57,6 +80,7 @@ def ensure_defaults(spark: SparkSession) -> SparkSession:
         except Exception:  # static conf on a running session: leave it
             pass
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 

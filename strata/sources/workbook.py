@@ -28,6 +28,7 @@ LANDING_SCHEMA = (
     "cells map<string,string>, provenance map<string,string>, error string, severity string"
 )
 BATCH_ROWS = 10_000
+ARROW_BATCH_BYTES = 64 * 1024 * 1024
 
 
 def _scan(spark: SparkSession, root: str, prefix: str) -> DataFrame:
@@ -102,7 +103,7 @@ def read_workbooks(spark: SparkSession, root: str, prefix: str = DEFAULT_PREFIX,
     """S2-S4 (S7 with ``all_sheets``): parse every workbook under
     ``root/prefix`` into landing rows. Files are spread over ``partitions``
     tasks by path so workbooks parse in parallel, one file at a time per task
-    (Arrow batches of one input row)."""
+    (Arrow batches bounded in bytes)."""
     files = _with_study(_scan(spark, root, prefix).select("path", "content"), prefix, study)
     return land_contents(files, all_sheets, partitions)
 
@@ -113,8 +114,9 @@ def land_contents(files: DataFrame, all_sheets: bool = False, partitions: int |
     spark = files.sparkSession
     n = partitions or spark.sparkContext.defaultParallelism
     todo = files.select("path", "study_id", "content").repartition(n, "path")
-    # One workbook per Arrow batch bounds a task's memory to one file.
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    # Arrow batches close at ARROW_BATCH_BYTES, so a large workbook travels
+    # alone and small ones share a batch; a task holds about one batch.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
     return todo.mapInPandas(_parser(all_sheets), LANDING_SCHEMA)
 
 
