@@ -58,10 +58,14 @@ def ingest(spark: SparkSession, deposit_root: str, bronze_root: str, *, prefix:
 def validate(spark: SparkSession, records: Mapping[str, DataFrame], dictionary: Dictionary, *, results_path: str,
              studies: DataFrame, validation_id: str | None = None, policy: gate.GatePolicy = gate.GatePolicy(),
              schema_version: str | None = None, csv_path: str | None = None,
-             typed_records: DataFrame | None = None) -> DataFrame:
+             typed_records: DataFrame | None = None, root_node: str | None = None,
+             policy_path: str | None = None) -> DataFrame | None:
     """Silver records per node -> findings, ERROR rows, PASS markers -> one
     results append -> gate. ``typed_records`` (node, submitter_id, study_id)
-    feeds the unknown-node check. Raises :class:`GateFailed` after writing."""
+    feeds the unknown-node check. Raises :class:`GateFailed` after writing.
+    With no studies nothing is written and the gate is skipped (F11)."""
+    if studies.isEmpty():
+        return None
     vid = validation_id or ids.validation_id()
     version = schema_version or (dictionary.version.first()["schema_version"] or "")
     rules = checks.collect_rules(dictionary.rules)
@@ -70,10 +74,15 @@ def validate(spark: SparkSession, records: Mapping[str, DataFrame], dictionary:
     if typed_records is not None:
         parts.append(checks.unknown_nodes(typed_records, dictionary.nodes, validation_id=vid,
                                           schema_version=version))
+    if root_node is not None and root_node in records:
+        parts.append(checks.root_requirement(records[root_node], root_node, validation_id=vid,
+                                             schema_version=version))
     found = checks.assemble_results(parts).checkpoint(eager=True)  # used by results and PASS markers
     marks = checks.pass_markers(studies, found, validation_id=vid, schema_version=version)
     results = checks.assemble_results([found, marks])
     writers.append_results(results, results_path)
+    if policy_path:  # E1: the effective gate policy, recorded with the run
+        policy.as_frame(spark, vid).write.mode("append").parquet(policy_path)
     if csv_path:
         writers.results_csv(spark.read.parquet(results_path).filter(F.col("validation_id") == vid), csv_path)
     written = spark.read.parquet(results_path)

@@ -184,6 +184,21 @@ def additional_properties(df: DataFrame, node: str, record_json: Column, known:
         F.lit(schema_version).alias("schema_version"), "submitter_id")
 
 
+def root_requirement(df: DataFrame, root_node: str, *, validation_id: str, schema_version: str,
+                     link: str = "programs", key: str = "submitter_id", study: str = "study_id") -> DataFrame:
+    """V6: records of the root node without the ``programs`` link get the
+    root-requirement finding (ignored by the default gate policy)."""
+    present = link in df.columns
+    missing = F.col(link).isNull() if present else F.lit(True)
+    return df.filter(missing).select(
+        F.lit(validation_id).alias("validation_id"), F.lit(None).cast("bigint").alias("index"),
+        F.lit(root_node).alias("node"), F.col(study).alias("study_id"), F.lit("FAIL").alias("validation_result"),
+        F.lit(link).alias("invalid_key"), F.lit(f"{root_node}/required").alias("schema_path"),
+        F.lit("required").alias("validator"), F.lit(link).alias("validator_value"),
+        F.lit(f"'{link}' is a required property").alias("validation_error"),
+        F.lit(schema_version).alias("schema_version"), F.col(key).cast("string").alias("submitter_id"))
+
+
 def unknown_nodes(records: DataFrame, dictionary_nodes: DataFrame, *, validation_id: str,
                   schema_version: str, node: str = "node", key: str = "submitter_id",
                   study: str = "study_id") -> DataFrame:

@@ -124,6 +124,12 @@ def latest_validation_per_study(artifacts: DataFrame) -> DataFrame:
     return artifacts.groupBy("study_id").agg(F.max("validation_id").alias("validation_id"))
 
 
+def run_studies(artifacts: DataFrame, validation_id: str) -> DataFrame:
+    """The studies a dump run wrote, so the validator checks exactly
+    those (join key: study and validation id)."""
+    return artifacts.filter(F.col("validation_id") == validation_id).select("study_id").distinct()
+
+
 def gate_message(signatures: DataFrame) -> DataFrame:
     """A3: one row: number of signatures and the sorted studies involved
     (studies are few; the set is bounded by the study count)."""

@@ -67,6 +67,18 @@ def append_ledger_rows(existing: DataFrame, new_rows: DataFrame) -> DataFrame:
             .dropDuplicates(list(LEDGER_KEY)))
 
 
+def resolve_model_db(listing: DataFrame, models: DataFrame) -> DataFrame:
+    """The database holding each model, from a catalog listing
+    (``db_name, table_name``); CI databases are never chosen (F10)."""
+    real = listing.filter(not_ci("db_name")).select("db_name", F.col("table_name").alias("model_name"))
+    return models.join(real, "model_name", "left")
+
+
+def latest_snapshots(snapshots: DataFrame, table: str = "table_name", snapshot_col: str = "snapshot_id") -> DataFrame:
+    """The highest snapshot per table."""
+    return snapshots.groupBy(table).agg(F.max(snapshot_col).alias(snapshot_col))
+
+
 def read_at(table: DataFrame, pin: int | Column, snapshot_col: str = "snapshot_id",
             cumulative: bool = False) -> DataFrame:
     """The table at a pinned snapshot; never the latest. With
@@ -144,8 +156,10 @@ def upload_plan(records: DataFrame, order: DataFrame, node: str = "node",
     """Records in import order, parents first. The order frame is
     dictionary-sized and broadcast."""
     o = F.broadcast(order.select(F.col("node").alias("__n"), "level", "pos"))
-    return records.join(o, F.col(node) == F.col("__n"), "inner").drop("__n") \
-        .orderBy("pos", key)
+    j = records.join(o, F.col(node) == F.col("__n"), "inner").drop("__n")
+    # The row hash as a last sort key lets range partitioning split a key
+    # that repeats many times (equal keys are interchangeable in the plan).
+    return j.orderBy("pos", key, F.xxhash64(*j.columns))
 
 
 def select_audit(audit: DataFrame, project_id: str, version: str, api_endpoint: str) -> DataFrame:
@@ -160,6 +174,6 @@ def select_audit(audit: DataFrame, project_id: str, version: str, api_endpoint:
 def delete_plan(audit_rows: DataFrame, order: DataFrame) -> DataFrame:
     """Records to delete, children first (level descending)."""
     o = F.broadcast(order.select(F.col("node").alias("__n"), "level", "pos"))
-    return audit_rows.join(o, F.col("node") == F.col("__n"), "inner").drop("__n") \
-        .orderBy(F.desc("pos"), "gen3_guid")
+    j = audit_rows.join(o, F.col("node") == F.col("__n"), "inner").drop("__n")
+    return j.orderBy(F.desc("pos"), "gen3_guid", F.xxhash64(*j.columns))
 

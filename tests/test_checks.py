@@ -104,3 +104,25 @@ def test_error_row_and_custom_check(spark):
     with pytest.raises(ValueError):
         reg.register("validate", lambda df: df)
     assert reg.run("mine", recs).count() == 1
+
+
+def test_validate_job_writes_then_gates(spark, tmp_dir):
+    import pytest
+    from strata import jobs
+    d = dictionary_from_obj(spark, DICT)
+    recs = _records(spark)
+    studies = recs.select("study_id").distinct()
+    with pytest.raises(jobs.GateFailed) as err:
+        jobs.validate(spark, {"subject": recs}, d, results_path=tmp_dir + "/results", studies=studies,
+                      validation_id="v1", root_node="subject", policy_path=tmp_dir + "/policy",
+                      csv_path=tmp_dir + "/csv")
+    assert "st" in str(err.value)
+    written = spark.read.parquet(tmp_dir + "/results")
+    assert written.filter("validation_result = 'FAIL'").count() > 0
+    assert written.filter("invalid_key = 'programs'").count() == 3  # root requirement, ignored by the gate
+    assert spark.read.parquet(tmp_dir + "/policy").count() >= 3
+    clean = recs.filter("submitter_id = 's1'")
+    assert jobs.validate(spark, {"subject": clean}, d, results_path=tmp_dir + "/results",
+                         studies=clean.select("study_id"), validation_id="v2").count() == 0
+    empty = studies.filter("false")
+    assert jobs.validate(spark, {"subject": recs}, d, results_path=tmp_dir + "/results2", studies=empty) is None
