@@ -58,7 +58,7 @@ def split_multivalue(c) -> Column:
     return F.filter(F.transform(F.split(col, ";", -1), lambda x: py_strip(x)), lambda x: x != "")
 
 
-def gen3_record(df: DataFrame, node: str, submitter_id: Column | str, properties: Sequence[str],
+def submission_record(df: DataFrame, node: str, submitter_id: Column | str, properties: Sequence[str],
                 links: Mapping[str, Column | str] | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """Submission-shaped record ``{type, submitter_id, <props>, <link>:
     {submitter_id}}`` as a struct column ``record`` (plus ``keep`` columns)."""

@@ -66,7 +66,7 @@ TESTDATA_LINKS = (
     ("lineitem", "supplier"),
 )
 
-# The testdata dictionary (a Gen3-style JSON schema).
+# The testdata dictionary (a JSON-schema data dictionary).
 TESTDATA_DICTIONARY = {
     "_version": SCHEMA_VERSION,
     "_definitions": {

@@ -341,6 +341,6 @@ FROM events
 """)
 def gen3_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
-    rec = promote.gen3_record(e, "event", F.concat(F.lit("event_"), F.col("event_id")), ["event_type", "value"],
+    rec = promote.submission_record(e, "event", F.concat(F.lit("event_"), F.col("event_id")), ["event_type", "value"],
                               {"customers": F.concat(F.lit("customer_"), F.col("user_id"))}, keep=["event_id"])
     return rec.select("event_id", F.to_json("record").alias("record"))
