@@ -23,6 +23,9 @@ DEFAULT_CONF = {
     # inference would turn "0042" into 42.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Plans here are built from many Column expressions (compiled rules);
+    # call-site capture costs several JVM round trips per expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -50,6 +53,16 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 _SHIPPED: set[str] = set()
 
 
+def _refresh_debugging_flag() -> None:
+    """PySpark caches the call-site-capture switch per process on first
+    use; drop the cache so the session's current value applies."""
+    try:
+        import pyspark.errors.utils as eu
+        eu._enable_debugging_cache = None
+    except Exception:  # noqa: BLE001 - an older/newer layout: nothing to refresh
+        pass
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make ``strata`` importable in Python workers (pandas stages unpickle
     functions from it): zip the package once per context and ``addPyFile``
@@ -79,6 +92,7 @@ def ensure_defaults(spark: SparkSession) -> SparkSession:
                 spark.conf.set(key, value)
         except Exception:  # static conf on a running session: leave it
             pass
+    _refresh_debugging_flag()
     checkpoint_dir(spark)
     ship_package(spark)
     return spark

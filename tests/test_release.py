@@ -100,3 +100,29 @@ def test_results_sinks(spark, tmp_dir):
     writers.results_csv(res, tmp_dir + "/csv")
     assert spark.read.option("header", True).csv(tmp_dir + "/csv").first().study_id == "st"
     assert F is not None
+
+
+def test_small_release_helpers(spark):
+    from strata.functions.text import release_tag_from_git
+    from strata.operators import gate
+    df = spark.createDataFrame([("data-v0.1.0",), ("1.2",)], "t string")
+    assert [r[0] for r in df.select(release_tag_from_git("t")).collect()] == ["0.1.0", "1.2"]
+    listing = spark.createDataFrame([("ci_p_gold_db", "gold_a_x"), ("p_gold_db", "gold_a_x"), ("p_gold_db", "gold_b_y")],
+                                    "db_name string, table_name string")
+    models = spark.createDataFrame([("gold_a_x",), ("gold_c_z",)], "model_name string")
+    got = {r.model_name: r.db_name for r in release.resolve_model_db(listing, models).collect()}
+    assert got == {"gold_a_x": "p_gold_db", "gold_c_z": None}
+    snaps = spark.createDataFrame([("t1", 1), ("t1", 5), ("t2", 3)], "table_name string, snapshot_id long")
+    assert {r.table_name: r.snapshot_id for r in release.latest_snapshots(snaps).collect()} == {"t1": 5, "t2": 3}
+    arts = spark.createDataFrame([("a", "v1"), ("b", "v2"), ("a", "v2")], "study_id string, validation_id string")
+    assert sorted(r[0] for r in gate.run_studies(arts, "v2").collect()) == ["a", "b"]
+    assert {r.study_id: r.validation_id for r in gate.latest_validation_per_study(arts).collect()} == \
+        {"a": "v2", "b": "v2"}
+
+
+def test_tag_manifest_filter(spark):
+    from strata.sources.files import tagged_files
+    listing = spark.createDataFrame([("p1",), ("p2",), ("p3",)], "path string")
+    manifest = spark.createDataFrame([("p1", "ingest", "true"), ("p2", "ingest", "false"), ("p3", "other", "true")],
+                                     "path string, tag string, value string")
+    assert [r.path for r in tagged_files(listing, manifest).collect()] == ["p1"]

@@ -92,3 +92,17 @@ def test_ingest_job_writes_good_tables_then_raises(spark, deposits, tmp_dir):
     assert t.select("_src_batch_id").distinct().first()[0] == "run-1"
     u = spark.read.parquet(os.path.join(bronze_root, "bronze_unassigned_subject"))
     assert sorted(u.columns)[:2] == ["_src_batch_id", "_src_file"] and "submitter_id_2" in u.columns
+
+
+def test_all_sheets_mode_and_dry_run(spark, deposits, tmp_dir):
+    from strata.sources.workbook import read_workbooks
+    landed = read_workbooks(spark, "file://" + deposits, study="studyA", all_sheets=True) \
+        .filter(F.col("error").isNull())
+    sheets = {r.sheet for r in landed.select("sheet").distinct().collect()}
+    assert {"Subject", "_g3mt"} <= sheets  # every sheet, name kept as a column
+    data, _ = ingest_workbooks(spark, "file://" + deposits, study="unassigned")
+    from strata.operators import landing
+    cells = landing.bronze_from_cells(data, batch_id="b", ingested_at="t")
+    rep = {r.table_name: r.n_rows for r in landing.dry_run_report(cells).collect()}
+    assert rep == {"bronze_unassigned_subject": 1}
+    assert not os.path.exists(tmp_dir + "/nothing")
