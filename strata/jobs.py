@@ -15,6 +15,7 @@ from strata.functions import ids
 from strata.operators import checks, gate, landing, release
 from strata.sinks import writers
 from strata.sources.dictionary import Dictionary
+from strata.session import scratch_path
 from strata.sources.workbook import ingest_workbooks
 
 
@@ -35,12 +36,17 @@ def ingest(spark: SparkSession, deposit_root: str, bronze_root: str, *, prefix:
     batch = ids.batch_id(batch_marker)
     at = ids.ingested_at()
     data, findings = ingest_workbooks(spark, deposit_root, prefix, study)
-    # Parse once: the Python stage feeds the report, the writes and the
-    # failure list, so its output is checkpointed to the shared folder.
-    cells = landing.bronze_from_cells(data, batch_id=batch, ingested_at=at).checkpoint(eager=True)
-    cells = cells.dropDuplicates(["table_name", "row_hash"])  # W3
-    headers = {r["table_name"]: r["columns"] for r in landing.header_names_per_table(cells).collect()}
-    report = cells.groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rows"))
+    cells = landing.bronze_from_cells(data, batch_id=batch, ingested_at=at) \
+        .dropDuplicates(["table_name", "row_hash"])  # W3
+    # Parse once: the landing form is written to the shared checkpoint folder,
+    # partitioned by target table. That cuts the lineage (executor loss does
+    # not re-run the Python stage) and lets each table's append read only its
+    # own partition.
+    staging = scratch_path(spark, f"landing/{batch}")
+    cells.write.mode("overwrite").partitionBy("table_name").parquet(staging)
+    staged = spark.read.parquet(staging)
+    headers = {r["table_name"]: r["columns"] for r in landing.header_names_per_table(staged).collect()}
+    report = staged.groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rows"))
     failed = [r["file"] for r in findings.filter(F.col("severity") == "error").select("file").distinct().collect()]
     if not headers and failed:
         raise writers.PartialFailure(f"no workbook parsed successfully; {len(failed)} failed: {sorted(failed)}")
@@ -48,8 +54,8 @@ def ingest(spark: SparkSession, deposit_root: str, bronze_root: str, *, prefix:
     def write() -> None:
         if dry_run:
             return
-        for table_name in sorted(headers):  # tables are metadata-sized
-            wide = landing.widen(cells.filter(F.col("table_name") == table_name), headers[table_name])
+        for table_name in sorted(headers):  # tables are metadata-sized; each read is one partition
+            wide = landing.widen(staged.filter(F.col("table_name") == table_name), headers[table_name])
             writers.append_bronze(wide, f"{bronze_root.rstrip('/')}/{table_name}", fmt)
     writers.write_then_raise(write, failed, "workbook")
     return report
@@ -68,6 +74,20 @@ def validate(spark: SparkSession, records: Mapping[str, DataFrame], dictionary:
         return None
     vid = validation_id or ids.validation_id()
     version = schema_version or (dictionary.version.first()["schema_version"] or "")
+    broken = [r["error"] for r in dictionary.ref_errors.collect()]  # dictionary-sized
+    if broken:
+        # The schema does not resolve, so nothing can be checked. Each
+        # study gets an ERROR row; the rows are written before the job raises.
+        err = ValueError("; ".join(sorted(broken)))
+        rows = studies.select("study_id").distinct().select(
+            F.lit(vid).alias("validation_id"), F.lit(None).cast("bigint").alias("index"),
+            F.lit(None).cast("string").alias("node"), "study_id", F.lit("ERROR").alias("validation_result"),
+            *[F.lit(None).cast("string").alias(c) for c in ("invalid_key", "schema_path", "validator",
+                                                             "validator_value")],
+            F.lit(f"{type(err).__name__}: {err}").alias("validation_error"),
+            F.lit(version).alias("schema_version"), F.lit(None).cast("string").alias("submitter_id"))
+        writers.append_results(rows, results_path)
+        raise err
     rules = checks.collect_rules(dictionary.rules)
     parts = [checks.findings_for_node(df, node, rules, validation_id=vid, schema_version=version)
              for node, df in records.items()]

@@ -137,7 +137,7 @@ def import_order(spark: SparkSession, links: DataFrame, nodes: DataFrame | None
           WHERE NOT w.closed
         )
         SELECT node, depth, path, closed FROM walk
-    """)
+    """).checkpoint(eager=True)  # paths are dictionary-sized; walk once, read twice
     walked = walk.filter(~F.col("closed")).groupBy("node").agg(F.max("depth").alias("level"))
     on_cycle = walk.filter("closed").select(F.explode(F.slice(
         "path", F.array_position("path", F.col("node")).cast("int"),

@@ -13,6 +13,13 @@ DICT = {
 }
 
 
+def _good_dict():
+    import copy
+    d = copy.deepcopy(DICT)
+    del d["subject"]["properties"]["bad"]
+    return d
+
+
 def _records(spark):
     return spark.createDataFrame(
         [("s1", "st", "F", "30", "S1", "2020-01-01"), ("s2", "st", "X", "-1", "Q2", "2020-13-01"),
@@ -109,7 +116,7 @@ def test_error_row_and_custom_check(spark):
 def test_validate_job_writes_then_gates(spark, tmp_dir):
     import pytest
     from strata import jobs
-    d = dictionary_from_obj(spark, DICT)
+    d = dictionary_from_obj(spark, _good_dict())
     recs = _records(spark)
     studies = recs.select("study_id").distinct()
     with pytest.raises(jobs.GateFailed) as err:
@@ -126,3 +133,18 @@ def test_validate_job_writes_then_gates(spark, tmp_dir):
                          studies=clean.select("study_id"), validation_id="v2").count() == 0
     empty = studies.filter("false")
     assert jobs.validate(spark, {"subject": recs}, d, results_path=tmp_dir + "/results2", studies=empty) is None
+
+
+def test_validate_job_broken_ref_writes_error_rows_then_raises(spark, tmp_dir):
+    import pytest
+    from strata import jobs
+    broken = dict(DICT)
+    broken["subject"] = dict(DICT["subject"])
+    d = dictionary_from_obj(spark, broken, "bad.json")
+    recs = _records(spark)
+    with pytest.raises(ValueError) as err:
+        jobs.validate(spark, {"subject": recs}, d, results_path=tmp_dir + "/r", studies=recs.select("study_id"),
+                      validation_id="v9")
+    assert "#/_definitions/missing" in str(err.value) and "bad.json" in str(err.value)
+    rows = spark.read.parquet(tmp_dir + "/r").collect()
+    assert sorted(r.study_id for r in rows) == ["st", "st2"] and all(r.validation_result == "ERROR" for r in rows)
