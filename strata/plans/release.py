@@ -115,28 +115,31 @@ def upload_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- ledger --------------------------------------------------------------------------------
-# Nations are models. The ledger already holds release 1.0.0 for every nation
-# and 1.1.0 for region 0; the push writes 1.1.0 for every nation to the real
-# and the CI gold database. Only the missing real rows are appended.
-
-_LEDGER_SQL = """
-SELECT '1.0.0' AS release_tag, 'proj_gold_db' AS db_name,
-       'gold_r' || CAST(n_regionkey AS VARCHAR) || '_nation' || CAST(n_nationkey AS VARCHAR) AS model_name,
-       CAST(1000 + n_nationkey AS BIGINT) AS snapshot_id, 'abc123' AS github_sha FROM nation
+# Parts are gold models (one per part). The ledger already holds release
+# 1.0.0 for every part and 1.1.0 for the SMALL parts (an earlier, partial
+# push); the push writes 1.1.0 for every part to the real and the CI gold
+# database. Only the missing real rows are appended.
+
+_MODEL_SQL = ("'gold_' || lower(regexp_replace(p_brand, '[^A-Za-z0-9]', '', 'g')) || '_part' || "
+              "CAST(p_partkey AS VARCHAR)")
+_LEDGER_SQL = f"""
+SELECT '1.0.0' AS release_tag, 'proj_gold_db' AS db_name, {_MODEL_SQL} AS model_name,
+       CAST(1000 + p_partkey AS BIGINT) AS snapshot_id, 'abc123' AS github_sha FROM part
 UNION ALL
-SELECT '1.1.0', 'proj_gold_db', 'gold_r' || CAST(n_regionkey AS VARCHAR) || '_nation' || CAST(n_nationkey AS VARCHAR),
-       CAST(1000 + n_nationkey AS BIGINT), 'abc123' FROM nation WHERE n_regionkey = 0
+SELECT '1.1.0', 'proj_gold_db', {_MODEL_SQL}, CAST(1000 + p_partkey AS BIGINT), 'abc123' FROM part
+WHERE p_type = 'SMALL'
 """
-_PUSH_SQL = """
-SELECT '1.1.0' AS release_tag, d.db_name,
-       'gold_r' || CAST(n_regionkey AS VARCHAR) || '_nation' || CAST(n_nationkey AS VARCHAR) AS model_name,
-       CAST(2000 + n_nationkey AS BIGINT) AS snapshot_id, 'def456' AS github_sha
-FROM nation, (VALUES ('proj_gold_db'), ('ci_proj_gold_db')) d(db_name)
+_PUSH_SQL = f"""
+SELECT '1.1.0' AS release_tag, 'proj_gold_db' AS db_name, {_MODEL_SQL} AS model_name,
+       CAST(2000 + p_partkey AS BIGINT) AS snapshot_id, 'def456' AS github_sha FROM part
+UNION ALL
+SELECT '1.1.0', 'ci_proj_gold_db', {_MODEL_SQL}, CAST(2000 + p_partkey AS BIGINT), 'def456' FROM part
 """
 
 
 def _model_name():
-    return F.concat(F.lit("gold_r"), F.col("n_regionkey"), F.lit("_nation"), F.col("n_nationkey"))
+    return F.concat(F.lit("gold_"), F.lower(F.regexp_replace("p_brand", "[^A-Za-z0-9]", "")), F.lit("_part"),
+                    F.col("p_partkey"))
 
 
 @query("ledger_idempotent", f"""
@@ -147,18 +150,17 @@ WHERE NOT starts_with(db_name, 'ci_')
                   AND l.model_name = p.model_name)
 """)
 def ledger_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = table(spark, sf_dir, "nation")
-    existing = n.select(F.lit("1.0.0").alias("release_tag"), F.lit("proj_gold_db").alias("db_name"),
-                        _model_name().alias("model_name"), (F.col("n_nationkey") + 1000).cast("bigint").alias("snapshot_id"),
-                        F.lit("abc123").alias("github_sha")) \
-        .unionByName(n.filter("n_regionkey = 0").select(
-            F.lit("1.1.0").alias("release_tag"), F.lit("proj_gold_db").alias("db_name"), _model_name().alias("model_name"),
-            (F.col("n_nationkey") + 1000).cast("bigint").alias("snapshot_id"), F.lit("abc123").alias("github_sha")))
-    def pushed(db):
-        return n.select(F.lit("1.1.0").alias("release_tag"), F.lit(db).alias("db_name"), _model_name().alias("model_name"),
-                        (F.col("n_nationkey") + 2000).cast("bigint").alias("snapshot_id"),
-                        F.lit("def456").alias("github_sha"))
-    push = pushed("proj_gold_db").unionByName(pushed("ci_proj_gold_db"))
+    p = table(spark, sf_dir, "part")
+
+    def rows(parts, tag, db, base, sha):
+        return parts.select(F.lit(tag).alias("release_tag"), F.lit(db).alias("db_name"),
+                            _model_name().alias("model_name"),
+                            (F.col("p_partkey") + base).cast("bigint").alias("snapshot_id"),
+                            F.lit(sha).alias("github_sha"))
+    existing = rows(p, "1.0.0", "proj_gold_db", 1000, "abc123").unionByName(
+        rows(p.filter(F.col("p_type") == "SMALL"), "1.1.0", "proj_gold_db", 1000, "abc123"))
+    push = rows(p, "1.1.0", "proj_gold_db", 2000, "def456").unionByName(
+        rows(p, "1.1.0", "ci_proj_gold_db", 2000, "def456"))
     return release.append_ledger_rows(existing, push)
 
 
