@@ -113,9 +113,3 @@ def release_path(tag, study, table) -> Column:
     """``release_jsons/v<tag>/<study>/<table>.json``."""
     return F.concat_ws("/", F.lit("release_jsons"), F.concat(F.lit("v"), _col(tag)),
                        _col(study), F.concat(_col(table), F.lit(".json")))
-
-
-def layer_table_name(layer: str, study, node) -> Column:
-    """``<layer>_<study>_<node>`` with the study made engine-safe (the raw id
-    stays in ``_src_study_id``)."""
-    return F.concat_ws("_", F.lit(layer), safe_name(_col(study)), _col(node))

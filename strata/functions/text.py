@@ -34,11 +34,6 @@ def py_strip(c) -> Column:
     return F.btrim(_col(c), F.lit(PY_WHITESPACE_CHARS))
 
 
-def py_strip_sql(expr: str) -> str:
-    """Same as :func:`py_strip`, as a SQL fragment (for higher-order lambdas)."""
-    return f"regexp_replace({expr}, '{_sql_escape(PY_STRIP_PATTERN)}', '')"
-
-
 def is_blank(c) -> Column:
     """True when a value is null or only whitespace."""
     return F.coalesce(py_strip(c) == F.lit(""), F.lit(True))
@@ -64,7 +59,3 @@ def exception_text(type_name, message) -> Column:
 def release_tag_from_git(c) -> Column:
     """Git tag ``data-v0.1.0`` is stored as ``0.1.0``."""
     return F.regexp_replace(_col(c), r"^data-v", "")
-
-
-def _sql_escape(s: str) -> str:
-    return s.replace("\\", "\\\\").replace("'", "\\'")

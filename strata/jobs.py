@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions import ids
+from strata.functions.text import exception_text
 from strata.operators import checks, gate, landing, release
 from strata.sinks import writers
 from strata.sources.dictionary import Dictionary
@@ -84,7 +85,7 @@ def validate(spark: SparkSession, records: Mapping[str, DataFrame], dictionary:
             F.lit(None).cast("string").alias("node"), "study_id", F.lit("ERROR").alias("validation_result"),
             *[F.lit(None).cast("string").alias(c) for c in ("invalid_key", "schema_path", "validator",
                                                              "validator_value")],
-            F.lit(f"{type(err).__name__}: {err}").alias("validation_error"),
+            exception_text(F.lit(type(err).__name__), F.lit(str(err))).alias("validation_error"),
             F.lit(version).alias("schema_version"), F.lit(None).cast("string").alias("submitter_id"))
         writers.append_results(rows, results_path)
         raise err
