@@ -21,14 +21,23 @@ DUMP_KEYS = ("study_id", "validation_id", "table_name", "snapshot_id")
 EXPORT_KEYS = ("release_dir", "study_id", "write_table")
 
 
+def _replace_own_partitions(df: DataFrame, path: str, fmt: str, *partitions: str) -> None:
+    """Write ``df`` replacing only the partitions it contains. Earlier runs'
+    partitions are never touched (append-only across runs), and a retried
+    run replaces its own output instead of duplicating it."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .format(fmt).partitionBy(*partitions).save(path)
+
+
 def append_bronze(df: DataFrame, path: str, fmt: str = "parquet", table: str | None = None) -> None:
-    """Plain append, partitioned by batch; nothing is rewritten.
+    """Append partitioned by batch; earlier batches are never
+    rewritten, and re-running a batch replaces only that batch's partition.
     New columns are allowed (read back with ``mergeSchema``). With ``table``
     and an Iceberg/Delta catalog, ``writeTo(table).append()`` is used."""
     if table is not None:
         df.writeTo(table).append()
         return
-    df.write.mode("append").format(fmt).partitionBy(BRONZE_PARTITION).save(path)
+    _replace_own_partitions(df, path, fmt, BRONZE_PARTITION)
 
 
 def read_bronze(spark, path: str, fmt: str = "parquet") -> DataFrame:
@@ -41,7 +50,7 @@ def dump_json(records: DataFrame, root: str, keys: Sequence[str] = DUMP_KEYS) ->
     ``records`` carries the key columns plus the record columns."""
     rest = [c for c in records.columns if c not in keys]
     out = records.select(*keys, F.to_json(F.struct(*rest)).alias("value"))
-    out.write.mode("append").partitionBy(*keys).text(root)
+    _replace_own_partitions(out, root, "text", *keys)
 
 
 def export_release(models: DataFrame, root: str) -> None:
@@ -64,8 +73,9 @@ def write_import_order(order: DataFrame, prefixes: DataFrame, root: str) -> None
 
 
 def append_results(results: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """K6: all studies' findings in one append, partitioned by run."""
-    results.write.mode("append").format(fmt).partitionBy("validation_id").save(path)
+    """K6: all studies' findings in one write, partitioned by run; a retried
+    run replaces its own partition."""
+    _replace_own_partitions(results, path, fmt, "validation_id")
 
 
 def results_csv(results: DataFrame, path: str) -> None:
@@ -83,8 +93,8 @@ def append_ledger(existing: DataFrame, rows: DataFrame, path: str, fmt: str = "p
 
 def write_snapshot(df: DataFrame, path: str, snapshot_id: int, fmt: str = "parquet") -> None:
     """Commit a table state as snapshot partition ``snapshot_id``."""
-    df.withColumn("snapshot_id", F.lit(snapshot_id).cast("bigint")) \
-        .write.mode("append").format(fmt).partitionBy("snapshot_id").save(path)
+    _replace_own_partitions(df.withColumn("snapshot_id", F.lit(snapshot_id).cast("bigint")), path, fmt,
+                            "snapshot_id")
 
 
 class PartialFailure(RuntimeError):

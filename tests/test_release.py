@@ -95,8 +95,16 @@ def test_results_sinks(spark, tmp_dir):
     from strata.operators import checks
     res = checks.error_row(spark, "st", OSError("x"), validation_id="v1", schema_version="1")
     writers.append_results(res, tmp_dir + "/results")
-    writers.append_results(res, tmp_dir + "/results")
+    writers.append_results(res, tmp_dir + "/results")  # a retried run replaces its own partition
+    assert spark.read.parquet(tmp_dir + "/results").count() == 1
+    res2 = checks.error_row(spark, "st", OSError("y"), validation_id="v2", schema_version="1")
+    writers.append_results(res2, tmp_dir + "/results")  # a new run appends
     assert spark.read.parquet(tmp_dir + "/results").count() == 2
+    snap = spark.createDataFrame([(1,)], "k int")
+    writers.write_snapshot(snap, tmp_dir + "/snap", 7)
+    writers.write_snapshot(snap, tmp_dir + "/snap", 8)
+    writers.write_snapshot(snap, tmp_dir + "/snap", 8)
+    assert spark.read.parquet(tmp_dir + "/snap").count() == 2
     writers.results_csv(res, tmp_dir + "/csv")
     assert spark.read.option("header", True).csv(tmp_dir + "/csv").first().study_id == "st"
     assert F is not None
