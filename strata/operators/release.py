@@ -120,17 +120,19 @@ def import_order(spark: SparkSession, links: DataFrame, nodes: DataFrame | None
     if nodes is not None:
         all_nodes = all_nodes.union(nodes.select("node"))
     all_nodes = all_nodes.distinct()
+    # Roots: nodes without a parent other than themselves (an anti-join,
+    # kept outside the recursion so the anchor is a plain scan).
+    roots = all_nodes.join(edges.filter(F.col("child") != F.col("parent")),
+                           all_nodes.node == F.col("child"), "left_anti")
     edges.createOrReplaceTempView("__io_edges")
-    all_nodes.createOrReplaceTempView("__io_nodes")
+    roots.createOrReplaceTempView("__io_roots")
     # One walk from the roots carrying its path. A step onto a node already
     # on the path closes a cycle: that row is kept (flagged) and not extended,
     # so the walk terminates; the cycle's members are the path from the
     # repeated node on.
     walk = spark.sql("""
         WITH RECURSIVE walk(node, depth, path, closed) AS (
-          SELECT n.node, 0, array(n.node), false
-          FROM __io_nodes n
-          WHERE NOT EXISTS (SELECT 1 FROM __io_edges e WHERE e.child = n.node AND e.parent <> n.node)
+          SELECT node, 0, array(node), false FROM __io_roots
           UNION ALL
           SELECT e.child, w.depth + 1, concat(w.path, array(e.child)), array_contains(w.path, e.child)
           FROM walk w JOIN __io_edges e ON e.parent = w.node
