@@ -151,6 +151,80 @@ def findings_for_node(df: DataFrame, node: str, rules: Iterable[Rule], *,
     )
 
 
+def to_long(df: DataFrame, node: str, properties: Sequence[str], key: str = "submitter_id",
+            study: str = "study_id") -> DataFrame:
+    """Records -> (node, study_id, submitter_id, property, value) with every
+    value as text; nulls are kept so ``required`` sees them."""
+    wide = df.select(F.col(key).cast("string").alias("__key"), F.col(study).alias("__study"),
+                     *[qcol(p).cast("string").alias(p) for p in properties])
+    long = wide.unpivot(["__key", "__study"], list(properties), "property", "value")
+    return long.select(F.lit(node).alias("node"), F.col("__study").alias("study_id"),
+                       F.col("__key").alias("submitter_id"), "property", "value")
+
+
+def findings_long(long: DataFrame, rules: DataFrame, *, validation_id: str, schema_version: str) -> DataFrame:
+    """Rules joined to property values, for records whose properties are
+    only known at run time (long form: node, study_id, submitter_id, property,
+    value). The rules frame is the dictionary's (document-sized) and is
+    broadcast; a record contributes one row per property, so this is the
+    fallback to the per-node compiled select.
+
+    ``required`` is checked against the record's present, non-null properties
+    with an anti-join, so a property missing from the record entirely fails
+    too."""
+    r = F.broadcast(rules.select("node", "property", "validator", F.col("value").alias("rule_value"),
+                                 "schema_path"))
+    v = F.col("value")
+    rv = F.col("rule_value")
+    t = F.col("validator")
+    enum_vals = F.from_json(rv, "array<string>")
+    enum_list = F.concat(F.lit("["), F.array_join(F.transform(enum_vals, lambda x: F.concat(F.lit("'"), x,
+                                                                                             F.lit("'"))), ", "),
+                         F.lit("]"))
+    num = v.try_cast("decimal(38,10)")
+    bound = rv.try_cast("decimal(38,10)")
+    type_ok = (F.when(rv == "number", v.try_cast("double").isNotNull())
+               .when(rv == "integer", v.try_cast("bigint").isNotNull())
+               .when(rv == "boolean", F.lower(v).isin("true", "false"))
+               .otherwise(F.lit(True)))
+    fmt_ok = F.when(rv == "date", F.try_to_timestamp(v, F.lit("yyyy-MM-dd")).isNotNull() & (F.length(v) == 10)) \
+        .otherwise(F.try_to_timestamp(v).isNotNull())
+    items = F.size(F.filter(F.split(v, ";", -1), lambda x: F.trim(x) != ""))
+    q = F.lit("'")
+    fails = (F.when(t == "enum", v.isNotNull() & ~F.array_contains(enum_vals, v))
+             .when(t == "minimum", v.isNotNull() & (num < bound))
+             .when(t == "maximum", v.isNotNull() & (num > bound))
+             .when(t == "pattern", v.isNotNull() & ~F.rlike(v, rv))
+             .when(t == "type", v.isNull() | ~type_ok)
+             .when(t == "format", v.isNotNull() & ~fmt_ok)
+             .when(t == "minItems", v.isNotNull() & (items < rv.cast("int")))
+             .otherwise(F.lit(False)))
+    message = (F.when(t == "enum", F.concat(q, v, q, F.lit(" is not one of "), enum_list))
+               .when(t == "minimum", F.concat(F.coalesce(v, F.lit("None")), F.lit(" is less than the minimum of "), rv))
+               .when(t == "maximum", F.concat(F.coalesce(v, F.lit("None")), F.lit(" is greater than the maximum of "),
+                                             rv))
+               .when(t == "pattern", F.concat(q, v, q, F.lit(" does not match "), q, rv, q))
+               .when((t == "type") & v.isNull(), F.concat(F.lit("None is not of type "), q, rv, q))
+               .when(t == "type", F.concat(q, v, q, F.lit(" is not of type "), q, rv, q))
+               .when(t == "format", F.concat(q, v, q, F.lit(" is not a "), q, rv, q))
+               .when(t == "minItems", F.concat(F.coalesce(v, F.lit("None")), F.lit(" is too short"))))
+    valued = long.join(r.filter(t != "required"), ["node", "property"], "inner").filter(fails)
+    out_cols = [F.lit(validation_id).alias("validation_id"), F.lit(None).cast("bigint").alias("index"), "node",
+                "study_id", F.lit("FAIL").alias("validation_result"), F.col("property").alias("invalid_key"),
+                "schema_path", "validator"]
+    valued = valued.select(*out_cols, F.col("rule_value").alias("validator_value"),
+                           message.alias("validation_error"), F.lit(schema_version).alias("schema_version"),
+                           "submitter_id")
+    records = long.select("node", "study_id", "submitter_id").distinct()
+    required = records.join(r.filter(t == "required"), "node", "inner")
+    present = long.filter(v.isNotNull()).select("node", "submitter_id", "property")
+    missing = required.join(present, ["node", "submitter_id", "property"], "left_anti")
+    missing = missing.select(*out_cols, F.col("property").alias("validator_value"),
+                             F.concat(q, F.col("property"), F.lit("' is a required property")).alias("validation_error"),
+                             F.lit(schema_version).alias("schema_version"), "submitter_id")
+    return valued.unionByName(missing)
+
+
 def enum_violations(df: DataFrame, rule: Rule, allowed: DataFrame, *, validation_id: str,
                     schema_version: str, key: str = "submitter_id", study: str = "study_id") -> DataFrame:
     """V3 for long enums: anti-join against the allowed values (a one-column

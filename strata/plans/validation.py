@@ -174,6 +174,25 @@ for _name, _validators in (("check_required", ("required",)), ("check_enum", ("e
     query(_name, findings_sql(validators=_validators))(_make(_validators))
 
 
+# --- check_long_form ---------------------------------------------------------------
+# The same dictionary checks through the long-form path (J5): customer and
+# orders records unpivoted to (property, value) text and joined to the rules.
+# Its oracle is the compiled path's SQL, so the two implementations agree.
+
+_LONG_PROPS = {"customer": ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+               "orders": ["o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]}
+
+
+@query("check_long_form", findings_sql(nodes=("customer", "orders")))
+def check_long_form(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = testdata_dictionary(spark)
+    long = None
+    for node, props in _LONG_PROPS.items():
+        part = checks.to_long(node_records(spark, sf_dir, node), node, ["submitter_id", *props])
+        long = part if long is None else long.unionByName(part)
+    return checks.findings_long(long, d.rules, validation_id=VALIDATION_NEW, schema_version=SCHEMA_VERSION)
+
+
 # --- check_additional_keys ----------------------------------------------------------
 # An event's record is {type, submitter_id, event_type, k}; the dictionary
 # knows ``k`` for event-type nodes, so ``event_type`` is an additional key.

@@ -148,3 +148,15 @@ def test_validate_job_broken_ref_writes_error_rows_then_raises(spark, tmp_dir):
     assert "#/_definitions/missing" in str(err.value) and "bad.json" in str(err.value)
     rows = spark.read.parquet(tmp_dir + "/r").collect()
     assert sorted(r.study_id for r in rows) == ["st", "st2"] and all(r.validation_result == "ERROR" for r in rows)
+
+
+def test_long_form_matches_compiled_checks(spark):
+    d = dictionary_from_obj(spark, _good_dict())
+    rules = checks.collect_rules(d.rules)
+    recs = _records(spark)
+    compiled = checks.findings_for_node(recs, "subject", rules, validation_id="v", schema_version="1")
+    long = checks.to_long(recs, "subject", ["submitter_id", "sex", "age", "code", "dob"])
+    via_long = checks.findings_long(long, d.rules, validation_id="v", schema_version="1")
+    def key(df):
+        return sorted(tuple(r) for r in df.select(*checks.RESULT_COLUMNS).collect())
+    assert key(compiled) == key(via_long)
