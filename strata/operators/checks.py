@@ -215,10 +215,18 @@ def findings_long(long: DataFrame, rules: DataFrame, *, validation_id: str, sche
     valued = valued.select(*out_cols, F.col("rule_value").alias("validator_value"),
                            message.alias("validation_error"), F.lit(schema_version).alias("schema_version"),
                            "submitter_id")
-    records = long.select("node", "study_id", "submitter_id").distinct()
-    required = records.join(r.filter(t == "required"), "node", "inner")
-    present = long.filter(v.isNotNull()).select("node", "submitter_id", "property")
-    missing = required.join(present, ["node", "submitter_id", "property"], "left_anti")
+    # Present properties per record (one aggregation, bounded by the
+    # record's width) against the node's required list (dictionary-sized,
+    # broadcast); what is required and not present is a finding.
+    present = long.groupBy("node", "study_id", "submitter_id") \
+        .agg(F.collect_set(F.when(v.isNotNull(), F.col("property"))).alias("__present"))
+    req = F.broadcast(rules.filter(F.col("validator") == "required").groupBy("node")
+                      .agg(F.collect_list(F.struct("property", "schema_path")).alias("__req")))
+    missing = present.join(req, "node", "inner") \
+        .select("node", "study_id", "submitter_id", F.explode(F.filter(
+            "__req", lambda x: ~F.array_contains(F.col("__present"), x["property"]))).alias("__m")) \
+        .select("node", "study_id", "submitter_id", F.col("__m.property").alias("property"),
+                F.col("__m.schema_path").alias("schema_path"), F.lit("required").alias("validator"))
     missing = missing.select(*out_cols, F.col("property").alias("validator_value"),
                              F.concat(q, F.col("property"), F.lit("' is a required property")).alias("validation_error"),
                              F.lit(schema_version).alias("schema_version"), "submitter_id")
