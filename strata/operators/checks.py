@@ -49,8 +49,8 @@ class Rule:
 
 def collect_rules(rules: DataFrame) -> list[Rule]:
     """The dictionary's rules, collected (metadata-sized)."""
-    return [Rule(r.node, r.property, r.validator, r.value, r.schema_path)
-            for r in rules.orderBy("node", "property", "validator").collect()]
+    got = [Rule(r.node, r.property, r.validator, r.value, r.schema_path) for r in rules.collect()]
+    return sorted(got, key=lambda r: (r.node, r.property, r.validator))
 
 
 def _py_repr_list(values: Sequence[str]) -> str:

@@ -13,7 +13,8 @@ The dictionary is one JSON document (metadata-sized):
 It is parsed with Spark's JSON functions into three DataFrames: ``rules``
 (node, property, validator, value, schema_path), ``links`` (child, parent,
 name, required) and ``ref_errors`` (V7: unresolved ``$ref`` naming ref and
-file). ``$ref`` properties are resolved by a join against the definitions.
+file). ``$ref`` properties are resolved by a lookup in the definitions map,
+so the whole parse is one narrow pipeline.
 """
 
 from __future__ import annotations
@@ -47,29 +48,33 @@ class Dictionary:
 
 
 def _from_text(raw: DataFrame, source: str) -> Dictionary:
+    # One narrow pipeline, no shuffle: the definitions travel with each node
+    # as a map column and ``$ref`` is resolved by a map lookup.
     top = raw.select(F.from_json("value", "map<string,string>").alias("top"))
-    entries = top.select(F.explode("top").alias("key", "raw"))
     version = top.select(F.col("top")["_version"].alias("schema_version"))
-    definitions = (top.select(F.explode(F.from_json(F.col("top")["_definitions"],
-                                                    f"map<string,{PROPERTY_SCHEMA}>")).alias("def_name", "def")))
-    nodes = (entries.filter(~F.col("key").startswith("_"))
-             .select(F.col("key").alias("node"), F.from_json("raw", NODE_SCHEMA).alias("spec")))
-    props = nodes.select("node", F.explode("spec.properties").alias("property", "schema"))
-    props = props.withColumn("ref_name", F.regexp_extract(F.col("schema")["$ref"], REF_PATTERN, 1))
-    resolved = props.join(definitions, F.col("ref_name") == F.col("def_name"), "left")
-    ref_errors = (resolved.filter(F.col("schema")["$ref"].isNotNull() & F.col("def_name").isNull())
-                  .select("node", "property", F.col("schema")["$ref"].alias("ref"),
+    with_defs = top.select(
+        F.coalesce(F.from_json(F.col("top")["_definitions"], f"map<string,{PROPERTY_SCHEMA}>"),
+                   F.create_map().cast(f"map<string,{PROPERTY_SCHEMA}>")).alias("defs"),
+        F.explode("top").alias("key", "raw"))
+    nodes = (with_defs.filter(~F.col("key").startswith("_"))
+             .select(F.col("key").alias("node"), "defs", F.from_json("raw", NODE_SCHEMA).alias("spec")))
+    props = nodes.select("node", "defs", F.explode("spec.properties").alias("property", "schema"))
+    ref = F.col("schema")["$ref"]
+    resolved = props.select("node", "property", "schema", ref.alias("ref"),
+                            F.element_at("defs", F.regexp_extract(ref, REF_PATTERN, 1)).alias("def"))
+    ref_errors = (resolved.filter(F.col("ref").isNotNull() & F.col("def").isNull())
+                  .select("node", "property", "ref",
                           F.format_string("unresolved $ref '%s' in %s (node '%s', property '%s')",
-                                          F.col("schema")["$ref"], F.lit(source), F.col("node"),
+                                          F.col("ref"), F.lit(source), F.col("node"),
                                           F.col("property")).alias("error")))
 
     def pick(field):
         # Local keyword wins over the referenced definition.
         own = F.col("schema")[field]
-        ref = F.col("def")[field]
+        ref_val = F.col("def")[field]
         if field == "enum":
-            return F.when(own.isNotNull(), F.to_json(own)).otherwise(F.to_json(ref))
-        return F.coalesce(own, ref)
+            return F.when(own.isNotNull(), F.to_json(own)).otherwise(F.to_json(ref_val))
+        return F.coalesce(own, ref_val)
 
     per_validator = resolved.select(
         "node", "property",
