@@ -65,10 +65,12 @@ def _refresh_debugging_flag() -> None:
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``strata`` importable in Python workers (pandas stages unpickle
-    functions from it): zip the package once per context and ``addPyFile``
-    it, the same as ``--py-files`` would on a cluster."""
+    functions from it) in local mode, where workers share the driver's
+    machine: zip the package once per context and ``addPyFile`` it. On a
+    cluster the package is installed on the executors or passed with
+    ``--py-files``; nothing is written to a machine-local folder there."""
     app = spark.sparkContext.applicationId
-    if app in _SHIPPED:
+    if app in _SHIPPED or not spark.sparkContext.master.startswith("local"):
         return
     import zipfile
     pkg = os.path.dirname(os.path.abspath(__file__))
