@@ -132,7 +132,7 @@ def export_release(spark: SparkSession, ledger: DataFrame, read_model: Callable[
         cols = [c for c in t.columns if c != "snapshot_id"]
         frames.append(t.select(F.lit(r["release_dir"]).alias("release_dir"), F.lit(r["study_id"]).alias("study_id"),
                                F.lit(r["write_table"]).alias("write_table"),
-                               F.to_json(F.struct(*cols)).alias("record")))
+                               F.to_json(F.struct(*cols), writers.KEEP_NULLS).alias("record")))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)

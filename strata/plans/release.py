@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from strata.functions.naming import release_path
 from strata.functions.text import PY_STRIP_PATTERN
 from strata.operators import audit, release
+from strata.sinks.writers import KEEP_NULLS
 from strata.plans.common import TESTDATA_LINKS, customer_records, node_keys, order_records, query, table
 from strata.sources.dictionary import links_frame
 
@@ -342,4 +343,4 @@ def release_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = customer_records(spark, sf_dir)
     j = c.join(models.select("study_id", "write_table", "release_tag"), "study_id")
     return j.select(release_path("release_tag", "study_id", "write_table").alias("path"),
-                    F.to_json(F.struct("submitter_id", "c_name", "c_mktsegment", "c_acctbal")).alias("record"))
+                    F.to_json(F.struct("submitter_id", "c_name", "c_mktsegment", "c_acctbal"), KEEP_NULLS).alias("record"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from strata.functions.naming import is_workbook, parse_model_name, study_from_path, study_from_table
 from strata.functions.text import PY_STRIP_PATTERN, py_strip
 from strata.operators import promote, tables
+from strata.sinks.writers import KEEP_NULLS
 from strata.plans.common import TESTDATA_LINKS, query, table
 
 # --- study_from_path -----------------------------------------------------------
@@ -343,4 +344,4 @@ def gen3_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     rec = promote.submission_record(e, "event", F.concat(F.lit("event_"), F.col("event_id")), ["event_type", "value"],
                               {"customers": F.concat(F.lit("customer_"), F.col("user_id"))}, keep=["event_id"])
-    return rec.select("event_id", F.to_json("record").alias("record"))
+    return rec.select("event_id", F.to_json("record", KEEP_NULLS).alias("record"))

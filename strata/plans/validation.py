@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import checks, gate, landing, promote
+from strata.sinks.writers import KEEP_NULLS
 from strata.plans.common import (BATCH_A, BATCH_B, INGESTED_A, INGESTED_B, PROVENANCE, SCHEMA_VERSION,
                                  TESTDATA_DICTIONARY, VALIDATION_NEW, VALIDATION_OLD, conversation_records,
                                  customer_records, document_records, event_records, nation_studies, order_records,
@@ -221,7 +222,7 @@ def check_additional_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _additional(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = event_records(spark, sf_dir)
     rec = F.to_json(F.struct(F.col("event_type").alias("type"), "submitter_id", "event_type",
-                             F.col("k").cast("bigint").alias("k")))
+                             F.col("k").cast("bigint").alias("k")), KEEP_NULLS)
     return checks.additional_properties(e, "event", rec, _EVENT_KNOWN, validation_id=VALIDATION_NEW,
                                         schema_version=SCHEMA_VERSION)
 

@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from strata.operators.release import append_ledger_rows, not_ci
 
 BRONZE_PARTITION = "_src_batch_id"
+# JSON records keep null fields (``"x": null``): a null in a dumped record is
+# what the dictionary's type checks report as a null-typed field.
+KEEP_NULLS = {"ignoreNullFields": "false"}
 DUMP_KEYS = ("study_id", "validation_id", "table_name", "snapshot_id")
 EXPORT_KEYS = ("release_dir", "study_id", "write_table")
 
@@ -49,7 +52,7 @@ def dump_json(records: DataFrame, root: str, keys: Sequence[str] = DUMP_KEYS) ->
     """K3: one JSON line per record under ``<key>=<value>/...`` directories.
     ``records`` carries the key columns plus the record columns."""
     rest = [c for c in records.columns if c not in keys]
-    out = records.select(*keys, F.to_json(F.struct(*rest)).alias("value"))
+    out = records.select(*keys, F.to_json(F.struct(*rest), KEEP_NULLS).alias("value"))
     _replace_own_partitions(out, root, "text", *keys)
 
 

@@ -134,3 +134,11 @@ def test_tag_manifest_filter(spark):
     manifest = spark.createDataFrame([("p1", "ingest", "true"), ("p2", "ingest", "false"), ("p3", "other", "true")],
                                      "path string, tag string, value string")
     assert [r.path for r in tagged_files(listing, manifest).collect()] == ["p1"]
+
+
+def test_dump_keeps_null_fields(spark, tmp_dir):
+    recs = spark.createDataFrame([("a", "1", "t", "1", "s1", None)],
+                                 "study_id string, validation_id string, table_name string, snapshot_id string, "
+                                 "submitter_id string, age int")
+    writers.dump_json(recs, "file://" + tmp_dir + "/v")
+    assert spark.read.text(tmp_dir + "/v").first().value == '{"submitter_id":"s1","age":null}'
