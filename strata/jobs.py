@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions import ids
@@ -120,7 +120,11 @@ def export_release(spark: SparkSession, ledger: DataFrame, read_model: Callable[
     """Latest (or given) release -> every gold model at its pinned snapshot
     -> JSON lines per ``v<tag>/<study>/<table>`` plus the import order per
     study prefix. ``read_model(db, model)`` returns the model's table with a
-    ``snapshot_id`` column. Returns the exported model list."""
+    ``snapshot_id`` column. Returns the exported model list.
+
+    Rows per model are counted while the export is written (``observe``, no
+    second pass); a model whose pinned snapshot yields no rows (an expired
+    or unknown pin) fails the job after the others are written, by name."""
     chosen = release.latest_release(ledger, tag)
     models = release.export_models(release.release_rows(ledger, chosen)).filter(F.col("finding").isNull())
     rows = models.select("db_name", "model_name", "snapshot_id", "study_id", "write_table", "release_dir").collect()
@@ -136,7 +140,18 @@ def export_release(spark: SparkSession, ledger: DataFrame, read_model: Callable[
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
+    seen = Observation("release_export")
+    out = out.observe(seen, *[
+        F.sum(F.when((F.col("study_id") == r["study_id"]) & (F.col("write_table") == r["write_table"]), 1)
+              .otherwise(0)).alias(f"m{i}") for i, r in enumerate(rows)])
+
     writers.export_release(out, f"{out_root.rstrip('/')}/release_jsons")
     writers.write_import_order(order, models.select("study_id"),
                                f"{out_root.rstrip('/')}/release_import_order")
+    metrics = seen.get
+    empty = [f"{r['db_name']}.{r['model_name']}@{r['snapshot_id']}" for i, r in enumerate(rows)
+             if not metrics.get(f"m{i}")]
+    if empty:
+        raise writers.PartialFailure(f"{len(empty)} model(s) exported no rows at their pinned snapshot: "
+                                     f"{sorted(empty)}")
     return models

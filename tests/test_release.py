@@ -142,3 +142,16 @@ def test_dump_keeps_null_fields(spark, tmp_dir):
                                  "submitter_id string, age int")
     writers.dump_json(recs, "file://" + tmp_dir + "/v")
     assert spark.read.text(tmp_dir + "/v").first().value == '{"submitter_id":"s1","age":null}'
+
+
+def test_export_release_names_models_with_an_empty_pin(spark, tmp_dir):
+    import pytest
+    led = _ledger(spark, [("2.0", "p_gold_db", "gold_a_subject", 2, "s"),
+                          ("2.0", "p_gold_db", "gold_a_sample", 99, "s")])
+    table = spark.createDataFrame([("s1", 1), ("s2", 2)], "submitter_id string, snapshot_id long")
+    order = release.import_order(spark, links_frame(spark, [("sample", "subject")]))
+    with pytest.raises(writers.PartialFailure) as err:
+        jobs.export_release(spark, led, lambda db, m: table, "file://" + tmp_dir, order)
+    assert "gold_a_sample@99" in str(err.value) and "gold_a_subject" not in str(err.value)
+    out = spark.read.text(os.path.join(tmp_dir, "release_jsons")).collect()
+    assert [(r.write_table, r.value) for r in out] == [("subject", '{"submitter_id":"s2"}')]
