@@ -127,14 +127,16 @@ def export_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower(F.regexp_replace("p_brand", "[^A-Za-z0-9]", "")).alias("b"),
         F.regexp_replace("p_name", " ", "_").alias("n"), "p_type")
 
+    b, n = F.col("b"), F.col("n")
+
     def name(*parts):
-        return F.concat(*[F.lit(x) if isinstance(x, str) and not x in ("b", "n") else F.col(x) for x in parts])
-    names = (p.select(name("silver_", "b", "_", "n").alias("table_name"))
-             .union(p.filter("p_type = 'ECONOMY'").select(name("silver_", "b", "_", "n", "_dbt_tmp")))
-             .union(p.filter("p_type = 'SMALL'").select(name("silver_", "b", "_lookup_", "n")))
-             .union(p.filter("p_type = 'LARGE'").select(name("silver_", "b", "_", "n", "_rm_null")))
-             .union(p.filter("p_type = 'PROMO'").select(name("silver_", "b", "_latest_ingest")))
-             .union(p.filter("p_type = 'MEDIUM'").select(name("bronze_", "b", "_", "n"))))
+        return F.concat(*[x if not isinstance(x, str) else F.lit(x) for x in parts]).alias("table_name")
+    names = (p.select(name("silver_", b, "_", n))
+             .union(p.filter("p_type = 'ECONOMY'").select(name("silver_", b, "_", n, "_dbt_tmp")))
+             .union(p.filter("p_type = 'SMALL'").select(name("silver_", b, "_lookup_", n)))
+             .union(p.filter("p_type = 'LARGE'").select(name("silver_", b, "_", n, "_rm_null")))
+             .union(p.filter("p_type = 'PROMO'").select(name("silver_", b, "_latest_ingest")))
+             .union(p.filter("p_type = 'MEDIUM'").select(name("bronze_", b, "_", n))))
     kept = tables.export_candidates(names, tables.parse_exclude_list(spark, EXCLUDE_TABLES))
     return kept.select("table_name", study_from_table("table_name").alias("study_id")).distinct()
 
