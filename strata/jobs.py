@@ -37,31 +37,47 @@ def ingest(spark: SparkSession, deposit_root: str, bronze_root: str, *, prefix:
     batch = ids.batch_id(batch_marker)
     at = ids.ingested_at()
     data, findings = ingest_workbooks(spark, deposit_root, prefix, study)
-    cells = landing.bronze_from_cells(data, batch_id=batch, ingested_at=at) \
-        .dropDuplicates(["table_name", "row_hash"])  # W3
-    # Parse once: the landing form is written to the shared checkpoint folder,
-    # partitioned by target table. That cuts the lineage (executor loss does
-    # not re-run the Python stage) and lets each table's append read only its
-    # own partition.
-    staging = scratch_path(spark, f"landing/{batch}")
-    cells.write.mode("overwrite").partitionBy("table_name").parquet(staging)
-    staged = spark.read.parquet(staging)
-    headers = {r["table_name"]: r["columns"] for r in landing.header_names_per_table(staged).collect()}
+    cells = landing.bronze_from_cells(data, batch_id=batch, ingested_at=at)
+    staged, headers = stage_landing(spark, cells, batch)
     report = staged.groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rows"))
     failed = [r["file"] for r in findings.filter(F.col("severity") == "error").select("file").distinct().collect()]
     if not headers and failed:
         raise writers.PartialFailure(f"no workbook parsed successfully; {len(failed)} failed: {sorted(failed)}")
 
     def write() -> None:
-        if dry_run:
-            return
-        for table_name in sorted(headers):  # tables are metadata-sized; each read is one partition
-            wide = landing.widen(staged.filter(F.col("table_name") == table_name), headers[table_name])
-            writers.append_bronze(wide, f"{bronze_root.rstrip('/')}/{table_name}", fmt)
+        if not dry_run:
+            write_bronze_tables(staged, headers, bronze_root, fmt)
     writers.write_then_raise(write, failed, "workbook")
     return report
 
 
+def stage_landing(spark: SparkSession, cells: DataFrame, batch: str) -> tuple[DataFrame, dict[str, list[str]]]:
+    """Parse once: the landing form (W3 applied) is written to the shared
+    checkpoint folder partitioned by target table. That cuts the lineage
+    (executor loss does not re-run the Python stage) and lets each table's
+    append read only its own partition. Returns the staged rows and each
+    table's columns (metadata-sized)."""
+    staging = scratch_path(spark, f"landing/{batch}")
+    cells.dropDuplicates(["table_name", "row_hash"]).write.mode("overwrite") \
+        .partitionBy("table_name").parquet(staging)
+    staged = spark.read.parquet(staging)
+    headers = {r["table_name"]: r["columns"] for r in landing.header_names_per_table(staged).collect()}
+    return staged, headers
+
+
+def bronze_table(staged: DataFrame, headers: dict[str, list[str]], table_name: str) -> DataFrame:
+    """One bronze table's rows, widened to its columns (one staged partition)."""
+    return landing.widen(staged.filter(F.col("table_name") == table_name), headers[table_name])
+
+
+def write_bronze_tables(staged: DataFrame, headers: dict[str, list[str]], bronze_root: str,
+                        fmt: str = "parquet") -> None:
+    """K1: one append per bronze table (tables are metadata-sized)."""
+    for table_name in sorted(headers):
+        writers.append_bronze(bronze_table(staged, headers, table_name),
+                              f"{bronze_root.rstrip('/')}/{table_name}", fmt)
+
+
 def validate(spark: SparkSession, records: Mapping[str, DataFrame], dictionary: Dictionary, *, results_path: str,
              studies: DataFrame, validation_id: str | None = None, policy: gate.GatePolicy = gate.GatePolicy(),
              schema_version: str | None = None, csv_path: str | None = None,

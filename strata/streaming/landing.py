@@ -22,7 +22,6 @@ from pyspark.sql.streaming import StreamingQuery
 from strata.functions.naming import DEFAULT_PREFIX, is_workbook, study_from_path
 from strata.operators import landing, promote
 from strata.session import scratch_path
-from strata.sinks.writers import append_bronze
 from strata.sources.workbook import land_contents
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -61,15 +60,21 @@ def start_workbook_landing(spark: SparkSession, deposit_root: str, bronze_path:
               .load(f"{deposit_root.rstrip('/')}/{p}"))
 
     def each(batch: DataFrame, epoch: int) -> None:
+        from strata.jobs import bronze_table, stage_landing, write_bronze_tables
         key = F.regexp_replace("path", "^.*?/" + p + "/", p + "/")
         files = batch.withColumn("__key", key).filter(is_workbook("__key")) \
             .select("path", study_from_path("__key", p).alias("study_id"), "content")
         landed = land_contents(files).filter(F.col("error").isNull())
-        bronze = landing.bronze_from_cells(landed, batch_id=f"{run_id}-{epoch}", ingested_at=ingested_at)
-        bronze = bronze.checkpoint(eager=True)  # parse once; both sinks read the checkpoint
-        append_bronze(bronze, bronze_path)
+        batch_id = f"{run_id}-{epoch}"
+        cells = landing.bronze_from_cells(landed, batch_id=batch_id, ingested_at=ingested_at)
+        # The same bronze tables a batch ingest writes, under this epoch's batch id.
+        staged, headers = stage_landing(spark, cells, batch_id)
+        write_bronze_tables(staged, headers, bronze_path)
         if silver_path:
-            promote_batch(spark, bronze, silver_path)
+            for table_name in sorted(headers):
+                silver_name = "silver" + table_name[len("bronze"):]
+                promote_batch(spark, bronze_table(staged, headers, table_name),
+                              f"{silver_path.rstrip('/')}/{silver_name}")
 
     return (stream.writeStream.foreachBatch(each)
             .option("checkpointLocation", checkpoint or scratch_path(spark, f"streams/landing-{run_id}"))

@@ -20,15 +20,16 @@ def test_incremental_landing_sees_only_new_files_and_promotes_newest(spark, tmp_
     q = start_workbook_landing(spark, "file://" + dep, "file://" + bronze, "run1", "2024-01-01T00:00:00+00:00",
                                silver_path="file://" + silver, checkpoint="file://" + ckpt)
     q.awaitTermination()
-    first = spark.read.parquet(bronze)
+    first = spark.read.parquet(bronze + "/bronze_s1_subject")
     assert first.count() == 2
     _wb(dep, "submissions/s1/b.xlsx", [["id", "v"], ["h", "h"], ["3", "z"]])
     q = start_workbook_landing(spark, "file://" + dep, "file://" + bronze, "run2", "2024-02-01T00:00:00+00:00",
                                silver_path="file://" + silver, checkpoint="file://" + ckpt)
     q.awaitTermination()
-    b = spark.read.parquet(bronze)
+    b = spark.read.parquet(bronze + "/bronze_s1_subject")
     assert b.count() == 3  # a.xlsx was not landed again
     batches = sorted(r[0] for r in b.select("_src_batch_id").distinct().collect())
     assert batches[0].startswith("run1-") and batches[1].startswith("run2-")
-    s = spark.read.parquet(silver)
+    assert {"id", "v", "row_hash", "_src_file"} <= set(b.columns)  # same wide bronze table as batch ingest
+    s = spark.read.parquet(silver + "/silver_s1_subject")
     assert s.count() == 3 and s.select("row_hash").distinct().count() == 3
