@@ -49,7 +49,7 @@ class GatePolicy:
 
 
 def keep_greatest(df: DataFrame, column: str) -> DataFrame:
-    """Rows whose ``column`` equals its maximum (A4's scalar subquery).
+    """Rows whose ``column`` equals its maximum (A4, ``= (SELECT max(...))``).
 
     Written as an equi-join with the one-row max aggregate (broadcast: one
     row by construction). A scalar-subquery filter would be pushed into every

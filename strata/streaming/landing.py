@@ -52,8 +52,10 @@ def promote_batch(spark: SparkSession, new_rows: DataFrame, silver_path: str, fm
 def start_workbook_landing(spark: SparkSession, deposit_root: str, bronze_path: str, run_id: str,
                            ingested_at: str, silver_path: str | None = None, prefix: str = DEFAULT_PREFIX,
                            checkpoint: str | None = None) -> StreamingQuery:
-    """R1 (+R2 when ``silver_path``): land only new workbooks, one bronze
-    append per micro-batch, batch id ``<run_id>-<epoch>``."""
+    """R1 (+R2 when ``silver_path``): land only new workbooks into the same
+    per-table bronze layout a batch ingest writes (``<bronze_path>/<table>``),
+    one batch partition per micro-batch with batch id ``<run_id>-<epoch>``;
+    silver is promoted per table under ``<silver_path>/silver_<study>_<node>``."""
     p = prefix.strip("/")
     stream = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[xX][lL][sS][xX]")
