@@ -155,3 +155,17 @@ def test_export_release_names_models_with_an_empty_pin(spark, tmp_dir):
     assert "gold_a_sample@99" in str(err.value) and "gold_a_subject" not in str(err.value)
     out = spark.read.text(os.path.join(tmp_dir, "release_jsons")).collect()
     assert [(r.write_table, r.value) for r in out] == [("subject", '{"submitter_id":"s2"}')]
+
+
+def test_tolerant_json_and_generic_source(spark, tmp_dir):
+    from strata.sources.files import read_json_tolerant, read_source
+    with open(os.path.join(tmp_dir, "a.json"), "w") as fh:
+        fh.write('[{"id": 1, "x": "a"}, {"id": 2, "y": true}]')
+    with open(os.path.join(tmp_dir, "b.json"), "w") as fh:
+        fh.write('{"id": 3, "x": "c"')  # truncated: kept as a corrupt record
+    df = read_json_tolerant(spark, [os.path.join(tmp_dir, "a.json"), os.path.join(tmp_dir, "b.json")])
+    rows = df.collect()
+    assert sorted(r.id for r in rows if r.id is not None) == [1, 2]
+    assert any(r._corrupt_record for r in rows)
+    spark.createDataFrame([(1, "p")], "k int, v string").write.parquet(os.path.join(tmp_dir, "pq"))
+    assert read_source(spark, "parquet", os.path.join(tmp_dir, "pq")).first().v == "p"
