@@ -1,6 +1,6 @@
 """Registers the subpackage's queries (importing a module registers its own)."""
 
-from strata.llm import langid, minhash, quality, tokens, warc, winnow  # noqa: F401
+from strata.llm import langid, minhash, quality, tokens, vectors, warc, winnow  # noqa: F401
 from strata.llm.common import ORACLES, REGISTRY
 
 __all__ = ["ORACLES", "REGISTRY"]
