@@ -164,6 +164,32 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
         .where(den * both >= num * (F.size("sa") + F.size("sb") - both)).select("a", "b")
 
 
+def _prefix_pairs(nodes: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of nodes (sig, n, comp, shingles) of different components
+    that can be similar enough: every such pair is there.
+
+    With shingles ordered rarest first, sets A and B that are similar enough
+    share one within the first |A| - ceil(num / den * |A|) + 1 of A and the
+    same of B; and the first one they share leaves room for the overlap asked
+    for. What only one group has is rare, so groups that overlap too little
+    seldom meet on the shingles they have in common."""
+    each = nodes.select("sig", F.explode("shingles").alias("g"))
+    common = each.groupBy("g").agg(F.count(F.lit(1)).alias("df"))
+    ordered = each.join(common, "g").groupBy("sig") \
+        .agg(F.sort_array(F.collect_list(F.struct("df", "g"))).alias("all"))
+    keep = F.col("n") - F.floor((F.col("n") * num + den - 1) / den) + 1
+    prefix = ordered.join(nodes.select("sig", "n", "comp"), "sig") \
+        .select("sig", "n", "comp", F.posexplode(F.slice("all", F.lit(1), keep.cast("int"))).alias("pos", "x")) \
+        .where("x.df > 1").select("sig", "n", "comp", "pos", F.col("x.g").alias("g"))
+    other = prefix.select("g", *[F.col(c).alias("b" + c) for c in ("sig", "n", "comp", "pos")])
+    room = F.least(F.col("n") - F.col("pos"), F.col("bn") - F.col("bpos"))
+    return prefix.join(other, "g").where(
+        (F.col("sig") < F.col("bsig")) & (F.col("comp") != F.col("bcomp"))
+        & (den * F.least("n", "bn") >= num * F.greatest("n", "bn"))
+        & (room * (num + den) >= num * (F.col("n") + F.col("bn")))) \
+        .select(F.col("sig").alias("a"), F.col("bsig").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, x (hash of the
     text), n_shingles, sig (16-byte set signature), component_id, kept.
@@ -175,8 +201,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     - Equal sets form one class first (grouped on the set's signature with
       map-side combine), so thousands of copies cost one sketch row.
     - Classes sharing a band are linked to that bucket's most central class
-      and verified on full sets; then the pairs of a bucket whose classes are
-      still in different components are verified too, so no candidate link
+      and verified on full sets; then all classes of a bucket that still holds
+      several components are joined exactly (prefix filter), so no link
       between components is left untested. There is no cap on a bucket.
     - Full sets are made again from the texts of candidate classes only.
 
@@ -204,27 +230,26 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
         .select(F.least("sig", "b").alias("a"), F.greatest("sig", "b").alias("b")).distinct()
     star = stage(star, "star")
 
-    def set_table(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
-        bits = _filter_bits(ends.join(classes, "sig").select("rep"), "rep")
+    def set_table(nodes: DataFrame) -> DataFrame:
+        bits = _filter_bits(nodes.join(classes, "sig").select("rep"), "rep")
         made = narrow.select("text", _slot("doc_id").alias("slot")).mapInArrow(
             partial(_set_rows, k=k, bits=bits), "sig binary, shingles array<long>")
-        return stage(made.join(ends, "sig", "left_semi").groupBy("sig").agg(F.first("shingles").alias("shingles")), "sets")
+        return stage(made.join(nodes, "sig", "left_semi").groupBy("sig").agg(F.first("shingles").alias("shingles")), "sets")
 
-    linked = stage(_verify(star, set_table(star), num, den), "links")
+    ends = star.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
+    linked = stage(_verify(star, set_table(ends), num, den), "links")
     comp = connected_components(linked)
 
-    # What a star may miss: pairs of one bucket in different components.
+    # What a star may miss: pairs of classes that meet in a bucket and are in
+    # different components. Those classes are joined exactly on set prefixes.
     named = member.join(comp, member.sig == comp.node, "left") \
         .select("key", "sig", "n", F.coalesce("comp", "sig").alias("comp"))
     split = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    named = stage(named.join(split, "key"), "split")
-    right = named.select("key", F.col("sig").alias("b"), F.col("n").alias("bn"), F.col("comp").alias("bc"))
-    rest = named.join(right, "key").where((F.col("sig") < F.col("b")) & (F.col("comp") != F.col("bc")) & near_size) \
-        .select(F.col("sig").alias("a"), "b").distinct()
-    rest = stage(rest.join(star, ["a", "b"], "left_anti"), "rest")
+    left = stage(named.join(split, "key").select("sig", "n", "comp").distinct(), "split")
+    sets = set_table(left.select("sig"))
+    rest = stage(_prefix_pairs(left.join(sets, "sig"), num, den).join(star, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
-        more = stage(_verify(rest, set_table(rest), num, den), "more")
+        more = stage(_verify(rest, sets, num, den), "more")
         if not more.isEmpty():
             comp = connected_components(linked.unionByName(more))
 
