@@ -269,10 +269,10 @@ def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Data
     got = near_duplicates(docs, k, num, den)
     one = got.where("kept and n_shingles > 0").groupBy("component_id", F.col("doc_id").alias("_d")) \
         .agg(F.min("x").alias("_x")).select("_d", "_x").distinct()
-    cols = [F.col(c) for c in docs.columns]
-    keyed = docs.select(*cols, F.xxhash64("text").alias("_x"))
-    first = keyed.join(one, keyed.doc_id.eqNullSafe(one._d) & (keyed._x == one._x), "left_semi") \
-        .dropDuplicates(["doc_id", "_x"]).drop("_x")
+    # The given columns travel as one struct: no name of theirs can clash.
+    keyed = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_d"), F.xxhash64("text").alias("_x"))
+    first = keyed.join(one, keyed["_d"].eqNullSafe(one["_d"]) & (keyed["_x"] == one["_x"]), "left_semi") \
+        .dropDuplicates(["_d", "_x"]).select("_row.*")
     wordless = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     return first.unionByName(docs.where(wordless))
 
