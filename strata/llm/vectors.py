@@ -30,7 +30,7 @@ BLOCK = 2048
 PROBE_SIGMAS = 4.0
 #: Approximate similarities are trusted up to so many deviations of the error
 #: measured on the sample.
-ADC_SIGMAS = 5.0
+ADC_SIGMAS = 6.0
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.ndarray:
