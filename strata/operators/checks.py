@@ -3,8 +3,14 @@
 The rules table is metadata-sized, so it is collected once and compiled, per
 node, into **one select**: an array of ``when(<violation>, struct(...))``
 findings, filtered for non-null and exploded. One scan per node over all
-studies, no shuffle, no Python per row. Long enums become a broadcast
-anti-join instead of an ``IN`` list.
+studies, no shuffle, no Python per row. An enum of any length is one ``IN``
+set. Records whose properties are only known at run time keep them as one map
+column and meet the rules of their node in the same way.
+
+What a value may be: a property the frame does not have is checked by
+``required`` alone; a null value is a finding of ``required`` and ``type``
+(unless the type list has "null"); text is read leniently (``3.0`` is an
+integer, ``true`` a boolean); formats other than FORMATS are not checked.
 
 Messages follow the wording of the common JSON-schema validators
 (``'x' is a required property``, ``'v' is not one of [...]`` ...), so the gate's
@@ -14,7 +20,7 @@ LIKE patterns read naturally.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,7 +41,8 @@ RESULT_SCHEMA = (
     "invalid_key string, schema_path string, validator string, validator_value string, "
     "validation_error string, schema_version string, submitter_id string"
 )
-ENUM_INLINE_MAX = 200
+# The formats that are checked.
+FORMATS = ("date", "date-time", "email")
 
 
 @dataclass(frozen=True)
@@ -53,8 +60,8 @@ def collect_rules(rules: DataFrame) -> list[Rule]:
     return sorted(got, key=lambda r: (r.node, r.property, r.validator))
 
 
-def _py_repr_list(values: Sequence[str]) -> str:
-    return "[" + ", ".join("'" + v + "'" for v in values) + "]"
+def _py_repr_list(values: Sequence[str | None]) -> str:
+    return "[" + ", ".join("None" if v is None else "'" + v + "'" for v in values) + "]"
 
 
 def _quoted(c: Column) -> Column:
@@ -79,52 +86,98 @@ def _finding_sql(cond: str, rule: Rule, message: str, value_text: str | None) ->
             f"'validation_error', {message}) END")
 
 
-def _rule_sql(columns: set[str], rule: Rule) -> str | None:
+def type_names(value: str) -> list[str]:
+    """The types of a ``type`` rule: one name, or a JSON list of names."""
+    return list(json.loads(value)) if value.startswith("[") else [value]
+
+
+def _type_text(value: str) -> str:
+    names = type_names(value)
+    return ", ".join(repr(n) for n in names)
+
+
+def _is_type(text: str, name: str, kind: str) -> str:
+    """SQL test of a non-null value. ``text`` is its text, ``kind`` the Spark
+    type of its column; numbers, booleans, arrays and objects in text columns
+    are read from the text."""
+    if name == "number":
+        return f"try_cast({text} AS DOUBLE) IS NOT NULL"
+    if name == "integer":
+        number = f"try_cast({text} AS DOUBLE)"
+        return f"coalesce({text} RLIKE '^[+-]?[0-9]+$' OR {number} = floor({number}), false)"
+    if name == "boolean":
+        return f"lower({text}) IN ('true', 'false')"
+    if name == "array":
+        return "true" if kind.startswith("array") else f"from_json({text}, 'array<string>') IS NOT NULL" if kind == "string" else "false"
+    if name == "object":
+        return "true" if kind.startswith(("struct", "map")) else \
+            f"(ltrim({text}) LIKE '{{%' AND from_json({text}, 'map<string,string>') IS NOT NULL)" if kind == "string" else "false"
+    if name == "string":
+        return "true" if kind in ("string", "date") or kind.startswith(("timestamp", "varchar", "char")) else "false"
+    return "false"  # "null", or a name that is no type: no value has it
+
+
+def _is_format(text: str, name: str) -> str:
+    if name == "date":
+        return f"(try_to_timestamp({text}, 'yyyy-MM-dd') IS NOT NULL AND length({text}) = 10)"
+    if name == "date-time":
+        return f"try_to_timestamp({text}) IS NOT NULL"
+    return f"{text} LIKE '%@%'"
+
+
+def _text_of(name: str, kind: str) -> str:
+    c = _ident(name)
+    return f"to_json({c})" if kind.startswith(("array", "struct", "map")) else f"CAST({c} AS STRING)"
+
+
+def _rule_sql(kinds: Mapping[str, str], rule: Rule) -> str | None:
     """One rule as a SQL CASE expression yielding a finding struct or null.
     Expressions are text so a node's whole rule set is parsed by the JVM in
-    one call, instead of one round trip per Column function."""
-    c = _ident(rule.property) if rule.property in columns else "CAST(NULL AS STRING)"
-    text = f"CAST({c} AS STRING)"
+    one call, instead of one round trip per Column function. ``kinds``: the
+    frame's columns and their types."""
+    v = rule.validator
+    if rule.property not in kinds:
+        return _finding_sql("true", rule, sql_lit(f"'{rule.property}' is a required property"), rule.property) \
+            if v == "required" else None
+    kind = kinds[rule.property]
+    return _value_rule_sql(_ident(rule.property), _text_of(rule.property, kind), kind, rule)
+
+
+def _value_rule_sql(c: str, text: str, kind: str, rule: Rule) -> str | None:
     v = rule.validator
     if v == "required":
         return _finding_sql(f"{c} IS NULL", rule, sql_lit(f"'{rule.property}' is a required property"),
                             rule.property)
     if v == "enum":
         values = json.loads(rule.value)
-        if len(values) > ENUM_INLINE_MAX:
-            return None  # handled by enum_violations (anti-join)
-        allowed = ", ".join(sql_lit(x) for x in values)
+        allowed = ", ".join(sql_lit(x) for x in values if x is not None) or "CAST(NULL AS STRING)"
         msg = f"concat('\\'', {text}, {sql_lit(chr(39) + ' is not one of ' + _py_repr_list(values))})"
-        return _finding_sql(f"{c} IS NOT NULL AND NOT {text} IN ({allowed})", rule, msg, rule.value)
+        return _finding_sql(f"{c} IS NOT NULL AND NOT coalesce({text} IN ({allowed}), false)", rule, msg, rule.value)
     if v in ("minimum", "maximum"):
+        # Decimals tell close numbers apart, doubles reach beyond 28 digits;
+        # rounding keeps order, so either test alone proves a violation.
         op, word = ("<", "less than the minimum") if v == "minimum" else (">", "greater than the maximum")
-        cond = (f"{c} IS NOT NULL AND try_cast({text} AS DECIMAL(38,10)) {op} "
-                f"CAST({sql_lit(rule.value)} AS DECIMAL(38,10))")
+        beyond = " OR ".join(f"coalesce(try_cast({text} AS {t}) {op} try_cast({sql_lit(rule.value)} AS {t}), false)"
+                             for t in ("DECIMAL(38,10)", "DOUBLE"))
         msg = f"concat(coalesce({text}, 'None'), {sql_lit(f' is {word} of {rule.value}')})"
-        return _finding_sql(cond, rule, msg, rule.value)
+        return _finding_sql(f"{c} IS NOT NULL AND ({beyond})", rule, msg, rule.value)
     if v == "pattern":
         msg = f"concat('\\'', {text}, {sql_lit(chr(39) + ' does not match ' + chr(39) + rule.value + chr(39))})"
         return _finding_sql(f"{c} IS NOT NULL AND NOT ({text} RLIKE {sql_lit(rule.value)})", rule, msg, rule.value)
     if v == "type":
-        t = rule.value
-        ok = {"number": f"try_cast({text} AS DOUBLE) IS NOT NULL",
-              "integer": f"try_cast({text} AS BIGINT) IS NOT NULL",
-              "boolean": f"lower({text}) IN ('true', 'false')"}.get(t, "TRUE")
-        msg = (f"CASE WHEN {c} IS NULL THEN {sql_lit(f'None is not of type {t!r}')} "
-               f"ELSE concat('\\'', {text}, {sql_lit(chr(39) + f' is not of type {t!r}')}) END")
-        return _finding_sql(f"({c} IS NULL OR NOT ({ok}))", rule, msg, t)
-    if v == "format":
-        if rule.value == "date":
-            ok = f"try_to_timestamp({text}, 'yyyy-MM-dd') IS NOT NULL AND length({text}) = 10"
-        else:
-            ok = f"try_to_timestamp({text}) IS NOT NULL"
+        names = type_names(rule.value)
+        ok = " OR ".join(_is_type(text, n, kind) for n in names)
+        bad = f"{c} IS NOT NULL AND NOT ({ok})" if "null" in names else f"({c} IS NULL OR NOT ({ok}))"
+        said = " is not of type " + _type_text(rule.value)
+        msg = f"CASE WHEN {c} IS NULL THEN {sql_lit('None' + said)} ELSE concat('\\'', {text}, {sql_lit(chr(39) + said)}) END"
+        return _finding_sql(bad, rule, msg, rule.value)
+    if v == "format" and rule.value in FORMATS:
         msg = f"concat('\\'', {text}, {sql_lit(chr(39) + f' is not a {rule.value!r}')})"
-        return _finding_sql(f"{c} IS NOT NULL AND NOT ({ok})", rule, msg, rule.value)
+        return _finding_sql(f"{c} IS NOT NULL AND NOT {_is_format(text, rule.value)}", rule, msg, rule.value)
     if v == "minItems":
-        n = int(rule.value)
-        cond = f"{c} IS NOT NULL AND size(filter(split({text}, ';', -1), it -> trim(it) <> '')) < {n}"
+        items = f"size({c})" if kind.startswith("array") else f"size(filter(split({text}, ';', -1), it -> trim(it) <> ''))"
         msg = f"concat(coalesce({text}, 'None'), ' is too short')"
-        return _finding_sql(cond, rule, msg, rule.value)
+        return _finding_sql(f"{c} IS NOT NULL AND {items} < {int(rule.value)}", rule, msg, rule.value)
     return None
 
 
@@ -132,8 +185,8 @@ def findings_for_node(df: DataFrame, node: str, rules: Iterable[Rule], *,
                       validation_id: str, schema_version: str,
                       key: str = "submitter_id", study: str = "study_id") -> DataFrame:
     """One pass over a node's records: every violated rule is one FAIL row."""
-    columns = set(df.columns)
-    exprs = [e for e in (_rule_sql(columns, r) for r in rules if r.node == node) if e is not None]
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
+    exprs = [e for e in (_rule_sql(kinds, r) for r in rules if r.node == node) if e is not None]
     if not exprs:
         return empty_results(df.sparkSession)
     found_expr = F.expr("filter(array(" + ", ".join(exprs) + "), f -> f IS NOT NULL)")
@@ -151,101 +204,40 @@ def findings_for_node(df: DataFrame, node: str, rules: Iterable[Rule], *,
     )
 
 
-def to_long(df: DataFrame, node: str, properties: Sequence[str], key: str = "submitter_id",
-            study: str = "study_id") -> DataFrame:
-    """Records -> (node, study_id, submitter_id, property, value) with every
-    value as text; nulls are kept so ``required`` sees them."""
-    wide = df.select(F.col(key).cast("string").alias("__key"), F.col(study).alias("__study"),
-                     *[qcol(p).cast("string").alias(p) for p in properties])
-    long = wide.unpivot(["__key", "__study"], list(properties), "property", "value")
-    return long.select(F.lit(node).alias("node"), F.col("__study").alias("study_id"),
-                       F.col("__key").alias("submitter_id"), "property", "value")
-
-
-def findings_long(long: DataFrame, rules: DataFrame, *, validation_id: str, schema_version: str) -> DataFrame:
-    """Rules joined to property values, for records whose properties are
-    only known at run time (long form: node, study_id, submitter_id, property,
-    value). The rules frame is the dictionary's (document-sized) and is
-    broadcast; a record contributes one row per property, so this is the
-    fallback to the per-node compiled select.
-
-    ``required`` is checked against the record's present, non-null properties
-    with an anti-join, so a property missing from the record entirely fails
-    too."""
-    r = F.broadcast(rules.select("node", "property", "validator", F.col("value").alias("rule_value"),
-                                 "schema_path"))
-    v = F.col("value")
-    rv = F.col("rule_value")
-    t = F.col("validator")
-    enum_vals = F.from_json(rv, "array<string>")
-    enum_list = F.concat(F.lit("["), F.array_join(F.transform(enum_vals, lambda x: F.concat(F.lit("'"), x,
-                                                                                             F.lit("'"))), ", "),
-                         F.lit("]"))
-    num = v.try_cast("decimal(38,10)")
-    bound = rv.try_cast("decimal(38,10)")
-    type_ok = (F.when(rv == "number", v.try_cast("double").isNotNull())
-               .when(rv == "integer", v.try_cast("bigint").isNotNull())
-               .when(rv == "boolean", F.lower(v).isin("true", "false"))
-               .otherwise(F.lit(True)))
-    fmt_ok = F.when(rv == "date", F.try_to_timestamp(v, F.lit("yyyy-MM-dd")).isNotNull() & (F.length(v) == 10)) \
-        .otherwise(F.try_to_timestamp(v).isNotNull())
-    items = F.size(F.filter(F.split(v, ";", -1), lambda x: F.trim(x) != ""))
-    q = F.lit("'")
-    fails = (F.when(t == "enum", v.isNotNull() & ~F.array_contains(enum_vals, v))
-             .when(t == "minimum", v.isNotNull() & (num < bound))
-             .when(t == "maximum", v.isNotNull() & (num > bound))
-             .when(t == "pattern", v.isNotNull() & ~F.rlike(v, rv))
-             .when(t == "type", v.isNull() | ~type_ok)
-             .when(t == "format", v.isNotNull() & ~fmt_ok)
-             .when(t == "minItems", v.isNotNull() & (items < rv.cast("int")))
-             .otherwise(F.lit(False)))
-    message = (F.when(t == "enum", F.concat(q, v, q, F.lit(" is not one of "), enum_list))
-               .when(t == "minimum", F.concat(F.coalesce(v, F.lit("None")), F.lit(" is less than the minimum of "), rv))
-               .when(t == "maximum", F.concat(F.coalesce(v, F.lit("None")), F.lit(" is greater than the maximum of "),
-                                             rv))
-               .when(t == "pattern", F.concat(q, v, q, F.lit(" does not match "), q, rv, q))
-               .when((t == "type") & v.isNull(), F.concat(F.lit("None is not of type "), q, rv, q))
-               .when(t == "type", F.concat(q, v, q, F.lit(" is not of type "), q, rv, q))
-               .when(t == "format", F.concat(q, v, q, F.lit(" is not a "), q, rv, q))
-               .when(t == "minItems", F.concat(F.coalesce(v, F.lit("None")), F.lit(" is too short"))))
-    valued = long.join(r.filter(t != "required"), ["node", "property"], "inner").filter(fails)
-    out_cols = [F.lit(validation_id).alias("validation_id"), F.lit(None).cast("bigint").alias("index"), "node",
-                "study_id", F.lit("FAIL").alias("validation_result"), F.col("property").alias("invalid_key"),
-                "schema_path", "validator"]
-    valued = valued.select(*out_cols, F.col("rule_value").alias("validator_value"),
-                           message.alias("validation_error"), F.lit(schema_version).alias("schema_version"),
-                           "submitter_id")
-    # Present properties per record (one aggregation, bounded by the
-    # record's width) against the node's required list (dictionary-sized,
-    # broadcast); what is required and not present is a finding.
-    present = long.groupBy("node", "study_id", "submitter_id") \
-        .agg(F.collect_set(F.when(v.isNotNull(), F.col("property"))).alias("__present"))
-    req = F.broadcast(rules.filter(F.col("validator") == "required").groupBy("node")
-                      .agg(F.collect_list(F.struct("property", "schema_path")).alias("__req")))
-    missing = present.join(req, "node", "inner") \
-        .select("node", "study_id", "submitter_id", F.explode(F.filter(
-            "__req", lambda x: ~F.array_contains(F.col("__present"), x["property"]))).alias("__m")) \
-        .select("node", "study_id", "submitter_id", F.col("__m.property").alias("property"),
-                F.col("__m.schema_path").alias("schema_path"), F.lit("required").alias("validator"))
-    missing = missing.select(*out_cols, F.col("property").alias("validator_value"),
-                             F.concat(q, F.col("property"), F.lit("' is a required property")).alias("validation_error"),
-                             F.lit(schema_version).alias("schema_version"), "submitter_id")
-    return valued.unionByName(missing)
-
-
-def enum_violations(df: DataFrame, rule: Rule, allowed: DataFrame, *, validation_id: str,
-                    schema_version: str, key: str = "submitter_id", study: str = "study_id") -> DataFrame:
-    """V3 for long enums: anti-join against the allowed values (a one-column
-    DataFrame ``value``); AQE broadcasts it when it is small."""
-    c = qcol(rule.property).cast("string")
-    bad = df.filter(c.isNotNull()).join(allowed.select(F.col("value").alias("__v")), c == F.col("__v"), "left_anti")
-    return bad.select(
-        F.lit(validation_id).alias("validation_id"), F.lit(None).cast("bigint").alias("index"),
-        F.lit(rule.node).alias("node"), F.col(study).alias("study_id"), F.lit("FAIL").alias("validation_result"),
-        F.lit(rule.property).alias("invalid_key"), F.lit(rule.schema_path).alias("schema_path"),
-        F.lit("enum").alias("validator"), F.lit(None).cast("string").alias("validator_value"),
-        F.concat(_quoted(c), F.lit(" is not one of the allowed values")).alias("validation_error"),
-        F.lit(schema_version).alias("schema_version"), F.col(key).cast("string").alias("submitter_id"))
+def to_map(df: DataFrame, node: str, properties: Sequence[str], key: str = "submitter_id",
+           study: str = "study_id") -> DataFrame:
+    """Records -> (node, study_id, submitter_id, props): the properties of a
+    record as one map of texts; a null value is an entry with a null."""
+    pairs = [x for p in properties for x in (F.lit(p), qcol(p).cast("string"))]
+    return df.select(F.lit(node).alias("node"), F.col(study).alias("study_id"),
+                     F.col(key).cast("string").alias("submitter_id"),
+                     (F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")).alias("props"))
+
+
+def findings_map(records: DataFrame, rules: Iterable[Rule], *, validation_id: str, schema_version: str) -> DataFrame:
+    """The same checks for records (node, study_id, submitter_id, props)
+    whose properties are only known at run time. Every record is checked on
+    its own in one pass, without a shuffle: the rules are literals, and those
+    of other nodes are skipped. A property that is not in the map, or null in
+    it, fails ``required``; only one that is in it is checked by the others."""
+    by_node: dict[str, list[str]] = {}
+    for r in rules:
+        value = f"element_at(props, {sql_lit(r.property)})"
+        e = _value_rule_sql(value, value, "string", r)
+        if e is None:
+            continue
+        if r.validator != "required":
+            e = f"CASE WHEN map_contains_key(props, {sql_lit(r.property)}) THEN {e} END"
+        by_node.setdefault(r.node, []).append(e)
+    if not by_node:
+        return empty_results(records.sparkSession)
+    cases = " ".join(f"WHEN node = {sql_lit(n)} THEN filter(array({', '.join(es)}), f -> f IS NOT NULL)"
+                     for n, es in by_node.items())
+    found = records.select("node", "study_id", "submitter_id", F.explode(F.expr(f"CASE {cases} END")).alias("f"))
+    return found.select(
+        F.lit(validation_id).alias("validation_id"), F.lit(None).cast("bigint").alias("index"), "node", "study_id",
+        F.lit("FAIL").alias("validation_result"), "f.invalid_key", "f.schema_path", "f.validator", "f.validator_value",
+        "f.validation_error", F.lit(schema_version).alias("schema_version"), "submitter_id")
 
 
 def additional_properties(df: DataFrame, node: str, record_json: Column, known: Sequence[str], *,
@@ -284,9 +276,8 @@ def root_requirement(df: DataFrame, root_node: str, *, validation_id: str, schem
 def unknown_nodes(records: DataFrame, dictionary_nodes: DataFrame, *, validation_id: str,
                   schema_version: str, node: str = "node", key: str = "submitter_id",
                   study: str = "study_id") -> DataFrame:
-    """V1: records whose ``type`` names a node the dictionary lacks -> ERROR.
-    The dictionary's node list is metadata-sized; it is broadcast."""
-    dn = F.broadcast(dictionary_nodes.select(F.col("node").alias("__n")))
+    """V1: records whose ``type`` names a node the dictionary lacks -> ERROR."""
+    dn = dictionary_nodes.select(F.col("node").alias("__n"))
     bad = records.join(dn, F.col(node) == F.col("__n"), "left_anti")
     return bad.select(
         F.lit(validation_id).alias("validation_id"), F.lit(None).cast("bigint").alias("index"),
@@ -301,7 +292,7 @@ def link_findings(child: DataFrame, parent: DataFrame, *, child_node: str, link_
                   parent_key: str, validation_id: str, schema_version: str, key: str = "submitter_id",
                   study: str = "study_id") -> DataFrame:
     """A link whose target record does not exist -> FAIL."""
-    p = parent.select(F.col(parent_key).alias("__pk")).distinct()
+    p = parent.select(F.col(parent_key).alias("__pk"))
     bad = child.filter(F.col(child_fk).isNotNull()).join(p, F.col(child_fk) == F.col("__pk"), "left_anti")
     return bad.select(
         F.lit(validation_id).alias("validation_id"), F.lit(None).cast("bigint").alias("index"),

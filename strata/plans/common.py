@@ -147,7 +147,7 @@ def nation_studies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
-    return c.join(nation_studies(spark, sf_dir), c.c_nationkey == F.col("n_nationkey")) \
+    return c.join(nation_studies(spark, sf_dir), c.c_nationkey == F.col("n_nationkey"), "left") \
         .select(F.concat(F.lit("customer_"), F.col("c_custkey")).alias("submitter_id"), "study_id",
                 "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
@@ -179,7 +179,7 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as records whose node is their ``event_type``."""
     e = table(spark, sf_dir, "events")
     return e.select(F.concat(F.lit("event_"), F.col("event_id")).alias("submitter_id"),
-                    F.lit("events").alias("study_id"), F.col("event_type").alias("node"), "event_id", "event_type",
+                    F.lit("events").alias("study_id"), F.col("event_type").alias("node"), "event_id", "event_type", "user_id",
                     F.get_json_object("props", "$.k").alias("k"), "props")
 
 

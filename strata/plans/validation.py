@@ -61,12 +61,12 @@ _RECORDS_SQL = {
     "customer": """SELECT 'customer_' || CAST(c_custkey AS VARCHAR) AS submitter_id,
         lower(regexp_replace(r_name, '[^A-Za-z]', '', 'g')) AS study_id, c_custkey, c_name, c_nationkey,
         c_acctbal, c_mktsegment
-      FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
+      FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""",
     "orders": """SELECT 'orders_' || CAST(o_orderkey AS VARCHAR) AS submitter_id, s.study_id, o_orderstatus,
         o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority
       FROM orders LEFT JOIN (
         SELECT c_custkey, lower(regexp_replace(r_name, '[^A-Za-z]', '', 'g')) AS study_id
-        FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey) s
+        FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey) s
       ON o_custkey = s.c_custkey""",
     "documents": """SELECT 'documents_' || CAST(d.doc_id AS VARCHAR) AS submitter_id, source AS study_id, text,
         lang, source, n_chars, quality
@@ -176,22 +176,23 @@ for _name, _validators in (("check_required", ("required",)), ("check_enum", ("e
 
 
 # --- check_long_form ---------------------------------------------------------------
-# The same dictionary checks through the long-form path (J5): customer and
-# orders records unpivoted to (property, value) text and joined to the rules.
-# Its oracle is the compiled path's SQL, so the two implementations agree.
+# The same dictionary checks through the map form (J5): every checked node's
+# records with their properties as one map of texts. Its oracle is the compiled
+# path's SQL, so the two implementations agree.
 
-_LONG_PROPS = {"customer": ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
-               "orders": ["o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]}
+_MAP_PROPS = {"customer": ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+              "orders": ["o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+              "documents": ["text", "lang", "source", "n_chars", "quality"], "conversations": ["role", "text"]}
 
 
-@query("check_long_form", findings_sql(nodes=("customer", "orders")))
+@query("check_long_form", findings_sql())
 def check_long_form(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = testdata_dictionary(spark)
-    long = None
-    for node, props in _LONG_PROPS.items():
-        part = checks.to_long(node_records(spark, sf_dir, node), node, ["submitter_id", *props])
-        long = part if long is None else long.unionByName(part)
-    return checks.findings_long(long, d.rules, validation_id=VALIDATION_NEW, schema_version=SCHEMA_VERSION)
+    records = None
+    for node, props in _MAP_PROPS.items():
+        part = checks.to_map(node_records(spark, sf_dir, node), node, ["submitter_id", *props])
+        records = part if records is None else records.unionByName(part)
+    return checks.findings_map(records, testdata_rules(spark), validation_id=VALIDATION_NEW,
+                               schema_version=SCHEMA_VERSION)
 
 
 # --- check_additional_keys ----------------------------------------------------------
@@ -281,7 +282,7 @@ UNION SELECT 'events'
 
 
 def _event_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = event_records(spark, sf_dir).join(table(spark, sf_dir, "events").select("event_id", "user_id"), "event_id")
+    e = event_records(spark, sf_dir)
     c = table(spark, sf_dir, "customer").select((F.col("c_custkey") * 2).alias("k"))
     return checks.link_findings(e, c, child_node="event", link_name="customers", child_fk="user_id",
                                 parent_key="k", validation_id=VALIDATION_NEW, schema_version=SCHEMA_VERSION)
@@ -403,7 +404,7 @@ query("gate_signatures", _gate_sql(_results_sql()))(
 # promoted newest-per-hash, shaped to silver, checked against the dictionary,
 # results with PASS markers, and the gate's failure signatures.
 
-_FLAG_RULES = ("required", "enum", "minimum", "pattern")
+_FLAG_RULES = ("required", "type", "enum", "minimum", "pattern")
 
 
 def flagship_gate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Data dictionary loading (S12, V7) and the node-link graph input of T5.
 
-The dictionary is one JSON document (metadata-sized):
+The dictionary is one JSON document, or several that refer to each other
+(metadata-sized):
 
     {"_version": "1.0.0",
      "_definitions": {"<name>": {<property schema>}, ...},
@@ -8,34 +9,30 @@ The dictionary is one JSON document (metadata-sized):
                 "properties": {"<prop>": {"type", "enum", "minimum", "maximum",
                                           "pattern", "format", "minItems",
                                           "$ref": "#/_definitions/<name>"}},
-                "links": [{"name", "target_type", "required"}]}}
-
-It is parsed with Spark's JSON functions into three DataFrames: ``rules``
-(node, property, validator, value, schema_path), ``links`` (child, parent,
-name, required) and ``ref_errors`` (V7: unresolved ``$ref`` naming ref and
-file). ``$ref`` properties are resolved by a lookup in the definitions map,
-so the whole parse is one narrow pipeline.
+                "links": [{"name", "target_type", "required"},
+                          {"required", "subgroup": [<links>]}]}}
+
+It becomes DataFrames: ``rules`` (node, property, validator, value,
+schema_path), ``links`` (child, parent, name, required, subgroup, where a
+subgroup names links of which one is enough), ``nodes`` and ``ref_errors``
+(V7: whatever could not be read or resolved, naming the place). A ``$ref`` may
+lead through further refs and into other files (``file.json#/path``); keywords
+beside a ref win over those it leads to.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PROPERTY_SCHEMA = (
-    "struct<type:string, enum:array<string>, minimum:string, maximum:string, pattern:string, "
-    "format:string, minItems:string, `$ref`:string>"
-)
-NODE_SCHEMA = (
-    f"struct<required:array<string>, properties:map<string,{PROPERTY_SCHEMA}>, "
-    "links:array<struct<name:string, target_type:string, required:boolean>>>"
-)
 # The property validators, in the order their findings are listed.
 VALIDATORS = ("type", "enum", "minimum", "maximum", "pattern", "format", "minItems")
-REF_PATTERN = r"^#/_definitions/(.+)$"
+# An object with one of these keys is a node's schema.
+NODE_KEYWORDS = frozenset({"properties", "links", "required", "additionalProperties", "type", "id", "title"})
 
 
 @dataclass
@@ -47,64 +44,128 @@ class Dictionary:
     version: DataFrame
 
 
-def _from_text(raw: DataFrame, source: str) -> Dictionary:
-    # One narrow pipeline, no shuffle: the definitions travel with each node
-    # as a map column and ``$ref`` is resolved by a map lookup.
-    top = raw.select(F.from_json("value", "map<string,string>").alias("top"))
-    version = top.select(F.col("top")["_version"].alias("schema_version"))
-    with_defs = top.select(
-        F.coalesce(F.from_json(F.col("top")["_definitions"], f"map<string,{PROPERTY_SCHEMA}>"),
-                   F.create_map().cast(f"map<string,{PROPERTY_SCHEMA}>")).alias("defs"),
-        F.explode("top").alias("key", "raw"))
-    nodes = (with_defs.filter(~F.col("key").startswith("_"))
-             .select(F.col("key").alias("node"), "defs", F.from_json("raw", NODE_SCHEMA).alias("spec")))
-    props = nodes.select("node", "defs", F.explode("spec.properties").alias("property", "schema"))
-    ref = F.col("schema")["$ref"]
-    resolved = props.select("node", "property", "schema", ref.alias("ref"),
-                            F.element_at("defs", F.regexp_extract(ref, REF_PATTERN, 1)).alias("def"))
-    ref_errors = (resolved.filter(F.col("ref").isNotNull() & F.col("def").isNull())
-                  .select("node", "property", "ref",
-                          F.format_string("unresolved $ref '%s' in %s (node '%s', property '%s')",
-                                          F.col("ref"), F.lit(source), F.col("node"),
-                                          F.col("property")).alias("error")))
-
-    def pick(field):
-        # Local keyword wins over the referenced definition.
-        own = F.col("schema")[field]
-        ref_val = F.col("def")[field]
-        if field == "enum":
-            return F.when(own.isNotNull(), F.to_json(own)).otherwise(F.to_json(ref_val))
-        return F.coalesce(own, ref_val)
-
-    per_validator = resolved.select(
-        "node", "property",
-        F.explode(F.array(*[F.struct(F.lit(v).alias("validator"), pick(v).alias("value")) for v in VALIDATORS]))
-        .alias("r"))
-    rules = (per_validator.filter(F.col("r.value").isNotNull())
-             .select("node", "property", F.col("r.validator").alias("validator"), F.col("r.value").alias("value"),
-                     F.concat_ws("/", F.col("node"), F.lit("properties"), F.col("property"),
-                                 F.col("r.validator")).alias("schema_path")))
-    required = (nodes.select("node", F.explode("spec.required").alias("property"))
-                .select("node", "property", F.lit("required").alias("validator"), F.lit(None).cast("string").alias("value"),
-                        F.concat_ws("/", F.col("node"), F.lit("required")).alias("schema_path")))
-    links = (nodes.select(F.col("node").alias("child"), F.explode("spec.links").alias("l"))
-             .select("child", F.col("l.target_type").alias("parent"), F.col("l.name").alias("name"),
-                     F.coalesce(F.col("l.required"), F.lit(False)).alias("required")))
-    return Dictionary(rules=required.unionByName(rules), links=links, nodes=nodes.select("node"),
-                      ref_errors=ref_errors, version=version)
+class _Unresolved(Exception):
+    pass
+
+
+class _Documents:
+    """The parsed files by name; ``#/...`` within a file stays in that file."""
+
+    def __init__(self, texts: dict[str, str]):
+        self.docs: dict[str, dict] = {}
+        self.broken: list[str] = []
+        for name, text in sorted(texts.items()):
+            try:
+                doc = json.loads(text, parse_int=str, parse_float=str)  # numbers keep their spelling
+                if not isinstance(doc, dict):
+                    raise ValueError("not a JSON object")
+                self.docs[name] = doc
+            except ValueError as exc:
+                self.broken.append(f"unreadable dictionary file '{name}': {exc}")
+
+    def follow(self, file: str, ref: str) -> tuple[str, dict]:
+        name, hash_, path = ref.partition("#")
+        target = name or file
+        # A bundle may hold another file under its name in the same document.
+        at = self.docs.get(target, self.docs[file].get(target) if target != file else None)
+        if not hash_ or at is None:
+            raise _Unresolved
+        for part in (p for p in path.split("/") if p):
+            if not isinstance(at, dict) or part not in at:
+                raise _Unresolved
+            at = at[part]
+        if not isinstance(at, dict):
+            raise _Unresolved
+        return target if target in self.docs else file, at
+
+    def merged(self, file: str, schema: dict, seen: tuple = ()) -> dict:
+        """The schema with its chain of refs laid under its own keywords."""
+        ref = schema.get("$ref")
+        if ref is None:
+            return schema
+        if (file, ref) in seen:
+            raise _Unresolved(f"circular $ref '{ref}'")
+        try:
+            where, target = self.follow(file, str(ref))
+        except _Unresolved:
+            raise _Unresolved(f"unresolved $ref '{ref}'") from None
+        under = self.merged(where, target, (*seen, (file, ref)))
+        return {**under, **{k: v for k, v in schema.items() if k != "$ref"}}
+
+
+def _value_text(validator: str, value) -> str:
+    if validator == "enum" and isinstance(value, list):
+        value = [v if v is None or isinstance(v, str) else json.dumps(v) for v in value]
+    return value if isinstance(value, str) else json.dumps(value, separators=(",", ":"), ensure_ascii=False)
+
+
+def _link_rows(node: str, links, group: str | None = None) -> Iterator[tuple]:
+    for i, link in enumerate(links or []):
+        if isinstance(link, dict) and "subgroup" in link:
+            name = f"{group or node + '/links'}/{i}"
+            yield from _link_rows(node, link["subgroup"], name if _truthy(link.get("required")) else None)
+        else:
+            yield node, link, group
+
+
+def _truthy(value) -> bool:
+    return value is True or str(value).lower() == "true"
+
+
+def _build(spark: SparkSession, texts: dict[str, str]) -> Dictionary:
+    docs = _Documents(texts)
+    rules, links, nodes, errors, version = [], [], [], [], None
+    errors += [(None, None, None, message) for message in docs.broken]
+    for file, doc in docs.docs.items():
+        version = doc.get("_version", version)
+        for node, spec in doc.items():
+            if node.startswith("_") or node in docs.docs or node.endswith((".json", ".yaml")):
+                continue
+            if isinstance(spec, dict) and spec and not NODE_KEYWORDS & spec.keys():
+                continue  # a group of definitions
+            nodes.append(node)
+            if not isinstance(spec, dict):
+                errors.append((node, None, None, f"node '{node}' in {file} is not an object"))
+                continue
+            rules += [(node, p, "required", None, f"{node}/required") for p in spec.get("required") or []]
+            for prop, schema in (spec.get("properties") or {}).items():
+                at = f"{file} (node '{node}', property '{prop}')"
+                if not isinstance(schema, dict):
+                    errors.append((node, prop, None, f"schema in {at} is not an object"))
+                    continue
+                try:
+                    full = docs.merged(file, schema)
+                except _Unresolved as exc:
+                    errors.append((node, prop, str(schema.get("$ref")), f"{exc} in {at}"))
+                    continue
+                rules += [(node, prop, v, _value_text(v, full[v]), f"{node}/properties/{prop}/{v}")
+                          for v in VALIDATORS if full.get(v) is not None]
+            for child, link, group in _link_rows(node, spec.get("links")):
+                if not isinstance(link, dict) or not link.get("name") or not link.get("target_type"):
+                    errors.append((node, None, None, f"link without name or target_type in {file} (node '{node}')"))
+                else:
+                    links.append((child, link["target_type"], link["name"], _truthy(link.get("required")), group))
+    known = set(nodes)
+    errors += [(c, n, None, f"link '{n}' of node '{c}' targets unknown node '{p}'") for c, p, n, *_ in links if p not in known]
+    return Dictionary(
+        rules=spark.createDataFrame(rules, "node string, property string, validator string, value string, schema_path string"),
+        links=spark.createDataFrame(links, "child string, parent string, name string, required boolean, subgroup string"),
+        nodes=spark.createDataFrame([(n,) for n in dict.fromkeys(nodes)], "node string"),
+        ref_errors=spark.createDataFrame(errors, "node string, property string, ref string, error string"),
+        version=spark.createDataFrame([(version,)], "schema_version string"))
 
 
 def read_dictionary(spark: SparkSession, path: str) -> Dictionary:
-    """Load one dictionary file with Spark (``wholetext``)."""
-    raw = spark.read.text(path, wholetext=True)
-    return _from_text(raw, path)
+    """The dictionary file at ``path``, or all files of a folder or glob
+    (read with Spark, so any store it knows will do)."""
+    rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("f"), "value").collect()
+    return _build(spark, {r.f: r.value for r in rows})
 
 
 def dictionary_from_obj(spark: SparkSession, obj: dict, source: str = "<inline>") -> Dictionary:
     """Same as :func:`read_dictionary` for an in-memory document (tests,
     dictionaries shipped with the library)."""
-    raw = spark.createDataFrame([(json.dumps(obj),)], "value string")
-    return _from_text(raw, source)
+    return _build(spark, {source: json.dumps(obj)})
 
 
 def links_frame(spark: SparkSession, links: list[tuple[str, str]]) -> DataFrame:

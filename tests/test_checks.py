@@ -150,13 +150,82 @@ def test_validate_job_broken_ref_writes_error_rows_then_raises(spark, tmp_dir):
     assert sorted(r.study_id for r in rows) == ["st", "st2"] and all(r.validation_result == "ERROR" for r in rows)
 
 
-def test_long_form_matches_compiled_checks(spark):
+def test_map_form_matches_compiled_checks(spark):
     d = dictionary_from_obj(spark, _good_dict())
     rules = checks.collect_rules(d.rules)
     recs = _records(spark)
+    recs = recs.unionByName(recs.filter("submitter_id = 's3'").withColumn("sex", F.lit("F")))  # a repeated id
     compiled = checks.findings_for_node(recs, "subject", rules, validation_id="v", schema_version="1")
-    long = checks.to_long(recs, "subject", ["submitter_id", "sex", "age", "code", "dob"])
-    via_long = checks.findings_long(long, d.rules, validation_id="v", schema_version="1")
+    maps = checks.to_map(recs, "subject", ["submitter_id", "sex", "age", "code", "dob"])
+    via_map = checks.findings_map(maps, rules, validation_id="v", schema_version="1")
+
     def key(df):
         return sorted(tuple(r) for r in df.select(*checks.RESULT_COLUMNS).collect())
-    assert key(compiled) == key(via_long)
+    assert key(compiled) == key(via_map)
+    assert "Exchange" not in via_map._jdf.queryExecution().executedPlan().toString()
+
+
+def _errors(spark, schema, rows, columns):
+    d = dictionary_from_obj(spark, {"_version": "1", **schema})
+    df = spark.createDataFrame(rows, columns)
+    f = checks.findings_for_node(df, "n", checks.collect_rules(d.rules), validation_id="v", schema_version="1")
+    return sorted((r.submitter_id, r.invalid_key, r.validator) for r in f.collect()), d
+
+
+def test_long_enum_and_null_in_enum(spark):
+    many = [f"v{i}" for i in range(201)]
+    got, _ = _errors(spark, {"n": {"properties": {"a": {"enum": many}, "b": {"enum": ["x", None]}}}},
+                     [("1", "s", "v200", "x"), ("2", "s", "zzz", None), ("3", "s", None, "y")],
+                     "submitter_id string, study_id string, a string, b string")
+    assert got == [("2", "a", "enum"), ("3", "b", "enum")]
+
+
+def test_type_names_lists_and_absent_properties(spark):
+    props = {"i": {"type": "integer"}, "s": {"type": "string"}, "m": {"type": ["string", "null"]}, "absent": {"type": "string"},
+             "a": {"type": "array"}, "o": {"type": "object"}, "z": {"type": ["integer", "boolean"]}}
+    got, _ = _errors(spark, {"n": {"properties": props}}, [
+        ("1", "s", "3.0", "x", None, "[1, 2]", '{"k": 1}', "true"),
+        ("2", "s", "3.5", None, "y", "no", "[1]", "7"),
+        ("3", "s", "1e3", "5", "y", "[]", "{}", "x")],
+        "submitter_id string, study_id string, i string, s string, m string, a string, o string, z string")
+    assert got == [("2", "a", "type"), ("2", "i", "type"), ("2", "o", "type"), ("2", "s", "type"), ("3", "z", "type")]
+    got, _ = _errors(spark, {"n": {"properties": {"a": {"type": "array"}, "s": {"type": "string"}}}}, [("1", "s", ["x"], 5)],
+                     "submitter_id string, study_id string, a array<string>, s int")
+    assert got == [("1", "s", "type")]
+
+
+def test_ranges_without_a_ceiling_and_formats(spark):
+    props = {"x": {"maximum": 5, "minimum": -1e40}, "e": {"format": "email"}, "u": {"format": "uri"}, "t": {"format": "date-time"}}
+    got, _ = _errors(spark, {"n": {"properties": props}}, [
+        ("1", "s", "1e30", "a@b.org", "anything", "2020-01-01T00:00:00Z"), ("2", "s", "5.00000000001", "nobody", "x", "x"),
+        ("3", "s", "5", None, None, None), ("4", "s", "-1e41", "a@b", "", "2020-01-01")],
+        "submitter_id string, study_id string, x string, e string, u string, t string")
+    assert got == [("1", "x", "maximum"), ("2", "e", "format"), ("2", "t", "format"), ("2", "x", "maximum"), ("4", "x", "minimum")]
+
+
+def test_refs_through_refs_and_files(spark, tmp_dir):
+    import json
+
+    from strata.sources.dictionary import read_dictionary
+    main = {"_version": "3", "_definitions": {"a": {"$ref": "#/_definitions/b", "maximum": 9}, "b": {"$ref": "terms.json#/deep/int"},
+                                              "loop": {"$ref": "#/_definitions/loop"}},
+            "n": {"properties": {"x": {"$ref": "#/_definitions/a"}, "y": {"$ref": "#/_definitions/loop"},
+                                 "z": {"$ref": "terms.json#/deep/none"}},
+                  "links": [{"name": "ps", "target_type": "p", "required": True},
+                            {"required": True, "subgroup": [{"name": "qs", "target_type": "q"}, {"name": "bad", "target_type": "nowhere"}]},
+                            {"name": "no target"}]},
+            "p": {}, "q": []}
+    terms = {"_terms": {}, "deep": {"int": {"type": "integer", "maximum": 3}}}
+    for name, doc in (("main.json", main), ("terms.json", terms)):
+        with open(f"{tmp_dir}/{name}", "w") as fh:
+            json.dump(doc, fh)
+    with open(f"{tmp_dir}/torn.json", "w") as fh:
+        fh.write('{"half": ')
+    d = read_dictionary(spark, tmp_dir)
+    rules = {(r.property, r.validator): r.value for r in d.rules.filter("node = 'n'").collect()}
+    assert rules == {("x", "type"): "integer", ("x", "maximum"): "9"}
+    errors = sorted(r.error for r in d.ref_errors.collect())
+    for part in ("circular", "terms.json#/deep/none", "torn.json", "unknown node 'nowhere'", "link without name", "'q' in main.json"):
+        assert any(part in e for e in errors), part
+    assert {(r.name, r.required, r.subgroup is not None) for r in d.links.collect()} == \
+        {("ps", True, False), ("qs", False, True), ("bad", False, True)}
