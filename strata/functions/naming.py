@@ -39,7 +39,7 @@ def safe_names(headers, reserved: tuple[str, ...] = ()) -> Column:
     """
     init = F.array(*[F.lit(r) for r in reserved]) if reserved else F.array().cast("array<string>")
     folded = F.aggregate(_col(headers), init, lambda taken, h: F.concat(taken, F.array(_first_free(taken, h))))
-    return F.slice(folded, len(reserved) + 1, 1 << 20) if reserved else folded
+    return F.slice(folded, F.lit(len(reserved) + 1), F.size(folded)) if reserved else folded
 
 
 def _first_free(taken: Column, header: Column) -> Column:
@@ -92,7 +92,7 @@ def study_from_path(key, prefix: str = DEFAULT_PREFIX) -> Column:
     ``unassigned``."""
     k = _col(key)
     rest = F.when(k.startswith(prefix),
-                  F.regexp_replace(F.substring(k, len(prefix) + 1, 1 << 30), r"^/+", "")) \
+                  F.regexp_replace(F.substr(k, F.lit(len(prefix) + 1)), r"^/+", "")) \
         .otherwise(k)
     parts = F.filter(F.split(rest, "/", -1), lambda p: p != "")
     return F.when(F.size(parts) > 1, F.element_at(parts, 1)).otherwise(F.lit(UNASSIGNED_STUDY))

@@ -1,23 +1,28 @@
 """The pipeline's jobs, composed from the operators: ingest (deposits ->
-bronze), validate (silver -> results -> gate) and release (ledger -> JSON at
-pins). Each is one or a few Spark plans; the driver only handles run
-parameters and metadata-sized lists (tables, models, the dictionary).
+bronze), dump (silver at its latest snapshot -> JSON records), validate
+(records -> results -> gate) and release (ledger -> JSON at pins). Each is one
+or a few Spark plans; the driver only handles run parameters and
+metadata-sized lists (tables, models, the dictionary). Units that do not
+depend on each other (tables, models) run side by side, every unit is tried,
+and what failed is raised by name after the others are written.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions import ids
-from strata.functions.text import exception_text
-from strata.operators import checks, gate, landing, release
+from strata.extend import custom_check
+from strata.functions import ids, naming
+from strata.operators import checks, gate, landing, release, tables
+from strata.session import scratch_path
 from strata.sinks import writers
+from strata.sources import files
 from strata.sources.dictionary import Dictionary
-from strata.session import scratch_path
-from strata.sources.workbook import ingest_workbooks
+from strata.sources.workbook import read_workbooks
 
 
 class GateFailed(RuntimeError):
@@ -28,146 +33,317 @@ class GateFailed(RuntimeError):
         self.signatures = signatures
 
 
+# ------------------------------------------------------------------- ingest
+
+FINDING_ROWS = "__findings"
+
+
+@dataclass
+class Landed:
+    """One run's parsed deposits, staged once: bronze rows by table, and the
+    findings."""
+    spark: SparkSession
+    path: str
+    rows: DataFrame
+    headers: dict[str, list[str]]
+    report: DataFrame
+    failed: list[str]
+
+    @property
+    def tables(self) -> list[str]:
+        return sorted(self.headers)
+
+    @property
+    def findings(self) -> DataFrame:
+        """File failures and missing sheets (as parsed), and headers that were
+        renamed or landed under several names."""
+        own = self.rows.filter(F.col("table_name") == FINDING_ROWS) \
+            .select("file", "study_id", "node", "sheet", "error", "severity")
+        names = landing.header_name_report(self.rows.filter(F.col("table_name") != FINDING_ROWS)).select(
+            F.lit(None).cast("string").alias("file"), F.lit(None).cast("string").alias("study_id"),
+            F.col("table_name").alias("node"), F.lit(None).cast("string").alias("sheet"),
+            F.concat(F.lit("header '"), F.col("header"), F.lit("' stands under "), F.array_join("safe_names", ", ")).alias("error"),
+            F.lit("info").alias("severity"))
+        return own.unionByName(names)
+
+    def table(self, name: str) -> DataFrame:
+        """One bronze table's rows, widened to its columns (one partition)."""
+        return landing.widen(self.rows.filter(F.col("table_name") == name), self.headers[name])
+
+    def remove(self) -> None:
+        """Delete the staging folder of this run."""
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def _landing_rows(landed: DataFrame, batch_id: str, ingested_at: str) -> DataFrame:
+    """Parsed rows in bronze map form; findings are rows of a table of their
+    own. One row per table and row hash (W3)."""
+    cells = landing.bronze_from_cells(landed, batch_id=batch_id, ingested_at=ingested_at,
+                                      keep=("file", "study_id", "sheet", "headers", "error", "severity"))
+    finding = F.col("error").isNotNull()
+    return cells.withColumn("table_name", F.when(finding, F.lit(FINDING_ROWS)).otherwise(F.col("table_name"))) \
+        .withColumn("__once", F.when(finding, F.concat_ws("|", "file", "sheet", "node", "error"))) \
+        .dropDuplicates(["table_name", "row_hash", "__once"]).drop("__once")
+
+
+def _summary(rows: DataFrame) -> tuple[dict[str, list[str]], list[tuple], list[str]]:
+    """(columns per table, report rows, failed files) in one aggregation; what
+    reaches the driver is one row per table and per failed file."""
+    failed = F.when((F.col("table_name") == FINDING_ROWS) & (F.col("severity") == "error"), F.col("file"))
+    got = rows.groupBy("table_name", failed.alias("failed")).agg(
+        F.count(F.lit(1)).alias("n"), F.collect_set(F.map_keys("safe_cells")).alias("layouts")).collect()
+    headers = {r.table_name: sorted({c for x in r.layouts for c in x}) for r in got if r.table_name != FINDING_ROWS}
+    report = [(r.table_name, r.n, headers[r.table_name]) for r in got if r.table_name != FINDING_ROWS]
+    return headers, sorted(report), sorted(r.failed for r in got if r.failed is not None)
+
+
+_REPORT = "table_name string, n_rows bigint, columns array<string>"
+
+
+def stage_landing(spark: SparkSession, landed: DataFrame, *, batch_id: str, ingested_at: str) -> Landed:
+    """Parse once: data and findings are written together to the shared
+    scratch folder, partitioned by target table (rebalanced, so files follow
+    sizes and not tasks x tables). Everything after reads the staged rows."""
+    path = scratch_path(spark, f"landing/{writers.new_run_key()}")
+    _landing_rows(landed, batch_id, ingested_at).hint("rebalance", "table_name") \
+        .write.partitionBy("table_name").parquet(path)
+    rows = spark.read.parquet(path)
+    headers, report, failed = _summary(rows)
+    return Landed(spark, path, rows, headers, spark.createDataFrame(report, _REPORT), failed)
+
+
+def write_bronze_tables(staged: Landed, bronze_root: str, fmt: str = "parquet", run_key: str | None = None) -> None:
+    """K1: one append per bronze table, several at a time."""
+    key = run_key or writers.new_run_key()
+    bad = writers.run_units(staged.tables, lambda t: writers.append_bronze(
+        staged.table(t), f"{bronze_root.rstrip('/')}/{t}", fmt, run_key=key))
+    if bad:
+        raise writers.PartialFailure(f"{len(bad)} bronze table(s) not written: "
+                                     + writers.name_some([f"{t} ({e})" for t, e in bad]))
+
+
 def ingest(spark: SparkSession, deposit_root: str, bronze_root: str, *, prefix: str = "submissions",
            study: str | None = None, batch_marker: str | None = None, dry_run: bool = False,
-           fmt: str = "parquet") -> DataFrame:
+           fmt: str = "parquet", findings_path: str | None = None) -> DataFrame:
     """Deposits -> one bronze table per (study, node), appended under a new
-    batch. Returns the per-table report (rows, columns). Good workbooks are
-    written before the job raises naming the failed ones."""
-    batch = ids.batch_id(batch_marker)
-    at = ids.ingested_at()
-    data, findings = ingest_workbooks(spark, deposit_root, prefix, study)
-    cells = landing.bronze_from_cells(data, batch_id=batch, ingested_at=at)
-    staged, headers = stage_landing(spark, cells, batch)
-    report = staged.groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rows"))
-    failed = [r["file"] for r in findings.filter(F.col("severity") == "error").select("file").distinct().collect()]
-    if not headers and failed:
-        raise writers.PartialFailure(f"no workbook parsed successfully; {len(failed)} failed: {sorted(failed)}")
-
-    def write() -> None:
-        if not dry_run:
-            write_bronze_tables(staged, headers, bronze_root, fmt)
-    writers.write_then_raise(write, failed, "workbook")
-    return report
-
-
-def stage_landing(spark: SparkSession, cells: DataFrame, batch: str) -> tuple[DataFrame, dict[str, list[str]]]:
-    """Parse once: the landing form (W3 applied) is written to the shared
-    checkpoint folder partitioned by target table. That cuts the lineage
-    (executor loss does not re-run the Python stage) and lets each table's
-    append read only its own partition. Returns the staged rows and each
-    table's columns (metadata-sized)."""
-    staging = scratch_path(spark, f"landing/{batch}")
-    cells.dropDuplicates(["table_name", "row_hash"]).write.mode("overwrite") \
-        .partitionBy("table_name").parquet(staging)
-    staged = spark.read.parquet(staging)
-    headers = {r["table_name"]: r["columns"] for r in landing.header_names_per_table(staged).collect()}
-    return staged, headers
-
-
-def bronze_table(staged: DataFrame, headers: dict[str, list[str]], table_name: str) -> DataFrame:
-    """One bronze table's rows, widened to its columns (one staged partition)."""
-    return landing.widen(staged.filter(F.col("table_name") == table_name), headers[table_name])
-
-
-def write_bronze_tables(staged: DataFrame, headers: dict[str, list[str]], bronze_root: str,
-                        fmt: str = "parquet") -> None:
-    """K1: one append per bronze table (tables are metadata-sized)."""
-    for table_name in sorted(headers):
-        writers.append_bronze(bronze_table(staged, headers, table_name),
-                              f"{bronze_root.rstrip('/')}/{table_name}", fmt)
+    batch. Returns the per-table report (rows, columns). Failures, missing
+    sheets and renamed headers are appended to ``findings_path`` (by default
+    ``<bronze_root>-findings``); good workbooks are written before the job
+    raises naming failed ones. A dry run parses and reports, and writes
+    nothing."""
+    batch, at = ids.batch_id(batch_marker), ids.ingested_at()
+    landed = read_workbooks(spark, deposit_root, prefix, study)
+    if dry_run:
+        _, report, failed = _summary(_landing_rows(landed, batch, at))
+        if failed:
+            raise writers.PartialFailure(f"{len(failed)} workbook(s) would fail: {writers.name_some(failed)}")
+        return spark.createDataFrame(report, _REPORT)
+    staged = stage_landing(spark, landed, batch_id=batch, ingested_at=at)
+    try:
+        writers.append_bronze(staged.findings.withColumn(writers.BRONZE_PARTITION, F.lit(batch)),
+                              findings_path or bronze_root.rstrip("/") + "-findings", fmt)
+        write_bronze_tables(staged, bronze_root, fmt)
+    finally:
+        staged.remove()
+    if staged.failed:
+        raise writers.PartialFailure(
+            ("no workbook could be read: " if not staged.tables else "") +
+            f"{len(staged.failed)} workbook(s) failed: {writers.name_some(staged.failed)}")
+    return staged.report
+
+
+# --------------------------------------------------------------------- dump
+
+def dump(spark: SparkSession, names: DataFrame, read_table: Callable[[str], DataFrame], out_root: str, *,
+         target: str = "real", exclude: str = "", validation_id: str | None = None) -> str:
+    """Silver tables -> JSON records for a validation run, under the target's
+    key prefix: ``<out_root>/<prefix>/study_id=/validation_id=/table_name=/
+    snapshot_id=``. ``names`` lists the layer's tables (``table_name``);
+    helper tables and those in ``exclude`` (a comma list) are left out; each
+    table is read at its latest snapshot (column ``snapshot_id``). Tables
+    whose name holds no study, and tables that could not be read, are raised
+    by name after the others are written. Returns the validation id."""
+    settings = tables.target(target)
+    vid = validation_id or ids.validation_id()
+    todo = tables.export_candidates(names, tables.parse_exclude_list(spark, exclude)).select(
+        "table_name", naming.study_from_table("table_name").alias("study_id")).distinct().collect()
+    root = f"{out_root.rstrip('/')}/{settings['key_prefix']}"
+
+    def one(row) -> None:
+        if not row.study_id:
+            raise ValueError(f"no study in the name of table '{row.table_name}'")
+        records = release.read_latest(read_table(row.table_name)).withColumns({
+            "study_id": F.lit(row.study_id), "validation_id": F.lit(vid), "table_name": F.lit(row.table_name),
+            "snapshot_id": F.col("snapshot_id").cast("string")})
+        writers.dump_json(records, root)
+    bad = writers.run_units(todo, one)
+    if bad:
+        raise writers.PartialFailure(f"{len(bad)} table(s) not dumped: "
+                                     + writers.name_some([f"{r.table_name} ({e})" for r, e in bad]))
+    return vid
+
+
+def read_dump(spark: SparkSession, out_root: str, validation_id: str, *, target: str = "real"
+              ) -> tuple[dict[str, DataFrame], DataFrame]:
+    """A dump run's records per node and its studies. The node is what follows
+    the study in a table's name (``silver_<study>_<node>``); nodes of several
+    studies are stacked by name."""
+    root = f"{out_root.rstrip('/')}/{tables.target(target)['key_prefix']}"
+    listed = files.list_validation_artifacts(spark, root).filter(F.col("validation_id") == validation_id)
+    keys = listed.select("study_id", "table_name", "snapshot_id").distinct().collect()  # one row a table
+    by_node: dict[str, DataFrame] = {}
+    for k in keys:
+        path = f"{root}/study_id={k.study_id}/validation_id={validation_id}/table_name={k.table_name}/snapshot_id={k.snapshot_id}"
+        df = spark.read.json(path).withColumn("study_id", F.lit(k.study_id))
+        node = k.table_name.split("_", 2)[2] if k.table_name.count("_") > 1 else k.table_name
+        by_node[node] = df if node not in by_node else by_node[node].unionByName(df, allowMissingColumns=True)
+    return by_node, gate.run_studies(listed, validation_id)
+
+
+# ----------------------------------------------------------------- validate
+
+#: A custom check: its name, when a record fails, and the message.
+CustomCheck = tuple[str, Column, Column]
+
+
+def _node_findings(records: Mapping[str, DataFrame], node: str, rules: list, named: set, links: list, *, vid: str,
+                   version: str, custom: Sequence[CustomCheck], root_node: str | None) -> DataFrame:
+    """All findings of one node's records: rules, keys the dictionary does not
+    know, links, the root's requirement and custom checks."""
+    df = records[node]
+    keep = {"validation_id": vid, "schema_version": version}
+    parts = [checks.findings_for_node(df, node, rules, **keep)]
+    own = [x for x in links if x.child == node]
+    known = {p for n, p in named if n == node} | {c for x in own for c in checks.link_columns(x.name)}
+    parts.append(checks.additional_columns(df, node, known, **keep))
+    parts += checks.dictionary_links(records, node, own, **keep)
+    if node == root_node:
+        parts.append(checks.root_requirement(df, node, **keep))
+    parts += [custom_check(df, node=node, name=name, fails=fails, message=message, **keep) for name, fails, message in custom]
+    return checks.assemble_results(parts)
 
 
 def validate(spark: SparkSession, records: Mapping[str, DataFrame], dictionary: Dictionary, *, results_path: str,
              studies: DataFrame, validation_id: str | None = None, policy: gate.GatePolicy = gate.GatePolicy(),
              schema_version: str | None = None, csv_path: str | None = None,
              typed_records: DataFrame | None = None, root_node: str | None = None,
-             policy_path: str | None = None) -> DataFrame | None:
-    """Silver records per node -> findings, ERROR rows, PASS markers -> one
-    results append -> gate. ``typed_records`` (node, submitter_id, study_id)
-    feeds the unknown-node check. Raises :class:`GateFailed` after writing.
-    With no studies nothing is written and the gate is skipped (F11)."""
+             policy_path: str | None = None, custom: Mapping[str, Sequence[CustomCheck]] | None = None
+             ) -> DataFrame | None:
+    """Records per node -> findings, ERROR rows, PASS markers -> one results
+    append -> gate. ``typed_records`` (node, submitter_id, study_id) feeds the
+    unknown-node check; a node of ``records`` that the dictionary lacks gives
+    an ERROR row per study. ``custom`` holds further checks per node.
+
+    Nodes are checked side by side and staged. Where a node's data cannot be
+    read, its studies are checked one by one, a study that fails gets one
+    ERROR row and no PASS marker, and all others are judged; everything is
+    written in one append before the job raises, naming the failed studies.
+    Raises :class:`GateFailed` after writing. With no studies nothing is
+    written and the gate is skipped (F11)."""
     if studies.isEmpty():
         return None
     vid = validation_id or ids.validation_id()
     version = schema_version or (dictionary.version.first()["schema_version"] or "")
+    all_studies = [r.study_id for r in studies.select("study_id").distinct().collect()]  # run-sized
     broken = [r["error"] for r in dictionary.ref_errors.collect()]  # dictionary-sized
     if broken:
         # The schema does not resolve, so nothing can be checked. Each
         # study gets an ERROR row; the rows are written before the job raises.
         err = ValueError("; ".join(sorted(broken)))
-        rows = studies.select("study_id").distinct().select(
-            F.lit(vid).alias("validation_id"), F.lit(None).cast("bigint").alias("index"),
-            F.lit(None).cast("string").alias("node"), "study_id", F.lit("ERROR").alias("validation_result"),
-            *[F.lit(None).cast("string").alias(c) for c in ("invalid_key", "schema_path", "validator",
-                                                             "validator_value")],
-            exception_text(F.lit(type(err).__name__), F.lit(str(err))).alias("validation_error"),
-            F.lit(version).alias("schema_version"), F.lit(None).cast("string").alias("submitter_id"))
-        writers.append_results(rows, results_path)
+        writers.append_results(checks.error_rows(spark, [(s, err) for s in all_studies], validation_id=vid,
+                                                 schema_version=version), results_path)
         raise err
-    rules = checks.collect_rules(dictionary.rules)
-    parts = [checks.findings_for_node(df, node, rules, validation_id=vid, schema_version=version)
-             for node, df in records.items()]
+    rules, links = checks.collect_rules(dictionary.rules), dictionary.links.collect()
+    named = {(r.node, r.property) for r in dictionary.properties.collect()}
+    known = {r.node for r in dictionary.nodes.collect()}
+    staging = scratch_path(spark, f"validate/{writers.new_run_key()}")
+    failed: dict[str, Exception] = {}
+
+    def found(node: str, study: str | None = None) -> DataFrame:
+        use = records if study is None else {**records, node: records[node].filter(F.col("study_id") == study)}
+        if node not in known:
+            typed = use[node].select(F.lit(node).alias("node"), F.col("submitter_id").cast("string"), "study_id")
+            return checks.unknown_nodes(typed, dictionary.nodes, validation_id=vid, schema_version=version)
+        return _node_findings(use, node, rules, named, links, vid=vid, version=version,
+                              custom=(custom or {}).get(node, ()), root_node=root_node)
+
+    bad = writers.run_units(list(records), lambda n: found(n).write.parquet(f"{staging}/all/node={n}"))
+    for node, _ in bad:  # the rest of that node's studies still count
+        for study, error in writers.run_units(all_studies, lambda s, n=node: found(n, s).write.parquet(f"{staging}/each/node={n}/study={s}")):
+            failed.setdefault(study, error)
+    parts = [checks.empty_results(spark)]
+    good = [n for n in records if n not in {n for n, _ in bad}]
+    parts += [spark.read.schema(checks.RESULT_SCHEMA).parquet(f"{staging}/all/node={n}") for n in good]
+    parts += [spark.read.schema(checks.RESULT_SCHEMA).parquet(f"{staging}/each/node={n}/study={s}")
+              for n, _ in bad for s in all_studies if s not in failed]
     if typed_records is not None:
-        parts.append(checks.unknown_nodes(typed_records, dictionary.nodes, validation_id=vid,
-                                          schema_version=version))
-    if root_node is not None and root_node in records:
-        parts.append(checks.root_requirement(records[root_node], root_node, validation_id=vid,
-                                             schema_version=version))
-    found = checks.assemble_results(parts).checkpoint(eager=True)  # used by results and PASS markers
-    marks = checks.pass_markers(studies, found, validation_id=vid, schema_version=version)
-    results = checks.assemble_results([found, marks])
-    writers.append_results(results, results_path)
+        parts.append(checks.unknown_nodes(typed_records, dictionary.nodes, validation_id=vid, schema_version=version))
+    if failed:
+        parts.append(checks.error_rows(spark, sorted(failed.items()), validation_id=vid, schema_version=version))
+    everything = checks.assemble_results(parts)
+    marks = checks.pass_markers(studies, everything, validation_id=vid, schema_version=version)
+    writers.append_results(checks.assemble_results([everything, marks]), results_path)
     if policy_path:  # E1: the effective gate policy, recorded with the run
         policy.as_frame(spark, vid).write.mode("append").parquet(policy_path)
+    written = writers.read_results(spark, results_path)
     if csv_path:
-        writers.results_csv(spark.read.parquet(results_path).filter(F.col("validation_id") == vid), csv_path)
-    written = spark.read.parquet(results_path)
+        writers.results_csv(written.filter(F.col("validation_id") == vid), csv_path)
+    if failed:
+        raise writers.PartialFailure(f"{len(failed)} stud(ies) could not be checked: "
+                                     + writers.name_some([f"{s} ({e})" for s, e in failed.items()]))
     signatures = gate.gate_signatures(written, policy)
     if not signatures.isEmpty():
         studies_msg = gate.gate_message(signatures).first()
-        raise GateFailed(f"validation gate failed: {studies_msg['n_signatures']} distinct failure signature(s) "
-                         f"across studies {studies_msg['studies']}", signatures)
+        raise GateFailed(f"{studies_msg['n_signatures']} failure signature(s) stand against the gate, in studies "
+                         f"{studies_msg['studies']}", signatures)
     return signatures
 
 
+# ------------------------------------------------------------------ release
+
 def export_release(spark: SparkSession, ledger: DataFrame, read_model: Callable[[str, str], DataFrame],
                    out_root: str, order: DataFrame, *, tag: str | None = None) -> DataFrame:
     """Latest (or given) release -> every gold model at its pinned snapshot
     -> JSON lines per ``v<tag>/<study>/<table>`` plus the import order per
-    study prefix. ``read_model(db, model)`` returns the model's table with a
-    ``snapshot_id`` column. Returns the exported model list.
+    release and study. ``read_model(db, model)`` returns the model's table
+    with a ``snapshot_id`` column. Returns the model list.
 
-    Rows per model are counted while the export is written (``observe``, no
-    second pass); a model whose pinned snapshot yields no rows (an expired
-    or unknown pin) fails the job after the others are written, by name."""
+    An empty ledger raises. Models are written side by side and counted while
+    they are written. Models whose name breaks the convention are recorded
+    under ``release_findings``; they, models that failed, and models without
+    rows at their pin are raised by name after all others are written. A
+    release without gold models exports nothing (F12)."""
     chosen = release.latest_release(ledger, tag)
-    models = release.export_models(release.release_rows(ledger, chosen)).filter(F.col("finding").isNull())
-    rows = models.select("db_name", "model_name", "snapshot_id", "study_id", "write_table", "release_dir").collect()
-    if not rows:
-        return models  # nothing to export is a valid state
-    frames = []
-    for r in rows:  # models are metadata-sized; one plan unions their pinned scans
+    if ledger.isEmpty() or chosen.isEmpty():
+        raise LookupError("the release ledger holds no release")
+    parsed = release.export_models(release.release_rows(ledger, chosen))
+    rows = parsed.collect()  # models are metadata-sized
+    misnamed = [r for r in rows if r["finding"] is not None]
+    good = [r for r in rows if r["finding"] is None]
+    root = out_root.rstrip("/")
+    if misnamed:
+        writers.dump_json(spark.createDataFrame(
+            [(r["release_dir"], r["db_name"], r["model_name"], r["finding"]) for r in misnamed],
+            "release_dir string, db_name string, model_name string, finding string"), f"{root}/release_findings", ("release_dir",))
+    empty: list[str] = []
+
+    def one(r) -> None:
         t = release.read_at(read_model(r["db_name"], r["model_name"]), r["snapshot_id"])
         cols = [c for c in t.columns if c != "snapshot_id"]
-        frames.append(t.select(F.lit(r["release_dir"]).alias("release_dir"), F.lit(r["study_id"]).alias("study_id"),
-                               F.lit(r["write_table"]).alias("write_table"),
-                               F.to_json(F.struct(*cols), writers.KEEP_NULLS).alias("record")))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    seen = Observation("release_export")
-    out = out.observe(seen, *[
-        F.sum(F.when((F.col("study_id") == r["study_id"]) & (F.col("write_table") == r["write_table"]), 1)
-              .otherwise(0)).alias(f"m{i}") for i, r in enumerate(rows)])
-
-    writers.export_release(out, f"{out_root.rstrip('/')}/release_jsons")
-    writers.write_import_order(order, models.select("study_id"),
-                               f"{out_root.rstrip('/')}/release_import_order")
-    metrics = seen.get
-    empty = [f"{r['db_name']}.{r['model_name']}@{r['snapshot_id']}" for i, r in enumerate(rows)
-             if not metrics.get(f"m{i}")]
-    if empty:
-        raise writers.PartialFailure(f"{len(empty)} model(s) exported no rows at their pinned snapshot: "
-                                     f"{sorted(empty)}")
-    return models
+        seen = Observation()
+        writers.export_release(t.select(
+            F.lit(r["release_dir"]).alias("release_dir"), F.lit(r["study_id"]).alias("study_id"),
+            F.lit(r["write_table"]).alias("write_table"), F.to_json(F.struct(*cols), writers.KEEP_NULLS).alias("record"))
+            .observe(seen, F.count(F.lit(1)).alias("n")), f"{root}/release_jsons")
+        if not seen.get.get("n"):
+            empty.append(f"{r['db_name']}.{r['model_name']}@{r['snapshot_id']}")
+
+    bad = writers.run_units(good, one)
+    if good:
+        writers.write_import_order(order, parsed.filter(F.col("finding").isNull()), f"{root}/release_import_order")
+    problems = [f"{r['model_name']}: {r['finding']}" for r in misnamed] + [f"{r['model_name']}: {e}" for r, e in bad] \
+        + [f"{m}: no rows at its pin" for m in empty]
+    if problems:
+        raise writers.PartialFailure(f"{len(problems)} model(s) not exported: {writers.name_some(problems)}")
+    return parsed.filter(F.col("finding").isNull())

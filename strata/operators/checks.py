@@ -304,13 +304,92 @@ def link_findings(child: DataFrame, parent: DataFrame, *, child_node: str, link_
         F.lit(schema_version).alias("schema_version"), F.col(key).cast("string").alias("submitter_id"))
 
 
+def link_columns(name: str) -> tuple[str, ...]:
+    """Columns a link may stand in, the first that a frame has counts."""
+    return (f"{name}.submitter_id", f"{name}_submitter_id", name)
+
+
+def _finding_rows(df: DataFrame, node: str, *, invalid_key: Column, schema_path: Column, validator: str, value: Column,
+                  message: Column, validation_id: str, schema_version: str) -> DataFrame:
+    return df.select(
+        F.lit(validation_id).alias("validation_id"), F.lit(None).cast("bigint").alias("index"), F.lit(node).alias("node"),
+        "study_id", F.lit("FAIL").alias("validation_result"), invalid_key.alias("invalid_key"),
+        schema_path.alias("schema_path"), F.lit(validator).alias("validator"), value.alias("validator_value"),
+        message.alias("validation_error"), F.lit(schema_version).alias("schema_version"),
+        F.col("submitter_id").cast("string").alias("submitter_id"))
+
+
+def dictionary_links(records: Mapping[str, DataFrame], node: str, links: Sequence, *, validation_id: str,
+                     schema_version: str) -> list[DataFrame]:
+    """V9 over the dictionary's links of ``node`` (child, parent, name,
+    required, subgroup): a required link that is null or has no column, a
+    required subgroup none of whose links is set, and a link whose target is
+    not among the parent's records. A parent that is not part of the run
+    cannot be looked up and is not held against the child."""
+    df, out = records[node], []
+    keep = {"validation_id": validation_id, "schema_version": schema_version}
+
+    def column(name: str) -> str | None:
+        return next((c for c in link_columns(name) if c in df.columns), None)
+    groups: dict[str, list[str]] = {}
+    for link in links:
+        at = column(link.name)
+        if link.subgroup is not None:
+            groups.setdefault(link.subgroup, []).append(link.name)
+        if link.required:
+            out.append(_finding_rows(
+                df.filter(qcol(at).isNull()) if at else df, node, invalid_key=F.lit(link.name),
+                schema_path=F.lit(f"{node}/links/{link.name}"), validator="required", value=F.lit(link.name),
+                message=F.lit(f"'{link.name}' is a required property"), **keep))
+        if at and link.parent in records:
+            target = records[link.parent].select(F.col("submitter_id").cast("string").alias("__pk"))
+            key = qcol(at).cast("string")
+            out.append(_finding_rows(
+                df.filter(qcol(at).isNotNull()).join(target, key == F.col("__pk"), "left_anti"), node,
+                invalid_key=F.lit(link.name), schema_path=F.lit(f"{node}/links/{link.name}"), validator="link",
+                value=F.lit(link.name),
+                message=F.format_string("link '%s' target '%s' not found", F.lit(link.name), key), **keep))
+    for group, names in groups.items():
+        there = [qcol(c) for c in map(column, names) if c]
+        listing = ", ".join(repr(n) for n in names)
+        out.append(_finding_rows(
+            df.filter(F.coalesce(*[c.cast("string") for c in there]).isNull()) if there else df, node,
+            invalid_key=F.lit(names[0]), schema_path=F.lit(group), validator="required", value=F.lit(listing),
+            message=F.lit(f"one of {listing} is a required property"), **keep))
+    return out
+
+
+#: Columns of a record that are not the dictionary's to name.
+RECORD_COLUMNS = ("submitter_id", "study_id", "type", "snapshot_id", "validation_id", "table_name", "row_hash")
+
+
+def additional_columns(df: DataFrame, node: str, known: Iterable[str], *, validation_id: str,
+                       schema_version: str) -> DataFrame:
+    """V5 on typed records: a value under a column that the dictionary does
+    not define (bookkeeping columns aside) is a finding."""
+    extra = sorted(c for c in df.columns if c not in set(known) and c not in RECORD_COLUMNS and not c.startswith("_"))
+    if not extra:
+        return empty_results(df.sparkSession)
+    keys = F.filter(F.array(*[F.when(qcol(c).isNotNull(), F.lit(c)) for c in extra]), lambda c: c.isNotNull())
+    each = df.select("submitter_id", "study_id", F.explode(keys).alias("k"))
+    return _finding_rows(each, node, invalid_key=F.col("k"), schema_path=F.lit(f"{node}/additionalProperties"),
+                         validator="additionalProperties", value=F.lit("False"),
+                         message=F.concat(F.lit("Additional properties are not allowed ('"), F.col("k"), F.lit("' was unexpected)")),
+                         validation_id=validation_id, schema_version=schema_version)
+
+
+def error_rows(spark: SparkSession, failures: Sequence[tuple[str | None, BaseException]], *, validation_id: str | None,
+               schema_version: str | None) -> DataFrame:
+    """Infrastructure failures as one ERROR row a study (``Type:
+    message``); the validation id is null when it cannot be recovered."""
+    return spark.createDataFrame(
+        [(validation_id, None, None, s, "ERROR", None, None, None, None, f"{type(e).__name__}: {e}", schema_version, None)
+         for s, e in failures], RESULT_SCHEMA)
+
+
 def error_row(spark: SparkSession, study_id: str, exc: BaseException, *, validation_id: str | None,
               schema_version: str | None) -> DataFrame:
-    """An infrastructure failure as one ERROR row (``Type: message``);
-    the validation id is null when it cannot be recovered."""
-    row = (validation_id, None, None, study_id, "ERROR", None, None, None, None,
-           f"{type(exc).__name__}: {exc}", schema_version, None)
-    return spark.createDataFrame([row], RESULT_SCHEMA)
+    return error_rows(spark, [(study_id, exc)], validation_id=validation_id, schema_version=schema_version)
 
 
 def pass_markers(studies: DataFrame, findings: DataFrame, *, validation_id: str,

@@ -51,12 +51,11 @@ class GatePolicy:
 def keep_greatest(df: DataFrame, column: str) -> DataFrame:
     """Rows whose ``column`` equals its maximum (A4, ``= (SELECT max(...))``).
 
-    Written as an equi-join with the one-row max aggregate (broadcast: one
-    row by construction). A scalar-subquery filter would be pushed into every
-    branch of a union below it, each with its own copy of the subquery; the
-    join keeps one aggregate, whose input shuffle is reused."""
-    top = df.agg(F.max(column).alias("__max"))
-    return df.join(F.broadcast(top), F.col(column) == F.col("__max"), "inner").drop("__max")
+    The maximum is one value and is looked up first; as a literal it is pushed
+    into the scan. On a table partitioned by ``column`` the lookup reads
+    partition names alone and the scan lists one partition."""
+    top = df.agg(F.max(column).alias("m")).first()["m"]
+    return df.filter(F.col(column) == F.lit(top)) if top is not None else df.filter(F.lit(False))
 
 
 def latest_run(results: DataFrame) -> DataFrame:
@@ -90,32 +89,18 @@ def real_failures(results: DataFrame, policy: GatePolicy = GatePolicy()) -> Data
     return latest_run(results).filter(_real(policy))
 
 
-def _latest_of(per_run: DataFrame) -> DataFrame:
-    """Keep the rows of the greatest validation id in an already aggregated
-    per-run frame; the max reads the same aggregate, so its shuffle is
-    computed once and reused."""
-    return keep_greatest(per_run, "validation_id").drop("validation_id")
-
-
 def gate_signatures(results: DataFrame, policy: GatePolicy = GatePolicy()) -> DataFrame:
     """A2: distinct failure signatures of the latest run with their counts;
-    empty = pass.
-
-    Rows are first aggregated per (run, signature) with a count of the rows
-    that count against the gate, so every run - including one made only of
-    PASS markers - is present, and the map-side combine shrinks a hot study
-    before the shuffle. The latest run is then picked from that aggregate."""
-    per_run = results.groupBy("validation_id", *SIGNATURE_COLUMNS) \
-        .agg(F.count(F.when(_real(policy), 1)).alias("n"))
-    return _latest_of(per_run).filter(F.col("n") > 0)
+    empty = pass. The run is picked before anything is aggregated, so past
+    runs are not read; map-side combine shrinks a hot study."""
+    return real_failures(results, policy).groupBy(*SIGNATURE_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
 
 
 def error_summary(results: DataFrame) -> DataFrame:
     """Count by node and error for the latest run, non-null errors,
     most frequent first."""
-    per_run = results.groupBy("validation_id", "node", "validation_error") \
-        .agg(F.count(F.when(F.col("validation_error").isNotNull(), 1)).alias("n"))
-    return (_latest_of(per_run).filter(F.col("validation_error").isNotNull())
+    return (latest_run(results).filter(F.col("validation_error").isNotNull())
+            .groupBy("node", "validation_error").agg(F.count(F.lit(1)).alias("n"))
             .orderBy(F.desc("n"), "node", "validation_error"))
 
 

@@ -9,7 +9,9 @@ one-line import-order text.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +19,8 @@ from pyspark.sql import functions as F
 from strata.operators.release import append_ledger_rows, not_ci
 
 BRONZE_PARTITION = "_src_batch_id"
+# Partition of the run that appended: bookkeeping, dropped on read.
+RUN_PARTITION = "_run_key"
 # JSON records keep null fields (``"x": null``): a null in a dumped record is
 # what the dictionary's type checks report as a null-typed field.
 KEEP_NULLS = {"ignoreNullFields": "false"}
@@ -25,27 +29,35 @@ EXPORT_KEYS = ("release_dir", "study_id", "write_table")
 
 
 def _replace_own_partitions(df: DataFrame, path: str, fmt: str, *partitions: str) -> None:
-    """Write ``df`` replacing only the partitions it contains. Earlier runs'
-    partitions are never touched (append-only across runs), and a retried
-    run replaces its own output instead of duplicating it."""
+    """Write ``df`` replacing only the partitions it contains. Partitions end
+    in a key of the run that writes them, so earlier runs are never touched
+    and a retry with the same key replaces its own output alone."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .format(fmt).partitionBy(*partitions).save(path)
 
 
-def append_bronze(df: DataFrame, path: str, fmt: str = "parquet", table: str | None = None) -> None:
-    """Append partitioned by batch; earlier batches are never
-    rewritten, and re-running a batch replaces only that batch's partition.
-    New columns are allowed (read back with ``mergeSchema``). With ``table``
+def new_run_key() -> str:
+    """A key for one append; a caller that may be retried keeps its own."""
+    return uuid.uuid4().hex
+
+
+def append_bronze(df: DataFrame, path: str, fmt: str = "parquet", table: str | None = None,
+                  run_key: str | None = None) -> None:
+    """Append partitioned by batch and by the appending run. Nothing
+    that is there is rewritten, also not by a second append under one batch
+    id; a retry with the same ``run_key`` replaces what it had written itself.
+    New columns are allowed (read back with ``read_bronze``). With ``table``
     and an Iceberg/Delta catalog, ``writeTo(table).append()`` is used."""
     if table is not None:
         df.writeTo(table).append()
         return
-    _replace_own_partitions(df, path, fmt, BRONZE_PARTITION)
+    _replace_own_partitions(df.withColumn(RUN_PARTITION, F.lit(run_key or new_run_key())), path, fmt,
+                            BRONZE_PARTITION, RUN_PARTITION)
 
 
 def read_bronze(spark, path: str, fmt: str = "parquet") -> DataFrame:
     """Bronze with every batch's columns (schema evolution on read)."""
-    return spark.read.format(fmt).option("mergeSchema", "true").load(path)
+    return spark.read.format(fmt).option("mergeSchema", "true").load(path).drop(RUN_PARTITION)
 
 
 def dump_json(records: DataFrame, root: str, keys: Sequence[str] = DUMP_KEYS) -> None:
@@ -65,20 +77,27 @@ def export_release(models: DataFrame, root: str) -> None:
 
 
 def write_import_order(order: DataFrame, prefixes: DataFrame, root: str) -> None:
-    """K5: the same import-order text once per study prefix. The order is
-    dictionary-sized: it is folded into one text value and stamped on each
-    prefix row (no join), one row -> one file per prefix."""
+    """K5: the same import-order text once per release and study (``prefixes``
+    has release_dir and study_id), beside what other releases wrote. The order
+    is dictionary-sized: one text value, stamped on each prefix row."""
     text = order.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "node"))),
                                               lambda s: s["node"]), "\n").alias("t"))
     line = text.first()["t"] or ""
-    prefixes.select("study_id").distinct().withColumn("value", F.lit(line)) \
-        .write.mode("overwrite").partitionBy("study_id").text(root)
+    _replace_own_partitions(prefixes.select("release_dir", "study_id").distinct().withColumn("value", F.lit(line)),
+                            root, "text", "release_dir", "study_id")
+
 
+def append_results(results: DataFrame, path: str, fmt: str = "parquet", run_key: str | None = None) -> None:
+    """K6: all studies' findings in one append, partitioned by validation id,
+    so a gate reads one run's partition. Rows whose validation id could not be
+    determined get the append's own key beside it: no run erases another's."""
+    key = F.when(F.col("validation_id").isNull(), F.lit(run_key or new_run_key())).otherwise(F.lit("run"))
+    _replace_own_partitions(results.withColumn(RUN_PARTITION, key), path, fmt, "validation_id", RUN_PARTITION)
 
-def append_results(results: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """K6: all studies' findings in one write, partitioned by run; a retried
-    run replaces its own partition."""
-    _replace_own_partitions(results, path, fmt, "validation_id")
+
+def read_results(spark, path: str, fmt: str = "parquet") -> DataFrame:
+    """The results of all runs."""
+    return spark.read.format(fmt).load(path).drop(RUN_PARTITION)
 
 
 def results_csv(results: DataFrame, path: str) -> None:
@@ -104,6 +123,24 @@ class PartialFailure(RuntimeError):
     """Raised after the good units were written, naming the failed ones."""
 
 
+#: Failures named in an exception; all are in the findings written before it.
+NAMED_FAILURES = 20
+
+
+def name_some(failures: Sequence[str]) -> str:
+    shown = sorted(failures)[:NAMED_FAILURES]
+    more = len(failures) - len(shown)
+    return ", ".join(shown) + (f" and {more} more" if more else "")
+
+
+def run_units(units: Sequence, work: Callable, workers: int = 8) -> list[tuple[object, Exception]]:
+    """Spark jobs of several units (tables, models) side by side; every unit
+    is tried. Returns the failed ones with their exceptions."""
+    with ThreadPoolExecutor(max_workers=max(1, min(workers, len(units) or 1))) as pool:
+        jobs = [(u, pool.submit(work, u)) for u in units]
+    return [(u, j.exception()) for u, j in jobs if j.exception() is not None]
+
+
 def write_then_raise(write, failures: Sequence[str], what: str = "unit") -> None:
     """Write first, then raise naming every failure (sorted)."""
     write()

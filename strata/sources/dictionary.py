@@ -42,6 +42,7 @@ class Dictionary:
     nodes: DataFrame
     ref_errors: DataFrame
     version: DataFrame
+    properties: DataFrame
 
 
 class _Unresolved(Exception):
@@ -114,7 +115,7 @@ def _truthy(value) -> bool:
 
 def _build(spark: SparkSession, texts: dict[str, str]) -> Dictionary:
     docs = _Documents(texts)
-    rules, links, nodes, errors, version = [], [], [], [], None
+    rules, links, nodes, named, errors, version = [], [], [], [], [], None
     errors += [(None, None, None, message) for message in docs.broken]
     for file, doc in docs.docs.items():
         version = doc.get("_version", version)
@@ -129,6 +130,7 @@ def _build(spark: SparkSession, texts: dict[str, str]) -> Dictionary:
                 continue
             rules += [(node, p, "required", None, f"{node}/required") for p in spec.get("required") or []]
             for prop, schema in (spec.get("properties") or {}).items():
+                named.append((node, prop))
                 at = f"{file} (node '{node}', property '{prop}')"
                 if not isinstance(schema, dict):
                     errors.append((node, prop, None, f"schema in {at} is not an object"))
@@ -152,7 +154,8 @@ def _build(spark: SparkSession, texts: dict[str, str]) -> Dictionary:
         links=spark.createDataFrame(links, "child string, parent string, name string, required boolean, subgroup string"),
         nodes=spark.createDataFrame([(n,) for n in dict.fromkeys(nodes)], "node string"),
         ref_errors=spark.createDataFrame(errors, "node string, property string, ref string, error string"),
-        version=spark.createDataFrame([(version,)], "schema_version string"))
+        version=spark.createDataFrame([(version,)], "schema_version string"),
+        properties=spark.createDataFrame(named, "node string, property string"))
 
 
 def read_dictionary(spark: SparkSession, path: str) -> Dictionary:

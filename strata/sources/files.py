@@ -7,7 +7,9 @@ validation-artefact listing.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,45 +17,65 @@ from pyspark.sql import functions as F
 # Delimiters a tolerant CSV read chooses between.
 CANDIDATE_DELIMITERS = (",", ";", "\t", "|")
 CORRUPT_COLUMN = "_corrupt_record"
-
-
-def sniff_delimiters(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Per file, the candidate delimiter with the most occurrences: a count
-    aggregate over ``spark.read.text`` (partial sums per task, so a large file
-    never lands in one task)."""
-    lines = spark.read.text(list(paths)).select(F.input_file_name().alias("file"), "value")
-    counts = lines.groupBy("file").agg(*[
-        F.sum(F.length("value") - F.length(F.regexp_replace("value", _re_escape(d), ""))).alias(f"d{i}")
-        for i, d in enumerate(CANDIDATE_DELIMITERS)])
-    best = F.greatest(*[F.col(f"d{i}") for i in range(len(CANDIDATE_DELIMITERS))])
+SOURCE_COLUMN = "_src_file"
+
+
+def _lines(spark: SparkSession, paths: Sequence[str], encoding: str | None) -> DataFrame:
+    """(file, value) of every line. Bytes that are not valid UTF-8 are read as
+    Latin-1 unless an encoding is named."""
+    raw = spark.read.text(list(paths))
+    value = F.decode(F.col("value").cast("binary"), encoding) if encoding else \
+        F.when(F.expr("is_valid_utf8(value)"), F.col("value")).otherwise(F.decode(F.col("value").cast("binary"), "ISO-8859-1"))
+    return raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("__block"),
+                      F.monotonically_increasing_id().alias("__id"),
+                      F.regexp_replace(value, "^\ufeff|\r$", "").alias("value"))
+
+
+def csv_layouts(spark: SparkSession, paths: Sequence[str], encoding: str | None = None,
+                delimiter: str | None = None) -> DataFrame:
+    """Per file its header line (the first line that is not blank) and
+    delimiter: the candidate that occurs most often in that line."""
+    first = _lines(spark, paths, encoding).filter((F.col("__block") == 0) & (F.trim("value") != "")) \
+        .groupBy("file").agg(F.min_by("value", "__id").alias("header"))
+    if delimiter is not None:
+        return first.withColumn("delimiter", F.lit(delimiter))
+    seen = {d: F.length("header") - F.length(F.replace(F.col("header"), F.lit(d), F.lit(""))) for d in CANDIDATE_DELIMITERS}
     pick = F.lit(CANDIDATE_DELIMITERS[0])
-    for i, d in reversed(list(enumerate(CANDIDATE_DELIMITERS))):
-        pick = F.when(F.col(f"d{i}") == best, F.lit(d)).otherwise(pick)
-    return counts.select("file", pick.alias("delimiter"))
+    for d in reversed(CANDIDATE_DELIMITERS):
+        pick = F.when(seen[d] == F.greatest(*seen.values()), F.lit(d)).otherwise(pick)
+    return first.withColumn("delimiter", pick)
 
 
-def _re_escape(d: str) -> str:
-    return "\\t" if d == "\t" else "\\" + d
+def _header_names(header: str, delimiter: str) -> list[str]:
+    names: list[str] = []
+    for i, cell in enumerate(next(csv.reader([header], delimiter=delimiter))):
+        base = cell.strip() or f"_c{i}"
+        free = (base if n == 1 else f"{base}_{n}" for n in count(1))
+        names.append(next(name for name in free if name not in [*names, CORRUPT_COLUMN, SOURCE_COLUMN]))
+    return names
 
 
-def read_csv_tolerant(spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8",
+def read_csv_tolerant(spark: SparkSession, paths: Sequence[str], encoding: str | None = None,
                       delimiter: str | None = None) -> DataFrame:
-    """Header CSV, all columns text, ragged/bad rows kept with the raw
-    line in ``_corrupt_record``. Without ``delimiter`` the delimiter is sniffed
-    per file and each delimiter group is read with its own separator (at most
-    one read per candidate), then stacked by name."""
-    def read(ps, sep):
-        return (spark.read.option("header", "true").option("mode", "PERMISSIVE")
-                .option("columnNameOfCorruptRecord", CORRUPT_COLUMN).option("encoding", encoding)
-                .option("sep", sep).csv(list(ps)).withColumn("_src_file", F.input_file_name()))
-    if delimiter is not None:
-        return read(paths, delimiter)
-    groups = sniff_delimiters(spark, paths).groupBy("delimiter").agg(F.collect_list("file").alias("files"))
-    frames = [read(r["files"], r["delimiter"]) for r in groups.collect()]  # file listing: metadata
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+    """Header CSV, all columns text, stacked by name. Every file is read
+    by its own header and delimiter: files with the same header line form one
+    layout, and there is one parse per layout, whatever the number of files.
+    Lines with too few or too many cells keep what could be read and the whole
+    line in ``_corrupt_record``; lines that repeat the file's header are not
+    data. Files without a line contribute nothing."""
+    layouts = csv_layouts(spark, paths, encoding, delimiter)
+    lines = _lines(spark, paths, encoding).filter(F.trim("value") != "") \
+        .join(layouts.withColumnRenamed("file", "__file"), F.col("file") == F.col("__file")).filter("value <> header")
+    out = None
+    for r in layouts.select("header", "delimiter").distinct().collect():  # one row a layout
+        names = _header_names(r.header, r.delimiter)
+        schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in [*names, CORRUPT_COLUMN])
+        own = lines.filter((F.col("header") == r.header) & (F.col("delimiter") == r.delimiter))
+        part = own.select(F.from_csv("value", F.lit(schema), {
+            "sep": r.delimiter, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}).alias("r"),
+            F.col("file").alias(SOURCE_COLUMN)).select("r.*", SOURCE_COLUMN)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out if out is not None else spark.createDataFrame([], f"{CORRUPT_COLUMN} string, {SOURCE_COLUMN} string")
 
 
 def read_json_tolerant(spark: SparkSession, paths: Sequence[str], multiline: bool = True) -> DataFrame:

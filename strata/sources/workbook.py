@@ -11,6 +11,7 @@ like that are not listed (the object-store listing would include them).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -37,11 +38,17 @@ def _scan(spark: SparkSession, root: str, prefix: str) -> DataFrame:
             .option("pathGlobFilter", "*.[xX][lL][sS][xX]").load(base))
 
 
-def _with_study(files: DataFrame, prefix: str, study: str | None) -> DataFrame:
-    p = prefix.strip("/")
-    key = F.regexp_replace("path", "^.*?/" + p + "/", p + "/")
+def with_study(files: DataFrame, root: str, prefix: str, study: str | None) -> DataFrame:
+    """Workbooks among ``files`` with their study. The study is the
+    first segment below ``root/prefix``; the root is stripped as it was given
+    (whatever folder names it repeats), with or without its scheme."""
+    base = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "", root.rstrip("/")) + "/" + prefix.strip("/") + "/"
+    plain = F.regexp_replace("path", r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "")
+    at = F.instr(plain, base)
+    rest = F.when(at > 0, F.substr(plain, at + len(base))).otherwise(plain)
+    key = F.concat(F.lit(prefix.strip("/") + "/"), rest)
     out = files.withColumn("__key", key).filter(is_workbook("__key")) \
-        .withColumn("study_id", study_from_path("__key", p)).drop("__key")
+        .withColumn("study_id", study_from_path("__key", prefix.strip("/"))).drop("__key")
     if study is not None:
         out = out.filter(F.col("study_id") == study)
     return out
@@ -51,7 +58,7 @@ def list_workbooks(spark: SparkSession, root: str, prefix: str = DEFAULT_PREFIX,
                    study: str | None = None) -> DataFrame:
     """Workbook files under ``root/prefix`` with their study.
     Only ``path`` is selected, so file content is never read."""
-    return _with_study(_scan(spark, root, prefix).select("path"), prefix, study)
+    return with_study(_scan(spark, root, prefix).select("path"), root, prefix, study)
 
 
 def _parse_file(path: str, study: str, content: bytes, all_sheets: bool) -> Iterator[dict]:
@@ -104,7 +111,7 @@ def read_workbooks(spark: SparkSession, root: str, prefix: str = DEFAULT_PREFIX,
     ``root/prefix`` into landing rows. Files are spread over ``partitions``
     tasks by path so workbooks parse in parallel, one file at a time per task
     (Arrow batches bounded in bytes)."""
-    files = _with_study(_scan(spark, root, prefix).select("path", "content"), prefix, study)
+    files = with_study(_scan(spark, root, prefix).select("path", "content"), root, prefix, study)
     return land_contents(files, all_sheets, partitions)
 
 
@@ -118,14 +125,3 @@ def land_contents(files: DataFrame, all_sheets: bool = False, partitions: int |
     # alone and small ones share a batch; a task holds about one batch.
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
     return todo.mapInPandas(_parser(all_sheets), LANDING_SCHEMA)
-
-
-def ingest_workbooks(spark: SparkSession, root: str, prefix: str = DEFAULT_PREFIX, study: str | None = None,
-                     all_sheets: bool = False) -> tuple[DataFrame, DataFrame]:
-    """List and parse; returns (landed rows, findings). Findings are the
-    failure and warning rows (S4), kept apart from data rows."""
-    landed = read_workbooks(spark, root, prefix, study, all_sheets)
-    data = landed.filter(F.col("error").isNull()).drop("error", "severity")
-    findings = landed.filter(F.col("error").isNotNull()).select("file", "study_id", "node", "sheet", "error",
-                                                                 "severity")
-    return data, findings

@@ -5,12 +5,12 @@ Batch remains the definition; these run the same operators per micro-batch:
 * R1: ``readStream`` over the deposit folder (``binaryFile`` needs an explicit
   schema), ``trigger(availableNow=True)`` so only files not seen by the
   checkpoint are processed, and ``foreachBatch`` landing each micro-batch with
-  batch id ``<run id>-<epoch>``.
-* R2: newest-per-hash promotion of what a micro-batch touched. The touched
-  hash buckets of silver are re-read, unioned with the new rows, reduced with
-  the W1 window (newest wins — ``dropDuplicates`` would keep the first), made
-  durable with a reliable ``checkpoint()`` in the shared checkpoint folder,
-  and only those buckets are overwritten (dynamic partition overwrite).
+  batch id ``<run id>-<epoch>``. Workbooks that fail are rows of the findings
+  table, and the stream's caller is told (``landing_failures``).
+* R2: silver is append-only: a micro-batch adds its newest row per hash as
+  partitions of its own, and ``read_silver`` keeps the newest per hash over
+  all batches. A small batch writes its own rows and touches nothing else;
+  ``compact_silver`` folds the batches together when there are many.
 """
 
 from __future__ import annotations
@@ -19,64 +19,71 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from strata.functions.naming import DEFAULT_PREFIX, is_workbook, study_from_path
+from strata.functions.naming import DEFAULT_PREFIX
 from strata.operators import landing, promote
 from strata.session import scratch_path
-from strata.sources.workbook import land_contents
+from strata.sinks import writers
+from strata.sources.workbook import land_contents, with_study
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
-BUCKET_COLUMN = "_hash_bucket"
 
 
-def hash_bucket(c="row_hash", width: int = 2):
-    """Silver partition of a row: the first hex digits of its hash."""
-    return F.substring(F.col(c) if isinstance(c, str) else c, 1, width)
+def promote_batch(new_rows: DataFrame, silver_path: str, fmt: str = "parquet", run_key: str | None = None) -> None:
+    """R2 for one batch of bronze rows: its newest row per hash is appended.
+    Replaying the batch under the same ``run_key`` writes the same partitions
+    again. Silver is not read, so no read error can be taken for an empty one."""
+    writers.append_bronze(promote.dedupe_bronze(new_rows), silver_path, fmt, run_key=run_key)
 
 
-def promote_batch(spark: SparkSession, new_rows: DataFrame, silver_path: str, fmt: str = "parquet") -> None:
-    """R2 for one batch of bronze rows: merge into silver by newest per hash,
-    rewriting only the touched buckets."""
-    new_rows = new_rows.withColumn(BUCKET_COLUMN, hash_bucket())
-    touched = new_rows.select(BUCKET_COLUMN).distinct()
-    try:
-        current = spark.read.format(fmt).load(silver_path)
-        current = current.join(touched, BUCKET_COLUMN, "left_semi")
-        merged_in = current.unionByName(new_rows, allowMissingColumns=True)
-    except Exception:  # noqa: BLE001 - first batch: silver does not exist yet
-        merged_in = new_rows
-    merged = promote.dedupe_bronze(merged_in).checkpoint(eager=True)
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .format(fmt).partitionBy(BUCKET_COLUMN).save(silver_path)
+def read_silver(spark: SparkSession, silver_path: str, fmt: str = "parquet") -> DataFrame:
+    """Silver as of now: every batch's columns, the newest row per hash."""
+    return promote.dedupe_bronze(writers.read_bronze(spark, silver_path, fmt))
+
+
+def compact_silver(spark: SparkSession, silver_path: str, target_path: str, fmt: str = "parquet") -> None:
+    """Silver's current rows as one generation at a new path (readers move to
+    it when it is complete; the old path is untouched)."""
+    writers.append_bronze(read_silver(spark, silver_path, fmt), target_path, fmt, run_key="compacted")
+
+
+def landing_failures(spark: SparkSession, findings_path: str, run_id: str) -> DataFrame:
+    """The workbooks a landing run could not take in (file, study_id, error)."""
+    return spark.read.parquet(findings_path).filter(
+        (F.col("severity") == "error") & F.col("batch_id").startswith(f"{run_id}-"))
 
 
 def start_workbook_landing(spark: SparkSession, deposit_root: str, bronze_path: str, run_id: str,
                            ingested_at: str, silver_path: str | None = None, prefix: str = DEFAULT_PREFIX,
-                           checkpoint: str | None = None) -> StreamingQuery:
+                           checkpoint: str | None = None, findings_path: str | None = None) -> StreamingQuery:
     """R1 (+R2 when ``silver_path``): land only new workbooks into the same
     per-table bronze layout a batch ingest writes (``<bronze_path>/<table>``),
     one batch partition per micro-batch with batch id ``<run_id>-<epoch>``;
-    silver is promoted per table under ``<silver_path>/silver_<study>_<node>``."""
+    silver is promoted per table under ``<silver_path>/silver_<study>_<node>``.
+    Failures and warnings are appended to ``findings_path`` (by default
+    ``<bronze_path>-findings``) with their batch id before the batch commits;
+    ``landing_failures`` reads those of a run."""
     p = prefix.strip("/")
     stream = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[xX][lL][sS][xX]")
               .load(f"{deposit_root.rstrip('/')}/{p}"))
 
     def each(batch: DataFrame, epoch: int) -> None:
-        from strata.jobs import bronze_table, stage_landing, write_bronze_tables
-        key = F.regexp_replace("path", "^.*?/" + p + "/", p + "/")
-        files = batch.withColumn("__key", key).filter(is_workbook("__key")) \
-            .select("path", study_from_path("__key", p).alias("study_id"), "content")
-        landed = land_contents(files).filter(F.col("error").isNull())
+        from strata.jobs import stage_landing, write_bronze_tables
+        files = with_study(batch, deposit_root, p, None).select("path", "study_id", "content")
         batch_id = f"{run_id}-{epoch}"
-        cells = landing.bronze_from_cells(landed, batch_id=batch_id, ingested_at=ingested_at)
-        # The same bronze tables a batch ingest writes, under this epoch's batch id.
-        staged, headers = stage_landing(spark, cells, batch_id)
-        write_bronze_tables(staged, headers, bronze_path)
-        if silver_path:
-            for table_name in sorted(headers):
-                silver_name = "silver" + table_name[len("bronze"):]
-                promote_batch(spark, bronze_table(staged, headers, table_name),
-                              f"{silver_path.rstrip('/')}/{silver_name}")
+        staged = stage_landing(spark, land_contents(files), batch_id=batch_id, ingested_at=ingested_at)
+        try:
+            # Findings first: a batch never commits without them.
+            writers.append_bronze(staged.findings.withColumn(writers.BRONZE_PARTITION, F.lit(batch_id))
+                                  .withColumn("batch_id", F.lit(batch_id)),
+                                  findings_path or bronze_path.rstrip("/") + "-findings", run_key=batch_id)
+            write_bronze_tables(staged, bronze_path, run_key=batch_id)
+            if silver_path:
+                for table_name in staged.tables:
+                    silver_name = "silver" + table_name[len("bronze"):]
+                    promote_batch(staged.table(table_name), f"{silver_path.rstrip('/')}/{silver_name}", run_key=batch_id)
+        finally:
+            staged.remove()
 
     return (stream.writeStream.foreachBatch(each)
             .option("checkpointLocation", checkpoint or scratch_path(spark, f"streams/landing-{run_id}"))

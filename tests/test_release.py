@@ -87,8 +87,21 @@ def test_tolerant_csv_sniffs_delimiters(spark, tmp_dir):
         fh.write("x,z\n7,8\n")
     df = read_csv_tolerant(spark, [os.path.join(tmp_dir, "a.csv"), os.path.join(tmp_dir, "b.csv")])
     rows = df.collect()
-    assert {r.x for r in rows} == {"1", "3", "7"}
-    assert {"y", "z"} <= set(df.columns)
+    assert {(r.x, r.y, r.z, r._corrupt_record) for r in rows} == \
+        {("1", "2", None, None), ("3", "4", None, "3;4;5"), ("7", None, "8", None)}
+
+
+def test_tolerant_csv_reads_each_header_order(spark, tmp_dir):
+    from strata.sources.files import read_csv_tolerant
+    texts = {"a.csv": b"id,age\n1,30\n", "b.csv": b"age,id\n50,3\n", "c.csv": b"", "d.csv": b"\xef\xbb\xbfid,age,age\r\n\"4,5\",6,7\r\n",
+             "e.csv": "id|n|name, noted\n8|y|na\u00efve\n".encode("latin-1")}
+    for name, data in texts.items():
+        with open(os.path.join(tmp_dir, name), "wb") as fh:
+            fh.write(data)
+    rows = read_csv_tolerant(spark, [tmp_dir]).collect()
+    assert {(r.id, r.age, r.age_2, r["name, noted"], r._corrupt_record) for r in rows} == {
+        ("1", "30", None, None, None), ("3", "50", None, None, None), ("4,5", "6", "7", None, None), ("8", None, None, "na\u00efve", None)}
+    assert read_csv_tolerant(spark, [os.path.join(tmp_dir, "c.csv")]).count() == 0
 
 
 def test_results_sinks(spark, tmp_dir):
@@ -100,6 +113,20 @@ def test_results_sinks(spark, tmp_dir):
     res2 = checks.error_row(spark, "st", OSError("y"), validation_id="v2", schema_version="1")
     writers.append_results(res2, tmp_dir + "/results")  # a new run appends
     assert spark.read.parquet(tmp_dir + "/results").count() == 2
+    for text in ("first", "second"):  # runs whose id is unknown do not erase each other
+        writers.append_results(checks.error_row(spark, "st", OSError(text), validation_id=None, schema_version="1"),
+                               tmp_dir + "/results")
+    assert writers.read_results(spark, tmp_dir + "/results").filter("validation_id is null").count() == 2
+    bronze = spark.createDataFrame([("h1", "b1")], "row_hash string, _src_batch_id string")
+    for run in (None, None, "r", "r"):  # appends under one marker add up; a retried run replaces itself
+        writers.append_bronze(bronze, tmp_dir + "/bronze", run_key=run)
+    assert writers.read_bronze(spark, tmp_dir + "/bronze").count() == 3
+    order = release.import_order(spark, links_frame(spark, [("sample", "subject")]))
+    for tag, studies in (("v1.0", ["a", "b"]), ("v1.1", ["b"])):
+        writers.write_import_order(order, spark.createDataFrame([(tag, s) for s in studies], "release_dir string, study_id string"),
+                                   tmp_dir + "/order")
+    got = {(r.release_dir, r.study_id) for r in spark.read.text(tmp_dir + "/order").collect()}
+    assert got == {("v1.0", "a"), ("v1.0", "b"), ("v1.1", "b")}
     snap = spark.createDataFrame([(1,)], "k int")
     writers.write_snapshot(snap, tmp_dir + "/snap", 7)
     writers.write_snapshot(snap, tmp_dir + "/snap", 8)
@@ -157,6 +184,63 @@ def test_export_release_names_models_with_an_empty_pin(spark, tmp_dir):
     assert [(r.write_table, r.value) for r in out] == [("subject", '{"submitter_id":"s2"}')]
 
 
+def test_export_release_reports_misnamed_models_and_an_empty_ledger(spark, tmp_dir):
+    import pytest
+    led = _ledger(spark, [("2.0", "p_gold_db", m, 1, "s") for m in ("gold_a_subject", "goldx", "gold_b")])
+    table = spark.createDataFrame([("s1", 1)], "submitter_id string, snapshot_id long")
+    order = release.import_order(spark, links_frame(spark, [("sample", "subject")]))
+    with pytest.raises(writers.PartialFailure) as err:
+        jobs.export_release(spark, led, lambda db, m: table, "file://" + tmp_dir, order)
+    assert "goldx" in str(err.value) and "gold_b" in str(err.value)
+    assert spark.read.text(tmp_dir + "/release_jsons").count() == 1
+    assert spark.read.text(tmp_dir + "/release_findings").count() == 2
+    with pytest.raises(LookupError):
+        jobs.export_release(spark, led.filter("false"), lambda db, m: table, "file://" + tmp_dir + "/none", order)
+    silver = _ledger(spark, [("2.0", "p_silver_db", "silver_a_subject", 1, "s")])
+    assert jobs.export_release(spark, silver, lambda db, m: table, "file://" + tmp_dir + "/none", order).count() == 0
+
+
+def test_dump_then_validate_from_the_dump(spark, tmp_dir):
+    import pytest
+    from strata.sources.dictionary import dictionary_from_obj
+    def snap(rows, cols):
+        return spark.createDataFrame(rows, cols + ", snapshot_id long")
+    held = {"silver_a_subject": snap([("s1", "F", 1), ("s1", "X", 2), ("s2", "F", 2)], "submitter_id string, sex string"),
+            "silver_a_sample": snap([("m1", "s1", 5), ("m2", "gone", 5), ("m3", None, 5)], "submitter_id string, subjects string"),
+            "silver_b_subject": snap([("t1", "M", 1)], "submitter_id string, sex string")}
+    names = spark.createDataFrame([(n,) for n in [*held, "silver_lookup_x", "silver_a_tmp_dbt_tmp", "silver_c_left", "silver"]], "table_name string")
+    with pytest.raises(writers.PartialFailure) as err:
+        jobs.dump(spark, names, lambda n: held[n], "file://" + tmp_dir, target="ci", exclude=" silver_c_left ,", validation_id="v1")
+    assert "'silver'" in str(err.value) and "1 table" in str(err.value)
+    records, studies = jobs.read_dump(spark, "file://" + tmp_dir, "v1", target="ci")
+    assert sorted(records) == ["sample", "subject"] and sorted(r[0] for r in studies.collect()) == ["a", "b"]
+    assert records["subject"].count() == 3  # the latest snapshots alone
+    d = dictionary_from_obj(spark, {"subject": {"properties": {"sex": {"enum": ["F", "M"]}}}, "sample": {
+        "properties": {"note": {}}, "links": [{"name": "subjects", "target_type": "subject", "required": True}]}})
+    with pytest.raises(jobs.GateFailed):
+        jobs.validate(spark, records, d, results_path=tmp_dir + "/res", studies=studies, validation_id="v1",
+                      custom={"subject": [("no_t", F.col("submitter_id").startswith("t"), F.lit("t is not allowed"))]})
+    got = {(r.study_id, r.submitter_id, r.validator, r.validation_result) for r in writers.read_results(spark, tmp_dir + "/res").collect()}
+    assert got == {("a", "s1", "enum", "FAIL"), ("a", "m2", "link", "FAIL"), ("a", "m3", "required", "FAIL"), ("b", "t1", "no_t", "FAIL")}
+
+
+def test_validate_goes_on_past_a_study_that_cannot_be_read(spark, tmp_dir):
+    import pytest
+    from strata.sources.dictionary import dictionary_from_obj
+    d = dictionary_from_obj(spark, {"subject": {"properties": {"x": {"enum": ["ok"]}}}, "visit": {"properties": {"x": {"enum": ["ok"]}}}})
+    rows = [("s1", "a", "bad"), ("s2", "b", "ok"), ("s3", "c", "torn")]
+    df = spark.createDataFrame(rows, "submitter_id string, study_id string, x string")
+    torn = df.withColumn("x", F.when(F.col("x") == "torn", F.raise_error(F.lit("block is missing")).cast("string")).otherwise(F.col("x")))
+    with pytest.raises(writers.PartialFailure) as err:
+        jobs.validate(spark, {"subject": torn, "visit": df.filter("study_id <> 'c'"), "alien": df.filter("study_id = 'b'")}, d,
+                      results_path=tmp_dir + "/res", studies=df.select("study_id"), validation_id="v1")
+    assert "c (" in str(err.value)
+    got = sorted((r.study_id, r.node, r.validation_result) for r in writers.read_results(spark, tmp_dir + "/res").collect())
+    assert [g for g in got if g[0] == "a"] == [("a", "subject", "FAIL"), ("a", "visit", "FAIL")]
+    assert [g for g in got if g[0] == "b"] == [("b", "alien", "ERROR")]
+    assert [g for g in got if g[0] == "c"] == [("c", None, "ERROR")]
+
+
 def test_tolerant_json_and_generic_source(spark, tmp_dir):
     from strata.sources.files import read_json_tolerant, read_source
     with open(os.path.join(tmp_dir, "a.json"), "w") as fh:

@@ -1,7 +1,7 @@
 import os
 
 from strata.plans.deposits import build_workbook, meta_rows
-from strata.streaming.landing import start_workbook_landing
+from strata.streaming.landing import compact_silver, landing_failures, read_silver, start_workbook_landing
 
 META = {"g3mt_version": "1", "schema_file": "s", "target_node": "subject"}
 
@@ -31,5 +31,36 @@ def test_incremental_landing_sees_only_new_files_and_promotes_newest(spark, tmp_
     batches = sorted(r[0] for r in b.select("_src_batch_id").distinct().collect())
     assert batches[0].startswith("run1-") and batches[1].startswith("run2-")
     assert {"id", "v", "row_hash", "_src_file"} <= set(b.columns)  # same wide bronze table as batch ingest
-    s = spark.read.parquet(silver + "/silver_s1_subject")
+    s = read_silver(spark, silver + "/silver_s1_subject")
     assert s.count() == 3 and s.select("row_hash").distinct().count() == 3
+    compact_silver(spark, silver + "/silver_s1_subject", tmp_dir + "/compact")
+    assert sorted(map(tuple, read_silver(spark, tmp_dir + "/compact").select("row_hash", "id").collect())) == \
+        sorted(map(tuple, s.select("row_hash", "id").collect()))
+
+
+def test_a_bad_workbook_is_a_finding_and_the_good_one_lands(spark, tmp_dir):
+    dep, bronze = tmp_dir + "/submissions/dep", tmp_dir + "/bronze"  # the prefix also stands above the root
+    _wb(dep, "submissions/s1/a.xlsx", [["id"], ["h"], ["1"]])
+    with open(dep + "/submissions/s1/torn.xlsx", "wb") as fh:
+        fh.write(b"PK torn")
+    q = start_workbook_landing(spark, "file://" + dep, "file://" + bronze, "run", "t", checkpoint="file://" + tmp_dir + "/c")
+    q.awaitTermination()
+    assert spark.read.parquet(bronze + "/bronze_s1_subject").count() == 1
+    bad = landing_failures(spark, bronze + "-findings", "run").collect()
+    assert [(r.file.rsplit("/", 1)[-1], r.study_id) for r in bad] == [("torn.xlsx", "s1")]
+
+
+def test_a_small_batch_adds_files_and_rewrites_none(spark, tmp_dir):
+    import glob
+    from strata.streaming.landing import promote_batch
+    def rows(n, at):
+        return spark.range(n).selectExpr("cast(id as string) as k", "sha2(cast(id as string), 256) as row_hash",
+                                         f"'{at}' as _src_batch_id", f"'{at}' as _src_ingested_at", "'f' as _src_file",
+                                         "'s' as _src_sheet", "'1' as _src_row")
+    promote_batch(rows(2000, "t1"), tmp_dir + "/silver", run_key="e1")
+    before = set(glob.glob(tmp_dir + "/silver/**/*.parquet", recursive=True))
+    promote_batch(rows(600, "t2"), tmp_dir + "/silver", run_key="e2")
+    promote_batch(rows(600, "t2"), tmp_dir + "/silver", run_key="e2")  # a replayed epoch
+    assert before <= set(glob.glob(tmp_dir + "/silver/**/*.parquet", recursive=True))
+    got = read_silver(spark, tmp_dir + "/silver")
+    assert got.count() == 2000 and got.filter("_src_batch_id = 't2'").count() == 600

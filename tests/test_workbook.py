@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from strata import jobs
 from strata.plans.deposits import build_workbook, meta_rows
 from strata.sources import xlsx
-from strata.sources.workbook import ingest_workbooks, list_workbooks
+from strata.sources.workbook import list_workbooks, read_workbooks
 
 META = {"g3mt_version": "0.4.2", "schema_file": "s.json", "target_node": "subject", "path": "p"}
 
@@ -54,7 +54,8 @@ def test_listing_filters_and_studies(spark, deposits):
 
 
 def test_landing_rows_cells_and_findings(spark, deposits):
-    data, findings = ingest_workbooks(spark, "file://" + deposits)
+    landed = read_workbooks(spark, "file://" + deposits)
+    data, findings = landed.filter(F.col("error").isNull()), landed.filter(F.col("error").isNotNull())
     rows = {(os.path.basename(r.file), r.row): r for r in data.collect()}
     r3 = rows[("wb1.xlsx", 3)]
     assert r3.headers == ["submitter_id", "Age", "flag", "visit_date", "Sub.ID"]
@@ -68,15 +69,18 @@ def test_landing_rows_cells_and_findings(spark, deposits):
     assert not any(r.node == "visit" for r in data.collect())  # unfilled sheet: no rows
     assert rows[("rootfile.xlsx", 3)].study_id == "unassigned"
     f = {(os.path.basename(r.file), r.severity): r.error for r in findings.collect()}
-    assert "no '_g3mt' sheet" in f[("nometa.XLSX", "error")]
-    assert "no node->sheet mapping" in f[("emptymap.xlsx", "error")]
-    assert "duplicate headers" in f[("dup.xlsx", "error")]
+    assert "'_g3mt' is missing" in f[("nometa.XLSX", "error")]
+    assert "maps no node" in f[("emptymap.xlsx", "error")]
+    assert "headers repeat" in f[("dup.xlsx", "error")]
     assert "missing sheet 'Nope'" in f[("wb1.xlsx", "warn")]
 
 
 def test_serials_and_numbers():
     assert xlsx.serial_to_text(45306) == "2024-01-15 00:00:00"
     assert xlsx.serial_to_text(0.5) == "12:00:00"
+    assert xlsx.serial_to_text(40000, xlsx.EPOCH_1904) == "2013-07-07 00:00:00"
+    assert xlsx.duration_to_text(1.5) == "1 day, 12:00:00" and xlsx.duration_to_text(0.25) == "6:00:00"
+    assert xlsx._is_duration_format("[h]:mm:ss") and not xlsx._is_duration_format("[Red]h:mm")
     assert xlsx.number_text("42") == "42" and xlsx.number_text("1.50") == "1.5"
     assert xlsx.number_text("1E-3") == "0.001"
 
@@ -86,11 +90,22 @@ def test_ingest_job_writes_good_tables_then_raises(spark, deposits, tmp_dir):
     with pytest.raises(Exception) as err:
         jobs.ingest(spark, "file://" + deposits, "file://" + bronze_root, batch_marker="run-1")
     assert "nometa.XLSX" in str(err.value) and "dup.xlsx" in str(err.value)
+    found = {(os.path.basename(r.file or ""), r.severity) for r in spark.read.parquet(bronze_root + "-findings").collect()}
+    assert {("nometa.XLSX", "error"), ("dup.xlsx", "error"), ("wb1.xlsx", "warn"), ("", "info")} <= found
+    import glob
+    from strata.session import scratch_path
+    assert not glob.glob(scratch_path(spark, "landing").removeprefix("file:") + "/*")  # staging is removed
+    with pytest.raises(Exception):
+        jobs.ingest(spark, "file://" + deposits, "file://" + tmp_dir + "/dry", dry_run=True)
+    rep = jobs.ingest(spark, "file://" + deposits, "file://" + tmp_dir + "/dry", dry_run=True, study="unassigned").collect()
+    assert [(r.table_name, r.n_rows, "submitter_id_2" in r.columns) for r in rep] == [("bronze_unassigned_subject", 1, True)]
+    assert not os.path.exists(tmp_dir + "/dry") and not os.path.exists(tmp_dir + "/dry-findings")
     t = spark.read.parquet(os.path.join(bronze_root, "bronze_studya_subject"))
     assert t.count() == 2
     assert {"submitter_id", "age", "flag", "visit_date", "sub_id", "row_hash", "_src_batch_id"} <= set(t.columns)
     assert t.select("_src_batch_id").distinct().first()[0] == "run-1"
-    u = spark.read.parquet(os.path.join(bronze_root, "bronze_unassigned_subject"))
+    from strata.sinks import writers
+    u = writers.read_bronze(spark, os.path.join(bronze_root, "bronze_unassigned_subject"))
     assert sorted(u.columns)[:2] == ["_src_batch_id", "_src_file"] and "submitter_id_2" in u.columns
 
 
@@ -100,7 +115,7 @@ def test_all_sheets_mode_and_dry_run(spark, deposits, tmp_dir):
         .filter(F.col("error").isNull())
     sheets = {r.sheet for r in landed.select("sheet").distinct().collect()}
     assert {"Subject", "_g3mt"} <= sheets  # every sheet, name kept as a column
-    data, _ = ingest_workbooks(spark, "file://" + deposits, study="unassigned")
+    data = read_workbooks(spark, "file://" + deposits, study="unassigned").filter(F.col("error").isNull())
     from strata.operators import landing
     cells = landing.bronze_from_cells(data, batch_id="b", ingested_at="t")
     rep = {r.table_name: r.n_rows for r in landing.dry_run_report(cells).collect()}
