@@ -113,55 +113,43 @@ def import_order(spark: SparkSession, links: DataFrame, nodes: DataFrame | None
     (a node with no parent link); ``pos`` orders by (level, node). Nodes on or
     behind a cycle get ``level`` null and ``cycle`` true instead of looping.
 
-    A recursive CTE walks paths carrying the path, so a back edge stops the
-    walk. Links are dictionary-sized."""
-    edges = links.select("child", "parent").distinct()
-    all_nodes = edges.select(F.col("parent").alias("node")).union(edges.select(F.col("child").alias("node")))
-    if nodes is not None:
-        all_nodes = all_nodes.union(nodes.select("node"))
-    all_nodes = all_nodes.distinct()
-    # Roots: nodes without a parent other than themselves (an anti-join,
-    # kept outside the recursion so the anchor is a plain scan).
-    roots = all_nodes.join(edges.filter(F.col("child") != F.col("parent")),
-                           all_nodes.node == F.col("child"), "left_anti")
-    edges.createOrReplaceTempView("__io_edges")
-    roots.createOrReplaceTempView("__io_roots")
-    # One walk from the roots carrying its path. A step onto a node already
-    # on the path closes a cycle: that row is kept (flagged) and not extended,
-    # so the walk terminates; the cycle's members are the path from the
-    # repeated node on.
-    walk = spark.sql("""
-        WITH RECURSIVE walk(node, depth, path, closed) AS (
-          SELECT node, 0, array(node), false FROM __io_roots
-          UNION ALL
-          SELECT e.child, w.depth + 1, concat(w.path, array(e.child)), array_contains(w.path, e.child)
-          FROM walk w JOIN __io_edges e ON e.parent = w.node
-          WHERE NOT w.closed
-        )
-        SELECT node, depth, path, closed FROM walk
-    """).checkpoint(eager=True)  # paths are dictionary-sized; walk once, read twice
-    walked = walk.filter(~F.col("closed")).groupBy("node").agg(F.max("depth").alias("level"))
-    on_cycle = walk.filter("closed").select(F.explode(F.slice(
-        "path", F.array_position("path", F.col("node")).cast("int"),
-        (F.size("path") - F.array_position("path", F.col("node"))).cast("int"))).alias("node"))
-    self_loops = edges.filter(F.col("child") == F.col("parent")).select(F.col("child").alias("node"))
-    cyc = on_cycle.union(self_loops).distinct().withColumn("cycle", F.lit(True))
-    levels = all_nodes.join(walked, "node", "left").join(cyc, "node", "left") \
-        .withColumn("cycle", F.coalesce("cycle", F.lit(False)) | F.col("level").isNull()) \
-        .withColumn("level", F.when(F.col("cycle"), F.lit(None)).otherwise(F.col("level")))
-    w = Window.orderBy(F.col("level").asc_nulls_last(), "node")
-    return levels.withColumn("pos", F.row_number().over(w) - 1).select("node", "level", "pos", "cycle")
+    Links are dictionary-sized. Nodes settle level by level: one whose parents
+    are all settled is a level below the deepest of them, so every link is
+    looked at once, however many paths there are; what a cycle holds back
+    never settles."""
+    parents: dict[str, set[str]] = {}
+    children: dict[str, list[str]] = {}
+    for child, parent in links.select("child", "parent").distinct().collect():
+        parents.setdefault(child, set()).add(parent)
+        parents.setdefault(parent, set())
+        children.setdefault(parent, []).append(child)
+    for r in nodes.select("node").collect() if nodes is not None else ():
+        parents.setdefault(r.node, set())
+    waiting = {n: len(p) for n, p in parents.items()}
+    level: dict[str, int] = {}
+    settled, depth = [n for n, w in waiting.items() if w == 0], 0
+    while settled:
+        level.update((n, depth) for n in settled)
+        below = []
+        for n in settled:
+            for c in children.get(n, ()):
+                waiting[c] -= 1
+                if waiting[c] == 0:
+                    below.append(c)
+        settled, depth = below, depth + 1
+    order = sorted(parents, key=lambda n: (n not in level, level.get(n, 0), n))
+    rows = [(n, level.get(n), i, n not in level) for i, n in enumerate(order)]
+    return spark.createDataFrame(rows, "node string, level bigint, pos bigint, cycle boolean")
 
 
 def upload_plan(records: DataFrame, order: DataFrame, node: str = "node",
                 key: str = "submitter_id") -> DataFrame:
-    """Records in import order, parents first. The order frame is
-    dictionary-sized and broadcast."""
-    o = F.broadcast(order.select(F.col("node").alias("__n"), "level", "pos"))
-    j = records.join(o, F.col(node) == F.col("__n"), "inner").drop("__n")
-    # The row hash as a last sort key lets range partitioning split a key
-    # that repeats many times (equal keys are interchangeable in the plan).
-    return j.orderBy("pos", key, F.xxhash64(*j.columns))
+    """Records in import order, parents first. Records of a node that the
+    order does not know come last, with null level and pos. Rows that agree in
+    every sort key are range-partitioned together."""
+    o = order.select(F.col("node").alias("__n"), "level", "pos")
+    j = records.join(o, F.col(node) == F.col("__n"), "left").drop("__n")
+    return j.orderBy(F.col("pos").asc_nulls_last(), key)
 
 
 def select_audit(audit: DataFrame, project_id: str, version: str, api_endpoint: str) -> DataFrame:
@@ -174,8 +162,9 @@ def select_audit(audit: DataFrame, project_id: str, version: str, api_endpoint:
 
 
 def delete_plan(audit_rows: DataFrame, order: DataFrame) -> DataFrame:
-    """Records to delete, children first (level descending)."""
-    o = F.broadcast(order.select(F.col("node").alias("__n"), "level", "pos"))
-    j = audit_rows.join(o, F.col("node") == F.col("__n"), "inner").drop("__n")
-    return j.orderBy(F.desc("pos"), "gen3_guid", F.xxhash64(*j.columns))
-
+    """Records to delete, children first (position descending); those
+    of a node that the order does not know come first, as nothing can be said
+    to hang on them last."""
+    o = order.select(F.col("node").alias("__n"), "level", "pos")
+    j = audit_rows.join(o, F.col("node") == F.col("__n"), "left").drop("__n")
+    return j.orderBy(F.col("pos").desc_nulls_first(), "gen3_guid")

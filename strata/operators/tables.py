@@ -40,8 +40,7 @@ def export_candidates(names: DataFrame, exclude: DataFrame | None = None, column
     """F5 + U3: exportable tables minus the exclude list (left anti)."""
     kept = names.filter(is_exportable(column))
     if exclude is not None:
-        kept = kept.join(F.broadcast(exclude.select(F.col("table_name").alias("__x"))),
-                         F.col(column) == F.col("__x"), "left_anti")
+        kept = kept.join(exclude.select(F.col("table_name").alias("__x")), F.col(column) == F.col("__x"), "left_anti")
     return kept
 
 

@@ -11,7 +11,7 @@ from strata.functions.text import PY_STRIP_PATTERN
 from strata.operators import audit, release
 from strata.sinks.writers import KEEP_NULLS
 from strata.plans.common import TESTDATA_LINKS, customer_records, node_keys, order_records, query, table
-from strata.sources.dictionary import links_frame
+from strata.plans.validation import testdata_dictionary
 
 # --- tags -----------------------------------------------------------------------
 # Release tags built from order dates: ``<year-1990>.<month>.<day>``, urgent
@@ -82,18 +82,9 @@ FROM n LEFT JOIN lv ON n.node = lv.node
 """
 
 
-_ORDER_CACHE: dict[str, list] = {}
-
-
 def testdata_order(spark: SparkSession) -> DataFrame:
-    """The import order of the testdata dictionary. It depends on the
-    dictionary only, so it is computed once per session (recursive CTE) and
-    kept as its dictionary-sized rows."""
-    key = spark.sparkContext.applicationId
-    if key not in _ORDER_CACHE:
-        o = release.import_order(spark, links_frame(spark, list(TESTDATA_LINKS)))
-        _ORDER_CACHE[key] = [tuple(r) for r in o.select("node", "level", "pos", "cycle").collect()]
-    return spark.createDataFrame(_ORDER_CACHE[key], "node string, level bigint, pos bigint, cycle boolean")
+    """The import order of the testdata dictionary, from its links."""
+    return release.import_order(spark, testdata_dictionary(spark).links)
 
 
 @query("import_order", f"""

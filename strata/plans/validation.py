@@ -22,24 +22,16 @@ from strata.plans.common import (BATCH_A, BATCH_B, INGESTED_A, INGESTED_B, PROVE
 from strata.sources.dictionary import Dictionary, dictionary_from_obj
 
 CHECKED_NODES = ("customer", "orders", "documents", "conversations")
-_RULE_CACHE: dict[str, list[checks.Rule]] = {}
-_DICT_CACHE: dict[str, Dictionary] = {}
 
 
 def testdata_dictionary(spark: SparkSession) -> Dictionary:
-    """The testdata dictionary parsed by Spark (plans reused per session)."""
-    key = spark.sparkContext.applicationId
-    if key not in _DICT_CACHE:
-        _DICT_CACHE[key] = dictionary_from_obj(spark, TESTDATA_DICTIONARY, "testdata-dictionary.json")
-    return _DICT_CACHE[key]
+    """The testdata dictionary, parsed."""
+    return dictionary_from_obj(spark, TESTDATA_DICTIONARY, "testdata-dictionary.json")
 
 
 def testdata_rules(spark: SparkSession) -> list[checks.Rule]:
-    """The testdata dictionary's rules, collected once per session (metadata)."""
-    key = spark.sparkContext.applicationId
-    if key not in _RULE_CACHE:
-        _RULE_CACHE[key] = checks.collect_rules(testdata_dictionary(spark).rules)
-    return _RULE_CACHE[key]
+    """The testdata dictionary's rules (metadata)."""
+    return checks.collect_rules(testdata_dictionary(spark).rules)
 
 
 def node_records(spark: SparkSession, sf_dir: str, node: str) -> DataFrame:
