@@ -7,6 +7,7 @@ expressed as DataFrame plans and Catalyst/AQE decide the physical strategy.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -103,18 +104,22 @@ def ensure_defaults(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``; that value is always used.
-    Only when it is unset (tests, local runs) is a scratch folder created.
+    A folder set on the context wins; else ``spark.checkpoint.dir``, which a
+    cluster names. Only a local master without either (tests) gets a scratch
+    folder of its own; on a cluster that would be a folder executors cannot
+    see, so it is an error there.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = sc._jsc.sc().getCheckpointDir()
+    if current.isDefined():
+        return current.get()
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    sc.setCheckpointDir(configured)
+    return sc._jsc.sc().getCheckpointDir().get()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
