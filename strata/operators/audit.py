@@ -43,12 +43,13 @@ def batch_inventory(df: DataFrame, batch_col: str = "_src_batch_id",
             .orderBy("ingested_at", batch_col))
 
 
-def outcome_tally(units: DataFrame, name: str = "unit", status: str = "status") -> DataFrame:
-    """succeeded/failed unit counts with the names sorted. Units are
-    tables/workbooks of a run, so each status group is run-sized."""
+def outcome_tally(units: DataFrame, name: str = "unit", status: str = "status", failed: str = "failed") -> DataFrame:
+    """Unit counts per outcome, with the names of the failed ones sorted
+    (null for other outcomes: only failures are listed)."""
+    listed = F.sort_array(F.collect_list(F.when(F.col(status) == failed, F.col(name))))
     return units.groupBy(status).agg(
         F.count(F.lit(1)).alias("n_units"),
-        F.array_join(F.sort_array(F.collect_list(name)), ",").alias("names"))
+        F.nullif(F.array_join(listed, ","), F.lit("")).alias("names"))
 
 
 def distinct_studies(df: DataFrame, study: str = "study_id") -> DataFrame:

@@ -257,7 +257,7 @@ WITH u AS (
          CASE WHEN event_type = 'error' THEN 'failed' ELSE 'succeeded' END AS status
   FROM events
 )
-SELECT status, CAST(count(*) AS BIGINT) AS n_units, string_agg(unit, ',' ORDER BY unit) AS names FROM u GROUP BY status
+SELECT status, CAST(count(*) AS BIGINT) AS n_units, string_agg(CASE WHEN status = 'failed' THEN unit END, ',' ORDER BY unit) AS names FROM u GROUP BY status
 """)
 def outcome_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")

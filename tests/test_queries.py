@@ -39,15 +39,17 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_only_training_data_queries_lack_an_oracle():
+    # Those are held against brute-force versions in tests/llm.
+    bare = set(entry.queries()) - set(entry.oracle_sql())
+    assert all(n.startswith("op") or n == "pipeline" for n in bare)
+
+
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
     cols, rows = df.columns, [tuple(r) for r in df.collect()]
-    sql = entry.oracle_sql().get(name)
-    if sql is None:
-        assert len(rows) >= 0
-        return
-    rel = con.execute(sql)
+    rel = con.execute(entry.oracle_sql()[name])
     ocols = [d[0] for d in rel.description]
     orows = rel.fetchall()
     assert sorted(cols) == sorted(ocols)
