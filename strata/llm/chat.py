@@ -148,7 +148,29 @@ def digests(turns: DataFrame, template: Template = DEFAULT) -> DataFrame:
         state.isin(*template.final).alias("valid"))
 
 
-@query("op7_chat_format")
+def _escape_sql(text: str, template: Template = DEFAULT) -> str:
+    out = f"replace({text}, '&', '&amp;')"
+    for c in template.control:
+        out = f"replace({out}, '{c}', '{dict(_MARKS)[c[0]] + c[1:]}')"
+    return out
+
+
+_SQL = f"""
+with t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all values (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  cast(sum({len(DEFAULT.open) + len(DEFAULT.after_role) + len(DEFAULT.close)} + length(replace({_escape_sql("role")}, chr(10), '&nl;'))
+       + length({_escape_sql("text")})) as bigint) as formatted_chars,
+  regexp_matches(string_agg(case role when 'system' then 's' when 'user' then 'u' when 'assistant' then 'a' when 'tool' then 't'
+       else 'x' end, '' order by turn nulls first, role, text), '^s?ua((u|t+)a)*$') as valid
+from t group by conv_id
+"""
+
+
+@query("op7_chat_format", _SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = "</s>[INST] ok [/INST]"
     extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),

@@ -155,9 +155,58 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], s: Settings = DEFAULT,
         "template", "purity")
 
 
+
+
 RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 
 
-@query("op1_url_templates")
+def _sql(rules: list[tuple[str, str]], s: Settings = DEFAULT) -> str:
+    """The same verdicts in DuckDB SQL, over rows in place of distinct paths."""
+    def differs(hits: str, of: str, all_hits: str, all_of: str) -> str:
+        h2, n1, n2 = f"({all_hits} - {hits})", f"({of} + 2)", f"({all_of} - {of} + 2)"
+        p = f"(({hits} + {h2} + 2) / ({n1} + {n2}))"
+        return f"(abs(({hits} + 1) / {n1} - ({h2} + 1) / {n2}) > {s.z} * sqrt({p} * (1 - {p}) * (1 / {n1} + 1 / {n2})))"
+    cases = {"rule": "", "verdict": ""}
+    for rule, verdict in sorted(rules, key=lambda r: (-len(r[0]), r[0])):
+        name, slash, prefix = rule.partition("/")
+        fits = f"when (host = '{name}' or ends_with(host, '.{name}')) and starts_with(path, '{slash + prefix}') then"
+        cases["rule"] += f" {fits} '{rule}'"
+        cases["verdict"] += f" {fits} '{verdict}'"
+    raw = "lambda x: case when x in ('*', '~', '**') then '%' || x else x end"
+    shaped = """lambda x: case when regexp_full_match(x, '[0-9]+') then '{number}' when regexp_full_match(x, '[0-9]{4}-[0-9]{2}(-[0-9]{2})?') then '{date}'
+  when regexp_full_match(x, '[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}') then '{uuid}'
+  when regexp_full_match(x, '[0-9a-fA-F]{16,}') and regexp_matches(x, '[0-9]') then '{hash}' else x end"""
+    parts = [
+        "r0 as (select page_id, case when url like '%://%' then substr(url, instr(url, '://') + 3) else '' end as rest from pages)",
+        """r1 as (select page_id, regexp_extract(rest, '(?s)^([^/?#]*)', 1) as h, regexp_extract(rest, '(?s)^[^/?#]*([^?#]*)', 1) as path from r0)""",
+        """r2 as (select page_id, path, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host from r1)""",
+        f"""r3 as (select *, case{cases['rule']} end as rule, case{cases['verdict']} end as rv,
+  list_transform(list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''), {raw}), {shaped}) as whole from r2)""",
+        f"""t0 as (select row_number() over () as rid, *, case when len(whole) > {s.depth} then list_append(whole[1:{s.depth}], '{REST}') else whole end as segs,
+  case when rv is null then 0 else 1 end as lab, case when rv = 'block' then 1 else 0 end as bad, cast([] as varchar[]) as template from r3)"""]
+    for i in range(1, s.depth + 1):
+        parts += [
+            f"x{i} as (select *, host || '/' || array_to_string(template, '/') as parent, case when len(segs) >= {i} then segs[{i}] end as seg from t{i - 1})",
+            f"""b{i} as (select parent, seg, count(*)::double as n, sum(lab)::double as lab, sum(bad)::double as bad,
+  sum(case when len(segs) = {i} then 1 else 0 end)::double as ends from x{i} where seg is not null group by parent, seg)""",
+            f"""q{i} as (select *, count(*) over (partition by parent) >= {s.min_siblings}
+  and n <= {s.max_share} * sum(n) over (partition by parent) as wild from b{i})""",
+            f"""p{i} as (select parent as pp, count(*) as peers, sum(lab) as plab, sum(bad) as pbad, sum(ends) as pends, sum(n) as pall
+  from q{i} where not wild and lab > 0 group by parent)""",
+            f"""f{i} as (select parent as fp, seg as fs, case when wild then '{WILD}' when lab > 0 and peers > 1
+  and not {differs('bad', 'lab', 'pbad', 'plab')} and not {differs('ends', 'n', 'pends', 'pall')} then '{MERGED}' else seg end as name
+  from q{i} left join p{i} on parent = pp)""",
+            f"""t{i} as (select rid, page_id, host, path, rule, rv, segs, lab, bad,
+  case when seg is null then template else list_append(template, name) end as template
+  from x{i} left join f{i} on parent = fp and seg = fs)"""]
+    last = f"t{s.depth}"
+    parts += [f"""z as (select *, array_to_string(list_prepend(host, case when len(segs) > {s.depth} then list_append(template, '{REST}') else template end), '/') as name from {last})""",
+              f"""w as (select name, (sum(bad) + {s.prior_bad}) / (sum(lab) + {s.prior_bad} + {s.prior_good}) as purity from z group by name)"""]
+    return "with " + ",\n".join(parts) + f"""
+select page_id, host, path, rule, coalesce(rv, case when purity >= {s.reject} then 'block' else 'allow' end) as verdict,
+       z.name as template, purity from z join w on z.name = w.name"""
+
+
+@query("op1_url_templates", _sql(RULES))
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"), RULES)

@@ -260,6 +260,18 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
                                          F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-@query("op6_pq_vector_near_dedup")
+_SQL = """
+with recursive v as (select vec_id, cast(embedding as double[]) as x from embeddings),
+ok as (select * from v where x is not null and len(x) > 0 and list_bool_and([c is not null and isfinite(c) for c in x])
+  and list_bool_or([c <> 0 for c in x])),
+links as (select a.vec_id as a, b.vec_id as b from ok a join ok b on a.vec_id <> b.vec_id and len(a.x) = len(b.x)
+  and list_cosine_similarity(a.x, b.x) >= 0.95),
+reach(vec_id, c) as (select vec_id, vec_id from v union select r.vec_id, l.b from reach r join links l on l.a = r.c)
+select v.vec_id, (select count(*) from links l where l.a = v.vec_id) as n_links, min(c) as component_id, min(c) = v.vec_id as kept
+from v join reach r using (vec_id) group by v.vec_id
+"""
+
+
+@query("op6_pq_vector_near_dedup", _SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))

@@ -243,9 +243,18 @@ def fetch(spark: SparkSession, path: str, page_ids: list[int]) -> DataFrame:
     return _files(spark, path).mapInPandas(some, _RECORD)
 
 
-@query("op4_warc_bundles")
+_SQL = f"""
+with p as (select page_id, octet_length(encode(coalesce(html, ''))) as n, sha1(coalesce(html, '')) as digest from pages),
+m as (select digest, max(page_id) as last from p where n >= {MIN_REVISIT_BYTES} group by digest)
+select page_id, cast(n as bigint) as payload_bytes, p.digest as payload_digest,
+       case when n >= {MIN_REVISIT_BYTES} and last <> page_id then 'revisit' else 'response' end as record_type,
+       case when n >= {MIN_REVISIT_BYTES} and last <> page_id then last end as refers_to
+from p left join m using (digest)
+"""
+
+
+@query("op4_warc_bundles", _SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "warc")
     write_bundles(table(spark, sf_dir, "pages"), path)
-    return read_bundles(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
-                                            "bundle", "frame", "frame_offset")
+    return read_bundles(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

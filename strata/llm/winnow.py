@@ -199,7 +199,27 @@ def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     return docs.join(bad, docs.doc_id.eqNullSafe(bad._d) & (F.xxhash64(docs.text) == bad._x), "left_anti")
 
 
-@query("op10_winnowing_decontamination")
+_SQL = r"""
+with d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents),
+b as (select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from benchmark),
+win as (select distinct item_id, size, array_to_string(ws[i:i + size - 1], ' ') as x
+  from (select item_id, ws, least(len(ws), 10) as size, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) as i from b where len(ws) > 0)),
+sizes as (select distinct size from win),
+pos as (select doc_id, size, i, array_to_string(ws[i:i + size - 1], ' ') as x
+  from (select doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) as i from d, sizes where len(ws) >= size)),
+hits as (select p.doc_id, p.i, p.size, w.item_id from pos p join win w on w.size = p.size and w.x = p.x),
+n as (select doc_id, count(distinct spot) as n_hit from (select doc_id, unnest(range(i, i + size)) as spot from hits) group by doc_id),
+its as (select doc_id, count(*) as n_items, string_agg(id, ',' order by id) as ids
+  from (select distinct doc_id, cast(item_id as varchar) as id from hits) group by doc_id)
+select doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
+       cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join n using (doc_id) left join its using (doc_id)
+"""
+
+
+@query("op10_winnowing_decontamination", _SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return got.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
