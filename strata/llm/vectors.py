@@ -218,7 +218,8 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
 
     Vectors that are null, empty, zero or hold null or non-finite components,
     and those whose length differs from the most common one, link with
-    nothing. A null id takes part in no link. Repeated rows count as vectors.
+    nothing. A null id takes part in no link. Repeated rows count as vectors;
+    different vectors under one id are one node of the links.
     """
     spark = rows.sparkSession
     given = rows.select(F.col(id_col).alias("id"), F.col(vector_col).alias("v"))
