@@ -25,7 +25,7 @@ END_ID = 1
 #: ROW_STRIDE documents.
 STRIPE_BYTES, ROW_STRIDE, BLOOM_FPP = 64 << 20, 1000, 0.01
 #: Text bytes a file should hold.
-FILE_BYTES = 128 << 20
+FILE_BYTES = 64 << 20
 #: Words whose ids a worker remembers; beyond it the memory starts anew.
 CACHE_WORDS = 600_000
 _SLICE = 4 << 20
@@ -36,12 +36,19 @@ def _encoder(path: str) -> _Encoder:
     return _Encoder(path)
 
 
+#: An ASCII letter, a run of ASCII punctuation that ends a word. The tokenizer
+#: never joins a letter and such a mark, so a space between them changes no id;
+#: apostrophes (contractions) and what special tokens end in are left alone.
+_WORD_END = r"([A-Za-z])([!-&(-/:-=?-@\[-`{-~]+)(\s|$)"
+
+
 class _Encoder:
     """Encodes texts word by word.
 
     The tokenizer's pattern never joins characters across white space, so a
     text's ids are those of its space-separated words in order; each distinct
-    word goes through the tokenizer once per worker.
+    word goes through the tokenizer once per worker. Words of ASCII characters
+    that differ in case alone have the same ids.
     """
 
     def __init__(self, path: str):
@@ -53,45 +60,64 @@ class _Encoder:
         self.codes: dict[str, int] = {}
         self.flat = np.zeros(1 << 16, np.int32)
         self.ends = np.zeros(1 << 16, np.int64)
-        self.used = 0
+        self.flat[0], self.ends[0] = END_ID, 1
+        self.n, self.used = 1, 1
 
-    def _learn(self, words: list[str]) -> None:
-        n = len(self.codes)
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        ids = np.fromiter((i for x in got for i in x), np.int32)
-        ends = self.used + np.cumsum([len(x) for x in got])
+    def _keep(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while n + len(words) > len(self.ends):
+        while self.n + len(words) > len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
         self.flat[self.used:self.used + len(ids)] = ids
-        self.ends[n:n + len(words)] = ends
+        self.ends[self.n:self.n + len(words)] = self.used + np.cumsum(sizes)
+        self.codes.update(zip(words, range(self.n, self.n + len(words))))
+        self.n += len(words)
         self.used += len(ids)
-        self.codes.update(zip(words, range(n, n + len(words))))
+
+    def _learn(self, words: list[str]) -> None:
+        forms = [w.lower() if w.isascii() and "<" not in w else w for w in words]
+        fresh = [f for f in dict.fromkeys(forms) if f not in self.codes]
+        plain = [f for f in fresh if f.isalpha()]
+        for lo in range(0, len(plain), 20_000):
+            part = plain[lo:lo + 20_000]
+            # One text of letter words is one pre-token a word, unless a
+            # character changes its kind when it is normalised.
+            e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            sizes = np.bincount(np.array(e.word_ids, np.int64), minlength=len(part)) if e.ids else np.zeros(0, np.int64)
+            if len(sizes) == len(part) and sizes.all():
+                self._keep(part, np.array(e.ids, np.int32), sizes)
+        rest = [f for f in fresh if f not in self.codes]
+        if rest:
+            got = [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
+            self._keep(rest, np.fromiter((i for x in got for i in x), np.int32), np.array([len(x) for x in got]))
+        self.codes.update((w, self.codes[f]) for w, f in zip(words, forms) if w != f)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, number of ids per text), each text ended by END_ID."""
-        lists = pc.ascii_split_whitespace(texts.fill_null(""))
+        spread = pc.replace_substring_regex(texts.fill_null(""), _WORD_END, r"\1 \2\3")
+        lists = pc.ascii_split_whitespace(spread)
         coded = pc.dictionary_encode(lists.flatten())
-        words = coded.dictionary.to_pylist()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.codes) + len(words) > CACHE_WORDS:
             self.clear()
-        new = [w for w in words if w not in self.codes]
-        if new:
-            self._learn(new)
-        code = np.fromiter((self.codes[w] for w in words), np.int64, len(words))
-        at = code[np.asarray(coded.indices)] if len(words) else np.zeros(0, np.int64)
-        begins = np.where(at > 0, self.ends[at - 1], 0)
-        size = self.ends[at] - begins
+        code = list(map(self.codes.get, words))
+        if None in code:
+            self._learn([w for w, c in zip(words, code) if c is None])
+            code = list(map(self.codes.get, words))
+        # Code 0 is the end id, which stands after every text's words.
         first = np.asarray(lists.offsets).astype(np.int64) - lists.offsets[0].as_py()
+        n_words = np.diff(first)
+        at = np.zeros(int(first[-1]) + len(n_words), np.int64)
+        inner = np.ones(len(at), bool)
+        inner[first[1:] + np.arange(len(n_words))] = False
+        at[inner] = np.array(code, np.int64)[np.asarray(coded.indices)] if words else 0
+        begins = self.ends[at - 1]
+        begins[at == 0] = 0
+        size = self.ends[at] - begins
         before = np.concatenate([[0], np.cumsum(size)])
-        n_ids = np.diff(before[first]) + 1
-        # Words' places in the output: one end id more after each text.
-        text_of = np.repeat(np.arange(len(first) - 1), np.diff(first))
-        out = np.full(int(before[-1]) + len(n_ids), END_ID, np.int32)
-        step = np.arange(int(before[-1])) - np.repeat(before[:-1], size)
-        out[np.repeat(before[:-1] + text_of, size) + step] = self.flat[np.repeat(begins, size) + step]
-        return out, n_ids
+        n_ids = np.diff(before[np.concatenate([[0], np.cumsum(n_words + 1)])])
+        take = np.arange(int(before[-1]), dtype=np.int32) + np.repeat((begins - before[:-1]).astype(np.int32), size)
+        return self.flat[take], n_ids
 
 
 def _encode_rows(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
