@@ -218,12 +218,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     classes = stage(sk.where("n_shingles > 0").groupBy("sig").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes")
     member = classes.select("sig", "n", F.explode("bands").alias("key"))
-    shared = member.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    # Tables joined on a bucket's key are written first: the joins then deal
+    # out both sides themselves, and a hot bucket can be split.
+    shared = stage(member.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "shared")
     member = stage(member.join(shared, "key"), "buckets")
 
     central = member.groupBy("sig").agg(F.sum("m").alias("central"))
-    leaders = member.join(central, "sig").groupBy("key") \
-        .agg(F.max(F.struct("central", "sig", "n")).alias("top"))
+    leaders = stage(member.join(central, "sig").groupBy("key")
+                    .agg(F.max(F.struct("central", "sig", "n")).alias("top")), "leaders")
     near_size = den * F.least("n", "bn") >= num * F.greatest("n", "bn")
     star = member.join(leaders.select("key", F.col("top.sig").alias("b"), F.col("top.n").alias("bn")), "key") \
         .where((F.col("sig") != F.col("b")) & near_size) \
@@ -245,6 +247,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     named = member.join(comp, member.sig == comp.node, "left") \
         .select("key", "sig", "n", F.coalesce("comp", "sig").alias("comp"))
     split = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+    split = stage(split, "split-keys")
     left = stage(named.join(split, "key").select("sig", "n", "comp").distinct(), "split")
     sets = set_table(left.select("sig"))
     rest = stage(_prefix_pairs(left.join(sets, "sig"), num, den).join(star, ["a", "b"], "left_anti"), "rest")
@@ -277,7 +280,23 @@ def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Data
     return first.unionByName(docs.where(wordless))
 
 
-@query("op5_minhash_near_dedup")
+_SQL = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') as ws from documents),
+sets as (select doc_id, list_distinct(case when len(ws) = 0 then [] when len(ws) < 3 then [array_to_string(ws, chr(32))]
+  else [ws[i] || chr(32) || ws[i + 1] || chr(32) || ws[i + 2] for i in range(1, len(ws) - 1)] end) as s from w),
+g as (select doc_id, len(s) as n, unnest(s) as x from sets),
+links as (select a.doc_id as a, b.doc_id as b from g a join g b on a.x = b.x and a.doc_id < b.doc_id
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+both_ as (select a, b from links union all select b, a from links),
+reach(doc_id, c) as (select doc_id, doc_id from documents union select r.doc_id, e.b from reach r join both_ e on e.a = r.c)
+select s.doc_id, cast(len(s.s) as bigint) as n_shingles, min(c) as component_id, min(c) = s.doc_id as kept
+from sets s join reach r on r.doc_id = s.doc_id group by s.doc_id, s.s
+"""
+
+
+@query("op5_minhash_near_dedup", _SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=3, num=85, den=100) \
         .select("doc_id", "n_shingles", "component_id", "kept")
