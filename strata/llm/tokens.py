@@ -27,7 +27,7 @@ STRIPE_BYTES, ROW_STRIDE, BLOOM_FPP = 64 << 20, 1000, 0.01
 #: Text bytes a file should hold.
 FILE_BYTES = 64 << 20
 #: Words whose ids a worker remembers; beyond it the memory starts anew.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
 _SLICE = 4 << 20
 
 
@@ -135,6 +135,7 @@ def _encode_rows(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Re
                 [batch.column("doc_id").slice(lo, hi - lo), pa.array(n_ids),
                  pa.ListArray.from_arrays(pa.array(first), pa.array(ids))], names=["doc_id", "n_tokens", "ids"])
             lo = hi
+        pa.default_memory_pool().release_unused()
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str) -> None:
