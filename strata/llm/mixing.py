@@ -30,7 +30,7 @@ class Plan:
     max_epochs: int = 2
     seed: int = 17
     #: Documents a bucket of a leaf's seeded order holds, about.
-    bucket_docs: int = 5000
+    bucket_docs: int = 250
 
 
 def token_count(text: Column) -> Column:
