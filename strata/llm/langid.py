@@ -75,10 +75,11 @@ def features(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def fit_svm(x: np.ndarray, y: np.ndarray, rounds: int = 300, reg: float = 1e-4) -> tuple[np.ndarray, float]:
     """Linear SVM (squared hinge, Nesterov steps; classes weighed alike)."""
-    weight = np.where(y > 0, .5 / max((y > 0).sum(), 1), .5 / max((y < 0).sum(), 1))
-    w, b = np.zeros(x.shape[1]), 0.0
+    weight = np.where(y > 0, .5 / max((y > 0).sum(), 1), .5 / max((y < 0).sum(), 1)).astype(x.dtype)
+    y = y.astype(x.dtype)
+    w, b = np.zeros(x.shape[1], x.dtype), 0.0
     vw, vb = w.copy(), 0.0
-    step = 1 / (2 * (1 + (x * x).sum(axis=1).max()) + reg)
+    step = 1 / (2 * (1 + float(np.einsum("ij,ij->i", x, x).max())) + reg)
     for t in range(rounds):
         margin = np.maximum(0, 1 - y * (x @ vw + vb))
         pull = 2 * weight * y * margin
@@ -98,9 +99,12 @@ class Model:
             self.families.setdefault(FAMILIES.get(code, code), []).append(i)
         self.family_names = sorted(self.families)
         # Frequencies are scaled so that common and rare features weigh alike.
-        self.center = x.mean(axis=0) if len(x) else np.zeros(BUCKETS)
-        self.scale = 1 / (x.std(axis=0) + 1e-3) / np.sqrt(BUCKETS) if len(x) else np.ones(BUCKETS)
-        z = (x - self.center) * self.scale
+        # Single precision halves what the driver holds of the sample.
+        z = x.astype(np.float32)
+        self.center = z.mean(axis=0) if len(x) else np.zeros(BUCKETS, np.float32)
+        self.scale = (1 / (z.std(axis=0) + 1e-3) / np.sqrt(BUCKETS) if len(x) else np.ones(BUCKETS)).astype(np.float32)
+        z -= self.center
+        z *= self.scale
         columns, self.pairs = [], []
         for name in self.family_names if len(self.family_names) > 1 else []:
             columns.append(fit_svm(z, np.where(np.isin(lang, self.families[name]), 1, -1)))
@@ -181,7 +185,7 @@ def train(docs: DataFrame, folds: int = 3, held_out: int = 1) -> Model | None:
     langs = sorted(r.lang for r in sizes)
     at = {code: i for i, code in enumerate(langs)}
     lang = np.array([at[v] for v in got.column("lang").to_pylist()])
-    x = np.concatenate([np.asarray(c.values, float) for c in got.column("x").chunks]).reshape(-1, BUCKETS)
+    x = np.concatenate([np.asarray(c.values) for c in got.column("x").chunks]).reshape(-1, BUCKETS)
     return Model(langs, x, lang)
 
 
