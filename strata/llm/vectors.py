@@ -28,9 +28,11 @@ BLOCK = 2048
 #: Spread of a near vector's offset along one direction that a probe covers,
 #: in standard deviations.
 PROBE_SIGMAS = 4.0
-#: Approximate similarities are trusted up to so many deviations of the error
-#: measured on the sample.
+#: Deviations of the sample's error within which most approximate similarities
+#: lie (a measure of the codes; the sieve has a bound of its own per entry).
 ADC_SIGMAS = 6.0
+#: What rounding may take from a sum of products of unit vectors, amply.
+ROUNDING = 1e-6
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.ndarray:
@@ -76,6 +78,14 @@ class Index:
     def decode(self, codes: np.ndarray) -> np.ndarray:
         return np.concatenate([book[codes[:, j]] for j, book in enumerate(self.books)], axis=1)
 
+    def floors(self, x: np.ndarray, back: np.ndarray) -> np.ndarray:
+        """Per vector of x, decoded as ``back``: the least approximate cosine
+        q.back that a unit vector q linked to it can have. With l = x - back,
+        q.back = q.x - x.l - (q - x).l, and |q - x| <= sqrt(2 - 2 min_cos)."""
+        lost = x - back
+        r = math.sqrt(max(2 - 2 * self.min_cos, 0.0))
+        return self.min_cos - (x * lost).sum(axis=1) - r * np.sqrt((lost * lost).sum(axis=1)) - ROUNDING
+
     def probes(self, x: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, list) for every list that may hold a vector near to x.
 
@@ -167,7 +177,7 @@ def _compare(t: pa.Table, index: Index) -> pa.Table:
         li = int(t.column("li")[0].as_py())
         entries = x[e]
         codes = index.encode(entries - index.lists[li]).astype(np.int64)
-        floor = index.min_cos - ADC_SIGMAS * index.error
+        floor = index.floors(entries, index.lists[li] + index.decode(codes))
         # Do the entries probe the queries' own lists? Then they find the pair too.
         probed = np.zeros((len(e), len(index.lists)), bool)
         rows, lists = index.probes(entries, np.full(len(e), li))
@@ -213,7 +223,7 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     ``min_cos``. Exactly equal vectors are one class from the start. The index
     is fitted on SAMPLE vectors and holds all; a vector looks into every list
     whose border is near enough to it (PROBE_SIGMAS), so probes follow the
-    data; codes sift, exact cosines decide. A list of any size is compared in
+    data; codes sift by a bound that loses no link, exact cosines decide. A list of any size is compared in
     blocks of BLOCK x BLOCK, and only counts and a spanning forest leave a block.
 
     Vectors that are null, empty, zero or hold null or non-finite components,

@@ -72,3 +72,24 @@ def test_approximate_cosines_are_within_their_margin():
     y /= np.linalg.norm(y, axis=1, keepdims=True)
     gap = np.abs((y * back).sum(axis=1) - (y * x).sum(axis=1))
     assert (gap <= V.ADC_SIGMAS * index.error).mean() > .999
+
+
+def test_links_beside_a_group_of_near_copies(spark):
+    """A large group that its codes fit well must not hide the links of the
+    vectors that they fit badly: counted per vector, not per link."""
+    rng = np.random.default_rng(5)
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+    a = unit(rng.normal(size=(300, 64)))
+    t = rng.normal(size=a.shape)
+    t = unit(t - (t * a).sum(axis=1, keepdims=True) * a)
+    c = rng.uniform(.955, .99, (300, 1))
+    group = unit(rng.normal(size=(1, 64))) + rng.normal(size=(900, 64)) * .05 / 8
+    x = np.concatenate([a, c * a + np.sqrt(1 - c * c) * t, group])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in V.near_vectors(df).collect()}
+    near = unit(x) @ unit(x).T >= .95
+    found = [got[i][0] == near[i].sum() - 1 for i in range(len(x))]
+    assert np.mean(found[:600]) > .99 and np.mean(found[600:]) > .99
+    assert np.mean([got[i][1] == got[i + 300][1] for i in range(300)]) > .99
