@@ -192,11 +192,13 @@ def _prefix_pairs(nodes: DataFrame, num: int, den: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, x (hash of the
-    text), n_shingles, sig (16-byte set signature), component_id, kept.
+    text), n_shingles, sig (16-byte set signature), comp (smallest sig of the
+    component, null without shingles), component_id, kept.
 
     Documents are linked when ``den * |A and B| >= num * |A or B|`` over their
     distinct k-word shingles (words ``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased);
-    component_id is the smallest doc_id reachable by links.
+    component_id is the smallest doc_id reachable by links. Only ``comp`` tells
+    components apart whose smallest doc_ids are equal or null.
 
     - Equal sets form one class first (grouped on the set's signature with
       map-side combine), so thousands of copies cost one sketch row.
@@ -259,18 +261,21 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     of_class = classes.select("sig", "rep").join(comp, classes.sig == comp.node, "left") \
         .select("sig", "rep", F.coalesce("comp", "sig").alias("comp"))
     lowest = of_class.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    of_class = of_class.join(lowest, "comp").select("sig", "component_id")
+    of_class = of_class.join(lowest, "comp").select("sig", "comp", "component_id")
     worded = sk.where("n_shingles > 0").drop("bands").join(of_class, "sig") \
-        .select("doc_id", "x", "n_shingles", "sig", "component_id")
-    bare = sk.where("n_shingles = 0").select("doc_id", "x", "n_shingles", "sig", F.col("doc_id").alias("component_id"))
+        .select("doc_id", "x", "n_shingles", "sig", "comp", "component_id")
+    bare = sk.where("n_shingles = 0").select("doc_id", "x", "n_shingles", "sig", F.lit(None).cast("binary").alias("comp"),
+                                               F.col("doc_id").alias("component_id"))
     return worded.unionByName(bare).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """``docs`` with one row of each near-duplicate group and every row
-    without words. All columns stay; a repeated row counts as a copy."""
+    """``docs`` with one row of each near-duplicate group (the smallest doc_id,
+    then the smallest text hash) and every row without words. All columns stay;
+    a repeated row counts as a copy. Unlike texts under one id, or without
+    any, are groups of their own."""
     got = near_duplicates(docs, k, num, den)
-    one = got.where("kept and n_shingles > 0").groupBy("component_id", F.col("doc_id").alias("_d")) \
+    one = got.where("kept and n_shingles > 0").groupBy("comp", F.col("doc_id").alias("_d")) \
         .agg(F.min("x").alias("_x")).select("_d", "_x").distinct()
     # The given columns travel as one struct: no name of theirs can clash.
     keyed = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_d"), F.xxhash64("text").alias("_x"))

@@ -41,6 +41,15 @@ def test_keep_one_row_a_group(odd_docs, no_docs):
     assert M.near_duplicates(no_docs).count() == 0 and M.keep_one(no_docs).count() == 0
 
 
+def test_unlike_texts_under_one_id_or_none_are_kept(spark):
+    texts = [" ".join(f"{a}{i}" for i in range(20)) for a in "abcdef"]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1] + " "), (None, texts[2]), (7, texts[3]), (7, texts[4]),
+            (7, texts[4]), (8, texts[4]), (9, texts[5]), (None, texts[5])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(((r.doc_id, r.text.strip()) for r in M.keep_one(df, 3, 85, 100).collect()), key=str)
+    assert kept == sorted([(None, t) for t in texts[:3]] + [(7, texts[3]), (7, texts[4]), (9, texts[5])], key=str)
+
+
 def test_near_copies_linked_only_by_chains(spark):
     base = [f"w{i}" for i in range(100)]
     texts = []
