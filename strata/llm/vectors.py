@@ -113,6 +113,8 @@ def _unit(column: pa.Array) -> np.ndarray:
     flat = np.asarray(lists, float)
     n = len(column)
     x = flat.reshape(n, -1) if n else np.zeros((0, 0))
+    if n:  # neither huge nor tiny components overflow or vanish when squared
+        x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
@@ -215,50 +217,57 @@ def _join(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             root[:] = root[root]
 
 
+def _block_links(classes: DataFrame, n_rows: int, min_cos: float) -> DataFrame:
+    """(id, n, root) of every block of ``classes`` (v, id, copies; vectors of
+    one length): see ``_compare``."""
+    kind = classes.schema["v"].dataType.simpleString()
+    sample = classes.select("id", "v").orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").toArrow().column("v")
+    index = Index(_unit(sample.combine_chunks()), min(MAX_LISTS, max(1, math.ceil(n_rows / LIST_ROWS))), min_cos)
+
+    assigned = stage(classes.mapInArrow(partial(_assign_rows, index=index), f"id long, copies long, v {kind}, list int"),
+                     "vec-assigned")
+    blocks = np.ones(len(index.lists), np.int64)
+    for r in assigned.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect():  # MAX_LISTS rows at most
+        blocks[r.list] = -(-r.n // BLOCK)
+    met = assigned.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(1 << 30))).mapInArrow(
+        partial(_probe_rows, index=index, blocks=blocks),
+        f"li int, bl int, bq int, side int, id long, copies long, v {kind}, list int")
+
+    def compare(t):
+        return _compare(t, index)
+    return stage(met.groupBy("li", "bl", "bq").applyInArrow(compare, "id long, n long, root long"), "vec-links")
+
+
 def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", min_cos: float = 0.95) -> DataFrame:
     """One row per row of ``rows``: the id, n_links (other vectors linked
     directly), component_id (smallest id reachable), kept.
 
     Vectors are linked when their cosine, in double precision, is at least
-    ``min_cos``. Exactly equal vectors are one class from the start. The index
-    is fitted on SAMPLE vectors and holds all; a vector looks into every list
+    ``min_cos``. Exactly equal vectors are one class from the start. An index
+    is fitted on SAMPLE vectors and holds all of its length; a vector looks into every list
     whose border is near enough to it (PROBE_SIGMAS), so probes follow the
     data; codes sift by a bound that loses no link, exact cosines decide. A list of any size is compared in
     blocks of BLOCK x BLOCK, and only counts and a spanning forest leave a block.
 
-    Vectors that are null, empty, zero or hold null or non-finite components,
-    and those whose length differs from the most common one, link with
-    nothing. A null id takes part in no link. Repeated rows count as vectors;
+    Vectors of unlike lengths are never linked; each length has an index of its
+    own. Vectors that are null, empty, zero or hold null or non-finite
+    components link with nothing. A null id takes part in no link. Repeated rows count as vectors;
     different vectors under one id are one node of the links.
     """
-    spark = rows.sparkSession
     given = rows.select(F.col(id_col).alias("id"), F.col(vector_col).alias("v"))
-    kind = given.schema["v"].dataType.simpleString()
     sound = F.col("v").isNotNull() & F.col("id").isNotNull() & (F.size("v") > 0) \
-        & F.forall("v", lambda c: F.coalesce(~F.isnan(c) & (F.abs(c) < 1e150), F.lit(False))) \
-        & F.exists("v", lambda c: F.abs(c) > 1e-150)
-    dims = given.where(F.coalesce(sound, F.lit(False))).groupBy(F.size("v").alias("d")) \
-        .agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").first()
-    if dims is None:
+        & F.forall("v", lambda c: F.coalesce(~F.isnan(c) & (F.abs(c) != float("inf")), F.lit(False))) \
+        & F.exists("v", lambda c: c != 0)
+    usable = F.coalesce(sound, F.lit(False))
+    classes = stage(given.where(usable).groupBy("v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")), "vec-classes")
+    sizes = classes.groupBy(F.size("v").alias("d")).agg(F.sum("copies").alias("n")).orderBy("d").collect()  # one row a length
+    if not sizes:
         return given.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"),
                             F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    usable = F.coalesce(sound & (F.size("v") == dims.d), F.lit(False))
-    classes = stage(given.where(usable).groupBy("v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")), "vec-classes")
-    sample = classes.select("id", "v").orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").toArrow().column("v")
-    index = Index(_unit(sample.combine_chunks()), min(MAX_LISTS, max(1, math.ceil(int(dims.n) / LIST_ROWS))), min_cos)
-
-    assigned = stage(classes.mapInArrow(partial(_assign_rows, index=index), f"id long, copies long, v {kind}, list int"),
-                     "vec-assigned")
-    blocks = np.ones(len(index.lists), np.int64)
-    for r in assigned.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect():  # MAX_LISTS rows at most
-        blocks[r.list] = -(-r.n // BLOCK)
-    met = assigned.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(1 << 30))).mapInArrow(
-        partial(_probe_rows, index=index, blocks=blocks),
-        f"li int, bl int, bq int, side int, id long, copies long, v {kind}, list int")
-
-    def compare(t):
-        return _compare(t, index)
-    found = stage(met.groupBy("li", "bl", "bq").applyInArrow(compare, "id long, n long, root long"), "vec-links")
+    found = None
+    for r in sizes:
+        part = _block_links(classes.where(F.size("v") == r.d), int(r.n), min_cos)
+        found = part if found is None else found.unionByName(part)
     links = found.groupBy("id").agg(F.sum("n").alias("n"))
     comp = connected_components(found.where("root <> id").select(F.col("id").alias("a"), F.col("root").alias("b")))
     by_class = classes.join(links.select(F.col("id").alias("l"), "n"), F.col("id") == F.col("l"), "left") \

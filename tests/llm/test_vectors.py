@@ -93,3 +93,18 @@ def test_links_beside_a_group_of_near_copies(spark):
     found = [got[i][0] == near[i].sum() - 1 for i in range(len(x))]
     assert np.mean(found[:600]) > .99 and np.mean(found[600:]) > .99
     assert np.mean([got[i][1] == got[i + 300][1] for i in range(300)]) > .99
+
+
+def test_every_length_is_compared(spark):
+    rng = np.random.default_rng(6)
+    x, y = rng.normal(size=(30, 16)), rng.normal(size=(5, 7))
+    rows = list(enumerate([*x.tolist(), *x[:3].tolist(), *y.tolist(), *y[:2].tolist(), (y[2] * 1.5 + .001).tolist()]))
+    # Huge and tiny finite components; an id of vectors of two lengths is one node.
+    rows += [(50, [1e200, 2e200, 3.0]), (51, [1e-200, 2e-200, 0.0]), (60, (2 * x[9]).tolist()), (60, (3 * y[4]).tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in V.near_vectors(df).collect()}
+    pairs = {30: 0, 31: 1, 32: 2, 38: 33, 39: 34, 40: 35, 51: 50}
+    for a, b in pairs.items():
+        assert got[a] == got[b] == (1, b)
+    assert got[9][1] == got[37][1] == got[60][1] == 9
+    assert all(got[i] == (0, i) for i in (3, 10, 29, 36))
