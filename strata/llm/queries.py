@@ -1,6 +1,6 @@
 """Registers the subpackage's queries (importing a module registers its own)."""
 
-from strata.llm import chat, langid, minhash, mixing, quality, tokens, urls, vectors, warc, winnow  # noqa: F401
+from strata.llm import chat, langid, merkle, minhash, mixing, quality, tokens, urls, vectors, warc, winnow  # noqa: F401
 from strata.llm.common import ORACLES, REGISTRY
 
 __all__ = ["ORACLES", "REGISTRY"]
