@@ -1,6 +1,7 @@
 """Registers the subpackage's queries (importing a module registers its own)."""
 
-from strata.llm import chat, langid, licenses, merkle, minhash, mixing, quality, tokens, urls, vectors, warc, winnow  # noqa: F401
+from strata.llm import (alignment, chat, langid, licenses, merkle, minhash, mixing, quality, tokens, urls, vectors,  # noqa: F401
+                        warc, winnow)
 from strata.llm.common import ORACLES, REGISTRY
 
 __all__ = ["ORACLES", "REGISTRY"]
