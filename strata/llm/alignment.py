@@ -4,6 +4,10 @@ Interval coalescing: all A and B tokens are lexsorted by their first byte, the
 running maximum of their ends is taken, and a group breaks where a token's
 start reaches that maximum. Within a group every A token is linked with every
 B token.
+
+Neither tokenizer joins a word with the space after it, so a text's groups are
+those of its words in order: the distinct words of a block of documents are
+tokenized and coalesced once.
 """
 
 from __future__ import annotations
@@ -24,10 +28,12 @@ from pyspark.sql import functions as F
 from strata.llm import words as W
 from strata.llm.common import query, stage, table
 
-#: Text bytes of the documents whose distinct links are kept as one block.
+#: Text bytes of the documents whose distinct words and links are one block.
 BLOCK_BYTES = 8 << 20
-#: A text longer than this is given to the tokenizers in parts.
+#: Bytes of words given to a tokenizer as one text, and of text split at once.
 PART_BYTES = 1 << 18
+#: Bytes of distinct words aligned at once.
+WORD_BYTES = 2 << 20
 #: Links expanded at once.
 LINKS_AT_ONCE = 1 << 21
 
@@ -44,9 +50,7 @@ class _Vocabulary:
         self._first = np.concatenate([[0], np.cumsum(self.length)])[:-1]
 
     def spell(self, ids: np.ndarray) -> np.ndarray:
-        size = self.length[ids]
-        ends = np.cumsum(size)
-        return self._flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self._first[ids] - ends + size, size)]
+        return self._flat[_ranges(self._first[ids], self.length[ids])]
 
 
 def _byte_characters() -> dict[str, int]:
@@ -103,37 +107,64 @@ def _tokenizers(path_a: str, path_b: str) -> tuple[ByteBpe, Pieces]:
 
 # U+2581 is a space to a sentencepiece model.
 _CUT = re.compile(r"(?<=[^\s\u2581]) (?=[^\s\u2581])")
+_PLAIN = re.compile(r"[^\s\u2581]+(?:[^\u2581]*[^\s\u2581])?").fullmatch
 
 
-def _parts(text: str) -> list[str]:
-    """space + text, cut before single spaces between words: every part
-    begins with the space that its tokenizers see."""
-    full = " " + text
-    out, lo = [], 0
-    while len(full) - lo > PART_BYTES:
-        m = _CUT.search(full, lo + PART_BYTES)
+def words_of(text: str) -> Iterator[list[str]]:
+    """The words of a text, part by part: it is their join by single spaces,
+    and a tokenizer that ``splits`` sees each with the space before it."""
+    lo = 0
+    while True:
+        m = _CUT.search(text, lo + PART_BYTES) if len(text) - lo > PART_BYTES else None
+        yield _CUT.split(text[lo:m.start() if m else len(text)])
         if not m:
-            break
-        out.append(full[lo:m.start()])
-        lo = m.start()
-    return [*out, full[lo:]]
-
-
-def _encode(tokenizer, parts: list[str], owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(all ids, ids per text); ``owner`` says whose text a part is of."""
-    got = tokenizer.encode(parts)
-    sizes = np.array([len(x) for x in got], np.int64)
-    ids = np.concatenate([np.array(x, np.int64) for x in got]) if got else np.zeros(0, np.int64)
-    return ids, np.bincount(owner, sizes, n).astype(np.int64)
+            return
+        lo = m.end()
+
+
+def _encode(tokenizer, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(all ids, ids per word) of space + word. Words are tokenized together,
+    and told apart by the bytes of their tokens."""
+    n, length = len(words), tokenizer.vocabulary.length
+    alone = [i for i, w in enumerate(words) if not (tokenizer.splits and _PLAIN(w))]
+    other = np.delete(np.arange(n), alone)
+    size = np.array([len(words[i].encode()) + 1 for i in other.tolist()], np.int64)
+    runs = np.split(other, np.flatnonzero(np.diff(np.cumsum(size) // PART_BYTES)) + 1) if len(other) else []
+    got_ids, got_words, got_counts, at = [], [], [], 0
+    for run, ids in zip(runs, tokenizer.encode([" " + " ".join(words[i] for i in run.tolist()) for run in runs])):
+        ids = np.array(ids, np.int64)
+        ends, want = np.cumsum(length[ids]), np.cumsum(size[at:at + len(run)])
+        at += len(run)
+        stop = np.searchsorted(ends, want)
+        if stop[-1] + 1 == len(ends) and np.array_equal(ends[stop], want):
+            got_ids.append(ids)
+            got_words.append(run)
+            got_counts.append(np.diff(stop, prepend=-1))
+        else:  # what the tokens spell is not the text: word by word
+            alone.extend(run.tolist())
+    each = tokenizer.encode([" " + words[i] for i in alone])
+    got_ids += [np.array(x, np.int64) for x in each]
+    where = np.concatenate([*got_words, np.array(alone, np.int64)])
+    counts = np.concatenate([*got_counts, np.array([len(x) for x in each], np.int64)]).astype(np.int64)
+    flat = np.concatenate(got_ids) if got_ids else np.zeros(0, np.int64)
+    first = np.concatenate([[0], np.cumsum(counts)])[:-1]
+    order = np.argsort(where)
+    return flat[_ranges(first[order], counts[order])], counts[order]
+
+
+def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers first[i] .. first[i] + size[i] - 1, one range after another."""
+    ends = np.cumsum(size)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first - ends + size, size)
 
 
 # ------------------------------------------------------------------- alignment
 
 @dataclass
 class Aligned:
-    """Tokens of a slice of texts. ``n_a``, ``n_b``: tokens per text. ``a``,
-    ``b``: ids in order. ``group_a``, ``group_b``: group of every token, rising
-    over the whole slice; no group spans two texts."""
+    """Tokens of some words. ``n_a``, ``n_b``: tokens per word. ``a``, ``b``:
+    ids in order. ``group_a``, ``group_b``: group of every token, rising over
+    all words; no group spans two of them."""
     n_a: np.ndarray
     n_b: np.ndarray
     a: np.ndarray
@@ -155,36 +186,31 @@ def coalesce(size_a: np.ndarray, size_b: np.ndarray) -> tuple[np.ndarray, np.nda
     return group[:len(size_a)], group[len(size_a):]
 
 
-def align(texts: list[str | None], a: ByteBpe, b: Pieces) -> Aligned:
-    """Tokens and groups of the texts. Null, empty texts and those whose
-    joined A or B bytes are not space + text have no tokens."""
-    n = len(texts)
-    cut = a.splits and b.splits
-    per_text = [(_parts(t) if cut else [" " + t]) if t else [] for t in texts]
-    parts = [p for x in per_text for p in x]
-    owner = np.repeat(np.arange(n), [len(x) for x in per_text])
-    want = [(" " + t).encode() if t else b"" for t in texts]
-    bytes_first = np.concatenate([[0], np.cumsum([len(w) for w in want])]).astype(np.int64)
+def align(words: list[str], a: ByteBpe, b: Pieces) -> tuple[Aligned, np.ndarray]:
+    """Tokens and groups of the words, each with a space before it, and which
+    of them A and B both spell; the others have no tokens."""
+    n = len(words)
+    want = [(" " + w).encode() for w in words]
+    first = np.concatenate([[0], np.cumsum([len(w) for w in want])]).astype(np.int64)
     flat = np.frombuffer(b"".join(want), np.uint8)
     sides, ok = [], np.ones(n, bool)
     for t in (a, b):
-        ids, counts = _encode(t, parts, owner, n)
-        first = np.concatenate([[0], np.cumsum(counts)])
+        ids, counts = _encode(t, words)
         spelt = t.vocabulary.spell(ids)
         if not np.array_equal(spelt, flat):
-            size = W.run_sum(t.vocabulary.length[ids], first)
+            size = W.run_sum(t.vocabulary.length[ids], np.concatenate([[0], np.cumsum(counts)]))
             at = np.concatenate([[0], np.cumsum(size)])
             for i in range(n):
-                ok[i] &= np.array_equal(spelt[at[i]:at[i + 1]], flat[bytes_first[i]:bytes_first[i + 1]])
+                ok[i] &= np.array_equal(spelt[at[i]:at[i + 1]], flat[first[i]:first[i + 1]])
         sides.append((ids, counts))
     if not ok.all():
         sides = [(ids[np.repeat(ok, counts)], np.where(ok, counts, 0)) for ids, counts in sides]
     (ids_a, n_a), (ids_b, n_b) = sides
-    return Aligned(n_a, n_b, ids_a, ids_b, *coalesce(a.vocabulary.length[ids_a], b.vocabulary.length[ids_b]))
+    return Aligned(n_a, n_b, ids_a, ids_b, *coalesce(a.vocabulary.length[ids_a], b.vocabulary.length[ids_b])), ok
 
 
 def _written(got: Aligned, labels: np.ndarray, width: int) -> list[str]:
-    """Per text its groups, ``a1,a2|b1;a3|b2,b3``. ``labels``: see _labels."""
+    """Per word its groups, ``a1,a2|b1;a3|b2,b3``. ``labels``: see _labels."""
     order = np.argsort(np.concatenate([got.group_a * 2, got.group_b * 2 + 1]), kind="stable")
     last_a = np.append(got.group_a[1:] != got.group_a[:-1], True) if len(got.a) else np.zeros(0, bool)
     last_b = np.append(got.group_b[1:] != got.group_b[:-1], True) if len(got.b) else np.zeros(0, bool)
@@ -202,14 +228,14 @@ def _labels(width: int) -> np.ndarray:
 
 
 def links(got: Aligned, n_b_ids: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(links per text, text, id pair, times) of the distinct linked id pairs
-    of every text, in order; a pair is ``a * n_b_ids + b``."""
+    """(links per word, word, id pair, times) of the distinct linked id pairs
+    of every word, in order; a pair is ``a * n_b_ids + b``."""
     n, groups = len(got.n_a), int(got.group_a[-1]) + 1 if len(got.a) else 0
     per_b = np.bincount(got.group_b, minlength=groups)
     first_b = np.concatenate([[0], np.cumsum(per_b)])
-    text = np.repeat(np.arange(n), got.n_a)
+    word = np.repeat(np.arange(n), got.n_a)
     fan = per_b[got.group_a] if len(got.a) else np.zeros(0, np.int64)
-    n_links = np.bincount(text, fan, n).astype(np.int64)
+    n_links = np.bincount(word, fan, n).astype(np.int64)
     where, pairs, times = [], [], []
     # Tokens whose group alone is large enough meet the distinct ids of it.
     large = fan > LINKS_AT_ONCE // 64
@@ -218,7 +244,7 @@ def links(got: Aligned, n_b_ids: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
         ia, ca = np.unique(got.a[mine], return_counts=True)
         ib, cb = np.unique(got.b[first_b[g]:first_b[g + 1]], return_counts=True)
         for x, c in zip(ia.tolist(), ca.tolist()):
-            where.append(np.full(len(ib), text[mine[0]]))
+            where.append(np.full(len(ib), word[mine[0]]))
             pairs.append(x * n_b_ids + ib)
             times.append(c * cb)
     small = np.flatnonzero(~large)
@@ -227,11 +253,9 @@ def links(got: Aligned, n_b_ids: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     while lo < len(small):
         hi = max(lo + 1, int(np.searchsorted(total, total[lo] + LINKS_AT_ONCE, "right")) - 1)
         t, f = small[lo:hi], fan[small[lo:hi]]
-        begins = np.concatenate([[0], np.cumsum(f)])
-        b_at = np.arange(int(begins[-1])) + np.repeat(first_b[got.group_a[t]] - begins[:-1], f)
-        where.append(np.repeat(text[t], f))
-        pairs.append(np.repeat(got.a[t], f) * n_b_ids + got.b[b_at])
-        times.append(np.ones(int(begins[-1]), np.int64))
+        where.append(np.repeat(word[t], f))
+        pairs.append(np.repeat(got.a[t], f) * n_b_ids + got.b[_ranges(first_b[got.group_a[t]], f)])
+        times.append(np.ones(len(pairs[-1]), np.int64))
         lo = hi
         if sum(map(len, pairs)) > 2 * LINKS_AT_ONCE:
             where, pairs, times = ([x] for x in _distinct(where, pairs, times))
@@ -256,51 +280,108 @@ _ROWS = ("block long, doc_id long, n_a long, n_b long, n_groups long, n_links lo
          "at array<int>, times array<long>, pairs array<long>, docs array<int>")
 
 
+_SCHEMA = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()),
+                     ("n_groups", pa.int64()), ("n_links", pa.int64()), ("groups", pa.string()), ("at", pa.list_(pa.int32())),
+                     ("times", pa.list_(pa.int64())), ("pairs", pa.list_(pa.int64())), ("docs", pa.list_(pa.int32()))])
+
+
 def _lists(values: np.ndarray, sizes: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(values, kind))
 
 
-def _block_rows(block: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
-    """The rows of the documents of a block, slice by slice, then its own."""
-    every, inverse, docs = np.unique(np.concatenate([h[-2] for h in held]), return_inverse=True, return_counts=True)
-    schema = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()),
-                        ("n_groups", pa.int64()), ("n_links", pa.int64()), ("groups", pa.string()),
-                        ("at", pa.list_(pa.int32())), ("times", pa.list_(pa.int64())), ("pairs", pa.list_(pa.int64())),
-                        ("docs", pa.list_(pa.int32()))])
-    lo = 0
-    for ids, n_a, n_b, n_groups, n_links, written, per_doc, pairs, times in held:
-        n = len(n_a)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(n, block)), ids, pa.array(n_a), pa.array(n_b), pa.array(n_groups), pa.array(n_links),
-             pa.array(written, pa.string()), _lists(inverse[lo:lo + len(pairs)], per_doc, pa.int32()),
-             _lists(times, per_doc, pa.int64()), pa.nulls(n, schema.field("pairs").type), pa.nulls(n, schema.field("docs").type)],
-            schema=schema)
-        lo += len(pairs)
-    own = {"block": [block], "pairs": [every], "docs": [docs]}
-    yield pa.RecordBatch.from_arrays([pa.array(own.get(f.name, [None]), f.type) for f in schema], schema=schema)
+class _Block:
+    """Documents as sequences of numbered distinct words."""
+
+    def __init__(self) -> None:
+        self.number: dict[str, int] = {}
+        self.texts: list[np.ndarray] = []
+        self.ids: list[pa.Array] = []
+        self.size = 0
+
+    def add(self, ids: pa.Array, texts: list[str | None], splits: bool) -> None:
+        number = self.number
+        for text in texts:
+            parts = (words_of(text) if splits else [[text]]) if text else []
+            coded = [np.array([number.setdefault(w, len(number)) for w in words], np.int32) for words in parts]
+            self.texts.append(np.concatenate([*coded, np.zeros(0, np.int32)]))
+        self.ids.append(ids)
+
+    def rows(self, block: int, a: ByteBpe, b: Pieces) -> Iterator[pa.RecordBatch]:
+        """The documents' rows, then the block's own."""
+        n_words, ok, written, sums, word_first, word_pairs, word_times = self._words(a, b)
+        codes = [c if ok[c].all() else c[:0] for c in self.texts]
+        n = len(codes)
+        text = np.repeat(np.arange(n), [len(c) for c in codes])
+        each, count = np.unique(text * max(n_words, 1) + np.concatenate([*codes, np.zeros(0, np.int32)]), return_counts=True)
+        text, word = each // max(n_words, 1), each % max(n_words, 1)
+        first = np.searchsorted(text, np.arange(n + 1))
+        per_text = [W.run_sum(s[word] * count, first) for s in sums]
+        fan = np.diff(word_first)[word]
+        at = _ranges(word_first[:-1][word], fan)
+        where, pairs, times = _distinct([np.repeat(text, fan)], [word_pairs[at]], [word_times[at] * np.repeat(count, fan)])
+        every, inverse, docs = np.unique(pairs, return_inverse=True, return_counts=True)
+        begins = np.searchsorted(where, np.arange(n + 1))
+        ids = pa.concat_arrays(self.ids)
+        lo = 0
+        while lo < n:  # rows of some words at a time: the written groups are long
+            hi, size = lo + 1, len(codes[lo])
+            while hi < n and size + len(codes[hi]) <= WORD_BYTES // 8:
+                size += len(codes[hi])
+                hi += 1
+            mine, per_doc = slice(int(begins[lo]), int(begins[hi])), np.diff(begins[lo:hi + 1])
+            texts = [";".join(map(written.__getitem__, c.tolist())) for c in codes[lo:hi]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(hi - lo, block)), ids.slice(lo, hi - lo), *[pa.array(s[lo:hi]) for s in per_text],
+                 pa.array(texts, pa.string()), _lists(inverse[mine], per_doc, pa.int32()), _lists(times[mine], per_doc, pa.int64()),
+                 pa.nulls(hi - lo, pa.list_(pa.int64())), pa.nulls(hi - lo, pa.list_(pa.int32()))], schema=_SCHEMA)
+            lo = hi
+        own = {"block": [block], "pairs": [every], "docs": [docs]}
+        yield pa.RecordBatch.from_arrays([pa.array(own.get(f.name, [None]), f.type) for f in _SCHEMA], schema=_SCHEMA)
+
+    def _words(self, a: ByteBpe, b: Pieces):
+        """(number of words, spelt, written groups, (tokens of A, of B, groups,
+        links), first link, id pairs, times) of the distinct words."""
+        words = list(self.number)
+        width = max(a.vocabulary.size, b.vocabulary.size)
+        ok, written, sums, first, pairs, times = [], [], [[], [], [], []], [], [], []
+        lo, known = 0, 0
+        while lo < len(words):
+            hi, size = lo, 0
+            while hi < len(words) and (hi == lo or size < WORD_BYTES):
+                size += len(words[hi])
+                hi += 1
+            got, spelt = align(words[lo:hi], a, b)
+            n = hi - lo
+            n_links, where, p, t = links(got, b.vocabulary.size)
+            new = np.append(True, got.group_a[1:] != got.group_a[:-1]) if len(got.a) else np.zeros(0, bool)
+            n_groups = np.bincount(np.repeat(np.arange(n), got.n_a)[new], minlength=n).astype(np.int64)
+            for held, x in zip(sums, (got.n_a, got.n_b, n_groups, n_links)):
+                held.append(x)
+            ok.append(spelt)
+            written += _written(got, _labels(width), width)
+            first.append(known + np.searchsorted(where, np.arange(n)))
+            pairs.append(p)
+            times.append(t)
+            known += len(p)
+            lo = hi
+        none = np.zeros(0, np.int64)
+        return (len(words), np.concatenate([*ok, np.zeros(0, bool)]), written, [np.concatenate([*s, none]) for s in sums],
+                np.concatenate([*first, [known]]).astype(np.int64), np.concatenate([*pairs, none]), np.concatenate([*times, none]))
 
 
 def _aligned_rows(batches: Iterator[pa.RecordBatch], path_a: str, path_b: str) -> Iterator[pa.RecordBatch]:
     a, b = _tokenizers(path_a, path_b)
-    width = max(a.vocabulary.size, b.vocabulary.size)
     task = TaskContext.get().partitionId() << 32
-    held: list[tuple] = []
-    block, size = 0, 0
+    block, held = 0, _Block()
     for rows, buf, _ in W.slices(batches, "text"):
-        got = align(rows.column("text").to_pylist(), a, b)
-        n = len(got.n_a)
-        n_links, where, pairs, times = links(got, b.vocabulary.size)
-        starts = np.flatnonzero(np.append(True, got.group_a[1:] != got.group_a[:-1])) if len(got.a) else np.zeros(0, np.int64)
-        n_groups = np.bincount(np.repeat(np.arange(n), got.n_a)[starts], minlength=n).astype(np.int64)
-        held.append((rows.column("doc_id"), got.n_a, got.n_b, n_groups, n_links, _written(got, _labels(width), width),
-                     np.bincount(where, minlength=n), pairs, times))
-        size += len(buf)
-        if size >= BLOCK_BYTES:
-            yield from _block_rows(task + block, held)
-            held, size, block = [], 0, block + 1
+        held.add(rows.column("doc_id"), rows.column("text").to_pylist(), a.splits and b.splits)
+        held.size += len(buf)
+        if held.size >= BLOCK_BYTES:
+            yield from held.rows(task + block, a, b)
+            block, held = block + 1, _Block()
             pa.default_memory_pool().release_unused()
-    if held:
-        yield from _block_rows(task + block, held)
+    if held.texts:
+        yield from held.rows(task + block, a, b)
 
 
 def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
@@ -315,8 +396,8 @@ def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
     Null and empty texts, and texts that the tokens of A or B do not spell,
     have no tokens. A null doc_id is kept, repeated rows are documents each,
-    further columns are ignored, an empty table gives no rows. A long text is
-    cut where neither tokenizer can join what stands on both sides.
+    further columns are ignored, an empty table gives no rows. A text without a
+    space is one word; a block holds the distinct words of its documents.
     """
     return docs.select("doc_id", "text").mapInArrow(partial(_aligned_rows, path_a=path_a, path_b=path_b), _ROWS)
 

@@ -102,19 +102,21 @@ def test_odd_texts_match_brute_force(spark, plain, monkeypatch):
 
 
 def test_blocks_parts_and_large_groups(spark, plain, monkeypatch):
-    # Small limits: several blocks a task, texts in parts, groups by distinct ids.
-    monkeypatch.setattr(alignment, "LINKS_AT_ONCE", 64)
-    monkeypatch.setattr(alignment, "PART_BYTES", 20)
+    # Small limits: several blocks, words and texts in parts, groups by distinct ids.
+    for name in ("LINKS_AT_ONCE", "PART_BYTES", "WORD_BYTES"):
+        monkeypatch.setattr(alignment, name, 64)
     texts = [t for t in ODD_TEXTS if t] + ["some words that are cut in parts, it's so " * 5] * 3
-    got = alignment.align(texts, *alignment._tokenizers(A, B))
-    n_links, where, pairs, times = alignment.links(got, 32000)
+    a, b = alignment._tokenizers(A, B)
+    held = alignment._Block()
+    held.add(alignment.pa.array(range(len(texts))), texts, True)
+    *docs, own = [r for batch in held.rows(0, a, b) for r in batch.to_pylist()]
     want = list(brute(texts, plain))
-    assert list(zip(got.n_a, got.n_b, n_links)) == [(w[0], w[1], w[3]) for w in want]
-    assert np.bincount(where, times, len(texts)).astype(int).tolist() == [w[3] for w in want]
-    per = defaultdict(set)
-    for w, p in zip(where.tolist(), pairs.tolist()):
-        assert p not in per[w]
-        per[w].add(p)
+    assert [(d["n_a"], d["n_b"], d["n_groups"], d["n_links"], sum(d["times"])) for d in docs] == [(*w[:4], w[3]) for w in want]
+    for d, w in zip(docs, want):
+        assert len(set(d["at"])) == len(d["at"])
+        assert (hashlib.sha256(d["groups"].encode()).hexdigest() if d["n_a"] else "") == w[6]
+    assert own["pairs"] == sorted(own["pairs"])
+    assert own["docs"] == [sum(i in d["at"] for d in docs) for i in range(len(own["pairs"]))]
 
 
 def test_whole_table_and_odd_documents(spark, load, plain, odd_docs, no_docs, monkeypatch):
@@ -125,18 +127,19 @@ def test_whole_table_and_odd_documents(spark, load, plain, odd_docs, no_docs, mo
     assert _query(spark, no_docs, monkeypatch) == []
 
 
-def test_parts_encode_like_whole_texts(monkeypatch):
+def test_words_encode_like_whole_texts(monkeypatch):
     a, b = alignment._tokenizers(A, B)
     assert a.splits and b.splits
     monkeypatch.setattr(alignment, "PART_BYTES", 3)
 
     @settings(max_examples=300, deadline=None)
-    @given(st.text(alphabet=st.sampled_from(list("ab'sZ1, .\n\t\xa0é日▁<|>")), max_size=40))
+    @given(st.text(alphabet=st.sampled_from(list("ab'sZ1, .\n\t\xa0é日▁<|>")), min_size=1, max_size=40))
     def check(text):
-        parts = alignment._parts(text)
-        assert "".join(parts) == " " + text
+        words = [w for part in alignment.words_of(text) for w in part]
+        assert " ".join(words) == text
         for t in (a, b):
-            assert [i for x in t.encode(parts) for i in x] == t.encode([" " + text])[0]
+            ids, counts = alignment._encode(t, words)
+            assert ids.tolist() == t.encode([" " + text])[0] and len(counts) == len(words)
     check()
 
 
