@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 
 from strata.extend import custom_check
 from strata.functions import ids, naming
-from strata.operators import checks, gate, landing, release, tables
+from strata.operators import checks, gate, landing, links, release, tables, typed
 from strata.session import scratch_path
 from strata.sinks import writers
-from strata.sources import files
+from strata.sources import files, records
 from strata.sources.dictionary import Dictionary
 from strata.sources.workbook import read_workbooks
 
@@ -300,6 +300,54 @@ def validate(spark: SparkSession, records: Mapping[str, DataFrame], dictionary:
     return signatures
 
 
+def validate_dump(spark: SparkSession, out_root: str, validation_id: str, dictionary: Dictionary, *, results_path: str,
+                  target: str = "real", policy: gate.GatePolicy = gate.GatePolicy(), root_node: str | None = None,
+                  root_link: str = "programs") -> DataFrame | None:
+    """A dump run's lines -> results with the position of each record -> gate.
+
+    The lines of all studies and tables are read in one scan and parsed once
+    (``records.read_records``). Lines that are no record and records of nodes
+    that the dictionary lacks are ERROR rows; rules are held against JSON's own
+    types in one pass, all links in another; studies without a finding get a
+    PASS row. Everything is one append, written before :class:`GateFailed` or a
+    broken dictionary is raised. With no studies nothing is written."""
+    root = f"{out_root.rstrip('/')}/{tables.target(target)['key_prefix']}"
+    version = dictionary.version.first()["schema_version"] or ""
+    keep = {"validation_id": validation_id, "schema_version": version}
+    parsed = records.read_records(spark, root, validation_id)
+    studies = parsed.select("study_id").distinct()
+    if studies.isEmpty():
+        return None
+    broken = sorted({r["error"] for r in dictionary.ref_errors.collect()}
+                    | {f"format '{f}' is not checked ({at})" for _, at, f in typed.unchecked_formats(dictionary.schemas)})
+    if broken:
+        err = ValueError("; ".join(broken))
+        writers.append_results(checks.error_rows(spark, [(r.study_id, err) for r in studies.collect()], **keep), results_path)
+        raise err
+    lost = checks.unknown_nodes(parsed.filter("bad IS NULL"), dictionary.nodes, **keep)
+    known = parsed.join(F.broadcast(dictionary.nodes), "node", "left_semi")  # dictionary-sized
+    all_links = dictionary.links.collect()
+    schemas = {n: {**s, "properties": {**{x.name: {} for x in all_links if x.child == n}, **(s.get("properties") or {})}}
+               for n, s in dictionary.schemas.items()}
+    if root_node in schemas:  # V6
+        s = schemas[root_node]
+        schemas[root_node] = {**s, "required": [*(s.get("required") or []), root_link],
+                              "properties": {root_link: {}, **s["properties"]}}
+    found = checks.assemble_results([
+        checks.empty_results(spark), records.bad_lines(parsed, **keep), lost, typed.typed_findings(known, schemas, **keep),
+        links.link_findings(known, all_links, **keep)])
+    staging = scratch_path(spark, f"validate/{writers.new_run_key()}")
+    found.write.parquet(staging)
+    found = spark.read.schema(checks.RESULT_SCHEMA).parquet(staging)
+    marks = checks.pass_markers(studies, found, **keep)
+    writers.append_results(checks.assemble_results([found, marks]), results_path)
+    signatures = gate.gate_signatures(writers.read_results(spark, results_path), policy)
+    if not signatures.isEmpty():
+        said = gate.gate_message(signatures).first()
+        raise GateFailed(f"{said['n_signatures']} failure signature(s) stand against the gate, in studies {said['studies']}", signatures)
+    return signatures
+
+
 # ------------------------------------------------------------------ release
 
 def export_release(spark: SparkSession, ledger: DataFrame, read_model: Callable[[str, str], DataFrame],

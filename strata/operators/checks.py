@@ -279,8 +279,9 @@ def unknown_nodes(records: DataFrame, dictionary_nodes: DataFrame, *, validation
     """V1: records whose ``type`` names a node the dictionary lacks -> ERROR."""
     dn = dictionary_nodes.select(F.col("node").alias("__n"))
     bad = records.join(dn, F.col(node) == F.col("__n"), "left_anti")
+    index = F.col("index") if "index" in records.columns else F.lit(None)
     return bad.select(
-        F.lit(validation_id).alias("validation_id"), F.lit(None).cast("bigint").alias("index"),
+        F.lit(validation_id).alias("validation_id"), index.cast("bigint").alias("index"),
         F.col(node).alias("node"), F.col(study).alias("study_id"), F.lit("ERROR").alias("validation_result"),
         F.lit(None).cast("string").alias("invalid_key"), F.lit(None).cast("string").alias("schema_path"),
         F.lit(None).cast("string").alias("validator"), F.lit(None).cast("string").alias("validator_value"),

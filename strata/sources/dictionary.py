@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +43,8 @@ class Dictionary:
     ref_errors: DataFrame
     version: DataFrame
     properties: DataFrame
+    #: Each node's schema with its refs resolved at every depth (plain values).
+    schemas: dict[str, dict] = field(default_factory=dict)
 
 
 class _Unresolved(Exception):
@@ -57,7 +59,7 @@ class _Documents:
         self.broken: list[str] = []
         for name, text in sorted(texts.items()):
             try:
-                doc = json.loads(text, parse_int=str, parse_float=str)  # numbers keep their spelling
+                doc = json.loads(text, parse_int=_Number, parse_float=_Number)  # numbers keep their spelling
                 if not isinstance(doc, dict):
                     raise ValueError("not a JSON object")
                 self.docs[name] = doc
@@ -94,6 +96,36 @@ class _Documents:
         return {**under, **{k: v for k, v in schema.items() if k != "$ref"}}
 
 
+    def resolved(self, file: str, schema, seen: tuple = ()):
+        """The schema with refs resolved inside its properties and items too,
+        numbers as numbers. A schema that holds itself cannot be written out."""
+        if not isinstance(schema, dict):
+            return schema
+        ref = schema.get("$ref")
+        if (file, ref) in seen:
+            raise _Unresolved(f"circular $ref '{ref}'")
+        deeper = (*seen, (file, ref)) if ref is not None else seen
+        full = {k: v if k in ("properties", "items") else _plain(v) for k, v in self.merged(file, schema).items()}
+        if isinstance(full.get("properties"), dict):
+            full["properties"] = {n: self.resolved(file, x, deeper) for n, x in full["properties"].items()}
+        if isinstance(full.get("items"), dict):
+            full["items"] = self.resolved(file, full["items"], deeper)
+        return full
+
+
+class _Number(str):
+    """A number as the document spells it."""
+
+
+def _plain(value):
+    """A keyword's value with its numbers as numbers."""
+    if isinstance(value, _Number):
+        return int(value) if value.lstrip("-").isdigit() else float(value)
+    if isinstance(value, list):
+        return [_plain(v) for v in value]
+    return {k: _plain(v) for k, v in value.items()} if isinstance(value, dict) else value
+
+
 def _value_text(validator: str, value) -> str:
     if validator == "enum" and isinstance(value, list):
         value = [v if v is None or isinstance(v, str) else json.dumps(v) for v in value]
@@ -116,6 +148,7 @@ def _truthy(value) -> bool:
 def _build(spark: SparkSession, texts: dict[str, str]) -> Dictionary:
     docs = _Documents(texts)
     rules, links, nodes, named, errors, version = [], [], [], [], [], None
+    schemas: dict[str, dict] = {}
     errors += [(None, None, None, message) for message in docs.broken]
     for file, doc in docs.docs.items():
         version = doc.get("_version", version)
@@ -142,6 +175,15 @@ def _build(spark: SparkSession, texts: dict[str, str]) -> Dictionary:
                     continue
                 rules += [(node, prop, v, _value_text(v, full[v]), f"{node}/properties/{prop}/{v}")
                           for v in VALIDATORS if full.get(v) is not None]
+            schemas[node] = {k: spec[k] for k in ("type", "required", "additionalProperties") if k in spec}
+            schemas[node]["properties"] = {}
+            for prop, schema in (spec.get("properties") or {}).items():
+                try:
+                    schemas[node]["properties"][prop] = docs.resolved(file, schema)
+                except _Unresolved as exc:
+                    message = f"{exc} in {file} (node '{node}', property '{prop}')"
+                    if not any(e[3] == message for e in errors):
+                        errors.append((node, prop, None, message))
             for child, link, group in _link_rows(node, spec.get("links")):
                 if not isinstance(link, dict) or not link.get("name") or not link.get("target_type"):
                     errors.append((node, None, None, f"link without name or target_type in {file} (node '{node}')"))
@@ -155,7 +197,7 @@ def _build(spark: SparkSession, texts: dict[str, str]) -> Dictionary:
         nodes=spark.createDataFrame([(n,) for n in dict.fromkeys(nodes)], "node string"),
         ref_errors=spark.createDataFrame(errors, "node string, property string, ref string, error string"),
         version=spark.createDataFrame([(version,)], "schema_version string"),
-        properties=spark.createDataFrame(named, "node string, property string"))
+        properties=spark.createDataFrame(named, "node string, property string"), schemas=schemas)
 
 
 def read_dictionary(spark: SparkSession, path: str) -> Dictionary:
