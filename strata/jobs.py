@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.extend import custom_check
@@ -341,7 +341,7 @@ def validate_dump(spark: SparkSession, out_root: str, validation_id: str, dictio
     found = spark.read.schema(checks.RESULT_SCHEMA).parquet(staging)
     marks = checks.pass_markers(studies, found, **keep)
     writers.append_results(checks.assemble_results([found, marks]), results_path)
-    signatures = gate.gate_signatures(writers.read_results(spark, results_path), policy)
+    signatures = gate.gate_signatures(writers.read_latest_results(spark, results_path), policy)
     if not signatures.isEmpty():
         said = gate.gate_message(signatures).first()
         raise GateFailed(f"{said['n_signatures']} failure signature(s) stand against the gate, in studies {said['studies']}", signatures)
@@ -379,12 +379,8 @@ def export_release(spark: SparkSession, ledger: DataFrame, read_model: Callable[
     def one(r) -> None:
         t = release.read_at(read_model(r["db_name"], r["model_name"]), r["snapshot_id"])
         cols = [c for c in t.columns if c != "snapshot_id"]
-        seen = Observation()
-        writers.export_release(t.select(
-            F.lit(r["release_dir"]).alias("release_dir"), F.lit(r["study_id"]).alias("study_id"),
-            F.lit(r["write_table"]).alias("write_table"), F.to_json(F.struct(*cols), writers.KEEP_NULLS).alias("record"))
-            .observe(seen, F.count(F.lit(1)).alias("n")), f"{root}/release_jsons")
-        if not seen.get.get("n"):
+        records = t.select(F.to_json(F.struct(*cols), writers.KEEP_NULLS).alias("record"))
+        if not writers.export_release(records, f"{root}/release_jsons", r["release_dir"], r["study_id"], r["write_table"], r["db_name"]):
             empty.append(f"{r['db_name']}.{r['model_name']}@{r['snapshot_id']}")
 
     bad = writers.run_units(good, one)

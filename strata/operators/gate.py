@@ -52,8 +52,9 @@ def keep_greatest(df: DataFrame, column: str) -> DataFrame:
     """Rows whose ``column`` equals its maximum (A4, ``= (SELECT max(...))``).
 
     The maximum is one value and is looked up first; as a literal it is pushed
-    into the scan. On a table partitioned by ``column`` the lookup reads
-    partition names alone and the scan lists one partition."""
+    into the scan, which on a table partitioned by ``column`` reads one
+    partition. The lookup itself is an aggregate over all of them: for a stored
+    table ``sources.snapshots.read_greatest`` takes it from folder names."""
     top = df.agg(F.max(column).alias("m")).first()["m"]
     return df.filter(F.col(column) == F.lit(top)) if top is not None else df.filter(F.lit(False))
 

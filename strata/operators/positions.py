@@ -55,7 +55,7 @@ def ranked(df: DataFrame, order: Sequence[str], within: Sequence[str] = (), name
     return _offset(rows, within, [_PART], name)
 
 
-def line_positions(lines: DataFrame, within: Sequence[str] = (), name: str = "index") -> DataFrame:
+def line_positions(lines: DataFrame, within: Sequence[str] = (), name: str = "index", split: tuple[str, str] | None = None) -> DataFrame:
     """Lines as ``spark.read.text`` gives them, with ``name``: the 0-based
     position of a line in its file, or, where ``within`` names columns, among
     all lines of that group with its files in path order.
@@ -63,9 +63,10 @@ def line_positions(lines: DataFrame, within: Sequence[str] = (), name: str = "in
     No shuffle of lines by position: a task meets the lines of a file split in
     order, so counts per (file, split) say where each split begins.
     ``lines`` must come straight from the read; ``_metadata`` is asked for here.
+    ``split`` names columns to keep the file and its split (first byte) in.
     """
     own = list(lines.columns)
     rows = _numbered(lines.select(*own, F.col("_metadata.file_path").alias("__file"),
                                   F.col("_metadata.file_block_start").alias("__block")))
     got = _offset(rows, list(within) or ["__file"], ["__file", "__block"] if within else ["__block"], name)
-    return got.drop("__file", "__block")
+    return got.withColumnsRenamed(dict(zip(("__file", "__block"), split))) if split else got.drop("__file", "__block")

@@ -319,3 +319,25 @@ def csv_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
         .sortWithinPartitions("o").select("line").write.text(f"{path}/c")
     got = read_csv_tolerant(spark, [f"{path}/a", f"{path}/b", f"{path}/c"])
     return got.select("c_custkey", "c_name", "c_nationkey", F.col("_corrupt_record").alias("corrupt"))
+
+
+# --- csv_multiline: cells with line feeds, delimiters and doubled quotes, over several files ----------------
+
+@query("csv_multiline", """
+SELECT 'event_' || event_id AS id, 'line one of ' || event_id || chr(10) || chr(10) || '"quoted", and, commas' || chr(10) || event_type AS note,
+       CAST(user_id AS VARCHAR) AS user_id, NULL AS corrupt FROM events WHERE event_id % 3 = 0
+UNION ALL SELECT 'event_' || event_id, '5" pipe', CAST(user_id AS VARCHAR), NULL FROM events WHERE event_id % 3 = 1
+UNION ALL SELECT 'event_' || event_id, 'id,note,user_id', CAST(user_id AS VARCHAR), NULL FROM events WHERE event_id % 3 = 2
+UNION ALL SELECT 'x', '6" pipe', NULL, 'x,6" pipe'
+UNION ALL SELECT NULL, NULL, NULL, 'a,"never closed' UNION ALL SELECT NULL, NULL, NULL, 'b,c,d' UNION ALL SELECT 'id', 'note', 'user_id', NULL
+""")
+def csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, e = _fresh(spark, "csv"), table(spark, sf_dir, "events")
+    note = F.when(F.col("event_id") % 3 == 0, F.concat(
+        F.lit("line one of "), "event_id", F.lit('\n\n"quoted", and, commas\n'), "event_type")) \
+        .when(F.col("event_id") % 3 == 1, F.lit('5" pipe')).otherwise(F.lit("id,note,user_id"))
+    e.select(F.concat(F.lit("event_"), "event_id").alias("id"), note.alias("note"), "user_id").repartition(6, "event_id") \
+        .write.option("header", "true").option("escape", '"').csv(f"{path}/a")
+    spark.createDataFrame([('id,note,user_id\nid,note,user_id\n\nx,6" pipe\na,"never closed\nb,c,d',)], "value string").coalesce(1).write.text(f"{path}/b")
+    got = read_csv_tolerant(spark, [f"{path}/a", f"{path}/b"])
+    return got.select("id", "note", "user_id", F.col("_corrupt_record").alias("corrupt"))

@@ -9,6 +9,7 @@ one-line import-order text.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -17,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.release import append_ledger_rows, not_ci
+from strata.sinks.manifest import write_committed
+from strata.sources.snapshots import partition_folder, read_greatest
 
 BRONZE_PARTITION = "_src_batch_id"
 # Partition of the run that appended: bookkeeping, dropped on read.
@@ -26,6 +29,9 @@ RUN_PARTITION = "_run_key"
 KEEP_NULLS = {"ignoreNullFields": "false"}
 DUMP_KEYS = ("study_id", "validation_id", "table_name", "snapshot_id")
 EXPORT_KEYS = ("release_dir", "study_id", "write_table")
+# Models of several gold databases may share a name.
+EXPORT_UNIT = (*EXPORT_KEYS, "db_name")
+RESULTS_UNIT = ("validation_id", RUN_PARTITION)
 
 
 def _replace_own_partitions(df: DataFrame, path: str, fmt: str, *partitions: str) -> None:
@@ -68,12 +74,19 @@ def dump_json(records: DataFrame, root: str, keys: Sequence[str] = DUMP_KEYS) ->
     _replace_own_partitions(out, root, "text", *keys)
 
 
-def export_release(models: DataFrame, root: str) -> None:
-    """K4: gold records at their pins under ``release_dir=v<tag>/study_id=/
-    write_table=`` as JSON lines (``record`` column already JSON)."""
-    models.select(*EXPORT_KEYS, F.col("record").alias("value")) \
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(*EXPORT_KEYS).text(root)
+def export_release(model: DataFrame, root: str, *unit: str) -> int:
+    """K4: one gold model at its pin under ``release_dir=v<tag>/study_id=/
+    write_table=/db_name=`` (``unit``, in this order) as JSON lines (``record``
+    column already JSON), committed when they can be read back. A model without
+    records takes away what an earlier export left. Returns the number of
+    records."""
+    rows = model.select(*[F.lit(v).alias(k) for k, v in zip(EXPORT_UNIT, unit)], F.col("record").alias("value"))
+    n = write_committed(rows, root, EXPORT_UNIT, [unit], run_key=new_run_key(), fmt="text")
+    if not n:
+        spark = model.sparkSession
+        at = spark._jvm.org.apache.hadoop.fs.Path("/".join([root.rstrip("/"), *map(partition_folder, EXPORT_UNIT, unit)]))
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return n
 
 
 def write_import_order(order: DataFrame, prefixes: DataFrame, root: str) -> None:
@@ -88,11 +101,24 @@ def write_import_order(order: DataFrame, prefixes: DataFrame, root: str) -> None
 
 
 def append_results(results: DataFrame, path: str, fmt: str = "parquet", run_key: str | None = None) -> None:
-    """K6: all studies' findings in one append, partitioned by validation id,
-    so a gate reads one run's partition. Rows whose validation id could not be
-    determined get the append's own key beside it: no run erases another's."""
-    key = F.when(F.col("validation_id").isNull(), F.lit(run_key or new_run_key())).otherwise(F.lit("run"))
-    _replace_own_partitions(results.withColumn(RUN_PARTITION, key), path, fmt, "validation_id", RUN_PARTITION)
+    """K6: all studies' findings in one append, partitioned by validation id
+    (a gate reads one run's partition) and by the append, and committed. No
+    append touches another's rows, also not under one validation id. A caller
+    that retries keeps its ``run_key``; without one the key is made of the
+    rows, so the same rows again replace themselves. Rows whose validation id
+    could not be determined are kept from every append."""
+    key = F.lit(run_key or _content_key(results))
+    key = key if run_key else F.when(F.col("validation_id").isNull(), F.lit(new_run_key())).otherwise(key)
+    keyed = results.withColumn(RUN_PARTITION, key)
+    units = [tuple(r) for r in keyed.select(*RESULTS_UNIT).distinct().collect()]  # one or two a run
+    write_committed(keyed, path, RESULTS_UNIT, units, run_key=run_key or units[0][1] if units else "", fmt=fmt)
+
+
+def _content_key(rows: DataFrame) -> str:
+    """A key that equal rows share, in any order."""
+    h = F.xxhash64(*[F.col(c) for c in sorted(rows.columns)]).cast("decimal(20,0)")
+    r = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(h).alias("s")).first()
+    return hashlib.sha256(f"{r.n}:{r.s}".encode()).hexdigest()[:32]
 
 
 def read_results(spark, path: str, fmt: str = "parquet") -> DataFrame:
@@ -100,6 +126,12 @@ def read_results(spark, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path).drop(RUN_PARTITION)
 
 
+def read_latest_results(spark, path: str, fmt: str = "parquet") -> DataFrame:
+    """A4: the run with the greatest validation id. It is known from folder
+    names; no file of a past run is listed or opened."""
+    return read_greatest(spark, path, "validation_id", fmt).drop(RUN_PARTITION)
+
+
 def results_csv(results: DataFrame, path: str) -> None:
     """K7: the run's results as CSV with a header, beside the JSONs."""
     results.write.mode("overwrite").option("header", "true").csv(path)
@@ -139,10 +171,3 @@ def run_units(units: Sequence, work: Callable, workers: int = 8) -> list[tuple[o
     with ThreadPoolExecutor(max_workers=max(1, min(workers, len(units) or 1))) as pool:
         jobs = [(u, pool.submit(work, u)) for u in units]
     return [(u, j.exception()) for u, j in jobs if j.exception() is not None]
-
-
-def write_then_raise(write, failures: Sequence[str], what: str = "unit") -> None:
-    """Write first, then raise naming every failure (sorted)."""
-    write()
-    if failures:
-        raise PartialFailure(f"{len(failures)} {what}(s) failed: {sorted(failures)}")

@@ -14,6 +14,9 @@ from itertools import count
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.positions import line_positions
+from strata.sources import csv_records
+
 # Delimiters a tolerant CSV read chooses between.
 CANDIDATE_DELIMITERS = (",", ";", "\t", "|")
 CORRUPT_COLUMN = "_corrupt_record"
@@ -21,22 +24,20 @@ SOURCE_COLUMN = "_src_file"
 
 
 def _lines(spark: SparkSession, paths: Sequence[str], encoding: str | None) -> DataFrame:
-    """(file, value) of every line. Bytes that are not valid UTF-8 are read as
-    Latin-1 unless an encoding is named."""
-    raw = spark.read.text(list(paths))
+    """file, split, at and line of every line, with its place in the file.
+    Bytes that are not valid UTF-8 are read as Latin-1 unless an encoding is
+    named."""
     value = F.decode(F.col("value").cast("binary"), encoding) if encoding else \
         F.when(F.expr("is_valid_utf8(value)"), F.col("value")).otherwise(F.decode(F.col("value").cast("binary"), "ISO-8859-1"))
-    return raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("__block"),
-                      F.monotonically_increasing_id().alias("__id"),
-                      F.regexp_replace(value, "^\ufeff|\r$", "").alias("value"))
+    raw = spark.read.text(list(paths)).select(F.regexp_replace(value, "^\ufeff|\r$", "").alias(csv_records.LINE))
+    return line_positions(raw, name=csv_records.AT, split=(csv_records.FILE, csv_records.SPLIT))
 
 
-def csv_layouts(spark: SparkSession, paths: Sequence[str], encoding: str | None = None,
-                delimiter: str | None = None) -> DataFrame:
-    """Per file its header line (the first line that is not blank) and
-    delimiter: the candidate that occurs most often in that line."""
-    first = _lines(spark, paths, encoding).filter((F.col("__block") == 0) & (F.trim("value") != "")) \
-        .groupBy("file").agg(F.min_by("value", "__id").alias("header"))
+def _layouts(lines: DataFrame, delimiter: str | None) -> DataFrame:
+    """Per file its header line (the first line that is not blank), where it
+    stands, and the delimiter: the candidate that occurs most often in it."""
+    first = lines.filter((F.col("split") == 0) & (F.trim("line") != "")) \
+        .groupBy("file").agg(F.min_by("line", "at").alias("header"), F.min("at").alias("header_at"))
     if delimiter is not None:
         return first.withColumn("delimiter", F.lit(delimiter))
     seen = {d: F.length("header") - F.length(F.replace(F.col("header"), F.lit(d), F.lit(""))) for d in CANDIDATE_DELIMITERS}
@@ -46,6 +47,12 @@ def csv_layouts(spark: SparkSession, paths: Sequence[str], encoding: str | None
     return first.withColumn("delimiter", pick)
 
 
+def csv_layouts(spark: SparkSession, paths: Sequence[str], encoding: str | None = None,
+                delimiter: str | None = None) -> DataFrame:
+    """(file, header, delimiter) of every file that has a line."""
+    return _layouts(_lines(spark, paths, encoding), delimiter).drop("header_at")
+
+
 def _header_names(header: str, delimiter: str) -> list[str]:
     names: list[str] = []
     for i, cell in enumerate(next(csv.reader([header], delimiter=delimiter))):
@@ -60,20 +67,28 @@ def read_csv_tolerant(spark: SparkSession, paths: Sequence[str], encoding: str |
     """Header CSV, all columns text, stacked by name. Every file is read
     by its own header and delimiter: files with the same header line form one
     layout, and there is one parse per layout, whatever the number of files.
-    Lines with too few or too many cells keep what could be read and the whole
-    line in ``_corrupt_record``; lines that repeat the file's header are not
-    data. Files without a line contribute nothing."""
-    layouts = csv_layouts(spark, paths, encoding, delimiter)
-    lines = _lines(spark, paths, encoding).filter(F.trim("value") != "") \
-        .join(layouts.withColumnRenamed("file", "__file"), F.col("file") == F.col("__file")).filter("value <> header")
+
+    Cells in quotes may hold delimiters, doubled quotes and line feeds (a
+    carriage return before one is not kept); see ``csv_records``. Records with
+    too few or too many cells keep what could be read and the whole record in
+    ``_corrupt_record``; so does each line from a quote on that its file never
+    closes, without cells. A file's header is its first line that is not blank,
+    and that one alone: a record that repeats it is data. Blank records, and
+    files without a line, contribute nothing."""
+    lines = _lines(spark, paths, encoding)
+    layouts = _layouts(lines, delimiter)
+    rows = csv_records.assemble(lines.join(layouts.select("file", "delimiter"), "file")) \
+        .join(layouts.withColumnRenamed("file", "__file"), F.col("file") == F.col("__file")) \
+        .filter((F.col("at") > F.col("header_at")) & (F.trim("record") != ""))
     out = None
     for r in layouts.select("header", "delimiter").distinct().collect():  # one row a layout
         names = _header_names(r.header, r.delimiter)
         schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in [*names, CORRUPT_COLUMN])
-        own = lines.filter((F.col("header") == r.header) & (F.col("delimiter") == r.delimiter))
-        part = own.select(F.from_csv("value", F.lit(schema), {
-            "sep": r.delimiter, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}).alias("r"),
-            F.col("file").alias(SOURCE_COLUMN)).select("r.*", SOURCE_COLUMN)
+        own = rows.filter((F.col("header") == r.header) & (F.col("delimiter") == r.delimiter))
+        parsed = F.from_csv(F.when(~F.col("open"), F.col("record")), F.lit(schema), {
+            "sep": r.delimiter, "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN})
+        part = own.select(parsed.alias("r"), F.when(F.col("open"), F.col("record")).alias("__open"), F.col("file").alias(SOURCE_COLUMN)) \
+            .select(*[F.col("r")[n].alias(n) for n in names], F.coalesce("__open", F.col("r")[CORRUPT_COLUMN]).alias(CORRUPT_COLUMN), SOURCE_COLUMN)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out if out is not None else spark.createDataFrame([], f"{CORRUPT_COLUMN} string, {SOURCE_COLUMN} string")
 
