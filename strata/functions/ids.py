@@ -13,11 +13,10 @@ def ingested_at(now: datetime | None = None) -> str:
 
 
 def batch_id(marker: str | None = None, now: datetime | None = None) -> str:
-    """The marker a caller gives, or ``local-<UTC seconds>-<8 hex>``.
-    Batch ids are opaque; order batches by ``_src_ingested_at``."""
-    given = (marker or "").strip()
+    """The marker a caller gives, or ``local-<UTC seconds>-<8 hex>``
+    (fixed layout). Batch ids are opaque; order batches by ``_src_ingested_at``."""
     moment = now or datetime.now(timezone.utc)
-    return given or "-".join(("local", f"{moment:%Y%m%dT%H%M%SZ}", uuid.uuid4().hex[:8]))
+    return (marker or "").strip() or f"local-{moment:%Y%m%dT%H%M%SZ}-{uuid.uuid4().hex[:8]}"
 
 
 def validation_id(now: datetime | None = None) -> str:

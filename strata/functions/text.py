@@ -34,11 +34,6 @@ def py_strip(c) -> Column:
     return F.btrim(_col(c), F.lit(PY_WHITESPACE_CHARS))
 
 
-def is_blank(c) -> Column:
-    """True when a value is null or only whitespace."""
-    return F.coalesce(py_strip(c) == F.lit(""), F.lit(True))
-
-
 def text_or_empty(c) -> Column:
     """Null -> "", any other value -> its text."""
     return F.coalesce(_col(c).cast("string"), F.lit(""))
@@ -51,11 +46,6 @@ def leading_int(c) -> Column:
                       F.lit(0).cast("decimal(38,0)"))
 
 
-def exception_text(type_name, message) -> Column:
-    """``Type: message`` as used on ERROR rows."""
-    return F.format_string("%s: %s", _col(type_name), _col(message))
-
-
 def release_tag_from_git(c) -> Column:
     """Git tag ``data-v0.1.0`` is stored as ``0.1.0``."""
     return F.regexp_replace(_col(c), r"^data-v", "")

@@ -52,11 +52,6 @@ def outcome_tally(units: DataFrame, name: str = "unit", status: str = "status",
         F.nullif(F.array_join(listed, ","), F.lit("")).alias("names"))
 
 
-def distinct_studies(df: DataFrame, study: str = "study_id") -> DataFrame:
-    """Unique study ids (or output prefixes)."""
-    return df.select(study).distinct()
-
-
 def download_meaning(status: Column, urls: Column | None = None) -> Column:
     """What a download-check status means; an empty url list is 'no
     location' whatever the status."""

@@ -7,13 +7,12 @@ and a row's position is its number in the partition plus that offset.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.session import scratch_path
+from strata.session import written
 
 _AT, _PART, _BASE = "__at", "__part", "__base"
 
@@ -21,9 +20,7 @@ _AT, _PART, _BASE = "__at", "__part", "__base"
 def _numbered(df: DataFrame) -> DataFrame:
     """Row numbers as the tasks of this read meet them, written to the shared
     scratch folder so that all that follows sees the same ones."""
-    path = scratch_path(df.sparkSession, f"positions/{uuid.uuid4().hex}")
-    df.withColumn(_AT, F.monotonically_increasing_id()).write.parquet(path)
-    return df.sparkSession.read.schema(df.select("*", F.lit(0).cast("long").alias(_AT)).schema).parquet(path)
+    return written(df.withColumn(_AT, F.monotonically_increasing_id()), "positions")
 
 
 def _offset(rows: DataFrame, within: Sequence[str], part: Sequence[str], name: str) -> DataFrame:

@@ -3,15 +3,17 @@ and greatest partitions of stored tables (K3, K4, K6, V10, J8, S10, S11, A4, W4)
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import jobs
-from strata.operators import checks, gate, release
+from strata.operators import checks, gate, release, tables
 from strata.plans.common import VALIDATION_NEW, VALIDATION_OLD, customer_records, query, table
 from strata.plans.job_rows import _CUSTOMERS, _fresh
-from strata.sinks import manifest, writers
-from strata.sources import snapshots
+from strata.sinks import buckets, manifest, schema_ledger, writers
+from strata.sources import records, snapshots
 from strata.sources.dictionary import links_frame
 
 
@@ -136,3 +138,71 @@ def gate_by_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     for vid, what, error in ((VALIDATION_OLD, "c_acctbal < 0", "negative"), (VALIDATION_NEW, "c_acctbal > 9000", "large")):
         writers.append_results(_results(c.filter(what), vid, F.lit(error)), path, run_key=vid)
     return gate.gate_signatures(writers.read_latest_results(spark, path)).select("study_id", "validation_error", "n")
+
+
+# --- bronze_schema_ledger: batches with differing columns ----------------------------------------
+
+
+def _batch(df: DataFrame, batch: str, at: str) -> DataFrame:
+    return df.withColumns({"row_hash": F.sha2(F.concat_ws("|", *sorted(df.columns)), 256), "_src_batch_id": F.lit(batch), "_src_ingested_at": F.lit(at)})
+
+
+@query("bronze_schema_ledger", """
+SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, NULL AS phone, NULL AS segment, 'a' AS _src_batch_id, 'id,name' AS columns FROM customer
+UNION ALL SELECT CAST(s_suppkey AS VARCHAR), NULL, s_name, NULL, 'b', 'id,phone' FROM supplier
+UNION ALL SELECT CAST(c_custkey AS VARCHAR), c_name, NULL, c_mktsegment, 'c', 'id,name,segment' FROM customer WHERE c_acctbal < 0
+""")
+def bronze_schema_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, c, s = _fresh(spark, "bronze"), table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
+    key = F.col("c_custkey").cast("string").alias("id")
+    for batch, df in (("a", c.select(key, F.col("c_name").alias("name"))),
+                      ("b", s.select(F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("phone"))),
+                      ("c", c.filter("c_acctbal < 0").select(key, F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")))):
+        writers.append_bronze(df.withColumn("_src_batch_id", F.lit(batch)), path, run_key=f"run-{batch}")
+    told = schema_ledger.columns_per_batch(spark, path).select(F.col("batch_id").alias("__b"), F.array_join("columns", ",").alias("columns"))
+    got = writers.read_bronze(spark, path)
+    return got.join(told, F.col("_src_batch_id") == F.col("__b")).select("id", "name", "phone", "segment", "_src_batch_id", "columns")
+
+
+# --- silver_buckets: three batches merged into hash buckets ---------------------------------------
+
+
+@query("silver_buckets", """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CASE WHEN c_mktsegment = 'BUILDING' THEN 'c' WHEN c_acctbal < 0 THEN 'b' ELSE 'a' END AS _src_batch_id
+FROM customer
+UNION ALL SELECT 's' || s_suppkey, s_name, 'b' FROM supplier
+""")
+def silver_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, c, s = _fresh(spark, "silver"), table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
+
+    def rows(df: DataFrame) -> DataFrame:
+        return df.select(F.col("c_custkey").cast("string").alias("c_custkey"), "c_name")
+    more = s.select(F.concat(F.lit("s"), "s_suppkey").alias("c_custkey"), F.col("s_name").alias("c_name"))
+    for batch, at, df in (("a", "2024-01-01", rows(c)), ("c", "2024-03-01", rows(c.filter("c_mktsegment = 'BUILDING'"))),
+                          ("b", "2024-02-01", rows(c.filter("c_acctbal < 0")).unionByName(more))):  # b comes late
+        for _ in range(2 if batch == "b" else 1):  # and is replayed
+            buckets.merge_batch(_batch(df, batch, at), path, run_key=f"run-{batch}", buckets=16)
+    return buckets.read_merged(spark, path).select("c_custkey", "c_name", "_src_batch_id")
+
+
+# --- layer_catalog_dump: a layer's tables from the catalog, dumped and read back typed ---------------
+
+
+@query("layer_catalog_dump", f"""
+SELECT 'customer' AS node, study_id, submitter_id, c_acctbal FROM ({_CUSTOMERS}) WHERE study_id IN ('asia', 'europe') AND c_acctbal > 0
+""")
+def layer_catalog_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    db, path, c = f"layer_{uuid.uuid4().hex}", _fresh(spark, "dump"), customer_records(spark, sf_dir)
+    spark.sql(f"CREATE DATABASE {db}")
+    try:
+        for study in ("asia", "europe"):
+            for name in (f"silver_{study}_customer", f"silver_{study}_lookup"):
+                own = c.filter(F.col("study_id") == study).select("submitter_id", F.col("c_acctbal").cast("double").alias("c_acctbal"))
+                own.withColumn("snapshot_id", F.lit(1)).unionByName(own.filter("c_acctbal > 0").withColumn("snapshot_id", F.lit(2))) \
+                    .write.partitionBy("snapshot_id").saveAsTable(f"{db}.{name}")
+        vid = jobs.dump(spark, tables.list_layer_tables(spark, db), lambda t: spark.table(f"{db}.{t}"), path, validation_id=VALIDATION_NEW)
+    finally:
+        spark.sql(f"DROP DATABASE {db} CASCADE")
+    got = records.read_records(spark, f"{path}/validation", vid)
+    schema = {"properties": {"c_acctbal": {"type": "number"}}}
+    return records.typed_columns(got, schema).select(F.lit("customer").alias("node"), "study_id", "submitter_id", "c_acctbal")

@@ -9,8 +9,9 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on. On a cluster these are applied only when the
 # cluster has not set them already (see ``ensure_defaults``).
@@ -126,3 +127,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for a written intermediate."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a new folder of the shared scratch space and read from
+    there: what is used several times is made once, and an executor's loss
+    costs no recomputation before it."""
+    path = scratch_path(df.sparkSession, f"{name}/{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

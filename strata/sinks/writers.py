@@ -16,8 +16,10 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.operators.release import append_ledger_rows, not_ci
+from strata.sinks import schema_ledger
 from strata.sinks.manifest import write_committed
 from strata.sources.snapshots import partition_folder, read_greatest
 
@@ -57,13 +59,19 @@ def append_bronze(df: DataFrame, path: str, fmt: str = "parquet", table: str | N
     if table is not None:
         df.writeTo(table).append()
         return
-    _replace_own_partitions(df.withColumn(RUN_PARTITION, F.lit(run_key or new_run_key())), path, fmt,
-                            BRONZE_PARTITION, RUN_PARTITION)
+    key = run_key or new_run_key()
+    schema_ledger.record(df.sparkSession, path, StructType([f for f in df.schema if f.name != BRONZE_PARTITION]), run_key=key)
+    _replace_own_partitions(df.withColumn(RUN_PARTITION, F.lit(key)), path, fmt, BRONZE_PARTITION, RUN_PARTITION)
 
 
 def read_bronze(spark, path: str, fmt: str = "parquet") -> DataFrame:
-    """Bronze with every batch's columns (schema evolution on read)."""
-    return spark.read.format(fmt).option("mergeSchema", "true").load(path).drop(RUN_PARTITION)
+    """Bronze with every batch's columns, as its schema ledger lists them; no
+    footer is opened to find them. A table without a ledger is read by merging
+    the schemas of its files."""
+    if not schema_ledger.exists(spark, path):
+        return spark.read.format(fmt).option("mergeSchema", "true").load(path).drop(RUN_PARTITION)
+    schema = StructType([*schema_ledger.columns(spark, path), *[StructField(c, StringType()) for c in (BRONZE_PARTITION, RUN_PARTITION)]])
+    return spark.read.schema(schema).format(fmt).load(path).drop(RUN_PARTITION)
 
 
 def dump_json(records: DataFrame, root: str, keys: Sequence[str] = DUMP_KEYS) -> None:

@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.session import written
+
 #: Columns of lines: file, split (its first byte), position in the file, text.
 FILE, SPLIT, AT, LINE = "file", "split", "at", "line"
 _FRESH, _CELL, _INSIDE, _CLOSED = 0, 1, 2, 3
@@ -52,7 +54,7 @@ def quoted_lines(lines: DataFrame) -> DataFrame:
         .select(FILE, SPLIT, AT, F.when(F.col("o") == F.col("i"), F.col("o")).alias("sets"), (F.col("o") & ~F.col("i")).alias("turn"))
     own = Window.partitionBy(FILE, SPLIT).orderBy(AT)
     so_far = own.rowsBetween(Window.unboundedPreceding, 0)
-    q = q.withColumn("turns", F.sum(F.col("turn").cast("long")).over(so_far))
+    q = written(q.withColumn("turns", F.sum(F.col("turn").cast("long")).over(so_far)), "csv-quotes")
     # The map of a whole split: what its last setting line and the turns after it come to.
     split_map = q.groupBy(FILE, SPLIT).agg(
         F.max_by("sets", F.when(F.col("sets").isNotNull(), F.col(AT))).alias("set"),
@@ -85,10 +87,10 @@ def long_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     The k-th line that opens a record is closed by the k-th that ends one, so
     they are joined on their numbers; no file is put into one task."""
-    q = quoted_lines(lines)
+    q = written(quoted_lines(lines).where("before <> after"), "csv-turns")
     opens = _numbered(q.where("NOT before AND after"), "k").select(FILE, "k", F.col(AT).alias("first"))
     closes = _numbered(q.where("before AND NOT after"), "k").select(FILE, "k", F.col(AT).alias("last"))
-    both = opens.join(closes, [FILE, "k"], "left")
+    both = written(opens.join(closes, [FILE, "k"], "left"), "csv-records")
     return both.where("last IS NOT NULL").select(FILE, "first", "last"), both.where("last IS NULL").select(FILE, "first")
 
 

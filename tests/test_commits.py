@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import checks, release
 from strata.plans import commits as plans
-from strata.sinks import manifest, writers
+from strata.sinks import buckets, manifest, schema_ledger, writers
 from strata.sources import snapshots
 
 SF = "/root/testdata/sf0.001"
@@ -91,3 +91,42 @@ def test_snapshots_are_ordered_as_numbers_and_values_unescaped(spark, tmp_dir):
     one = snapshots.read_partition(spark, tmp_dir + "/t", "table_name", "a=b/c")
     assert sorted(r.k for r in one.collect()) == [1, 2]
     assert snapshots.greatest_partition(spark, f"{tmp_dir}/t/{snapshots.partition_folder('table_name', 'a=b/c')}", "snapshot_id", int) == "10"
+
+
+def test_the_schema_ledger_replaces_reading_footers(spark, tmp_dir):
+    path = tmp_dir + "/b"
+    one = spark.createDataFrame([("1", "a")], "x string, _src_batch_id string")
+    writers.append_bronze(one, path, run_key="r1")
+    writers.append_bronze(one.select(F.lit("2").alias("y"), F.lit("b").alias("_src_batch_id")), path, run_key="r2")
+    for f in glob.glob(f"{path}/_src_batch_id=a/*/*.parquet"):
+        with open(f, "wb") as fh:
+            fh.write(b"no parquet at all")
+    got = writers.read_bronze(spark, path)
+    assert set(got.columns) == {"x", "y", "_src_batch_id"}
+    assert [tuple(r) for r in got.where("_src_batch_id = 'b'").select("x", "y").collect()] == [(None, "2")]
+    assert {r.batch_id: r.columns for r in schema_ledger.columns_per_batch(spark, path).collect()} == {"a": ["x"], "b": ["y"]}
+    with pytest.raises(schema_ledger.ColumnTypeChanged, match="x: string -> int"):
+        writers.append_bronze(one.withColumn("x", F.lit(1)), path)
+
+
+def test_silver_buckets_rewrite_what_a_batch_touches(spark, tmp_dir):
+    path = tmp_dir + "/s"
+
+    def batch(keys, at, **more):
+        df = spark.createDataFrame([(str(k), f"h{k}", at, "b") for k in keys], "k string, row_hash string, _src_ingested_at string, _src_batch_id string")
+        return df.withColumns({c: F.lit(v) for c, v in more.items()})
+    assert buckets.merge_batch(batch(range(200), "1"), path, "r1", buckets=8) == 8
+    before = {r._bucket: r._version for r in buckets.current(spark, path).collect()}
+    assert buckets.merge_batch(batch([5], "2", extra="new"), path, "r2", buckets=99) == 1  # the table keeps its 8
+    after = {r._bucket: r._version for r in buckets.current(spark, path).collect()}
+    assert sum(before[b] != after[b] for b in before) == 1
+    got = buckets.read_merged(spark, path)
+    assert got.count() == 200 and [(r._src_ingested_at, r.extra) for r in got.where("k = '5'").collect()] == [("2", "new")]
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    buckets.merge_batch(batch([5], "2", extra="new"), path, "r2")  # replayed
+    buckets.merge_batch(batch([5, 6], "0"), path, "r3")  # older rows lose
+    rows = {(r.k, r._src_ingested_at, r.extra) for r in buckets.read_merged(spark, path).collect()}
+    assert rows == {(str(k), "2" if k == 5 else "1", "new" if k == 5 else None) for k in range(200)}
+    assert buckets.vacuum(spark, path) > 0 and buckets.vacuum(spark, path) == 0
+    assert buckets.read_merged(spark, path).count() == 200
+    assert buckets.merge_batch(batch([], "9"), path, "r9") == 0
