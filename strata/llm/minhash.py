@@ -15,6 +15,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -164,23 +165,60 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
         .where(den * both >= num * (F.size("sa") + F.size("sb") - both)).select("a", "b")
 
 
-def _prefix_pairs(nodes: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) of nodes (sig, n, comp, shingles) of different components
-    that can be similar enough: every such pair is there.
-
-    With shingles ordered rarest first, sets A and B that are similar enough
-    share one within the first |A| - ceil(num / den * |A|) + 1 of A and the
-    same of B; and the first one they share leaves room for the overlap asked
-    for. What only one group has is rare, so groups that overlap too little
-    seldom meet on the shingles they have in common."""
-    each = nodes.select("sig", F.explode("shingles").alias("g"))
-    common = each.groupBy("g").agg(F.count(F.lit(1)).alias("df"))
-    ordered = each.join(common, "g").groupBy("sig") \
-        .agg(F.sort_array(F.collect_list(F.struct("df", "g"))).alias("all"))
-    keep = F.col("n") - F.floor((F.col("n") * num + den - 1) / den) + 1
-    prefix = ordered.join(nodes.select("sig", "n", "comp"), "sig") \
-        .select("sig", "n", "comp", F.posexplode(F.slice("all", F.lit(1), keep.cast("int"))).alias("pos", "x")) \
-        .where("x.df > 1").select("sig", "n", "comp", "pos", F.col("x.g").alias("g"))
+#: Counters by which prefixes are ordered; their number is fixed.
+COUNTERS = 1 << 19
+
+
+def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many sets of this task have a shingle in each slot."""
+    seen = np.zeros(COUNTERS, np.int64)
+    for b in batches:
+        lists = b.column("shingles")
+        at = np.asarray(lists.flatten()).view(np.uint64) % np.uint64(COUNTERS)
+        seen += np.bincount(at.astype(np.int64), minlength=COUNTERS)
+    at = np.flatnonzero(seen)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], names=["slot", "n"])
+
+
+def _prefix_rows(batches: Iterator[pa.RecordBatch], counts: bytes, num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Per set its first shingles, rarest slot first, as far as they can decide
+    whether another set is similar; those that no other set has are left out."""
+    rare = np.frombuffer(counts, np.uint32)
+    for b in batches:
+        lists = b.column("shingles")
+        sizes = np.asarray(pa.compute.list_value_length(lists)).astype(np.int64)
+        values = np.asarray(lists.flatten())
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        n = rare[(values.view(np.uint64) % np.uint64(COUNTERS)).astype(np.int64)]
+        order = np.lexsort((values, n, owner))
+        first = np.concatenate([[0], np.cumsum(sizes)])
+        pos = np.arange(len(values)) - np.repeat(first[:-1], sizes)
+        keep = (pos < np.repeat(sizes - (sizes * num + den - 1) // den + 1, sizes)) & (n[order] > 1)
+        kept = np.bincount(owner[keep], minlength=len(sizes))
+        offsets = pa.array(np.concatenate([[0], np.cumsum(kept)]).astype(np.int32))
+        yield pa.RecordBatch.from_arrays(
+            [b.column("sig"), pa.array(sizes), pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(
+                [pa.array(pos[keep]), pa.array(values[order][keep])], names=["pos", "g"]))], names=["sig", "n", "prefix"])
+
+
+def _prefix_pairs(sets: DataFrame, comps: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of ``sets`` (sig, shingles) of different components
+    (``comps``: sig, comp) that can be similar enough: every such pair is there.
+
+    With shingles in any one order, sets A and B that are similar enough share
+    one within the first |A| - ceil(num / den * |A|) + 1 of A and the same of B;
+    and the first one they share leaves room for the overlap asked for. They are
+    ordered by counters of a fixed number, rarest first, so what only one group
+    has comes first and groups that overlap too little seldom meet. A counter
+    is never below a shingle's number of sets: what it shows once is shared by
+    none. Sets stay where they are; only prefixes are shuffled."""
+    seen = sets.mapInArrow(_slot_counts, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(COUNTERS, np.uint32)
+    counts[np.asarray(seen["slot"])] = np.minimum(np.asarray(seen["n"]), 2**32 - 1)
+    cut = sets.mapInArrow(partial(_prefix_rows, counts=counts.tobytes(), num=num, den=den),
+                          "sig binary, n long, prefix array<struct<pos:long,g:long>>")
+    prefix = stage(cut.join(comps, "sig").select("sig", "n", "comp", F.explode("prefix").alias("p"))
+                   .select("sig", "n", "comp", "p.pos", "p.g"), "prefixes")
     other = prefix.select("g", *[F.col(c).alias("b" + c) for c in ("sig", "n", "comp", "pos")])
     room = F.least(F.col("n") - F.col("pos"), F.col("bn") - F.col("bpos"))
     return prefix.join(other, "g").where(
@@ -252,7 +290,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     split = stage(split, "split-keys")
     left = stage(named.join(split, "key").select("sig", "n", "comp").distinct(), "split")
     sets = set_table(left.select("sig"))
-    rest = stage(_prefix_pairs(left.join(sets, "sig"), num, den).join(star, ["a", "b"], "left_anti"), "rest")
+    rest = stage(_prefix_pairs(sets, left.select("sig", "comp").distinct(), num, den).join(star, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         more = stage(_verify(rest, sets, num, den), "more")
         if not more.isEmpty():
