@@ -8,6 +8,7 @@ min/max indexes and Bloom filters leave.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache, partial
@@ -26,7 +27,8 @@ END_ID = 1
 STRIPE_BYTES, ROW_STRIDE, BLOOM_FPP = 64 << 20, 1000, 0.01
 #: Text bytes a file should hold.
 FILE_BYTES = 64 << 20
-#: Words whose ids a worker remembers; beyond it the memory starts anew.
+#: Words whose ids a worker remembers. Half of them are the words met last; when
+#: they are that many, the other half, met before and not since, is forgotten.
 CACHE_WORDS = 400_000
 _SLICE = 4 << 20
 
@@ -42,28 +44,25 @@ def _encoder(path: str) -> _Encoder:
 _WORD_END = r"([A-Za-z])([!-&(-/:-=?-@\[-`{-~]+)(\s|$)"
 
 
-class _Encoder:
-    """Encodes texts word by word.
+# The normaliser and the pre-tokenizer of which the rules used here
+# are known: no pre-token holds white space, and case does not tell words apart.
+_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_PRE_TOKENIZER = [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
 
-    The tokenizer's pattern never joins characters across white space, so a
-    text's ids are those of its space-separated words in order; each distinct
-    word goes through the tokenizer once per worker. Words of ASCII characters
-    that differ in case alone have the same ids.
-    """
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.clear()
+class _Memory:
+    """The ids of words; a word's code is its place. Code 0 is END_ID alone."""
 
-    def clear(self) -> None:
+    def __init__(self) -> None:
         self.codes: dict[str, int] = {}
         self.flat = np.zeros(1 << 16, np.int32)
         self.ends = np.zeros(1 << 16, np.int64)
         self.flat[0], self.ends[0] = END_ID, 1
         self.n, self.used = 1, 1
 
-    def _keep(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+    def keep(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while self.n + len(words) > len(self.ends):
@@ -74,10 +73,36 @@ class _Encoder:
         self.n += len(words)
         self.used += len(ids)
 
+    def take(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids per code) of the words in order."""
+        begins = self.ends[codes - 1]
+        begins[codes == 0] = 0
+        size = self.ends[codes] - begins
+        before = np.concatenate([[0], np.cumsum(size)])
+        at = np.arange(int(before[-1]), dtype=np.int32) + np.repeat((begins - before[:-1]).astype(np.int32), size)
+        return self.flat[at], size
+
+
+class _Encoder:
+    """Encodes texts, word by word where the tokenizer allows it.
+
+    If its pattern never joins characters across white space, a text's ids are
+    those of its space-separated words in order; each word goes through the
+    tokenizer when a worker meets it first, or after it was forgotten. Words of
+    ASCII characters that differ in case alone have the same ids. Of other
+    tokenizers nothing is taken for granted: they get whole texts.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+        self.tokenizer = Tokenizer.from_file(path)
+        spec = json.loads(self.tokenizer.to_str())
+        self.by_word = all((spec.get(k) or {}).get("type") == "Sequence" for k in ("normalizer", "pre_tokenizer")) \
+            and spec["normalizer"]["normalizers"] == _NORMALIZER and spec["pre_tokenizer"]["pretokenizers"] == _PRE_TOKENIZER
+        self.new, self.old = _Memory(), _Memory()
+
     def _learn(self, words: list[str]) -> None:
-        forms = [w.lower() if w.isascii() and "<" not in w else w for w in words]
-        fresh = [f for f in dict.fromkeys(forms) if f not in self.codes]
-        plain = [f for f in fresh if f.isalpha()]
+        plain = [w for w in words if w.isalpha()]
         for lo in range(0, len(plain), 20_000):
             part = plain[lo:lo + 20_000]
             # One text of letter words is one pre-token a word, unless a
@@ -85,39 +110,48 @@ class _Encoder:
             e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
             sizes = np.bincount(np.array(e.word_ids, np.int64), minlength=len(part)) if e.ids else np.zeros(0, np.int64)
             if len(sizes) == len(part) and sizes.all():
-                self._keep(part, np.array(e.ids, np.int32), sizes)
-        rest = [f for f in fresh if f not in self.codes]
+                self.new.keep(part, np.array(e.ids, np.int32), sizes)
+        rest = [w for w in words if w not in self.new.codes]
         if rest:
             got = [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
-            self._keep(rest, np.fromiter((i for x in got for i in x), np.int32), np.array([len(x) for x in got]))
-        self.codes.update((w, self.codes[f]) for w, f in zip(words, forms) if w != f)
+            self.new.keep(rest, np.fromiter((i for x in got for i in x), np.int32), np.array([len(x) for x in got]))
+
+    def _codes(self, words: list[str]) -> list[int]:
+        if len(self.new.codes) > CACHE_WORDS // 2:
+            self.old, self.new = self.new, _Memory()
+        code = list(map(self.new.codes.get, words))
+        if None not in code:
+            return code
+        missing = list(dict.fromkeys(w for w, c in zip(words, code) if c is None))
+        known = [(w, c) for w, c in zip(missing, map(self.old.codes.get, missing)) if c is not None]
+        if known:
+            self.new.keep([w for w, _ in known], *self.old.take(np.array([c for _, c in known], np.int64)))
+            missing = [w for w in missing if w not in self.new.codes]
+        self._learn(missing)
+        return list(map(self.new.codes.get, words))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, number of ids per text), each text ended by END_ID."""
+        if not self.by_word:
+            got = [[*e.ids, END_ID] for e in self.tokenizer.encode_batch_fast(texts.fill_null("").to_pylist(), add_special_tokens=False)]
+            return np.fromiter((i for x in got for i in x), np.int32), np.array([len(x) for x in got], np.int64)
         spread = pc.replace_substring_regex(texts.fill_null(""), _WORD_END, r"\1 \2\3")
         lists = pc.ascii_split_whitespace(spread)
         coded = pc.dictionary_encode(lists.flatten())
-        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        if len(self.codes) + len(words) > CACHE_WORDS:
-            self.clear()
-        code = list(map(self.codes.get, words))
-        if None in code:
-            self._learn([w for w, c in zip(words, code) if c is None])
-            code = list(map(self.codes.get, words))
+        words = coded.dictionary
+        # Special tokens' strings are told apart by case.
+        fold = pc.and_(pc.string_is_ascii(words), pc.invert(pc.match_substring(words, "<")))
+        code = self._codes(pc.if_else(fold, pc.ascii_lower(words), words).to_pylist())
         # Code 0 is the end id, which stands after every text's words.
         first = np.asarray(lists.offsets).astype(np.int64) - lists.offsets[0].as_py()
         n_words = np.diff(first)
         at = np.zeros(int(first[-1]) + len(n_words), np.int64)
         inner = np.ones(len(at), bool)
         inner[first[1:] + np.arange(len(n_words))] = False
-        at[inner] = np.array(code, np.int64)[np.asarray(coded.indices)] if words else 0
-        begins = self.ends[at - 1]
-        begins[at == 0] = 0
-        size = self.ends[at] - begins
+        at[inner] = np.array(code, np.int64)[np.asarray(coded.indices)] if code else 0
+        ids, size = self.new.take(at)
         before = np.concatenate([[0], np.cumsum(size)])
-        n_ids = np.diff(before[np.concatenate([[0], np.cumsum(n_words + 1)])])
-        take = np.arange(int(before[-1]), dtype=np.int32) + np.repeat((begins - before[:-1]).astype(np.int32), size)
-        return self.flat[take], n_ids
+        return ids, np.diff(before[np.concatenate([[0], np.cumsum(n_words + 1)])])
 
 
 def _encode_rows(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
