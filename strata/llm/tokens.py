@@ -8,6 +8,8 @@ min/max indexes and Bloom filters leave.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import json
 import zlib
 from collections.abc import Iterator
@@ -30,7 +32,9 @@ FILE_BYTES = 64 << 20
 #: Words whose ids a worker remembers. Half of them are the words met last; when
 #: they are that many, the other half, met before and not since, is forgotten.
 CACHE_WORDS = 400_000
-_SLICE = 4 << 20
+_SLICE = 2 << 20
+#: Words given to the tokenizer as one text.
+_JOINED = 4000
 
 
 @lru_cache(maxsize=4)
@@ -103,8 +107,8 @@ class _Encoder:
 
     def _learn(self, words: list[str]) -> None:
         plain = [w for w in words if w.isalpha()]
-        for lo in range(0, len(plain), 20_000):
-            part = plain[lo:lo + 20_000]
+        for lo in range(0, len(plain), _JOINED):
+            part = plain[lo:lo + _JOINED]
             # One text of letter words is one pre-token a word, unless a
             # character changes its kind when it is normalised.
             e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
@@ -154,6 +158,15 @@ class _Encoder:
         return ids, np.diff(before[np.concatenate([[0], np.cumsum(n_words + 1)])])
 
 
+def _give_back() -> None:
+    """Return what the allocator holds to the system: a worker waits for its
+    next task beside an executor that needs the memory."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def _encode_rows(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     enc = _encoder(path)
     for batch in batches:
@@ -170,6 +183,7 @@ def _encode_rows(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Re
                  pa.ListArray.from_arrays(pa.array(first), pa.array(ids))], names=["doc_id", "n_tokens", "ids"])
             lo = hi
         pa.default_memory_pool().release_unused()
+    _give_back()
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str) -> None:

@@ -70,3 +70,16 @@ def test_a_full_cache_starts_anew(monkeypatch):
     for text in ("alpha beta", "gamma delta", "alpha gamma", "a b c d e f"):
         ids, _ = enc.encode(pa.array([text]))
         assert ids[:-1].tolist() == enc.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_other_tokenizers_get_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["Plain sentence, with marks. It's here!", "", None, "  two\n lines ", "CASE case"]
+    enc = T._Encoder(path)
+    assert not enc.by_word and T._Encoder(T.default_tokenizer()).by_word
+    ids, sizes = enc.encode(pa.array(texts, pa.large_string()))
+    plain = Tokenizer.from_file(path)
+    want = [[*plain.encode(t or "", add_special_tokens=False).ids, T.END_ID] for t in texts]
+    assert ids.tolist() == [i for w in want for i in w] and sizes.tolist() == [len(w) for w in want]
