@@ -23,20 +23,61 @@ def _rule(host, path):
 
 
 def _shape(s):
-    s = "%" + s if s in ("*", "~", "**") else s
-    if re.fullmatch("[0-9]+", s):
-        return "{number}"
-    if re.fullmatch("[0-9]{4}-[0-9]{2}(-[0-9]{2})?", s):
-        return "{date}"
-    if re.fullmatch("[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", s):
-        return "{uuid}"
-    return "{hash}" if re.fullmatch("(?=.*[0-9])[0-9a-fA-F]{16,}", s) else s
-
-
-def _differs(h1, n1, h2, n2, z):
-    n1, n2 = n1 + 2, n2 + 2
-    p = (h1 + 1 + h2 + 1) / (n1 + n2)
-    return abs((h1 + 1) / n1 - (h2 + 1) / n2) > z * math.sqrt(p * (1 - p) * (1 / n1 + 1 / n2))
+    if s[0] in "*~{%":
+        s = "%" + s
+    tail = (re.search(r"\.[A-Za-z][A-Za-z0-9]{0,4}\Z", s) or [""])[0]
+    stem = s[:len(s) - len(tail)]
+    for pattern, name in (("[0-9]+", "{number}"), ("[0-9]{4}-[0-9]{2}(-[0-9]{2})?", "{date}"),
+                          ("[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", "{uuid}"), ("(?=.*[0-9])[0-9a-fA-F]{16,}", "{hash}")):
+        if re.fullmatch(pattern, stem):
+            return name + tail
+    return s
+
+
+def _kind(s):
+    if re.search(r"\.[A-Za-z][A-Za-z0-9]{0,4}\Z", s):
+        return "f"
+    return "w" if re.fullmatch("[A-Za-z]+", s) else "d" if re.search("[0-9]", s) else "o"
+
+
+def _differs(h1, of1, h2, of2, z):
+    n1, n2 = of1 + 2, of2 + 2
+    p1, p2 = (h1 + 1) / n1, (h2 + 1) / n2
+    return abs(p1 - p2) > z * math.sqrt(p1 * (1 - p1) / n1 + p2 * (1 - p2) / n2)
+
+
+def _node(kids, level, s):
+    """Names of a node's branches (segment -> urls)."""
+    total = sum(map(len, kids.values()))
+    stat = {k: (sum(x["v"] == "block" for x in v), sum(x["v"] is not None for x in v)) for k, v in kids.items()}
+    var = [k for k, v in kids.items() if len(kids) >= s.min_siblings and len(v) * len(kids) <= s.even * total]
+    bad, lab = (sum(stat[k][i] for k in var) for i in (0, 1))
+    wild = {k for k in var if not _differs(*stat[k], bad - stat[k][0], lab - stat[k][1], s.z)}
+    shapes = defaultdict(list)
+    for k, v in kids.items():
+        if k not in wild:
+            ends = sum(len(x["segs"]) == level for x in v)
+            shapes[(_kind(k), 0 if not ends else 2 if ends == len(v) else 1)].append(k)
+    names = {k: "*" if k in wild else k for k in kids}
+    for (kind, form), own in shapes.items():
+        bins = defaultdict(list)
+        for k in own:
+            if stat[k][1]:
+                bins[s.bins * (stat[k][0] + 1) // (stat[k][1] + 2)].append(k)
+        clusters, before = [], None
+        for i in sorted(bins):
+            here = [sum(stat[k][j] for k in bins[i]) for j in (0, 1)]
+            if before is None or _differs(*here, *before, s.z):
+                clusters.append([])
+            clusters[-1].append(i)
+            before = here
+        for cluster in clusters:
+            members = [k for i in cluster for k in bins[i]]
+            if len(members) > 1:
+                if len(clusters) == 1:  # all labels of the shape agree
+                    members = own
+                names |= {k: f"~{kind}{form}{cluster[0]}" for k in members}
+    return names
 
 
 def _brute(rows, s=U.DEFAULT):
@@ -44,37 +85,23 @@ def _brute(rows, s=U.DEFAULT):
     items = []
     for i, url in rows:
         host, path = _split(url)
-        segs = [_shape(x) for x in path.split("/") if x]
-        segs = segs[:s.depth] + ["**"] * (len(segs) > s.depth)
         rule, verdict = _rule(host, path)
-        items.append({"id": i, "host": host, "path": path, "rule": rule, "v": verdict, "segs": segs, "t": []})
-    for level in range(1, s.depth + 1):
+        items.append({"id": i, "host": host, "path": path, "rule": rule, "v": verdict,
+                      "segs": [_shape(x) for x in path.split("/") if x], "t": []})
+    for level in range(1, max(len(x["segs"]) for x in items) + 1):
         groups = defaultdict(lambda: defaultdict(list))
         for x in items:
             if len(x["segs"]) >= level:
                 groups[(x["host"], *x["t"])][x["segs"][level - 1]].append(x)
         for kids in groups.values():
-            total = sum(map(len, kids.values()))
-            wild = {k for k, v in kids.items() if len(kids) >= s.min_siblings and len(v) <= s.max_share * total}
-            stat = {k: (sum(x["v"] == "block" for x in v), sum(x["v"] is not None for x in v),
-                        sum(len(x["segs"]) == level for x in v), len(v)) for k, v in kids.items() if k not in wild}
-            stat = {k: v for k, v in stat.items() if v[1]}
-            all_ = [sum(c) for c in zip(*stat.values())] if stat else []
+            names = _node(kids, level, s)
             for k, v in kids.items():
-                name = "*" if k in wild else k
-                if k in stat and len(stat) > 1:
-                    b, lab, e, n = stat[k]
-                    if not _differs(b, lab, all_[0] - b, all_[1] - lab, s.z) and not _differs(e, n, all_[2] - e, all_[3] - n, s.z):
-                        name = "~"
                 for x in v:
-                    x["new"] = name
-        for x in items:
-            if len(x["segs"]) >= level:
-                x["t"] = x["t"] + [x["new"]]
+                    x["t"] = x["t"] + [names[k]]
     out = []
     by = defaultdict(list)
     for x in items:
-        x["t"] = tuple([x["host"], *x["t"]] + ["**"] * (len(x["segs"]) > s.depth))
+        x["t"] = (x["host"], *x["t"])
         by[x["t"]].append(x)
     for x in items:
         own = by[x["t"]]
@@ -114,3 +141,66 @@ def test_a_pure_template_rejects_urls_no_rule_fits(spark):
     got = {r.page_id: r for r in U.judge(df, rules).collect()}
     assert got[45].rule is None and got[45].verdict == "block" and got[45].template == "h.test/u/*"
     assert got[100].verdict == "allow"
+
+
+def _judged(spark, rows, rules):
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    return {r.page_id: r for r in U.judge(df, rules).collect()}
+
+
+def test_labels_deep_in_a_path_stay_below_their_branch(spark):
+    """40 bad urls in the seventh segment's branch, 40 others beside them."""
+    deep = "http://h.test/a/b/c/d/e/f"
+    rows = [(i, f"{deep}/{'bad' if i < 40 else 'good'}/{i}/x{i}") for i in range(80)]
+    got = _judged(spark, rows, [("h.test/a/b/c/d/e/f/bad/", "block")])
+    assert all(got[i].verdict == "block" for i in range(40))
+    assert all(got[i].verdict == "allow" and got[i].rule is None for i in range(40, 80))
+
+
+def test_eight_even_siblings_are_a_wildcard(spark):
+    rows = [(i, f"http://h.test/u/slug{i}x") for i in range(14)]
+    got = _judged(spark, rows, [(f"h.test/u/slug{i}x", "block") for i in range(7)])
+    assert {r.verdict for r in got.values()} == {"block"} and {r.template for r in got.values()} == {"h.test/u/*"}
+
+
+def test_a_bad_section_among_good_ones_is_no_wildcard(spark):
+    rows = [(100 * s + i, f"http://h.test/sec{s}/p{i}") for s in range(9) for i in range(30)]
+    rules = [(f"h.test/sec0/p{i}", "block") for i in range(10, 30)] + [(f"h.test/sec{s}/", "allow") for s in range(1, 8)]
+    got = _judged(spark, rows, rules)
+    assert got[3].rule is None and got[3].verdict == "block" and got[3].template.startswith("h.test/sec0/")
+    assert got[803].rule is None and got[803].verdict == "allow" and got[803].template.startswith("h.test/*")
+
+
+def test_clusters_of_labelled_siblings(spark):
+    """Two bad branches are merged apart from two good ones, and their pooled
+    labels block their unlabelled urls; a shape whose labels disagree says
+    nothing of a branch without labels, one whose labels agree does."""
+    rows, rules, n = [], [], 0
+    for host, names in (("h.test", "ABCD"), ("i.test", "AB")):
+        for name in names + "E":
+            for i in range(6 if name in "ABE" else 30):
+                rows.append((n, f"http://{host}/{name}/{'abcdef'[i] if i < 6 else f'p{i}'}"))
+                n += 1
+            if name in "AB":
+                rules += [(f"{host}/{name}/{c}", "block") for c in "abcde"]
+            elif name in "CD":
+                rules.append((f"{host}/{name}/", "allow"))
+    got = _judged(spark, rows, rules)
+    free = {(r.host, r.path): (r.verdict, r.template.split("/")[1][0]) for r in got.values() if r.rule is None}
+    assert got[0].template.split("/")[1] != "A"
+    assert free["h.test", "/E/a"] == ("allow", "E")
+    assert free["i.test", "/E/a"][1] == "~"
+    assert got[0].template.split("/")[1] == got[6].template.split("/")[1] != got[12].template.split("/")[1]
+
+
+def test_oracle_sql_walks_paths_to_their_end(spark, tmp_path):
+    import duckdb
+    rows = [(i, f"http://h{i % 3}.com/{'de' if i % 2 else 'en'}/a/b/c/d/e/s{i % 11}/{i % 4}.html/t{i}") for i in range(120)]
+    rows += [(200 + i, f"http://x.example.com/{'de' if i % 3 else 'fr'}/{i % 5}/~u/{{number}}/p{i % 9}.php") for i in range(60)]
+    rows += [(300, None), (301, "http://x.net"), (302, "http://h.org/a\nb/c"), (303, "http://h.org/a/b\nc")]
+    spark.createDataFrame(rows, "page_id long, url string").toPandas().to_parquet(tmp_path / "pages.parquet")
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{tmp_path}/pages.parquet'")
+    got = [tuple(r) for r in U.judge(df, U.RULES).select("page_id", "host", "path", "rule", "verdict", "template", "purity").collect()]
+    assert sorted(con.execute(U._sql(U.RULES)).fetchall(), key=str) == sorted(got, key=str)
