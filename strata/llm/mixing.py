@@ -10,6 +10,7 @@ prefix of the last.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -64,9 +65,12 @@ def _share_out(nodes: DataFrame, plan: Plan, level: str, above: list[str]) -> Da
 
 
 def budgets(leaves: DataFrame, plan: Plan) -> DataFrame:
-    """``leaves`` (levels, supply, docs: one row a leaf) with ``given`` tokens."""
+    """``leaves`` (levels, supply, docs: one row a leaf) with ``given`` tokens.
+    A leaf that has a weight of 0 on its way holds nothing for its ancestors
+    either, so no tokens are handed where they cannot be used."""
     levels = list(plan.levels)
-    out = leaves.withColumn("cap", F.col("supply") * plan.max_epochs)
+    open_way = reduce(Column.__and__, [_weight(plan, level) > 0 for level in levels])
+    out = leaves.withColumn("cap", F.when(open_way, F.col("supply") * plan.max_epochs).otherwise(0))
     # The whole budget, as a one-row group of the root.
     out = out.withColumn("given", F.expr(
         f"cast((cast(sum(supply) over (partition by 1) as decimal(38,0)) * {int(plan.budget_percent)}) div 100 as bigint)"))
@@ -156,18 +160,19 @@ def _sql(plan: Plan) -> str:
     def weight(level: str) -> str:
         cases = " ".join(f"when {level} = '{n}' then {w}" for n, w in plan.weights.get(level, {}).items())
         return f"case {cases} else 1 end" if cases else "1"
+    open_way = " and ".join(f"{weight(level)} > 0" for level in plan.levels)
     parts = [r"""rows0 as (select doc_id, 'd' || cast(coalesce(try_cast(nullif(regexp_extract(source, '([0-9]{1,9})$', 1), '') as bigint), 0) % 4 as varchar) as domain,
   coalesce(lang, '') as lang, coalesce(source, '') as source,
   coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as n_tokens,
   concat_ws('|', coalesce(cast(doc_id as varchar), ''), md5(coalesce(text, ''))) as ident from documents)""",
              f"""leaves as (select domain, lang, source, sum(n_tokens)::hugeint as supply,
-  sum(n_tokens)::hugeint * {plan.max_epochs} as cap0 from rows0 group by all)""",
+  case when {open_way} then sum(n_tokens)::hugeint * {plan.max_epochs} else 0 end as cap0 from rows0 group by domain, lang, source)""",
              f"g0 as (select *, (sum(supply) over ()) * {plan.budget_percent} // 100 as given from leaves)"]
     for i, level in enumerate(plan.levels):
         path, above = ", ".join(plan.levels[:i + 1]), ", ".join(plan.levels[:i]) or "1"
         parts += [f"""n{i} as (select {path}, {weight(level)} as w, sum(cap0) as cap, any_value(given) as parent from g{i} group by {path})""",
-                  f"""o{i} as (select *, coalesce(sum(cap) over (partition by {above} order by cap / w, {level} rows between unbounded preceding and 1 preceding), 0) as used,
-  sum(w) over (partition by {above} order by cap / w, {level} rows between current row and unbounded following) as left_w from n{i})""",
+                  f"""o{i} as (select *, coalesce(sum(cap) over (partition by {above} order by cap / greatest(w, 1), {level} rows between unbounded preceding and 1 preceding), 0) as used,
+  sum(w) over (partition by {above} order by cap / greatest(w, 1), {level} rows between current row and unbounded following) as left_w from n{i})""",
                   f"f{i} as (select *, cap * left_w <= (parent - used) * w as full_ from o{i})",
                   f"""r{i} as (select *, parent - sum(case when full_ then cap else 0 end) over (partition by {above}) as rest,
   sum(case when full_ then 0 else w end) over (partition by {above}) as rest_w from f{i})""",

@@ -28,12 +28,13 @@ def _brute(rows, plan, domain):
         leaves[(domain(r.source), r.lang or "", r.source or "")].append((r.doc_id, tokens, ident))
     supply = {k: sum(t for _, t, _ in v) for k, v in leaves.items()}
     given = {(): sum(supply.values()) * plan.budget_percent // 100}
+    weight = lambda d, n: plan.weights.get(plan.levels[d], {}).get(n, 1)
     for depth in range(3):
         for parent, budget in [(k, v) for k, v in given.items() if len(k) == depth]:
             caps = defaultdict(int)
             for k, s in supply.items():
                 if k[:depth] == parent:
-                    caps[k[depth]] += s * plan.max_epochs
+                    caps[k[depth]] += s * plan.max_epochs * all(weight(d, k[d]) for d in range(3))
             weights = plan.weights.get(plan.levels[depth], {})
             kids = [(n, c if weights.get(n, 1) else 0, weights.get(n, 1)) for n, c in caps.items()]
             given |= {(*parent, n): g for n, g in _fill(budget, kids).items()}
@@ -93,3 +94,22 @@ def test_shortages_go_to_siblings_first(spark):
     for r in _got(df, plan):
         total[r[3]] += r[5]
     assert total == {"src0": 10, "src4": 150, "src1": 160}
+
+
+def test_a_weight_of_0_deep_in_the_tree_loses_no_budget(spark, tmp_path):
+    """Domain d0 weighs most but holds only a language of weight 0 beside one
+    short one: what it cannot use goes to d1."""
+    rows = [(i, "w " * 10, lang, s, 0) for i, (lang, s) in enumerate(
+        [("de", "src0")] * 40 + [("en", "src0")] * 5 + [("en", "src1")] * 35)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    plan = X.Plan(weights={"domain": {"d0": 9, "d1": 1}, "lang": {"de": 0}}, budget_percent=50, max_epochs=1)
+    got = _got(df, plan)
+    assert got == _brute(df.collect(), plan, _domain)
+    total = defaultdict(int)
+    for r in got:
+        total[r[1:3]] += r[5]
+    assert total == {("d0", "en"): 50, ("d1", "en"): 350}
+    df.toPandas().to_parquet(tmp_path / "documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet'")
+    assert sorted(con.execute(X._sql(plan)).fetchall(), key=str) == got
