@@ -269,7 +269,12 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
         part = _block_links(classes.where(F.size("v") == r.d), int(r.n), min_cos)
         found = part if found is None else found.unionByName(part)
     links = found.groupBy("id").agg(F.sum("n").alias("n"))
-    comp = connected_components(found.where("root <> id").select(F.col("id").alias("a"), F.col("root").alias("b")))
+    # An id with several vectors is a member of several classes: it joins them.
+    spread = stage(given.where(usable).groupBy("id").agg(F.min(F.xxhash64("v")).alias("lo"), F.max(F.xxhash64("v")).alias("hi"))
+                   .where("lo <> hi").select(F.col("id").alias("s")), "vec-spread")
+    member = given.where(usable).join(spread, F.col("id") == F.col("s"), "left_semi").select(F.col("id").alias("a"), F.col("v").alias("mv"))
+    member = member.join(classes, F.col("mv") == F.col("v")).where("a <> id").select("a", F.col("id").alias("b")).distinct()
+    comp = connected_components(found.where("root <> id").select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(member))
     by_class = classes.join(links.select(F.col("id").alias("l"), "n"), F.col("id") == F.col("l"), "left") \
         .join(comp, F.col("id") == F.col("node"), "left") \
         .select(F.col("v").alias("cv"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),

@@ -108,3 +108,13 @@ def test_every_length_is_compared(spark):
         assert got[a] == got[b] == (1, b)
     assert got[9][1] == got[37][1] == got[60][1] == 9
     assert all(got[i] == (0, i) for i in (3, 10, 29, 36))
+
+
+def test_an_id_with_unlike_vectors_joins_their_groups(spark):
+    a, b, c, d = np.eye(4)[:, :].tolist()
+    rows = [(1, a), (2, a), (2, b), (3, b),  # 2 holds a and b
+            (10, c), (15, c), (12, d), (15, d), (16, (np.array(d) * 2 + .01).tolist())]  # 15 is the smallest of neither
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = V.near_vectors(df).collect()
+    assert sorted((r.vec_id, r.component_id) for r in got) == [(1, 1), (2, 1), (2, 1), (3, 1), (10, 10), (12, 10), (15, 10), (15, 10), (16, 10)]
+    assert all(r.kept == (r.vec_id == r.component_id) for r in got)
