@@ -12,7 +12,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm import words as W
@@ -28,6 +28,8 @@ FAMILIES = {
 #: Hashed n-gram features (n = 1, 2, 3) and the documents a language is
 #: learned from, at most.
 BUCKETS, SAMPLE_PER_LANG = 4096, 800
+#: Sampled texts of all languages together (their features lie on the driver).
+MAX_SAMPLE = 20_000
 _NGRAMS = (1, 2, 3)
 
 _LOW = np.arange(256, dtype=np.uint8)
@@ -166,21 +168,24 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def train(docs: DataFrame, folds: int = 3, held_out: int = 1) -> Model | None:
     """Learn from text and non-null lang of documents whose fold is not
-    ``held_out``; at most SAMPLE_PER_LANG of each language, those with the
-    smallest text hashes. None if there is nothing to learn from."""
+    ``held_out``; of each language the different texts with the smallest
+    hashes, at most SAMPLE_PER_LANG of them and, of many languages, an equal
+    share of MAX_SAMPLE. However often a text is repeated, it counts once.
+    None if there is nothing to learn from."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (fold_of("doc_id", folds) != held_out))
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()  # one row a language
+    mark = F.pmod(F.xxhash64("text"), F.lit(1 << 40))
+    sizes = known.groupBy("lang").agg(F.approx_count_distinct(mark, 0.02).alias("n")).collect()  # one row a language
     if not sizes:
         return None
-    share = F.lit(0.0)
+    per = min(SAMPLE_PER_LANG, max(1, MAX_SAMPLE // len(sizes)))
+    share = F.lit(1.0)
     for r in sizes:  # the share of a language's hashes that gives about the sample
-        share = F.when(F.col("lang") == r.lang, F.lit(min(1.0, 1.3 * SAMPLE_PER_LANG / r.n))).otherwise(share)
-    mark = F.pmod(F.xxhash64("text"), F.lit(1 << 40)) / float(1 << 40)
-    picked = known.select("lang", "text", mark.alias("m"), share.alias("s")).where("m < s")
-    sample = None
-    for r in sizes:
-        part = picked.where(F.col("lang") == r.lang).orderBy("m", "text").limit(SAMPLE_PER_LANG).select("lang", "text")
-        sample = part if sample is None else sample.unionByName(part)
+        if r.n > 1.3 * per:
+            share = F.when(F.col("lang") == r.lang, F.lit(1.3 * per / r.n)).otherwise(share)
+    part = mark / float(1 << 40)
+    picked = known.select("lang", "text", part.alias("m"), share.alias("s")).where("m < s").select("lang", "m", "text").distinct()
+    order = Window.partitionBy("lang").orderBy("m", "text")
+    sample = picked.withColumn("at", F.row_number().over(order)).where(F.col("at") <= per).orderBy("lang", "at").select("lang", "text")
     got = sample.mapInArrow(_feature_rows, "lang string, x array<float>").toArrow()
     langs = sorted(r.lang for r in sizes)
     at = {code: i for i, code in enumerate(langs)}

@@ -85,3 +85,17 @@ def test_families_then_pairs():
         x[i, l * 10:(l + 1) * 10] = rng.random(10)
     m = langid.Model(["de", "en", "es", "xx"], x, lang)
     assert m.family_names == ["germanic", "romance", "xx"] and m.pairs == [("germanic", 0, 1)]
+
+
+def test_copies_of_a_text_count_once_in_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_PER_LANG", 40)
+    monkeypatch.setattr(langid, "Model", lambda *parts: parts)
+    texts = ["a copied text"] * 3000 + [f"english {chr(97 + i % 26) * (1 + i // 26)}w text" for i in range(90)]
+    rows = [(i, t, "en") for i, t in enumerate(texts)] + [(9000 + i, f"ein deutscher satz {i}", "de") for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for _ in range(2):  # the same sample each time
+        langs, x, lang = langid.train(docs)
+        assert langs == ["de", "en"] and (lang == 1).sum() == 40 == len(np.unique(x[lang == 1], axis=0))
+    assert (x == langid.train(docs.repartition(7))[1]).all()
+    monkeypatch.setattr(langid, "MAX_SAMPLE", 30)
+    assert np.bincount(langid.train(docs)[2]).tolist() == [15, 15]
