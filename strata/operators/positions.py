@@ -67,3 +67,10 @@ def line_positions(lines: DataFrame, within: Sequence[str] = (), name: str = "in
                                   F.col("_metadata.file_block_start").alias("__block")))
     got = _offset(rows, list(within) or ["__file"], ["__file", "__block"] if within else ["__block"], name)
     return got.withColumnsRenamed(dict(zip(("__file", "__block"), split))) if split else got.drop("__file", "__block")
+
+
+def split_positions(lines: DataFrame, file: str, block: str, name: str = "index") -> DataFrame:
+    """``lines`` that carry their file and their split's first byte in the
+    columns ``file`` and ``block`` (a streaming batch has no ``_metadata`` of
+    its own), with ``name``: the 0-based position of a line in its file."""
+    return _offset(_numbered(lines), [file], [block], name)

@@ -15,14 +15,19 @@ Batch remains the definition; these run the same operators per micro-batch:
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.functions.naming import DEFAULT_PREFIX
 from strata.operators import promote
+from strata.operators.positions import split_positions
 from strata.session import scratch_path
 from strata.sinks import writers
+from strata.sources.records import parse_lines
 from strata.sources.workbook import land_contents, with_study
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -67,11 +72,56 @@ def start_workbook_landing(spark: SparkSession, deposit_root: str, bronze_path:
               .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[xX][lL][sS][xX]")
               .load(f"{deposit_root.rstrip('/')}/{p}"))
 
+    def landed(batch: DataFrame) -> DataFrame:
+        return land_contents(with_study(batch, deposit_root, p, None).select("path", "study_id", "content"))
+    return _start(spark, stream, landed, bronze_path, run_id, ingested_at, silver_path, checkpoint, findings_path)
+
+
+def start_record_landing(spark: SparkSession, deposit_root: str, bronze_path: str, run_id: str, ingested_at: str,
+                         silver_path: str | None = None, prefix: str = DEFAULT_PREFIX, checkpoint: str | None = None,
+                         findings_path: str | None = None) -> StreamingQuery:
+    """R1 (+R2) for deposits of JSON lines under ``<prefix>/<study>/<node>/``:
+    the rows of files that the checkpoint has not seen, in the layout a
+    workbook landing writes. A record's properties are its cells (text as it
+    is, other values as JSON, null as empty), ``_src_row`` its line in the
+    file. Blank lines are skipped; a line that is no JSON object, or a file
+    without study and node folders, gives error rows in the findings, and all
+    other lines land."""
+    p = prefix.strip("/")
+    stream = spark.readStream.format("text").option("recursiveFileLookup", "true").load(f"{deposit_root.rstrip('/')}/{p}") \
+        .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
+
+    def landed(batch: DataFrame) -> DataFrame:
+        return _record_rows(split_positions(batch, "path", "start", "line"), p)
+    return _start(spark, stream, landed, bronze_path, run_id, ingested_at, silver_path, checkpoint, findings_path)
+
+
+def _record_rows(lines: DataFrame, prefix: str) -> DataFrame:
+    """Lines (value, path, line) in the landing form of workbooks."""
+    below = F.split(F.regexp_extract("path", f"/{re.escape(prefix)}/(.*)", 1), "/")
+    placed = F.size(below) > 2
+    parsed = parse_lines(lines.filter(F.trim("value") != "").withColumnRenamed("value", "line_text")
+                         .withColumn("at", F.col("line")).drop("line").withColumnRenamed("line_text", "line"))
+    cells = F.expr("cast(record as map<string,variant>)")
+    cells = F.transform_values(cells, lambda _, v: F.coalesce(v.cast("string"), F.lit("")))
+    error = F.when(~placed, F.lit("no study and node folder")).otherwise(F.col("bad"))
+    null = F.lit(None)
+    return parsed.select(
+        F.col("path").alias("file"), F.when(placed, F.get(below, F.lit(0))).alias("study_id"),
+        F.when(placed, F.get(below, F.lit(1))).alias("node"), null.cast("string").alias("sheet"),
+        (F.col("at") + 1).alias("row"), cells.alias("cells"), error.alias("error")) \
+        .select("file", "study_id", "node", "sheet", "row",
+                F.when(F.col("error").isNull(), F.array_sort(F.map_keys("cells"))).alias("headers"),
+                F.when(F.col("error").isNull(), F.col("cells")).alias("cells"), null.cast("map<string,string>").alias("provenance"),
+                "error", F.when(F.col("error").isNotNull(), "error").alias("severity"))
+
+
+def _start(spark: SparkSession, stream: DataFrame, landed: Callable[[DataFrame], DataFrame], bronze_path: str, run_id: str,
+           ingested_at: str, silver_path: str | None, checkpoint: str | None, findings_path: str | None) -> StreamingQuery:
     def each(batch: DataFrame, epoch: int) -> None:
         from strata.jobs import stage_landing, write_bronze_tables
-        files = with_study(batch, deposit_root, p, None).select("path", "study_id", "content")
         batch_id = f"{run_id}-{epoch}"
-        staged = stage_landing(spark, land_contents(files), batch_id=batch_id, ingested_at=ingested_at)
+        staged = stage_landing(spark, landed(batch), batch_id=batch_id, ingested_at=ingested_at)
         try:
             # Findings first: a batch never commits without them.
             writers.append_bronze(staged.findings.withColumn(writers.BRONZE_PARTITION, F.lit(batch_id))
