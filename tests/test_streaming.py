@@ -1,7 +1,8 @@
 import os
 
+from strata.sinks import writers
 from strata.plans.deposits import build_workbook, meta_rows
-from strata.streaming.landing import compact_silver, landing_failures, read_silver, start_workbook_landing
+from strata.streaming.landing import compact_silver, landing_failures, read_silver, start_record_landing, start_workbook_landing
 
 META = {"g3mt_version": "1", "schema_file": "s", "target_node": "subject"}
 
@@ -64,3 +65,27 @@ def test_a_small_batch_adds_files_and_rewrites_none(spark, tmp_dir):
     assert before <= set(glob.glob(tmp_dir + "/silver/**/*.parquet", recursive=True))
     got = read_silver(spark, tmp_dir + "/silver")
     assert got.count() == 2000 and got.filter("_src_batch_id = 't2'").count() == 600
+
+
+def test_record_landing_takes_new_lines_and_reports_bad_ones(spark, tmp_dir):
+    import pathlib
+    root = pathlib.Path(tmp_dir) / "dep"
+    (root / "submissions/s1/subject").mkdir(parents=True)
+    lines = ['{"a": "x", "b": 1}', "", '{"a": null, "c": {"d": [true]}}', "[1]", '{"a": "x", "b": 1}', "{"]
+    (root / "submissions/s1/subject/one.jsonl").write_text("\n".join(lines))
+    (root / "submissions/s1/loose.jsonl").write_text('{"a": "y"}\n')
+    bronze, seen = tmp_dir + "/bronze", "file://" + tmp_dir + "/seen"
+
+    def land(run):
+        start_record_landing(spark, "file://" + str(root), "file://" + bronze, run, "t", silver_path="file://" + tmp_dir + "/silver",
+                             checkpoint=seen).awaitTermination()
+        return sorted((r.file.rsplit("/", 1)[-1], r.error) for r in landing_failures(spark, bronze + "-findings", run).collect())
+    assert land("r1") == [("loose.jsonl", "no study and node folder"), ("one.jsonl", "not a JSON object"), ("one.jsonl", "not valid JSON")]
+    table = writers.read_bronze(spark, bronze + "/bronze_s1_subject")
+    got = sorted((int(r._src_row), r.a, r.b, r.c) for r in table.collect())
+    assert got == [(1, "x", "1", None), (3, "", None, '{"d":[true]}'), (5, "x", "1", None)]
+    (root / "submissions/s1/subject/two.jsonl").write_text('{"a": "new"}\n')
+    assert land("r2") == []
+    table = writers.read_bronze(spark, bronze + "/bronze_s1_subject")
+    assert [(int(r._src_row), r.a) for r in table.where("_src_batch_id like 'r2-%'").collect()] == [(1, "new")]
+    assert read_silver(spark, tmp_dir + "/silver/silver_s1_subject").count() == 4
