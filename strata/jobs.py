@@ -18,11 +18,10 @@ from pyspark.sql import functions as F
 from strata.extend import custom_check
 from strata.functions import ids, naming
 from strata.operators import checks, gate, landing, links, release, tables, typed
-from strata.session import scratch_path
+from strata.session import remove_path, scratch_path
 from strata.sinks import writers
-from strata.sources import files, records
+from strata.sources import files, records, workbook
 from strata.sources.dictionary import Dictionary
-from strata.sources.workbook import read_workbooks
 
 
 class GateFailed(RuntimeError):
@@ -72,8 +71,7 @@ class Landed:
 
     def remove(self) -> None:
         """Delete the staging folder of this run."""
-        at = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
+        remove_path(self.spark, self.path)
 
 
 def _landing_rows(landed: DataFrame, batch_id: str, ingested_at: str) -> DataFrame:
@@ -133,13 +131,13 @@ def ingest(spark: SparkSession, deposit_root: str, bronze_root: str, *, prefix:
     raises naming failed ones. A dry run parses and reports, and writes
     nothing."""
     batch, at = ids.batch_id(batch_marker), ids.ingested_at()
-    landed = read_workbooks(spark, deposit_root, prefix, study)
-    if dry_run:
-        _, report, failed = _summary(_landing_rows(landed, batch, at))
-        if failed:
-            raise writers.PartialFailure(f"{len(failed)} workbook(s) would fail: {writers.name_some(failed)}")
-        return spark.createDataFrame(report, _REPORT)
-    staged = stage_landing(spark, landed, batch_id=batch, ingested_at=at)
+    with workbook.landing(workbook.workbook_contents(spark, deposit_root, prefix, study)) as landed:
+        if dry_run:
+            _, report, failed = _summary(_landing_rows(landed, batch, at))
+            if failed:
+                raise writers.PartialFailure(f"{len(failed)} workbook(s) would fail: {writers.name_some(failed)}")
+            return spark.createDataFrame(report, _REPORT)
+        staged = stage_landing(spark, landed, batch_id=batch, ingested_at=at)
     try:
         writers.append_bronze(staged.findings.withColumn(writers.BRONZE_PARTITION, F.lit(batch)),
                               findings_path or bronze_root.rstrip("/") + "-findings", fmt)

@@ -25,6 +25,8 @@ DEFAULT_CONF = {
     # inference would turn "0042" into 42.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Arrow batches close by size, so a large workbook travels alone.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
     # Plans here are built from many Column expressions (compiled rules);
     # call-site capture costs several JVM round trips per expression.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -133,6 +135,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to a new folder of the shared scratch space and read from
     there: what is used several times is made once, and an executor's loss
     costs no recomputation before it."""
+    return written_at(df, name)[0]
+
+
+def written_at(df: DataFrame, name: str, *partition_by: str) -> tuple[DataFrame, str]:
+    """``written``, and the folder, for ``remove_path`` after the last use."""
     path = scratch_path(df.sparkSession, f"{name}/{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared scratch space."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from contextlib import AbstractContextManager, nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,8 +28,8 @@ from strata.operators import promote
 from strata.operators.positions import split_positions
 from strata.session import scratch_path
 from strata.sinks import writers
+from strata.sources import workbook
 from strata.sources.records import parse_lines
-from strata.sources.workbook import land_contents, with_study
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -72,8 +73,8 @@ def start_workbook_landing(spark: SparkSession, deposit_root: str, bronze_path:
               .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[xX][lL][sS][xX]")
               .load(f"{deposit_root.rstrip('/')}/{p}"))
 
-    def landed(batch: DataFrame) -> DataFrame:
-        return land_contents(with_study(batch, deposit_root, p, None).select("path", "study_id", "content"))
+    def landed(batch: DataFrame) -> AbstractContextManager[DataFrame]:
+        return workbook.landing(workbook.with_study(batch, deposit_root, p, None))
     return _start(spark, stream, landed, bronze_path, run_id, ingested_at, silver_path, checkpoint, findings_path)
 
 
@@ -91,8 +92,8 @@ def start_record_landing(spark: SparkSession, deposit_root: str, bronze_path: st
     stream = spark.readStream.format("text").option("recursiveFileLookup", "true").load(f"{deposit_root.rstrip('/')}/{p}") \
         .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
 
-    def landed(batch: DataFrame) -> DataFrame:
-        return _record_rows(split_positions(batch, "path", "start", "line"), p)
+    def landed(batch: DataFrame) -> AbstractContextManager[DataFrame]:
+        return nullcontext(_record_rows(split_positions(batch, "path", "start", "line"), p))
     return _start(spark, stream, landed, bronze_path, run_id, ingested_at, silver_path, checkpoint, findings_path)
 
 
@@ -116,12 +117,13 @@ def _record_rows(lines: DataFrame, prefix: str) -> DataFrame:
                 "error", F.when(F.col("error").isNotNull(), "error").alias("severity"))
 
 
-def _start(spark: SparkSession, stream: DataFrame, landed: Callable[[DataFrame], DataFrame], bronze_path: str, run_id: str,
+def _start(spark: SparkSession, stream: DataFrame, landed: Callable[[DataFrame], AbstractContextManager[DataFrame]], bronze_path: str, run_id: str,
            ingested_at: str, silver_path: str | None, checkpoint: str | None, findings_path: str | None) -> StreamingQuery:
     def each(batch: DataFrame, epoch: int) -> None:
         from strata.jobs import stage_landing, write_bronze_tables
         batch_id = f"{run_id}-{epoch}"
-        staged = stage_landing(spark, landed(batch), batch_id=batch_id, ingested_at=ingested_at)
+        with landed(batch) as rows:
+            staged = stage_landing(spark, rows, batch_id=batch_id, ingested_at=ingested_at)
         try:
             # Findings first: a batch never commits without them.
             writers.append_bronze(staged.findings.withColumn(writers.BRONZE_PARTITION, F.lit(batch_id))

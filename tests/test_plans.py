@@ -43,20 +43,25 @@ def test_ingest_parses_every_workbook_once(spark, tmp_dir):
     import os
 
     from strata import jobs
-    from strata.plans.deposits import build_workbook, meta_rows
+    from deposits import build_workbook, meta_rows
     os.makedirs(tmp_dir + "/d/submissions/s")
     meta = {"g3mt_version": "1", "schema_file": "s", "target_node": "n"}
     with open(tmp_dir + "/d/submissions/s/a.xlsx", "wb") as fh:
         fh.write(build_workbook({"_g3mt": meta_rows(meta, {"n": "S"}), "S": [["a"], ["h"], ["1"]]}))
     parsed = spark.sparkContext.accumulator(0)
     from strata.sources import workbook
-    whole = workbook.land_contents
-    workbook.land_contents = lambda *a, **b: whole(*a, **b).mapInPandas(_counting(parsed), workbook.LANDING_SCHEMA)
+    whole = workbook.stored_cells
+    workbook.stored_cells = lambda files: whole(files).mapInPandas(_counting(parsed), workbook.STORED_SCHEMA)
     try:
         jobs.ingest(spark, "file://" + tmp_dir + "/d", "file://" + tmp_dir + "/b", batch_marker="m")
     finally:
-        workbook.land_contents = whole
-    assert parsed.value == 1
+        workbook.stored_cells = whole
+    assert parsed.value == 2 + 5 + 3  # two sheets, rows of the metadata, rows of the other
+
+
+def test_workbook_landing_keeps_contents_out_of_shuffles(spark):
+    plan = _plan(entry.queries()["workbook_landing"](spark, SF))
+    assert "content" not in plan and "MapInArrow" not in plan  # rows of sheets, written once, are all it reads
 
 
 def _counting(counter):

@@ -1,7 +1,7 @@
 import os
 
 from strata.sinks import writers
-from strata.plans.deposits import build_workbook, meta_rows
+from deposits import build_workbook, meta_rows
 from strata.streaming.landing import compact_silver, landing_failures, read_silver, start_record_landing, start_workbook_landing
 
 META = {"g3mt_version": "1", "schema_file": "s", "target_node": "subject"}

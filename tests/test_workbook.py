@@ -3,10 +3,11 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from deposits import build_workbook, meta_rows
 from strata import jobs
-from strata.plans.deposits import build_workbook, meta_rows
+from strata.functions.cells import cell_text
 from strata.sources import xlsx
-from strata.sources.workbook import list_workbooks, read_workbooks
+from strata.sources.workbook import land_contents, list_workbooks, read_workbooks
 
 META = {"g3mt_version": "0.4.2", "schema_file": "s.json", "target_node": "subject", "path": "p"}
 
@@ -75,14 +76,89 @@ def test_landing_rows_cells_and_findings(spark, deposits):
     assert "missing sheet 'Nope'" in f[("wb1.xlsx", "warn")]
 
 
-def test_serials_and_numbers():
-    assert xlsx.serial_to_text(45306) == "2024-01-15 00:00:00"
-    assert xlsx.serial_to_text(0.5) == "12:00:00"
-    assert xlsx.serial_to_text(40000, xlsx.EPOCH_1904) == "2013-07-07 00:00:00"
-    assert xlsx.duration_to_text(1.5) == "1 day, 12:00:00" and xlsx.duration_to_text(0.25) == "6:00:00"
-    assert xlsx._is_duration_format("[h]:mm:ss") and not xlsx._is_duration_format("[Red]h:mm")
-    assert xlsx.number_text("42") == "42" and xlsx.number_text("1.50") == "1.5"
-    assert xlsx.number_text("1E-3") == "0.001"
+def test_cell_texts(spark):
+    """Kind, format and stored text -> the text of the typed value."""
+    cases = [("text", None, None, " a ", " a "), ("number", 0, None, "42", "42"), ("number", 0, None, "1e-05", "1e-05"),
+             ("bool", None, None, "1", "True"), ("bool", None, None, "0", "False"),
+             ("number", 14, None, "45306", "2024-01-15 00:00:00"), ("number", 22, None, "45306.5", "2024-01-15 12:00:00"),
+             ("number", 14, None, "1", "1900-01-01 00:00:00"), ("number", 14, None, "61", "1900-03-01 00:00:00"),
+             ("number", 21, None, "0.5", "12:00:00"), ("number", 21, None, "0.500000011574", "12:00:00.001000"),
+             ("number", 14, None, "45306.9999999999", "2024-01-16 00:00:00"), ("number", 14, None, "2958465", "9999-12-31 00:00:00"),
+             ("number", 14, None, "1e+300", "1e+300"), ("number", 14, None, "2958466", "2958466"),
+             ("number", 164, "yyyy\\-mm", "45306", "2024-01-15 00:00:00"), ("number", 164, "0.0\"days\"", "1.5", "1.5"),
+             ("number", 164, "[Red]0.0", "1.5", "1.5"), ("number", 164, "General", "7", "7"),
+             ("number", 46, None, "1.5", "1 day, 12:00:00"), ("number", 164, "[h]:mm:ss", "0.25", "6:00:00"),
+             ("number", 46, None, "-0.25", "-1 day, 18:00:00"), ("number", 46, None, "2", "2 days, 0:00:00"),
+             ("number", 164, "[Red]h:mm", "0.25", "06:00:00"),
+             ("iso", None, None, "2024-01-15T10:11:12.5Z", "2024-01-15 10:11:12.500000"), ("iso", None, None, "2024-01-15", "2024-01-15 00:00:00"),
+             ("iso", None, None, "soon", "soon")]
+    rows = [(i, (1, *c[:4])) for i, c in enumerate(cases)]
+    df = spark.createDataFrame(rows, "i int, c struct<col:int,kind:string,format:int,code:string,value:string>")
+    got = [r.t for r in df.select("i", cell_text(F.col("c"), F.lit(False)).alias("t")).orderBy("i").collect()]
+    assert got == [c[4] for c in cases]
+    late = df.limit(1).select(cell_text(F.struct(F.lit("number").alias("kind"), F.lit(14).alias("format"),
+                                                 F.lit(None).cast("string").alias("code"), F.lit("40000").alias("value")), F.lit(True)))
+    assert late.first()[0] == "2013-07-07 00:00:00"
+
+
+def _package(parts):
+    import io
+    import zipfile
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        for name, text in parts.items():
+            z.writestr(name, text)
+    return out.getvalue()
+
+
+_MAIN = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+
+
+def _one_sheet(sheet, strings="", styles=""):
+    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    return _package({
+        "xl/workbook.xml": f'<workbook {_MAIN} xmlns:r="{rel}"><workbookPr date1904="1"/><sheets>'
+                           '<sheet name="S" r:id="r1"/><sheet name="Gone" r:id="r2"/></sheets></workbook>',
+        "xl/_rels/workbook.xml.rels": '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+                                      '<Relationship Id="r1" Target="/xl/worksheets/sheet1.xml"/></Relationships>',
+        "xl/worksheets/sheet1.xml": f"<worksheet {_MAIN}><sheetData>{sheet}</sheetData></worksheet>",
+        "xl/sharedStrings.xml": f"<sst {_MAIN}>{strings}</sst>", "xl/styles.xml": f"<styleSheet {_MAIN}>{styles}</styleSheet>"})
+
+
+def test_stored_rows_of_a_package():
+    sheet = ('<row><c t="s"><v>0</v></c><c/><c t="s"><v>1</v></c></row><row r="4"><c r="AA4" s="1"><v>1.50</v></c>'
+             '<c t="b"><v>1</v></c><c t="str"><f>x</f><v>y</v></c><c t="e"><v>#N/A</v></c></row><row r="5"><c r="A5"/></row>')
+    strings = '<si><t>a</t></si><si><r><t>b</t></r><rPh sb="0" eb="1"><t>no</t></rPh><r><t>c</t></r></si>'
+    styles = '<numFmts><numFmt numFmtId="164" formatCode="[h]"/></numFmts><cellXfs><xf numFmtId="0"/><xf numFmtId="164"/></cellXfs>'
+    got = list(xlsx.stored_rows(_one_sheet(sheet, strings, styles)))
+    text = lambda c, v: (c, "text", None, None, v)
+    assert got == [("S", None, True, []), ("S", 1, True, [text(1, "a"), text(3, "bc")]),
+                   ("S", 4, True, [(27, "number", 164, "[h]", "1.5"), (28, "bool", None, None, "1"), text(29, "y"), text(30, "#N/A")])]
+    with pytest.raises(ValueError, match="row 1 after row 2"):
+        list(xlsx.stored_rows(_one_sheet('<row r="2"/><row r="1"/>')))
+
+
+def test_a_workbook_that_breaks_half_way_lands_nothing(spark):
+    """Nor does one without content, or with no map; odd maps have a result."""
+    good = {"S": [["a"], ["h"], ["1"], ["2"]], "T": [["b"], ["h"], ["3"]]}
+    files = {
+        "no": None, "empty": b"", "part": build_workbook({"_g3mt": meta_rows(META, {"n": "S"}), **good})[:300],
+        "broken": _one_sheet('<row r="1"><c t="s"><v>9</v></c></row>'),
+        "twice": build_workbook({"_g3mt": [["path", "p1"], ["path", "p2"], ["node", "sheet"], ["n", "S"], ["n", "T"], ["m", "T"], ["", "S"]], **good}),
+        "early": build_workbook({"_g3mt": [["node", "sheet"], ["node", "sheet"], ["n", "S"]], **good}),
+        "unmapped": build_workbook({"_g3mt": [["path", "p"]], **good}),
+        "bare": build_workbook({"_g3mt": meta_rows(META, {"n": "S"}), "S": [[None], [None], ["x"]]})}
+    df = spark.createDataFrame([(k, "s", v) for k, v in files.items()], "path string, study_id string, content binary")
+    landed = land_contents(df)
+    got = landed.filter("error is null").select("file", "node", "sheet", "row", "cells", "provenance").collect()
+    assert sorted((r.file, r.node, r.sheet, r.row, tuple(r.cells.items())) for r in got) == [
+        ("early", "n", "S", 3, (("a", "1"),)), ("early", "n", "S", 4, (("a", "2"),)),
+        ("twice", "", "S", 3, (("a", "1"),)), ("twice", "", "S", 4, (("a", "2"),)),
+        ("twice", "m", "T", 3, (("b", "3"),)), ("twice", "n", "T", 3, (("b", "3"),))]
+    assert {(r.file, r.provenance.get("path")) for r in got} == {("early", None), ("twice", "p2")}
+    bad = {r.file: r.error for r in landed.filter("severity = 'error'").collect()}
+    assert set(bad) == {"no", "empty", "part", "broken", "unmapped"} and "maps no node" in bad["unmapped"]
+    assert land_contents(df.limit(0)).count() == 0
 
 
 def test_ingest_job_writes_good_tables_then_raises(spark, deposits, tmp_dir):
