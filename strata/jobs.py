@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -182,21 +183,24 @@ def dump(spark: SparkSession, names: DataFrame, read_table: Callable[[str], Data
     return vid
 
 
-def read_dump(spark: SparkSession, out_root: str, validation_id: str, *, target: str = "real"
-              ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """A dump run's records per node and its studies. The node is what follows
-    the study in a table's name (``silver_<study>_<node>``); nodes of several
-    studies are stacked by name."""
+class Dump(NamedTuple):
+    """A dump run as read back: its records per node, its studies, and an ERROR
+    row for each line that is no record."""
+    records: dict[str, DataFrame]
+    studies: DataFrame
+    bad: DataFrame
+
+
+def read_dump(spark: SparkSession, out_root: str, validation_id: str, *, target: str = "real", schema_version: str = "") -> Dump:
+    """A dump run's records as frames for ``validate``. The node is what follows
+    the study in a table's name (``silver_<study>_<node>``). All tables are read
+    in one scan without schema inference, values as text (``records.text_columns``);
+    ``validate_dump`` holds rules against JSON's own types instead."""
     root = f"{out_root.rstrip('/')}/{tables.target(target)['key_prefix']}"
     listed = files.list_validation_artifacts(spark, root).filter(F.col("validation_id") == validation_id)
-    keys = listed.select("study_id", "table_name", "snapshot_id").distinct().collect()  # one row a table
-    by_node: dict[str, DataFrame] = {}
-    for k in keys:
-        path = f"{root}/study_id={k.study_id}/validation_id={validation_id}/table_name={k.table_name}/snapshot_id={k.snapshot_id}"
-        df = spark.read.json(path).withColumn("study_id", F.lit(k.study_id))
-        node = k.table_name.split("_", 2)[2] if k.table_name.count("_") > 1 else k.table_name
-        by_node[node] = df if node not in by_node else by_node[node].unionByName(df, allowMissingColumns=True)
-    return by_node, gate.run_studies(listed, validation_id)
+    parsed = records.read_records(spark, root, validation_id)
+    return Dump(records.text_columns(parsed), gate.run_studies(listed, validation_id),
+                records.bad_lines(parsed, schema_version=schema_version, validation_id=validation_id))
 
 
 # ----------------------------------------------------------------- validate

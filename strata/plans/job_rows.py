@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import jobs
-from strata.operators import checks, landing, release
+from strata.operators import checks, landing, release, tables
 from strata.plans.common import (BATCH_A, BATCH_B, INGESTED_A, INGESTED_B, SCHEMA_VERSION, VALIDATION_NEW, customer_records,
                                  nation_studies, order_records, query, region_studies, table)
 from strata.session import scratch_path
@@ -162,8 +162,32 @@ def dump_job(spark: SparkSession, sf_dir: str) -> DataFrame:
         return own.withColumn("snapshot_id", F.lit(1)).unionByName(own.filter("c_acctbal > 0").withColumn("snapshot_id", F.lit(2)))
     vid = jobs.dump(spark, spark.createDataFrame([(n,) for n in names], "table_name string"), read, path, target="ci",
                     exclude="silver_left_out", validation_id=VALIDATION_NEW)
-    records, _ = jobs.read_dump(spark, path, vid, target="ci")
-    return records["customer"].select(F.lit("customer").alias("node"), "study_id", "submitter_id", "c_name", "c_acctbal")
+    records = jobs.read_dump(spark, path, vid, target="ci").records
+    return records["customer"].select(F.lit("customer").alias("node"), "study_id", "submitter_id", "c_name",
+                                      F.col("c_acctbal").cast("double").alias("c_acctbal"))
+
+
+# --- dump_bad_lines: a dump's torn lines are ERROR rows, keys of all studies are columns -------------
+
+@query("dump_bad_lines", f"""
+SELECT study_id, submitter_id, c_name, CASE WHEN study_id = 'asia' THEN c_mktsegment END AS c_mktsegment, CAST(NULL AS VARCHAR) AS error
+FROM ({_CUSTOMERS})
+UNION ALL SELECT {_STUDY}, NULL, NULL, NULL, 'is unreadable: not valid JSON' FROM region
+""")
+def dump_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, null = _fresh(spark, "dump"), F.lit(None).cast("string")
+    segment = F.when(F.col("study_id") == "asia", F.col("c_mktsegment"))  # to_json leaves nulls out
+    good = customer_records(spark, sf_dir).select("study_id", F.to_json(F.struct("submitter_id", "c_name", segment.alias("c_mktsegment"))).alias("value"))
+    torn = region_studies(spark, sf_dir).select("study_id", F.lit('{"submitter_id": "x", "c_na').alias("value"))
+    good.unionByName(torn).withColumns({
+        "validation_id": F.lit(VALIDATION_NEW), "table_name": F.concat(F.lit("silver_"), F.col("study_id"), F.lit("_customer")),
+        "snapshot_id": F.lit("1")}).write.partitionBy("study_id", "validation_id", "table_name", "snapshot_id") \
+        .text(f"{path}/{tables.target('ci')['key_prefix']}")
+    dump = jobs.read_dump(spark, path, VALIDATION_NEW, target="ci", schema_version=SCHEMA_VERSION)
+    records = dump.records["customer"].select("study_id", "submitter_id", "c_name", "c_mktsegment", null.alias("error"))
+    lost = dump.bad.select("study_id", "submitter_id", null.alias("c_name"), null.alias("c_mktsegment"),
+                           F.regexp_extract("validation_error", "is unreadable.*", 0).alias("error"))
+    return records.unionByName(lost)
 
 
 # --- validate_job: seven nodes, the dictionary's links ------------------------------------------------

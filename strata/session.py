@@ -25,8 +25,6 @@ DEFAULT_CONF = {
     # inference would turn "0042" into 42.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Arrow batches close by size, so a large workbook travels alone.
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
     # Plans here are built from many Column expressions (compiled rules);
     # call-site capture costs several JVM round trips per expression.
     "spark.python.sql.dataFrameDebugging.enabled": "false",

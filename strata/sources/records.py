@@ -71,6 +71,24 @@ def bad_lines(parsed: DataFrame, *, schema_version: str, validation_id: str) ->
         F.lit(schema_version).alias("schema_version"), null.alias("submitter_id"))
 
 
+def text_columns(parsed: DataFrame) -> dict[str, DataFrame]:
+    """Good records per node as text: study_id, submitter_id and every key that
+    the node's records hold (objects and lists as JSON, null as null). No type
+    is inferred; the keys come from one aggregate and are metadata-sized."""
+    good = parsed.filter(F.col("bad").isNull())
+    keys: dict[str, list[str]] = {}
+    held = good.select("node", F.explode(F.map_keys(F.expr("cast(record as map<string,variant>)"))).alias("key")).distinct()
+    for r in held.orderBy("node", "key").collect():
+        keys.setdefault(r.node, []).append(r.key)
+
+    def text(name: str) -> Column:
+        at = F.expr(f"try_variant_get(record, {path_literal(name)}, 'variant')")
+        kind = F.schema_of_variant(at)
+        return F.when(kind.rlike("^(OBJECT|ARRAY)"), F.to_json(at)).when(kind != "VOID", at.cast("string")).alias(name)
+    return {node: good.filter(F.col("node") == node).select(
+        "study_id", "submitter_id", *[text(k) for k in names if k not in ("study_id", "submitter_id")]) for node, names in keys.items()}
+
+
 # ----------------------------------------------------------- compiled schemas
 
 

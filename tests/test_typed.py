@@ -155,3 +155,14 @@ def test_validate_dump_of_a_broken_dictionary_and_of_nothing(spark, tmp_dir):
         jobs.validate_dump(spark, f"{tmp_dir}/d", "v1", good, results_path=f"{tmp_dir}/r")
     got = writers.read_results(spark, f"{tmp_dir}/r").collect()
     assert [(r.study_id, r.validation_result) for r in got] == [("s", "ERROR")]
+
+
+def test_text_columns_infer_nothing(spark):
+    from strata.sources.records import parse_lines, text_columns
+    lines = ['{"submitter_id": "a", "n": "3", "o": {"x": [1]}, "b.c": true}', '{"submitter_id": "b", "n": 4, "o": null}', '{"n": 1', "[]"]
+    df = spark.createDataFrame([("s", v) for v in lines], "study_id string, line string").withColumn("node", F.lit("visit"))
+    got = text_columns(parse_lines(df))
+    rows = {r.submitter_id: r for r in got["visit"].collect()}
+    assert list(got) == ["visit"] and got["visit"].columns == ["study_id", "submitter_id", "b.c", "n", "o"]
+    assert tuple(rows["a"]) == ("s", "a", "true", "3", '{"x":[1]}') and tuple(rows["b"]) == ("s", "b", None, "4", None)
+    assert len(rows) == 2 and text_columns(parse_lines(df.limit(0))) == {}
