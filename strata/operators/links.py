@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.checks import link_columns, sql_lit
+from strata.session import written
 from strata.sources.records import path_literal
 
 
@@ -28,76 +29,88 @@ def _key_sql(name: str) -> str:
 
 
 def asked_links(links: Sequence) -> Column:
-    """What a record (node, record) asks for: array of (name, target, key);
-    links whose key is null are left out."""
-    by_node: dict[str, list] = {}
-    for x in links:
-        by_node.setdefault(x.child, []).append(x)
-    if not by_node:
-        return F.expr("cast(array() as array<struct<name:string,target:string,key:string>>)")
+    """What a record (node, submitter_id, record) has and asks for: array of
+    (name, target, key), first its own key without a name, then every link of
+    its node in order; the key of a link that is not set is null."""
+    own = "named_struct('name', cast(null as string), 'target', node, 'key', submitter_id)"
     cases = []
-    for node, own in by_node.items():
-        each = ", ".join(f"named_struct('name', {sql_lit(x.name)}, 'target', {sql_lit(x.parent)}, 'key', {_key_sql(x.name)})" for x in own)
-        cases.append(f"WHEN node = {sql_lit(node)} THEN filter(array({each}), x -> x.key IS NOT NULL)")
-    return F.expr(f"CASE {' '.join(cases)} END")
+    for node, of in _by_node(links).items():
+        each = ", ".join(f"named_struct('name', {sql_lit(x.name)}, 'target', {sql_lit(x.parent)}, 'key', {_key_sql(x.name)})" for x in of)
+        cases.append(f"WHEN node = {sql_lit(node)} THEN array({own}, {each})")
+    return F.expr(f"CASE {' '.join(cases)} ELSE array({own}) END" if cases else f"array({own})")
+
+
+def _by_node(links: Sequence) -> dict[str, list]:
+    out: dict[str, list] = {}
+    for x in links:
+        out.setdefault(x.child, []).append(x)
+    return out
 
 
 def missing_targets(records: DataFrame, links: Sequence) -> DataFrame:
     """(target, key) that some record asks for and no record is. Targets of
     which the run has no record at all cannot be looked up and are not held
     against anyone. One exchange, with partial aggregates before it."""
-    tagged = records.select(F.explode(F.concat(
-        F.array(F.struct(F.col("node").alias("target"), F.col("submitter_id").alias("key"), F.lit(True).alias("there"))),
-        F.transform(F.coalesce(asked_links(links), F.expr("cast(array() as array<struct<name:string,target:string,key:string>>)")),
-                    lambda x: F.struct(x.target.alias("target"), x.key.alias("key"), F.lit(False).alias("there"))))).alias("t"))
-    return tagged.where("t.key IS NOT NULL").groupBy("t.target", "t.key").agg(F.max("t.there").alias("there")) \
-        .where("NOT there").select("target", "key")
+    return _missing(records.select(F.explode(asked_links(links)).alias("a")))
+
+
+def _missing(asked: DataFrame) -> DataFrame:
+    return asked.where("a.key IS NOT NULL").groupBy(F.col("a.target").alias("target"), F.col("a.key").alias("key")) \
+        .agg(F.max(F.col("a.name").isNull()).alias("there")).where("NOT there").select("target", "key")
 
 
 def link_findings(records: DataFrame, links: Sequence, *, validation_id: str, schema_version: str) -> DataFrame:
     """V9 for parsed records (node, study_id, index, submitter_id, record):
     required links that are not set, required subgroups none of whose links
-    is, and links whose target is not there."""
-    present = {r.node for r in records.select("node").distinct().collect()}  # nodes are few
-    looked = [x for x in links if x.parent in present]
-    base = records.where("record IS NOT NULL")
-    missing = missing_targets(base, looked)
-    asked = base.select("node", "study_id", "index", "submitter_id", F.explode(asked_links(looked)).alias("a"))
+    is, and links whose target is not there.
+
+    A record is read and taken apart once: its keys go to the shared scratch
+    folder, and everything after that reads those columns. Records are held
+    against the missing keys of a target alone that has some."""
+    there = F.col("record").isNotNull()
+    taken = written(records.select("node", "study_id", "index", "submitter_id", there.alias("good"),
+                                   F.when(there, asked_links(links)).alias("asked")), "links")
+    present = [r.node for r in taken.select("node").distinct().collect()]  # nodes are few
+    base = taken.where("good")
+    each = base.select("node", "study_id", "index", "submitter_id", F.explode("asked").alias("a"))
+    missing = written(_missing(each.where(F.col("a.target").isin(present))), "links")
+    targets = [r.target for r in missing.select("target").distinct().collect()]
+    asked = each.where(F.col("a.name").isNotNull() & F.col("a.target").isin(targets))
     broken = asked.join(missing, (F.col("a.target") == F.col("target")) & (F.col("a.key") == F.col("key")), "left_semi")
-    parts = [broken.select("node", "study_id", "index", "submitter_id", F.col("a.name").alias("invalid_key"),
-                           F.format_string("%s/links/%s", "node", "a.name").alias("schema_path"), F.lit("link").alias("validator"),
-                           F.col("a.name").alias("validator_value"),
-                           F.format_string("link '%s' target '%s' not found", "a.name", "a.key").alias("validation_error"))]
+    out = broken.select("node", "study_id", "index", "submitter_id", F.col("a.name").alias("invalid_key"),
+                        F.format_string("%s/links/%s", "node", "a.name").alias("schema_path"), F.lit("link").alias("validator"),
+                        F.col("a.name").alias("validator_value"),
+                        F.format_string("link '%s' target '%s' not found", "a.name", "a.key").alias("validation_error"))
     unset = _unset(links)
     if unset:
-        cases = " ".join(f"WHEN node = {sql_lit(n)} THEN filter(array({', '.join(es)}), f -> f IS NOT NULL)" for n, es in unset.items())
-        rows = base.select("node", "study_id", "index", "submitter_id", F.explode(F.expr(f"CASE {cases} END")).alias("f"))
-        parts.append(rows.select("node", "study_id", "index", "submitter_id", "f.invalid_key", "f.schema_path",
-                                 F.lit("required").alias("validator"), F.col("f.validator_value"), "f.validation_error"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        cases = " ".join(f"WHEN node = {sql_lit(n)} THEN array({', '.join(es)})" for n, es in unset.items())
+        rows = base.select("node", "study_id", "index", "submitter_id", F.explode(F.expr(f"CASE {cases} END")).alias("f")).where("f IS NOT NULL")
+        out = out.unionByName(rows.select("node", "study_id", "index", "submitter_id", "f.invalid_key", "f.schema_path",
+                                          F.lit("required").alias("validator"), F.col("f.validator_value"), "f.validation_error"))
     return out.withColumns({"validation_id": F.lit(validation_id), "validation_result": F.lit("FAIL"),
                             "schema_version": F.lit(schema_version)})
 
 
 def _unset(links: Sequence) -> dict[str, list[str]]:
-    """Per node, a CASE per required link or subgroup that a record lacks."""
+    """Per node, a CASE over ``asked`` per required link or subgroup that a
+    record lacks."""
     out: dict[str, list[str]] = {}
-    groups: dict[tuple[str, str], list[str]] = {}
-    for x in links:
-        if x.subgroup is not None:
-            groups.setdefault((x.child, x.subgroup), []).append(x.name)
-        if x.required:
-            message = f"'{x.name}' is a required property"
-            out.setdefault(x.child, []).append(_unset_sql([x.name], x.name, f"{x.child}/links/{x.name}", x.name, message))
-    for (node, group), names in groups.items():
-        listing = ", ".join(repr(n) for n in names)
-        out.setdefault(node, []).append(_unset_sql(names, names[0], group, listing, f"one of {listing} is a required property"))
+    for node, of in _by_node(links).items():
+        cases, groups = [], {}
+        for at, x in enumerate(of, start=1):
+            if x.subgroup is not None:
+                groups.setdefault(x.subgroup, {})[at] = x.name
+            if x.required:
+                cases.append(_unset_sql([at], x.name, f"{node}/links/{x.name}", x.name, f"'{x.name}' is a required property"))
+        for group, names in groups.items():
+            listing = ", ".join(repr(n) for n in names.values())
+            cases.append(_unset_sql([*names], next(iter(names.values())), group, listing, f"one of {listing} is a required property"))
+        if cases:
+            out[node] = cases
     return out
 
 
-def _unset_sql(names: Sequence[str], key: str, path: str, value: str, message: str) -> str:
-    cond = " AND ".join(f"{_key_sql(n)} IS NULL" for n in names)
+def _unset_sql(places: Sequence[int], key: str, path: str, value: str, message: str) -> str:
+    cond = " AND ".join(f"get(asked, {at}).key IS NULL" for at in places)
     return (f"CASE WHEN {cond} THEN named_struct('invalid_key', {sql_lit(key)}, 'schema_path', {sql_lit(path)}, "
             f"'validator_value', {sql_lit(value)}, 'validation_error', {sql_lit(message)}) END")

@@ -37,14 +37,18 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     """``lines`` (column ``line``) with ``record`` (VARIANT; null for a line
     that is no record), ``submitter_id`` and ``bad`` (what is wrong with the
     line, else null)."""
-    # Inside brackets a second value or trailing text cannot go unseen.
-    whole = lines.withColumn("__all", F.expr("try_parse_json(concat('[', line, ']'))"))
-    one = whole.withColumn("__one", F.expr("try_variant_get(__all, '$[0]', 'variant')"))
+    # Inside brackets a second value or trailing text cannot go unseen. Each
+    # inline of one element holds what is made once a line: a filter on a plain
+    # column would be pushed below it and parse the line once more a mention.
+    whole = lines.select("*", F.inline(F.array(F.struct(F.expr("try_parse_json(concat('[', line, ']'))").alias("__all")))))
+    # A JSON value is an object exactly if it begins as one.
     bad = F.when(F.col("__all").isNull(), F.lit("not valid JSON")) \
         .when(F.expr("try_variant_get(__all, '$[1]', 'variant') IS NOT NULL"), F.lit("more than one value in a line")) \
-        .when(~F.coalesce(F.expr("schema_of_variant(__one)"), F.lit("")).startswith("OBJECT"), F.lit("not a JSON object"))
-    return one.withColumn("bad", bad).withColumn("record", F.when(F.col("bad").isNull(), F.col("__one"))) \
-        .withColumn("submitter_id", F.expr("try_variant_get(record, '$.submitter_id', 'string')")).drop("__all", "__one")
+        .when(~F.ltrim("line", F.lit(" \t\n\r")).startswith("{"), F.lit("not a JSON object"))
+    judged = whole.select(*[F.col(f"`{c}`") for c in lines.columns], F.inline(F.array(F.struct(bad.alias("bad"), F.col("__all")))))
+    record = F.when(F.col("bad").isNull(), F.expr("try_variant_get(__all, '$[0]', 'variant')"))
+    one = judged.select(*[F.col(f"`{c}`") for c in lines.columns], "bad", F.inline(F.array(F.struct(record.alias("record")))))
+    return one.withColumn("submitter_id", F.expr("try_variant_get(record, '$.submitter_id', 'string')"))
 
 
 def read_records(spark: SparkSession, root: str, validation_id: str | None = None) -> DataFrame:

@@ -166,3 +166,20 @@ def test_text_columns_infer_nothing(spark):
     assert list(got) == ["visit"] and got["visit"].columns == ["study_id", "submitter_id", "b.c", "n", "o"]
     assert tuple(rows["a"]) == ("s", "a", "true", "3", '{"x":[1]}') and tuple(rows["b"]) == ("s", "b", None, "4", None)
     assert len(rows) == 2 and text_columns(parse_lines(df.limit(0))) == {}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_links_are_taken_out_of_a_record_once(spark):
+    d = dictionary_from_obj(spark, {"p": {"properties": {}}, "n": {"properties": {}, "links": [
+        {"name": "ps", "target_type": "p", "required": True}, {"name": "qs", "target_type": "q"}]}, "q": {"properties": {}}})
+    rows = [("p", '{"submitter_id":"1"}'), ("n", '{"submitter_id":"x","ps":"1","qs":"9"}'), ("n", '{"submitter_id":"y","ps":"2"}'),
+            ("n", '{"submitter_id":"y","ps":"2"}'), ("n", '{"submitter_id":null}'), ("n", "{"), ("other", '{"submitter_id":"o"}')]
+    parsed = records.parse_lines(spark.createDataFrame([(n, "s", i, x) for i, (n, x) in enumerate(rows)],
+                                                       "node string, study_id string, index bigint, line string"))
+    found = links.link_findings(parsed, d.links.collect(), validation_id="v", schema_version="1")
+    assert sorted((r["index"], r.submitter_id, r.invalid_key, r.validator) for r in found.collect()) == [
+        (2, "y", "ps", "link"), (3, "y", "ps", "link"), (4, None, "ps", "required")]
+    assert "parseJson" not in _plan(found) and "VariantType" not in _plan(found)
