@@ -172,6 +172,25 @@ def _plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_a_line_is_parsed_once_whatever_reads_the_record(spark):
+    lines = spark.createDataFrame([("n", "s", 0, '{"submitter_id":"a","x":[{"y":"2024-02-30"},7]}')],
+                                  "node string, study_id string, index bigint, line string").repartition(2)
+    d = dictionary_from_obj(spark, {"n": {"required": ["z"], "properties": {
+        "x": {"items": {"type": "object", "properties": {"y": {"type": "string", "format": "date", "enum": ["u"]}}}}}}})
+    found = typed.typed_findings(records.parse_lines(lines), d.schemas, validation_id="v", schema_version="1")
+    assert sorted((r.invalid_key, r.validator) for r in found.collect()) == [
+        ("x[0].y", "enum"), ("x[0].y", "format"), ("x[1]", "type"), ("z", "required")]
+    plan = _plan(found)
+    # Every value is taken out, and its type told, once.
+    assert plan.count("parseJson") == 1 and plan.count("schemaOfVariant") == 2
+
+
+def test_numbers_that_are_one_double_are_told_apart(spark):
+    schema = {"properties": {"x": {"type": "number", "maximum": 9007199254740992}, "y": {"minimum": 0.5}}}
+    got = _found(spark, schema, *[{"x": v} for v in (9007199254740992, 9007199254740993, 1e300, -1e300)], {"y": 0.5}, {"y": 0.25}, {"y": "0"})
+    assert got == [(1, "x", "maximum"), (2, "x", "maximum"), (5, "y", "minimum")]
+
+
 def test_links_are_taken_out_of_a_record_once(spark):
     d = dictionary_from_obj(spark, {"p": {"properties": {}}, "n": {"properties": {}, "links": [
         {"name": "ps", "target_type": "p", "required": True}, {"name": "qs", "target_type": "q"}]}, "q": {"properties": {}}})
