@@ -197,3 +197,16 @@ def test_all_sheets_mode_and_dry_run(spark, deposits, tmp_dir):
     rep = {r.table_name: r.n_rows for r in landing.dry_run_report(cells).collect()}
     assert rep == {"bronze_unassigned_subject": 1}
     assert not os.path.exists(tmp_dir + "/nothing")
+
+
+def test_workbooks_are_zipped_by_the_hundred(spark, tmp_dir):
+    from strata.plans.workbooks import customer_workbooks
+    from strata.sources.workbook import land_contents
+    spark.createDataFrame([(i, f"a<&{i}", 1.5, "BUILDING", i % 3) for i in range(30)],
+                          "c_custkey bigint, c_name string, c_acctbal double, c_mktsegment string, c_nationkey int") \
+        .write.parquet(f"{tmp_dir}/zipped/customer.parquet")
+    books = customer_workbooks(spark, f"{tmp_dir}/zipped")
+    plan = books._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+    landed = land_contents(books).where("error IS NULL").collect()
+    assert sorted(r.cells["c_name"] for r in landed) == sorted(f"a<&{i}" for i in range(30))
