@@ -146,9 +146,11 @@ def upload_plan(records: DataFrame, order: DataFrame, node: str = "node",
                 key: str = "submitter_id") -> DataFrame:
     """Records in import order, parents first. Records of a node that the
     order does not know come last, with null level and pos. Rows that agree in
-    every sort key are range-partitioned together."""
+    every sort key are range-partitioned together. The order is
+    dictionary-sized and broadcast: by node, most records would meet in one
+    task."""
     o = order.select(F.col("node").alias("__n"), "level", "pos")
-    j = records.join(o, F.col(node) == F.col("__n"), "left").drop("__n")
+    j = records.join(F.broadcast(o), F.col(node) == F.col("__n"), "left").drop("__n")
     return j.orderBy(F.col("pos").asc_nulls_last(), key)
 
 
@@ -166,5 +168,5 @@ def delete_plan(audit_rows: DataFrame, order: DataFrame) -> DataFrame:
     of a node that the order does not know come first, as nothing can be said
     to hang on them last."""
     o = order.select(F.col("node").alias("__n"), "level", "pos")
-    j = audit_rows.join(o, F.col("node") == F.col("__n"), "left").drop("__n")
+    j = audit_rows.join(F.broadcast(o), F.col("node") == F.col("__n"), "left").drop("__n")
     return j.orderBy(F.col("pos").desc_nulls_first(), "gen3_guid")

@@ -254,3 +254,19 @@ def test_tolerant_json_and_generic_source(spark, tmp_dir):
     assert any(r._corrupt_record for r in rows)
     spark.createDataFrame([(1, "p")], "k int, v string").write.parquet(os.path.join(tmp_dir, "pq"))
     assert read_source(spark, "parquet", os.path.join(tmp_dir, "pq")).first().v == "p"
+
+
+def test_plans_do_not_bring_a_node_together_in_one_task(spark):
+    order = release.import_order(spark, spark.createDataFrame([("b", "a")], "child string, parent string"))
+    rows = spark.createDataFrame([("b", "2"), ("a", "1"), ("b", "1"), ("z", "0"), (None, "n")], "node string, submitter_id string")
+    plans = [release.upload_plan(rows, order), release.delete_plan(rows.withColumnRenamed("submitter_id", "gen3_guid"), order)]
+    assert [(r.node, r.submitter_id, r.pos) for r in plans[0].collect()] == [
+        ("a", "1", 0), ("b", "1", 1), ("b", "2", 1), ("z", "0", None), (None, "n", None)]
+    assert [r.node for r in plans[1].collect()] == ["z", None, "b", "b", "a"]
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for p in (release.upload_plan(rows, order), release.delete_plan(rows.withColumnRenamed("submitter_id", "gen3_guid"), order)):
+            assert "hashpartitioning" not in p._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
