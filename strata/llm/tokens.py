@@ -31,7 +31,7 @@ STRIPE_BYTES, ROW_STRIDE, BLOOM_FPP = 64 << 20, 1000, 0.01
 FILE_BYTES = 64 << 20
 #: Words whose ids a worker remembers. Half of them are the words met last; when
 #: they are that many, the other half, met before and not since, is forgotten.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 _SLICE = 2 << 20
 #: Words given to the tokenizer as one text.
 _JOINED = 4000
@@ -103,10 +103,28 @@ class _Encoder:
         spec = json.loads(self.tokenizer.to_str())
         self.by_word = all((spec.get(k) or {}).get("type") == "Sequence" for k in ("normalizer", "pre_tokenizer")) \
             and spec["normalizer"]["normalizers"] == _NORMALIZER and spec["pre_tokenizer"]["pretokenizers"] == _PRE_TOKENIZER
+        model = spec["model"]
+        suffix = model.get("end_of_word_suffix") if model.get("type") == "BPE" else None
+        self.is_end = None
+        if suffix:
+            vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+            self.is_end = np.zeros(max(vocab.values()) + 1, bool)
+            self.is_end[[i for w, i in vocab.items() if w.endswith(suffix)]] = True
         self.new, self.old = _Memory(), _Memory()
 
     def _learn(self, words: list[str]) -> None:
         plain = [w for w in words if w.isalpha()]
+        if self.is_end is not None:
+            # A word of ASCII letters is one pre-token and has one last token,
+            # which the ids alone show; if the counts differ, one got none.
+            ascii_words = [w for w in plain if w.isascii()]
+            for lo in range(0, len(ascii_words), _JOINED):
+                part = ascii_words[lo:lo + _JOINED]
+                ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.int32)
+                ends = np.flatnonzero(self.is_end[ids])
+                if len(ends) == len(part):
+                    self.new.keep(part, ids, np.diff(ends, prepend=-1))
+            plain = [w for w in plain if w not in self.new.codes]
         for lo in range(0, len(plain), _JOINED):
             part = plain[lo:lo + _JOINED]
             # One text of letter words is one pre-token a word, unless a

@@ -83,3 +83,18 @@ def test_other_tokenizers_get_whole_texts():
     plain = Tokenizer.from_file(path)
     want = [[*plain.encode(t or "", add_special_tokens=False).ids, T.END_ID] for t in texts]
     assert ids.tolist() == [i for w in want for i in w] and sizes.tolist() == [len(w) for w in want]
+
+
+def test_ascii_words_are_learnt_from_their_ids_alone():
+    enc = T._Encoder(T.default_tokenizer())
+    slow = enc.tokenizer
+
+    class Fast:
+        def __getattr__(self, name):
+            assert name != "encode"
+            return getattr(slow, name)
+    enc.tokenizer = Fast()
+    texts = ["Hello world a b c, the The THE", "x", "", None, "internationalization zzzzqqqq (jkjkjk) w.", "q" * 300]
+    ids, size = enc.encode(pa.array(texts, pa.large_string()))
+    want = [[*slow.encode(t or "", add_special_tokens=False).ids, T.END_ID] for t in texts]
+    assert ids.tolist() == [i for w in want for i in w] and size.tolist() == [len(w) for w in want]
