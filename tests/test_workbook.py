@@ -199,6 +199,28 @@ def test_all_sheets_mode_and_dry_run(spark, deposits, tmp_dir):
     assert not os.path.exists(tmp_dir + "/nothing")
 
 
+def test_dry_run_reports_what_an_ingest_writes(spark, tmp_dir):
+    """A row counts once however often its workbook is listed; the columns are
+    those of all workbooks of a table, named as they are written."""
+    from strata.operators import landing
+    from strata.sinks import writers
+    a = [["ID", "Age"], ["h", "h"], ["1", "2"], ["1", "2"]]
+    b = [["id", "Sub.ID", "ID", "row_hash"], ["h"] * 4, ["1", "x", "3", "y"]]
+    books = {f"submissions/st/{k}.xlsx": {"_g3mt": meta_rows(META, {"n": "S", "m": "T"}), "S": s, "T": t}
+             for k, s, t in (("a", a, [["only"], ["h"], ["v"]]), ("b", b, [["blank"], ["h"]]))}
+    rows = [(_write(tmp_dir, path, sheets), "st", build_workbook(sheets)) for path, sheets in books.items()]
+    df = spark.createDataFrame([*rows, rows[0]], "path string, study_id string, content binary")
+    cells = landing.bronze_from_cells(land_contents(df).filter("error is null"), batch_id="b", ingested_at="t")
+    assert cells.count() == 7
+    rep = {r.table_name: r for r in landing.dry_run_report(cells).collect()}
+    assert {t: (r.n_rows, r.n_columns) for t, r in rep.items()} == {"bronze_st_n": (3, 15), "bronze_st_m": (1, 11)}
+    assert rep["bronze_st_n"].columns == ["age", "id", "id_2", "row_hash_2", "sub_id", *landing.PROVENANCE_COLUMNS]
+    jobs.ingest(spark, "file://" + tmp_dir, f"file://{tmp_dir}/bronze", batch_marker="b")
+    for name, r in rep.items():
+        written = writers.read_bronze(spark, f"{tmp_dir}/bronze/{name}")
+        assert written.count() == r.n_rows and sorted(written.columns) == sorted(r.columns)
+
+
 def test_workbooks_are_zipped_by_the_hundred(spark, tmp_dir):
     from strata.plans.workbooks import customer_workbooks
     from strata.sources.workbook import land_contents
